@@ -48,13 +48,16 @@ def frequent(df: DataFrame, cfg: PipelineConfig, **columns: list[str]) -> dict[s
         ).alias(name)
         for name, cols in columns.items()
     ])
-    merged = parts.agg(*[F.call_function("approx_top_k_combine", name).alias(name) for name in columns])
+    # Grouped by a constant: an empty frame has no sketches to combine and gives no row.
+    merged = parts.groupBy(F.lit("all")).agg(*[
+        F.call_function("approx_top_k_combine", name).alias(name) for name in columns
+    ])
     found = merged.select(*[
         F.call_function("approx_top_k_estimate", name, F.lit(cfg.sketch_items)).alias(name)
         for name in columns
     ]).first()
     return {
-        name: [top["item"] for top in (found[name] or []) if top["count"] >= cfg.hot_rows]
+        name: [top["item"] for top in found[name] if top["count"] >= cfg.hot_rows] if found else []
         for name in columns
     }
 
@@ -137,7 +140,8 @@ def mark_duplicates(
     in_batch = Window.partitionBy("user_id", "_key", *cfg.batch_cols).orderBy("_arrival")
     repeat = F.row_number().over(in_batch) > 1
     if hot is not None:
-        repeat = F.coalesce(F.col("_arrival") != F.col("_first"), repeat)
+        # Rows that share an arrival share a slot, where the rank keeps just one of them.
+        repeat = repeat | F.coalesce(F.col("_arrival") != F.col("_first"), F.lit(False))
     df = df.withColumn("repeat_in_batch", keyed() & repeat)
     candidate = F.col("clean") & ~F.col("repeat_in_batch")
 

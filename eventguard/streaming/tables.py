@@ -12,7 +12,8 @@ replayed micro-batch leaves the same tables. Folders below the base:
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import json
+from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -76,10 +77,10 @@ class StreamTables:
         return State(**{**values, "live": [(e["path"], e["newest"]) for e in values["live"]]})
 
     def save_state(self, state: State, epoch: int) -> None:
-        values = (
-            state.cum_valid, state.cum_dlq, state.running_total, state.expired_before, state.live
-        )
-        self._write(self.spark.createDataFrame([values], STATE).coalesce(1), "state", epoch)
+        live = [{"path": path, "newest": newest} for path, newest in state.live]
+        text = F.lit(json.dumps({**asdict(state), "live": live}))
+        row = self.spark.range(0, 1, 1, 1).select(F.from_json(text, STATE).alias("state"))
+        self._write(row.select("state.*"), "state", epoch)
 
     def live_keys(self, state: State) -> DataFrame | None:
         """Accepted keys that the next micro-batch can repeat."""
