@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from eventguard.config import PipelineConfig
+from eventguard.config import PipelineConfig, stored
 from eventguard.operators.rules import missing
 
 KEY = ["user_id", "timestamp"]
@@ -35,33 +35,36 @@ class HotKeys:
     groups: DataFrame | None
 
 
-def frequent(df: DataFrame, cfg: PipelineConfig, **columns: list[str]) -> dict[str, list[int]]:
-    """Hashes of the values that hold at least `hot_rows` rows, for each named column list.
+def frequent(df: DataFrame, cfg: PipelineConfig, **hashes: Column) -> dict[str, list[int]]:
+    """Values of the named hashes that occur in at least `hot_rows` rows.
 
     One pass with a frequent-items sketch per task and no shuffle of rows. At most
-    `sketch_items` hashes come back for each name. The answer only steers how the
+    `sketch_items` values come back for each name. The answer only steers how the
     work is spread: a value that is not found is still handled exactly.
     """
     parts = df.groupBy((F.spark_partition_id() % 256).alias("_part")).agg(*[
-        F.call_function(
-            "approx_top_k_accumulate", F.xxhash64(*cols), F.lit(cfg.sketch_items)
-        ).alias(name)
-        for name, cols in columns.items()
+        F.call_function("approx_top_k_accumulate", value, F.lit(cfg.sketch_items)).alias(name)
+        for name, value in hashes.items()
     ])
     # Grouped by a constant: an empty frame has no sketches to combine and gives no row.
     merged = parts.groupBy(F.lit("all")).agg(*[
-        F.call_function("approx_top_k_combine", name).alias(name) for name in columns
+        F.call_function("approx_top_k_combine", name).alias(name) for name in hashes
     ])
     found = merged.select(*[
         F.call_function("approx_top_k_estimate", name, F.lit(cfg.sketch_items)).alias(name)
-        for name in columns
+        for name in hashes
     ]).first()
     return {
         name: [top["item"] for top in found[name] if top["count"] >= cfg.hot_rows] if found else []
-        for name in columns
+        for name in hashes
     }
 
 
+def _hash(cols: list[str]) -> Column:
+    """Hash of the columns; records without key get one each, so they never look hot."""
+    return F.when(keyed(), F.xxhash64(*cols)).otherwise(F.xxhash64("_arrival"))
+
+
 def _hash_table(df: DataFrame, hashes: list[int]) -> DataFrame:
     rows = df.sparkSession.createDataFrame([(h,) for h in hashes], "_hash long")
     return F.broadcast(rows)  # at most sketch_items rows
@@ -70,19 +73,19 @@ def _hash_table(df: DataFrame, hashes: list[int]) -> DataFrame:
 def find_hot(df: DataFrame, cfg: PipelineConfig, ledger: DataFrame | None) -> HotKeys | None:
     """Verdicts for the hot keys of a frame with `clean` and `_arrival`, or None.
 
-    `keys`: the arrival of the one record of the key that may be accepted.
-    `groups`: for batches in which the key is hot as well, the arrival of its first record.
+    `keys`: the arrival of the one record of the key that may be accepted (`_winner`).
+    `groups`: for batches in which the key is hot as well, the arrival of its first record
+    (`_first`). A frame that is one batch has it in `keys`.
     """
     if cfg.hot_rows is None:
         return None
-    rows = df.filter(keyed())
     group = KEY + cfg.batch_cols
-    names = {"key": KEY, "group": group} if cfg.batch_cols else {"key": KEY}
-    hashes = frequent(rows, cfg, **names)
+    names = {"key": _hash(KEY), "group": _hash(group)} if cfg.batch_cols else {"key": _hash(KEY)}
+    hashes = frequent(df, cfg, **names)
     if not hashes["key"]:
         return None
     heads = (
-        rows.withColumn("_hash", F.xxhash64(*KEY))
+        df.withColumn("_hash", _hash(KEY))
         .join(_hash_table(df, hashes["key"]), "_hash", "left_semi")
         .groupBy(*group)
         .agg(
@@ -91,21 +94,22 @@ def find_hot(df: DataFrame, cfg: PipelineConfig, ledger: DataFrame | None) -> Ho
         )
     )
     opening = F.when(F.col("_first") == F.col("_first_clean"), F.col("_first"))
-    keys = heads.groupBy(*KEY).agg(F.min(opening).alias("_winner"))
+    if cfg.batch_cols:
+        heads = stored(heads, "heads")  # used twice
+        keys = heads.groupBy(*KEY).agg(F.min(opening).alias("_winner"))
+        groups = (
+            heads.withColumn("_hash", F.xxhash64(*group))
+            .join(_hash_table(df, hashes["group"]), "_hash", "left_semi")
+            .select(*group, "_first")
+        )
+    else:
+        keys, groups = heads.select(*KEY, "_first", opening.alias("_winner")), None
     if ledger is not None:
         seen = ledger.select(*KEY).distinct().withColumn("_seen", F.lit(True))
         keys = keys.join(seen, KEY, "left").withColumn(
             "_winner", F.when(F.col("_seen").isNull(), F.col("_winner"))
         ).drop("_seen")
-    keys = keys.withColumn("_hot", F.lit(True))
-    if not cfg.batch_cols:
-        return HotKeys(keys.join(heads.select(*KEY, "_first"), KEY), None)
-    groups = (
-        heads.withColumn("_hash", F.xxhash64(*group))
-        .join(_hash_table(df, hashes["group"]), "_hash", "left_semi")
-        .select(*group, "_first")
-    )
-    return HotKeys(keys, groups)
+    return HotKeys(keys.withColumn("_hot", F.lit(True)), groups)
 
 
 def mark_duplicates(

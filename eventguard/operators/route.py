@@ -29,6 +29,13 @@ def messages(df: DataFrame, cfg: PipelineConfig, keep: tuple[str, ...] = ()) ->
 
 
 def tag_topics(df: DataFrame, cfg: PipelineConfig) -> DataFrame:
-    """Both outputs as one frame with the topic each record belongs to."""
-    valid = valid_only(df).withColumn("topic", F.lit(cfg.valid_topic))
-    return valid.unionByName(dlq_only(df).withColumn("topic", F.lit(cfg.dlq_topic)))
+    """Both outputs as one frame with the topic each record belongs to, in one pass."""
+    topic = F.when(F.col("is_valid"), F.lit(cfg.valid_topic)).otherwise(F.lit(cfg.dlq_topic))
+    return df.withColumn("topic", topic)
+
+
+def union_topics(valid: DataFrame, dlq: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    """Two outputs that are stored apart, as one frame tagged with the topic."""
+    return valid.withColumn("topic", F.lit(cfg.valid_topic)).unionByName(
+        dlq.withColumn("topic", F.lit(cfg.dlq_topic))
+    )
