@@ -9,18 +9,28 @@ from eventguard.functions.display import pass_rate
 from eventguard.operators.windows import running_sums
 
 
-def _amount_of_valid() -> Column:
-    return F.coalesce(F.sum(F.when(F.col("is_valid"), F.col("amount"))), F.lit(0.0))
+def _clock_text(time: Column) -> Column:
+    return F.concat(F.date_format(time, "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC"))
 
 
 def batch_metrics(df: DataFrame) -> DataFrame:
     """One row per batch: its latest processing time, counts and accepted amount."""
-    latest = F.date_format(F.max("as_of"), "yyyy-MM-dd HH:mm:ss")
+    amount = F.sum(F.when(F.col("is_valid"), F.col("amount")))
     return df.groupBy("batch_id").agg(
-        F.concat(latest, F.lit(" UTC")).alias("batch_ts"),
+        _clock_text(F.max("as_of")).alias("batch_ts"),
         F.count_if("is_valid").alias("batch_valid"),
         F.count_if(~F.col("is_valid")).alias("batch_dlq"),
-        _amount_of_valid().alias("batch_amount"),
+        F.coalesce(amount, F.lit(0.0)).alias("batch_amount"),
+    )
+
+
+def merge_batch_metrics(parts: DataFrame) -> DataFrame:
+    """The same from stored result parts."""
+    return parts.groupBy("batch_id").agg(
+        _clock_text(F.timestamp_seconds(F.max("newest_as_of"))).alias("batch_ts"),
+        F.sum("valid_count").alias("batch_valid"),
+        F.sum("dlq_count").alias("batch_dlq"),
+        F.coalesce(F.sum("window_total_amount"), F.lit(0.0)).alias("batch_amount"),
     )
 
 

@@ -28,6 +28,29 @@ def tumbling_parts(valid: DataFrame, cfg: PipelineConfig, by: Sequence[str] = ()
     )
 
 
+def result_parts(df: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    """One pass over classified records for all per-window, per-batch and total results."""
+    valid, as_of = F.col("is_valid"), F.col("as_of").cast("long")
+    # The rejected records of a batch share one window before all times.
+    time = F.when(valid, F.col("event_time")).otherwise(F.timestamp_seconds(F.lit(0)))
+    return (
+        df.withColumn("_time", time)
+        .groupBy("batch_id", F.window("_time", cfg.window).alias("window"))
+        .agg(
+            F.count_if(valid).alias("valid_count"),
+            F.count_if(~valid).alias("dlq_count"),
+            F.sum(F.when(valid, F.col("amount"))).alias("window_total_amount"),
+            F.min(as_of).alias("oldest_as_of"),
+            F.max(as_of).alias("newest_as_of"),
+            F.max(F.when(valid, F.col("_time").cast("long"))).alias("newest_event"),
+        )
+        .select(
+            "batch_id", *_bounds(), "valid_count", "dlq_count", "window_total_amount",
+            "oldest_as_of", "newest_as_of", "newest_event",
+        )
+    )
+
+
 def with_average(parts: DataFrame) -> DataFrame:
     return parts.withColumn(
         "window_avg_amount", F.col("window_total_amount") / F.col("valid_count")
@@ -40,7 +63,7 @@ def tumbling(valid: DataFrame, cfg: PipelineConfig, by: Sequence[str] = ()) -> D
 
 def merge_parts(parts: DataFrame) -> DataFrame:
     """True result per window from the parts of all micro-batches."""
-    merged = parts.groupBy("window_start", "window_end").agg(
+    merged = parts.filter("valid_count > 0").groupBy("window_start", "window_end").agg(
         F.sum("valid_count").alias("valid_count"),
         F.sum("window_total_amount").alias("window_total_amount"),
     )

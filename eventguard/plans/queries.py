@@ -11,7 +11,8 @@ from eventguard.functions.decode import decode, event_time
 from eventguard.operators.classify import classify
 from eventguard.operators.duplicates import drop_repeats, rank_in_batch
 from eventguard.operators.metrics import (
-    batch_metrics, counts_and_rate, latest, reason_counts, running_totals, topic_counters,
+    batch_metrics, counts_and_rate, latest, merge_batch_metrics, reason_counts, running_totals,
+    topic_counters,
 )
 from eventguard.operators.route import dlq_only, messages, tag_topics, valid_only
 from eventguard.operators.rules import REPEAT_ACROSS, first_reason, rules_of
@@ -155,11 +156,11 @@ def stream_route(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merge_parts(run_stream(spark, sf_dir).windows())
+    return merge_parts(run_stream(spark, sf_dir).parts())
 
 
 def stream_running_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return running_totals(run_stream(spark, sf_dir).metrics())
+    return running_totals(merge_batch_metrics(run_stream(spark, sf_dir).parts()))
 
 
 def stream_window_append(spark: SparkSession, sf_dir: str) -> DataFrame:

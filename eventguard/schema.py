@@ -24,21 +24,18 @@ LEDGER = T.StructType([
     T.StructField("event_time", T.TimestampType()),
 ])
 
-# One partial result per micro-batch, batch and minute.
-WINDOW_PART = T.StructType([
+# Parts of all results of a micro-batch: per batch, one row for each minute with accepted
+# records and one for the rejected records. Times are whole epoch seconds.
+PARTS = T.StructType([
     T.StructField("batch_id", T.LongType()),
     T.StructField("window_start", T.StringType()),
     T.StructField("window_end", T.StringType()),
     T.StructField("valid_count", T.LongType()),
+    T.StructField("dlq_count", T.LongType()),
     T.StructField("window_total_amount", T.DoubleType()),
-])
-
-BATCH_METRICS = T.StructType([
-    T.StructField("batch_id", T.LongType()),
-    T.StructField("batch_ts", T.StringType()),
-    T.StructField("batch_valid", T.LongType()),
-    T.StructField("batch_dlq", T.LongType()),
-    T.StructField("batch_amount", T.DoubleType()),
+    T.StructField("oldest_as_of", T.LongType()),
+    T.StructField("newest_as_of", T.LongType()),
+    T.StructField("newest_event", T.LongType()),
 ])
 
 # What a micro-batch hands to the next one: totals so far and the folders whose

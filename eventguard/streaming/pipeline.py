@@ -12,9 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 from eventguard.config import PipelineConfig
 from eventguard.functions.decode import decode
 from eventguard.operators.classify import classify
-from eventguard.operators.metrics import batch_metrics
-from eventguard.operators.route import messages, valid_only
-from eventguard.operators.windows import tumbling_parts, with_average
+from eventguard.operators.route import messages
+from eventguard.operators.windows import merge_parts, result_parts
 from eventguard.schema import PAYLOAD
 from eventguard.streaming.tables import State, StreamTables
 
@@ -72,16 +71,15 @@ class Pipeline:
     def _classify(
         self, prepared: DataFrame, tables: StreamTables, epoch: int, ledger: DataFrame | None
     ) -> dict:
-        classified = classify(prepared, self.cfg, ledger)
-        tables.write_records(classified, epoch)
-        seconds = F.col("as_of").cast("long")
-        valid = F.col("is_valid")
-        return tables.records(epoch).agg(
-            F.count_if(valid).alias("valid"),
-            F.count_if(~valid).alias("dlq"),
-            F.coalesce(F.sum(F.when(valid, F.col("amount"))), F.lit(0.0)).alias("amount"),
-            F.min(seconds).alias("oldest_as_of"),
-            F.max(F.when(valid, F.col("event_time").cast("long"))).alias("newest_event"),
+        tables.write_records(classify(prepared, self.cfg, ledger), epoch)
+        tables.write_parts(result_parts(tables.records(epoch), self.cfg), epoch)
+        zero = F.lit(0)
+        return tables.parts(epoch).agg(
+            F.coalesce(F.sum("valid_count"), zero).alias("valid"),
+            F.coalesce(F.sum("dlq_count"), zero).alias("dlq"),
+            F.coalesce(F.sum("window_total_amount"), zero).alias("amount"),
+            F.min("oldest_as_of").alias("oldest_as_of"),
+            F.max("newest_event").alias("newest_event"),
         ).first().asDict()
 
     def _summarise(
@@ -91,8 +89,6 @@ class Pipeline:
         if summary["valid"] + summary["dlq"] == 0:
             return state  # nothing arrived: no outputs, the state is handed on
         records = tables.records(epoch)
-        tables.write_windows(tumbling_parts(valid_only(records), cfg, ["batch_id"]), epoch)
-        tables.write_metrics(batch_metrics(records), epoch)
         live, expired = tables.next_live(
             state, epoch, summary["newest_event"], summary["oldest_as_of"], cfg
         )
@@ -116,8 +112,7 @@ class Pipeline:
         self, tables: StreamTables, records: DataFrame, after: State, epoch: int, summary: dict
     ) -> None:
         """Windows, metrics and a preview of 20 records on the console."""
-        parts = tumbling_parts(valid_only(records), self.cfg)
-        with_average(parts).show(truncate=False)
+        merge_parts(tables.parts(epoch)).show(truncate=False)
         clock = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S UTC")
         tables.spark.createDataFrame(
             [(clock, after.running_total, epoch, summary["valid"], summary["dlq"],

@@ -4,8 +4,7 @@ A micro-batch overwrites only its own folders and writes its state last, so a re
 replayed micro-batch leaves the same tables. Folders below the base:
 
     records/epoch=N/is_valid=B   classified records
-    windows/epoch=N              window parts
-    metrics/epoch=N              counts and amounts per batch
+    parts/epoch=N                parts of windows, batch metrics and totals
     ledger/epoch=N               merged accepted keys, now and then
     state/epoch=N                totals and live key folders handed to the next one
 """
@@ -18,7 +17,7 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from eventguard.config import PipelineConfig
-from eventguard.schema import BATCH_METRICS, LEDGER, PAYLOAD, STATE, WINDOW_PART
+from eventguard.schema import LEDGER, PARTS, PAYLOAD, STATE
 
 
 @dataclass(frozen=True)
@@ -52,21 +51,15 @@ class StreamTables:
     def write_records(self, df: DataFrame, epoch: int) -> None:
         self._write(df, "records", epoch, ["is_valid"])
 
-    def write_windows(self, df: DataFrame, epoch: int) -> None:
-        self._write(df, "windows", epoch)
-
-    def write_metrics(self, df: DataFrame, epoch: int) -> None:
-        self._write(df, "metrics", epoch)
+    def write_parts(self, df: DataFrame, epoch: int) -> None:
+        self._write(df, "parts", epoch)
 
     def records(self, epoch: int | None = None) -> DataFrame:
         reader = self.spark.read.schema(self.record_schema)
         return reader.option("basePath", self.path("records")).parquet(self.path("records", epoch))
 
-    def windows(self) -> DataFrame:
-        return self.spark.read.schema(WINDOW_PART).parquet(self.path("windows"))
-
-    def metrics(self) -> DataFrame:
-        return self.spark.read.schema(BATCH_METRICS).parquet(self.path("metrics"))
+    def parts(self, epoch: int | None = None) -> DataFrame:
+        return self.spark.read.schema(PARTS).parquet(self.path("parts", epoch))
 
     def load_state(self, epoch: int) -> State:
         """State after micro-batch `epoch`; the start state before the first one."""

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventguard import PipelineConfig, work_dir
-from eventguard.operators.metrics import running_totals
+from eventguard.operators.metrics import merge_batch_metrics, running_totals
 from eventguard.operators.windows import merge_parts
 from eventguard.plans.fixture import FIELDS
 from eventguard.schema import PAYLOAD
@@ -41,7 +41,7 @@ def reasons(tables):
 def snapshot(tables):
     return [
         sorted(map(repr, frame.collect()))
-        for frame in (tables.records(), tables.windows(), tables.metrics())
+        for frame in (tables.records(), tables.parts())
     ]
 
 
@@ -59,7 +59,7 @@ def test_micro_batches(spark, hot_rows):
     expected = verdicts(rows)
     assert reasons(tables) == expected
     valid = [r for r in rows if expected[r[0]] is None]
-    last = running_totals(tables.metrics()).orderBy("batch_id").collect()[-1]
+    last = running_totals(merge_batch_metrics(tables.parts())).orderBy("batch_id").collect()[-1]
     assert last["cum_valid_count"] == len(valid)
     assert last["cum_dlq_count"] == len(rows) - len(valid)
     assert last["running_total"] == sum(r[3] for r in valid)
@@ -67,7 +67,7 @@ def test_micro_batches(spark, hot_rows):
     assert (state.cum_valid, state.cum_dlq, state.running_total) == (
         last["cum_valid_count"], last["cum_dlq_count"], last["running_total"],
     )
-    totals = merge_parts(tables.windows()).agg(F.sum("valid_count"), F.sum("window_total_amount"))
+    totals = merge_parts(tables.parts()).agg(F.sum("valid_count"), F.sum("window_total_amount"))
     assert tuple(totals.first()) == (len(valid), last["running_total"])
 
 
@@ -88,7 +88,7 @@ def test_empty_batch_hands_state_on(spark):
     pipeline.process_batch(envelope(spark, rows[1:]), 2)
     tables = pipeline.tables(envelope(spark, []))
     assert reasons(tables) == verdicts(rows)
-    assert [r["batch_id"] for r in tables.metrics().orderBy("batch_id").collect()] == [0, 2]
+    assert [r["batch_id"] for r in merge_batch_metrics(tables.parts()).orderBy("batch_id").collect()] == [0, 2]
 
 
 def test_keys_expire_and_far_future_keys_are_merged(spark):
