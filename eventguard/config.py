@@ -38,10 +38,9 @@ class PipelineConfig:
     # the order of the batches.
     arrival: tuple[str, ...] = ("partition", "offset")
 
-    # A key with at least this many rows in a frame is split over `hot_slots` tasks.
+    # A key with at least this many rows in a frame has its rows spread over all tasks.
     # None switches the search for such keys off.
     hot_rows: int | None = 1_000_000
-    hot_slots: int = 512
     # Items tracked by the frequent-key sketch, hence the most keys treated as hot.
     sketch_items: int = 10_000
     # Longest run of arrivals ranked inside one task.

@@ -124,16 +124,15 @@ def mark_duplicates(
     columns = df.columns
     df = df.withColumn("_arrival", arrival(cfg))
     hot = find_hot(df, cfg, ledger)
-    slot = F.pmod(F.xxhash64("_arrival"), F.lit(cfg.hot_slots))
-    spread = F.when(~keyed(), F.concat(F.lit(_MARK), F.xxhash64("_arrival").cast("string")))
+    slot = F.xxhash64("_arrival")
+    spread = F.when(~keyed(), F.concat(F.lit(_MARK), slot.cast("string")))
     if hot is not None:
         # Both tables hold at most sketch_items keys.
         df = df.join(F.broadcast(hot.keys), KEY, "left")
         if hot.groups is not None:
             df = df.join(F.broadcast(hot.groups), KEY + cfg.batch_cols, "left")
             # A batch in which the key is not hot stays together, so its window is exact.
-            by_batch = F.pmod(F.xxhash64(*cfg.batch_cols), F.lit(cfg.hot_slots))
-            slot = F.when(F.col("_first").isNull(), by_batch).otherwise(slot)
+            slot = F.when(F.col("_first").isNull(), F.xxhash64(*cfg.batch_cols)).otherwise(slot)
         spread = spread.when(
             F.col("_hot"), F.concat("timestamp", F.lit(_MARK), slot.cast("string"))
         )

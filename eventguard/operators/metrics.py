@@ -73,5 +73,5 @@ def topic_counters(tagged: DataFrame) -> DataFrame:
 
 
 def latest(df: DataFrame, cfg: PipelineConfig, n: int = 50) -> DataFrame:
-    """The feed: last `n` records by arrival, newest first."""
-    return df.orderBy(*[F.desc(name) for name in cfg.arrival]).limit(n)
+    """The feed: last `n` records, newest first."""
+    return df.orderBy(*[F.desc(name) for name in ("as_of", *cfg.arrival)]).limit(n)

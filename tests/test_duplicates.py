@@ -59,9 +59,9 @@ def check(spark, rows, cfg, ledger=None, expected=None):
 @pytest.mark.parametrize("batches", [1, 6, 200])
 def test_skewed_batches(spark, batches, hot_rows):
     rows = skewed(1200, batches, seed=batches)
-    check(spark, rows, replace(BATCHES, hot_rows=hot_rows, hot_slots=16))
+    check(spark, rows, replace(BATCHES, hot_rows=hot_rows))
     if batches == 1:
-        check(spark, rows, replace(ONE_BATCH, hot_rows=hot_rows, hot_slots=16))
+        check(spark, rows, replace(ONE_BATCH, hot_rows=hot_rows))
 
 
 @pytest.mark.parametrize("hot_rows", [None, 200, 2])
@@ -76,7 +76,7 @@ def test_ledger(spark, batches, hot_rows):
     ledger = spark.createDataFrame(accepted, "user_id string, timestamp string")
     cfg = BATCHES if batches > 1 else ONE_BATCH
     check(
-        spark, rest, replace(cfg, hot_rows=hot_rows, hot_slots=16), ledger,
+        spark, rest, replace(cfg, hot_rows=hot_rows), ledger,
         {r[0]: expected[r[0]] for r in rest},
     )
     assert rules.REPEAT_ACROSS in {expected[r[0]] for r in rest}
@@ -89,7 +89,7 @@ def test_arrival_of_several_columns(spark):
         "partition": F.expr("cast(n div 200 as int)"), "offset": F.col("n") % 200,
     })
     for hot_rows in (None, 2):
-        out = classify(df, replace(cfg, hot_rows=hot_rows, hot_slots=16))
+        out = classify(df, replace(cfg, hot_rows=hot_rows))
         assert {r["n"]: r["error_reason"] for r in out.collect()} == verdicts(rows)
 
 

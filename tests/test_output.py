@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from eventguard import PipelineConfig
 from eventguard.functions import decode, encode, feed_item, pass_rate, rupiah
 from eventguard.operators.metrics import latest, side, topic_counters
-from eventguard.operators.route import messages
+from eventguard.operators.route import dlq_only, messages, tag_topics, union_topics, valid_only
 from eventguard.operators.windows import merge_parts, running_sums, tumbling, tumbling_parts
 from eventguard.schema import PAYLOAD
 from eventguard.sources import kafka
@@ -42,6 +42,15 @@ def test_payload_text(spark):
     assert encode(df.filter("n = 2"), "UNKNOWN").first()["key"] == "UNKNOWN"
 
 
+def test_tagged_topics(spark):
+    df = records(spark, GOOD, BAD, BLANK)
+    tagged = tag_topics(df, CFG).select("n", "topic")
+    stored_apart = union_topics(valid_only(df), dlq_only(df), CFG).select("n", "topic")
+    assert sorted(map(tuple, tagged.collect())) == sorted(map(tuple, stored_apart.collect())) == [
+        (1, "transactions_valid"), (2, "transactions_dlq"), (3, "transactions_dlq"),
+    ]
+
+
 def test_round_trip(spark):
     df = records(spark, GOOD, BAD, BLANK)
     back = decode(encode(df, "X", keep=("n",)), schema=PAYLOAD).orderBy("n")
@@ -77,7 +86,8 @@ def test_feed(spark):
         ("UNKNOWN", "Rp 100.000.000", "N/A", "N/A"),
         (" ", "Rp 0", "N/A", "N/A"),
     ]
-    assert [r["n"] for r in latest(df, CFG, 2).collect()] == [3, 2]
+    timed = df.withColumn("as_of", F.timestamp_seconds(F.when(F.col("n") == 1, 9).otherwise(5)))
+    assert [r["n"] for r in latest(timed, CFG, 2).collect()] == [1, 3]
 
 
 def test_side_and_counters(spark):

@@ -53,7 +53,7 @@ def record(n, batch, user, text, as_of, amount=5.0, source="web"):
 def test_micro_batches(spark, hot_rows):
     rows = skewed(600, 3, seed=21)
     pipeline = Pipeline(
-        replace(CFG, hot_rows=hot_rows, hot_slots=8, cache_input=True), work_dir(spark, "t")
+        replace(CFG, hot_rows=hot_rows, cache_input=True), work_dir(spark, "t")
     )
     tables = feed(spark, pipeline, rows)
     expected = verdicts(rows)
