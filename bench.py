@@ -74,7 +74,6 @@ def main() -> None:
             "batch_sec_median": round(statistics.median(batches), 3),
             "batch_sec_max": round(max(batches), 3),
             "ledger_folders": [len(state.live) for state in states],
-            "ledger_rows": [tables.live_keys(state).count() if state.live else 0 for state in states],
         },
     }))
     spark.stop()

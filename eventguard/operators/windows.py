@@ -40,13 +40,12 @@ def result_parts(df: DataFrame, cfg: PipelineConfig) -> DataFrame:
             F.count_if(valid).alias("valid_count"),
             F.count_if(~valid).alias("dlq_count"),
             F.sum(F.when(valid, F.col("amount"))).alias("window_total_amount"),
-            F.min(as_of).alias("oldest_as_of"),
             F.max(as_of).alias("newest_as_of"),
             F.max(F.when(valid, F.col("_time").cast("long"))).alias("newest_event"),
         )
         .select(
             "batch_id", *_bounds(), "valid_count", "dlq_count", "window_total_amount",
-            "oldest_as_of", "newest_as_of", "newest_event",
+            "newest_as_of", "newest_event",
         )
     )
 

@@ -33,7 +33,6 @@ PARTS = T.StructType([
     T.StructField("valid_count", T.LongType()),
     T.StructField("dlq_count", T.LongType()),
     T.StructField("window_total_amount", T.DoubleType()),
-    T.StructField("oldest_as_of", T.LongType()),
     T.StructField("newest_as_of", T.LongType()),
     T.StructField("newest_event", T.LongType()),
 ])

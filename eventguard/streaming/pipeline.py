@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from datetime import datetime, timezone
 
@@ -47,27 +48,33 @@ class Pipeline:
         return StreamTables(df.sparkSession, self.base, carried)
 
     def process_batch(self, df: DataFrame, epoch: int) -> None:
-        """Every step reads what the step before stored; only one row reaches the driver."""
+        """Every step reads what the step before stored; only single rows reach the driver."""
         cfg, tables = self.cfg, self.tables(df)
         state = tables.load_state(epoch - 1)
-        prepared = prepare(df, cfg, epoch, datetime.now(timezone.utc))
+        clock = datetime.now(timezone.utc)
+        prepared = prepare(df, cfg, epoch, clock)
         if cfg.cache_input:
             prepared.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            summary = self._classify(prepared, tables, epoch, tables.live_keys(state))
-            expired = state.expired_before
-            if (
-                expired is not None
-                and summary["oldest_as_of"] is not None
-                and summary["oldest_as_of"] - cfg.lateness_seconds <= expired
-            ):
-                # Time stepped back further than the slack: look at all keys.
-                summary = self._classify(prepared, tables, epoch, tables.all_keys(epoch))
+            ledger = None
+            if state.live or state.expired_before is not None:
+                oldest = self._oldest(prepared, clock)
+                ledger = tables.ledger(state, epoch, oldest, cfg)
+            summary = self._classify(prepared, tables, epoch, ledger)
         finally:
             if cfg.cache_input:
                 prepared.unpersist()
         tables.save_state(self._summarise(tables, state, epoch, summary), epoch)
 
+    def _oldest(self, prepared: DataFrame, clock: datetime) -> int:
+        """Earliest processing time in the micro-batch, in whole seconds."""
+        if self.cfg.as_of is None:
+            return math.floor(clock.timestamp())
+        # A record without processing time is never late, so it may repeat any key.
+        seconds = F.coalesce(F.col("as_of").cast("long"), F.lit(-(10**11)))
+        found = prepared.agg(F.min(seconds)).first()[0]
+        return math.floor(clock.timestamp()) if found is None else found
+
     def _classify(
         self, prepared: DataFrame, tables: StreamTables, epoch: int, ledger: DataFrame | None
     ) -> dict:
@@ -78,7 +85,7 @@ class Pipeline:
             F.coalesce(F.sum("valid_count"), zero).alias("valid"),
             F.coalesce(F.sum("dlq_count"), zero).alias("dlq"),
             F.coalesce(F.sum("window_total_amount"), zero).alias("amount"),
-            F.min("oldest_as_of").alias("oldest_as_of"),
+            F.max("newest_as_of").alias("newest_as_of"),
             F.max("newest_event").alias("newest_event"),
         ).first().asDict()
 
@@ -90,7 +97,7 @@ class Pipeline:
             return state  # nothing arrived: no outputs, the state is handed on
         records = tables.records(epoch)
         live, expired = tables.next_live(
-            state, epoch, summary["newest_event"], summary["oldest_as_of"], cfg
+            state, epoch, summary["newest_event"], summary["newest_as_of"], cfg
         )
         after = State(
             cum_valid=state.cum_valid + summary["valid"],

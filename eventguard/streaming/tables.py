@@ -12,7 +12,7 @@ replayed micro-batch leaves the same tables. Folders below the base:
 from __future__ import annotations
 
 import json
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -75,45 +75,49 @@ class StreamTables:
         row = self.spark.range(0, 1, 1, 1).select(F.from_json(text, STATE).alias("state"))
         self._write(row.select("state.*"), "state", epoch)
 
-    def live_keys(self, state: State) -> DataFrame | None:
-        """Accepted keys that the next micro-batch can repeat."""
-        if not state.live:
-            return None
+    def _live(self, state: State) -> DataFrame:
         folders = [f"{self.base}/{folder}" for folder, _ in state.live]
         return self.spark.read.schema(LEDGER).parquet(*folders)
 
-    def all_keys(self, epoch: int) -> DataFrame | None:
-        """Every key accepted before `epoch`, for times that stepped back past the slack."""
-        if epoch == 0:
+    def ledger(
+        self, state: State, epoch: int, oldest: int, cfg: PipelineConfig
+    ) -> DataFrame | None:
+        """Keys accepted before `epoch` that a record of it may repeat.
+
+        A record that gets as far as this test is on time, so with `oldest` as the earliest
+        processing time of the micro-batch no older key can match.
+        """
+        since = oldest - cfg.lateness_seconds
+        if state.expired_before is not None and since < state.expired_before:
+            # Time stepped back further than the slack: look at the records of all epochs.
+            keys = self.records().filter(F.col("is_valid") & (F.col("epoch") < epoch))
+        elif state.live:
+            keys = self._live(state)
+        else:
             return None
-        return self.records().filter(F.col("is_valid") & (F.col("epoch") < epoch)).select(
-            *LEDGER.fieldNames()
-        )
+        in_time = F.col("event_time") >= F.timestamp_seconds(F.lit(since))
+        return keys.filter(in_time).select(*LEDGER.fieldNames())
 
     def next_live(
-        self, state: State, epoch: int, newest: int | None, oldest_as_of: int | None,
+        self, state: State, epoch: int, newest_event: int | None, newest_as_of: int | None,
         cfg: PipelineConfig,
     ) -> tuple[list[tuple[str, int]], int | None]:
         """Key folders kept after `epoch` and the time before which keys were given up.
 
-        A key only matters while its event time is on time, so a folder can go once its
-        newest event is late by more than the slack. Events far ahead of time would keep
-        many folders; these are merged into one that holds only the keys still needed.
+        A folder can go once its newest event is late by more than the slack. Events far
+        ahead of time would keep many folders; these are merged into one that holds only
+        the keys still needed.
         """
-        entries = list(state.live)
-        if newest is not None:
-            entries.append((f"records/epoch={epoch}/is_valid=true", newest))
-        if oldest_as_of is None:  # no record had a processing time, so none can be late
-            return entries, state.expired_before
-        horizon = oldest_as_of - cfg.lateness_seconds - cfg.ledger_slack_seconds
-        live = [entry for entry in entries if entry[1] >= horizon]
-        gone = [entry[1] for entry in entries if entry[1] < horizon]
-        expired = max([t for t in [state.expired_before, *gone] if t is not None], default=None)
+        live, expired = list(state.live), state.expired_before
+        if newest_event is not None:
+            live.append((f"records/epoch={epoch}/is_valid=true", newest_event))
+        if newest_as_of is None:  # no record had a processing time
+            return live, expired
+        horizon = newest_as_of - cfg.lateness_seconds - cfg.ledger_slack_seconds
+        expired = horizon if expired is None else max(expired, horizon)
+        live = [entry for entry in live if entry[1] >= expired]
         if len(live) > cfg.ledger_compact_after:
-            folders = [f"{self.base}/{folder}" for folder, _ in live]
-            keys = self.spark.read.schema(LEDGER).parquet(*folders)
-            kept = keys.filter(F.col("event_time") >= F.timestamp_seconds(F.lit(horizon)))
-            self._write(kept, "ledger", epoch)
-            live = [(f"ledger/epoch={epoch}", max(t for _, t in live))]
-            expired = horizon if expired is None else max(expired, horizon)
+            needed = F.col("event_time") >= F.timestamp_seconds(F.lit(expired))
+            self._write(self._live(replace(state, live=live)).filter(needed), "ledger", epoch)
+            live = [(f"ledger/epoch={epoch}", max(newest for _, newest in live))]
         return live, expired

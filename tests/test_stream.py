@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from eventguard import PipelineConfig, work_dir
 from eventguard.operators.metrics import merge_batch_metrics, running_totals
+from eventguard.operators.rules import REPEAT_ACROSS
 from eventguard.operators.windows import merge_parts
 from eventguard.plans.fixture import FIELDS
 from eventguard.schema import PAYLOAD
@@ -124,6 +125,19 @@ def test_clock_that_steps_back(spark):
     assert reasons(tables) == verdicts(rows)
 
 
+def test_record_without_processing_time(spark):
+    """Such a record is never late, so it can repeat a key of any age."""
+    cfg = replace(CFG, ledger_slack_seconds=0)
+    rows = [
+        record(0, 0, "A", stamp(NOW), NOW),
+        record(1, 1, "B", stamp(NOW + 5000), NOW + 5000),
+        record(2, 2, "A", stamp(NOW), None),
+        record(3, 2, "C", stamp(NOW), None),
+    ]
+    found = reasons(feed(spark, Pipeline(cfg, work_dir(spark, "t")), rows))
+    assert [found[n] for n in range(4)] == [None, None, REPEAT_ACROSS, None]
+
+
 def test_processing_time_of_the_batch(spark):
     """Without a stored time, old test data is late by the clock and batches are epochs."""
     rows = [record(0, 0, "A", stamp(NOW), NOW)]
