@@ -10,18 +10,21 @@ from eventguard.operators.duplicates import mark_duplicates
 from eventguard.operators.rules import default_rules, first_reason
 
 
-def classify(df: DataFrame, cfg: PipelineConfig, ledger: DataFrame | None = None) -> DataFrame:
+def classify(
+    df: DataFrame, cfg: PipelineConfig, ledger: DataFrame | None = None, rows: int | None = None
+) -> DataFrame:
     """Adds event_time, error_reason and is_valid to decoded records.
 
     Needs the transaction fields, `as_of`, the arrival columns and, if configured, the
-    batch column. `ledger` holds the keys accepted before this frame.
+    batch column. `ledger` holds the keys accepted before this frame. `rows`, if known,
+    spares a frame with fewer rows than a hot key has the search for such keys.
     """
     columns = [c for c in df.columns if c != "event_time"]
     rules = default_rules(cfg)
     row_rules = [rule for rule in rules if rule.per_record]
     df = df.withColumn("event_time", event_time(F.col("timestamp"), cfg))
     df = df.withColumn("clean", first_reason(row_rules).isNull())
-    df = mark_duplicates(df, cfg, ledger)
+    df = mark_duplicates(df, cfg, ledger, rows)
     df = df.withColumn("error_reason", first_reason(rules))
     return df.select(
         *columns, "event_time", "error_reason", F.col("error_reason").isNull().alias("is_valid")

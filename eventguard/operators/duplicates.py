@@ -70,14 +70,16 @@ def _hash_table(df: DataFrame, hashes: list[int]) -> DataFrame:
     return F.broadcast(rows)  # at most sketch_items rows
 
 
-def find_hot(df: DataFrame, cfg: PipelineConfig, ledger: DataFrame | None) -> HotKeys | None:
+def find_hot(
+    df: DataFrame, cfg: PipelineConfig, ledger: DataFrame | None, rows: int | None
+) -> HotKeys | None:
     """Verdicts for the hot keys of a frame with `clean` and `_arrival`, or None.
 
     `keys`: the arrival of the one record of the key that may be accepted (`_winner`).
     `groups`: for batches in which the key is hot as well, the arrival of its first record
     (`_first`). A frame that is one batch has it in `keys`.
     """
-    if cfg.hot_rows is None:
+    if cfg.hot_rows is None or (rows is not None and rows < cfg.hot_rows):
         return None
     group = KEY + cfg.batch_cols
     names = {"key": _hash(KEY), "group": _hash(group)} if cfg.batch_cols else {"key": _hash(KEY)}
@@ -113,7 +115,7 @@ def find_hot(df: DataFrame, cfg: PipelineConfig, ledger: DataFrame | None) -> Ho
 
 
 def mark_duplicates(
-    df: DataFrame, cfg: PipelineConfig, ledger: DataFrame | None = None
+    df: DataFrame, cfg: PipelineConfig, ledger: DataFrame | None = None, rows: int | None = None
 ) -> DataFrame:
     """Adds `repeat_in_batch` and `accepted_before` to a frame with `clean`.
 
@@ -123,7 +125,7 @@ def mark_duplicates(
     """
     columns = df.columns
     df = df.withColumn("_arrival", arrival(cfg))
-    hot = find_hot(df, cfg, ledger)
+    hot = find_hot(df, cfg, ledger, rows)
     slot = F.xxhash64("_arrival")
     spread = F.when(~keyed(), F.concat(F.lit(_MARK), slot.cast("string")))
     if hot is not None:

@@ -50,8 +50,13 @@ def _timed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.withColumn("event_time", event_time(F.col("timestamp"), CONFIG))
 
 
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
+
+
 def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classify(transactions(spark, sf_dir), CONFIG)
+    # The count comes from the file footers.
+    return classify(transactions(spark, sf_dir), CONFIG, rows=_events(spark, sf_dir).count())
 
 
 def decode_json(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,7 +145,7 @@ def run_stream(spark: SparkSession, sf_dir: str) -> StreamTables:
     base = work_dir(spark, "stream")
     pipeline = Pipeline(CONFIG, base)
     envelope = _envelope(spark, sf_dir)
-    last = spark.read.parquet(f"{sf_dir}/events.parquet").agg(F.max("event_id")).first()[0]
+    last = _events(spark, sf_dir).agg(F.max("event_id")).first()[0]
     batches = last // BATCH_ROWS + 1
     edges = [batches * wave // STREAM_WAVES * BATCH_ROWS for wave in range(STREAM_WAVES + 1)]
     for low, high in zip(edges, edges[1:]):

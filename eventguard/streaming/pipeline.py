@@ -56,46 +56,36 @@ class Pipeline:
         if cfg.cache_input:
             prepared.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            ledger = None
-            if state.live or state.expired_before is not None:
-                oldest = self._oldest(prepared, clock)
+            rows, oldest = self._peek(prepared, clock)
+            if rows:
                 ledger = tables.ledger(state, epoch, oldest, cfg)
-            summary = self._classify(prepared, tables, epoch, ledger)
+                tables.write_records(classify(prepared, cfg, ledger, rows), epoch)
         finally:
             if cfg.cache_input:
                 prepared.unpersist()
-        tables.save_state(self._summarise(tables, state, epoch, summary), epoch)
+        if rows:
+            state = self._summarise(tables, state, epoch)
+        tables.save_state(state, epoch)  # an empty micro-batch only hands the state on
 
-    def _oldest(self, prepared: DataFrame, clock: datetime) -> int:
-        """Earliest processing time in the micro-batch, in whole seconds."""
+    def _peek(self, prepared: DataFrame, clock: datetime) -> tuple[int, int]:
+        """Number of records and their earliest processing time in whole seconds."""
         if self.cfg.as_of is None:
-            return math.floor(clock.timestamp())
+            return prepared.count(), math.floor(clock.timestamp())
         # A record without processing time is never late, so it may repeat any key.
         seconds = F.coalesce(F.col("as_of").cast("long"), F.lit(-(10**11)))
-        found = prepared.agg(F.min(seconds)).first()[0]
-        return math.floor(clock.timestamp()) if found is None else found
-
-    def _classify(
-        self, prepared: DataFrame, tables: StreamTables, epoch: int, ledger: DataFrame | None
-    ) -> dict:
-        tables.write_records(classify(prepared, self.cfg, ledger), epoch)
-        tables.write_parts(result_parts(tables.records(epoch), self.cfg), epoch)
-        zero = F.lit(0)
-        return tables.parts(epoch).agg(
-            F.coalesce(F.sum("valid_count"), zero).alias("valid"),
-            F.coalesce(F.sum("dlq_count"), zero).alias("dlq"),
-            F.coalesce(F.sum("window_total_amount"), zero).alias("amount"),
+        return tuple(prepared.agg(F.count("*"), F.min(seconds)).first())
+
+    def _summarise(self, tables: StreamTables, state: State, epoch: int) -> State:
+        """Stores the result parts, publishes the messages and returns the next state."""
+        cfg, records = self.cfg, tables.records(epoch)
+        tables.write_parts(result_parts(records, cfg), epoch)
+        summary = tables.parts(epoch).agg(
+            F.sum("valid_count").alias("valid"),
+            F.sum("dlq_count").alias("dlq"),
+            F.coalesce(F.sum("window_total_amount"), F.lit(0.0)).alias("amount"),
             F.max("newest_as_of").alias("newest_as_of"),
             F.max("newest_event").alias("newest_event"),
-        ).first().asDict()
-
-    def _summarise(
-        self, tables: StreamTables, state: State, epoch: int, summary: dict
-    ) -> State:
-        cfg = self.cfg
-        if summary["valid"] + summary["dlq"] == 0:
-            return state  # nothing arrived: no outputs, the state is handed on
-        records = tables.records(epoch)
+        ).first()
         live, expired = tables.next_live(
             state, epoch, summary["newest_event"], summary["newest_as_of"], cfg
         )
