@@ -25,7 +25,5 @@ def classify(
     df = df.withColumn("event_time", event_time(F.col("timestamp"), cfg))
     df = df.withColumn("clean", first_reason(row_rules).isNull())
     df = mark_duplicates(df, cfg, ledger, rows)
-    df = df.withColumn("error_reason", first_reason(rules))
-    return df.select(
-        *columns, "event_time", "error_reason", F.col("error_reason").isNull().alias("is_valid")
-    )
+    df = df.select(*columns, "event_time", first_reason(rules).alias("error_reason"))
+    return df.withColumn("is_valid", F.col("error_reason").isNull())

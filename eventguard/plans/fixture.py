@@ -16,6 +16,8 @@ START = 1_765_702_800  # 2025-12-14 09:00:00 UTC
 BATCH_ROWS = 250
 COPY_DISTANCE = 50
 FIELDS = ["user_id", "amount", "timestamp", "source"]
+# The columns used of the `events` table; declared, so that no job reads a schema.
+EVENTS = "event_id long, user_id long, event_type string, value double"
 
 CONFIG = PipelineConfig(arrival=("event_id",), batch_col="batch_id", as_of="as_of")
 
@@ -24,11 +26,11 @@ def _as_text(seconds: Column) -> Column:
     return F.date_format(F.timestamp_seconds(seconds), CONFIG.timestamp_pattern)
 
 
-def _shaped(events: DataFrame) -> DataFrame:
+def _shaped(table: DataFrame) -> DataFrame:
     b, event_type = F.col("b"), F.col("event_type")
     arrived = F.lit(START) + F.col("event_id")
     delay = (4 + F.pmod("event_id", F.lit(7))) * 60
-    return events.withColumn("b", F.pmod("event_id", F.lit(100))).select(
+    return table.withColumn("b", F.pmod("event_id", F.lit(100))).select(
         "event_id",
         "b",
         F.when(~b.isin(78, 79), F.concat(F.lit("U"), (10000 + F.col("user_id")).cast("string")))
@@ -51,13 +53,17 @@ def _shaped(events: DataFrame) -> DataFrame:
     )
 
 
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+
+
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """event_id, batch_id, the four transaction fields and as_of.
 
     Only the copies (8 in 100) and what they copy are shuffled.
     """
     use_utc(spark)
-    shaped = _shaped(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    shaped = _shaped(events(spark, sf_dir))
     b = F.col("b")
     own = shaped.filter(~b.between(92, 99))
     originals = shaped.filter(b.between(92 - COPY_DISTANCE, 99 - COPY_DISTANCE)).select(

@@ -17,7 +17,7 @@ from eventguard.operators.metrics import (
 from eventguard.operators.route import dlq_only, messages, tag_topics, valid_only
 from eventguard.operators.rules import REPEAT_ACROSS, first_reason, rules_of
 from eventguard.operators.windows import merge_parts, tumbling
-from eventguard.plans.fixture import BATCH_ROWS, CONFIG, FIELDS, transactions
+from eventguard.plans.fixture import BATCH_ROWS, CONFIG, FIELDS, events, transactions
 from eventguard.schema import PAYLOAD
 from eventguard.sources.files import file_stream
 from eventguard.streaming.native import window_stream
@@ -50,13 +50,9 @@ def _timed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.withColumn("event_time", event_time(F.col("timestamp"), CONFIG))
 
 
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
-
-
 def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The count comes from the file footers.
-    return classify(transactions(spark, sf_dir), CONFIG, rows=_events(spark, sf_dir).count())
+    return classify(transactions(spark, sf_dir), CONFIG, rows=events(spark, sf_dir).count())
 
 
 def decode_json(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,7 +141,7 @@ def run_stream(spark: SparkSession, sf_dir: str) -> StreamTables:
     base = work_dir(spark, "stream")
     pipeline = Pipeline(CONFIG, base)
     envelope = _envelope(spark, sf_dir)
-    last = _events(spark, sf_dir).agg(F.max("event_id")).first()[0]
+    last = events(spark, sf_dir).agg(F.max("event_id")).first()[0]
     batches = last // BATCH_ROWS + 1
     edges = [batches * wave // STREAM_WAVES * BATCH_ROWS for wave in range(STREAM_WAVES + 1)]
     for low, high in zip(edges, edges[1:]):
