@@ -4,20 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventguard.llm.common import table
+from eventguard.llm.common import held_out, table
+from eventguard.llm.langid import LangConfig, learn, predict_language
 from eventguard.llm.quality import score_quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", held_out(F.col("doc_id"), 4).alias("held_out"), "text", "lang"
+    )
+    cfg = LangConfig()
+    model = learn(docs.filter(~F.col("held_out")), "text", "lang", cfg)
+    return predict_language(docs, model, ["doc_id", "held_out"], cfg=cfg)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op6_language_id": op6_language_id,
         "op8_quality_rules": op8_quality_rules,
     }
 
