@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventguard.llm.common import held_out, table
+from eventguard.llm import lattice
 from eventguard.llm.langid import LangConfig, learn, predict_language
 from eventguard.llm.quality import score_quality
 
@@ -26,10 +27,20 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", held_out(F.col("doc_id"), 7).alias("held_out"), "text"
+    ).withColumn("learning", ~F.col("held_out"))
+    model = lattice.learn(docs, "text", "learning")
+    scored = lattice.score_texts(docs, model, ["doc_id", "held_out"])
+    return scored.withColumn("train_tokens", F.lit(model.tokens).cast("long"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op6_language_id": op6_language_id,
         "op8_quality_rules": op8_quality_rules,
+        "op9_lm_scoring": op9_lm_scoring,
     }
 
 
