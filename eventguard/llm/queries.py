@@ -8,12 +8,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventguard.llm.common import held_out, table
 from eventguard.llm import lattice
+from eventguard.llm.html import extract_text
 from eventguard.llm.langid import LangConfig, learn, predict_language
 from eventguard.llm.quality import score_quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"), ["page_id", "url"])
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", held_out(F.col("doc_id"), 4).alias("held_out"), "text", "lang"
@@ -38,6 +43,7 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_html_extraction": op2_html_extraction,
         "op6_language_id": op6_language_id,
         "op8_quality_rules": op8_quality_rules,
         "op9_lm_scoring": op9_lm_scoring,
