@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventguard.llm.common import held_out, table
 from eventguard.llm import lattice
+from eventguard.llm.codec import decode_ids, encode_texts
 from eventguard.llm.html import extract_text
 from eventguard.llm.langid import LangConfig, learn, predict_language
 from eventguard.llm.quality import score_quality
@@ -15,6 +16,13 @@ from eventguard.llm.quality import score_quality
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every text, and the checksum of the text decoded from them."""
+    encoded = encode_texts(table(spark, sf_dir, "documents"), ["doc_id"])
+    decoded = decode_ids(encoded, ["doc_id", "n_pieces", "ids"], name="decoded")
+    return decoded.select("doc_id", "n_pieces", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages"), ["page_id", "url"])
 
@@ -43,6 +51,7 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_sentencepiece": op1_sentencepiece,
         "op2_html_extraction": op2_html_extraction,
         "op6_language_id": op6_language_id,
         "op8_quality_rules": op8_quality_rules,
