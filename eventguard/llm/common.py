@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from eventguard.config import stored, work_dir
@@ -46,26 +47,25 @@ def utf8(text: Column) -> Column:
     return F.coalesce(text, F.lit("")).cast("binary")
 
 
-def batches_of(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    columns = zip(*rows) if rows else [[] for _ in schema]
-    return pa.record_batch(
-        [pa.array(list(c), type=f.type) for c, f in zip(columns, schema)], schema=schema
-    )
+def _bytes(column: pa.Array) -> list[bytes]:
+    return [b"" if v is None else v.encode() if isinstance(v, str) else v for v in column.to_pylist()]
 
 
 def in_chunks(
     texts: pa.RecordBatch, name: str, limit: int = 4 << 20
 ) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Pieces of a batch with about `limit` bytes of text each, one row at least."""
-    column = texts.column(name)
+    """Pieces of a batch with about `limit` bytes of text each, one row at least.
+
+    The texts come as bytes, empty for null.
+    """
     start, size = 0, 0
-    lengths = [len(v.as_buffer()) if v.is_valid else 0 for v in column]
+    lengths = pc.fill_null(pc.binary_length(texts.column(name)), 0).to_pylist()
     for i, n in enumerate(lengths):
         if i > start and size + n > limit:
             part = texts.slice(start, i - start)
-            yield part, [v or b"" for v in part.column(name).to_pylist()]
+            yield part, _bytes(part.column(name))
             start, size = i, 0
         size += n
     if start < len(lengths):
         part = texts.slice(start)
-        yield part, [v or b"" for v in part.column(name).to_pylist()]
+        yield part, _bytes(part.column(name))

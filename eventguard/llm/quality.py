@@ -26,7 +26,9 @@ MORE = ["n_clean", "n_letters", "n_upper", "n_marks", "n_lines"]
 class QualityConfig:
     shortest: int = 50
     most_repeated_pct: int = 50
+    # Most rounds of estimation; it ends sooner when the share of good texts moves less than this.
     rounds: int = 20
+    settled: float = 1e-6
     # What is believed before any text was seen, with the weight of this share of the texts:
     # how often a rule votes good, bad or not at all on texts of either class.
     prior_weight: float = 0.01
@@ -184,7 +186,10 @@ def fit(patterns: DataFrame, names: list[str], weight: str, cfg: QualityConfig)
                     for v, way in enumerate(WAYS)
                 })
         share = (size[GOOD] + prior / 2) / (found["all"] + prior)
+        settled = abs(share - model.share) < cfg.settled
         model = QualityModel(share, rates)
+        if settled:
+            break
     return model
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from eventguard.llm.common import held_out, table
 from eventguard.llm import lattice
 from eventguard.llm.codec import decode_ids, encode_texts
+from eventguard.llm.decontaminate import find_leaks
 from eventguard.llm.html import extract_text
 from eventguard.llm.langid import LangConfig, learn, predict_language
 from eventguard.llm.quality import score_quality
@@ -27,6 +28,12 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages"), ["page_id", "url"])
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"]
+    )
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", held_out(F.col("doc_id"), 4).alias("held_out"), "text", "lang"
@@ -53,6 +60,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
         "op2_html_extraction": op2_html_extraction,
+        "op4_decontamination": op4_decontamination,
         "op6_language_id": op6_language_id,
         "op8_quality_rules": op8_quality_rules,
         "op9_lm_scoring": op9_lm_scoring,
