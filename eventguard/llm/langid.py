@@ -22,7 +22,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from eventguard.llm.common import fresh, in_chunks, utf8
+from eventguard.llm.common import fresh, in_chunks, stored, utf8
 
 UNKNOWN = "und"
 
@@ -112,7 +112,8 @@ def learn(df: DataFrame, text: str, lang: str, cfg: LangConfig) -> dict[str, lis
     """
     known = df.select(F.col(lang).alias("lang"), F.col(text).alias("text")).dropna()
     share = (F.lit(float(cfg.sample_docs)) / F.col("n")).alias("share")
-    sizes = known.groupBy("lang").agg(F.count("*").alias("n")).select("lang", share)
+    # A small table with known size, so that Spark joins it without moving texts.
+    sizes = stored(known.groupBy("lang").agg(F.count("*").alias("n")).select("lang", share), "sizes")
     drawn = (F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)) < F.col("share")
     sample = known.join(sizes, "lang").filter(drawn).select("lang", utf8(F.col("text")).alias("text"))
 

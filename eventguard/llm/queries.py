@@ -12,6 +12,7 @@ from eventguard.llm.codec import decode_ids, encode_texts
 from eventguard.llm.decontaminate import find_leaks
 from eventguard.llm.html import extract_text
 from eventguard.llm.langid import LangConfig, learn, predict_language
+from eventguard.llm.linededup import find_repeated_lines
 from eventguard.llm.quality import score_quality
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +35,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_repeated_lines(table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", held_out(F.col("doc_id"), 4).alias("held_out"), "text", "lang"
@@ -61,6 +66,7 @@ def queries() -> dict[str, Query]:
         "op1_sentencepiece": op1_sentencepiece,
         "op2_html_extraction": op2_html_extraction,
         "op4_decontamination": op4_decontamination,
+        "op5_line_dedup": op5_line_dedup,
         "op6_language_id": op6_language_id,
         "op8_quality_rules": op8_quality_rules,
         "op9_lm_scoring": op9_lm_scoring,
