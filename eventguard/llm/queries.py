@@ -13,6 +13,7 @@ from eventguard.llm.decontaminate import find_leaks
 from eventguard.llm.html import extract_text
 from eventguard.llm.langid import LangConfig, learn, predict_language
 from eventguard.llm.linededup import find_repeated_lines
+from eventguard.llm.ngramjoin import JoinConfig, similar_groups
 from eventguard.llm.quality import score_quality
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +30,11 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages"), ["page_id", "url"])
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cfg = JoinConfig(ngram=3, similarity_pct=90)
+    return similar_groups(table(spark, sf_dir, "documents"), cfg=cfg)
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"]
@@ -65,6 +71,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
         "op2_html_extraction": op2_html_extraction,
+        "op3_ngram_join": op3_ngram_join,
         "op4_decontamination": op4_decontamination,
         "op5_line_dedup": op5_line_dedup,
         "op6_language_id": op6_language_id,
