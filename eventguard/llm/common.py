@@ -8,9 +8,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from eventguard.config import stored, work_dir
-
-__all__ = ["stored", "work_dir"]
+from eventguard.config import work_dir
 
 # The characters between words: blank, tab, line feed, vertical tab, form feed, return.
 SPACE = r"[\x20\x09-\x0D]"
@@ -20,6 +18,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a table in the shared folder, for results that are used several times."""
+    path = work_dir(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fresh(df: DataFrame, *wanted: str) -> list[str]:
     """Column names that the frame does not use, whatever columns it came with."""
     used = {name.lower() for name in df.columns}

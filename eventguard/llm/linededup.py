@@ -198,9 +198,9 @@ def candidate_links(lines: DataFrame, buckets: int, cfg: LineConfig) -> DataFram
         a, b = links(a, b)
         return pd.DataFrame({"a": a, "b": b})
 
-    sent = stored(
-        lines.filter(F.col("bands").isNotNull()).select("h", "bands")
-        .mapInArrow(spread, "bucket int, blob binary, a long, b long"), "bands",
+    # Cheap enough to be done twice, once for what stays in the task and once for the rest.
+    sent = lines.filter(F.col("bands").isNotNull()).select("h", "bands").mapInArrow(
+        spread, "bucket int, blob binary, a long, b long"
     )
     met = sent.filter("bucket IS NOT NULL").select("bucket", "blob").groupBy("bucket").applyInPandas(
         meet, "a long, b long"
@@ -225,7 +225,8 @@ def _verified(pairs: DataFrame, lines: DataFrame, docs: DataFrame, rid: str, tex
         F.col("wanted"), lambda w: F.struct(w["h"].alias("h"), F.get(ls, w["line"]).alias("text"))
     ))
     texts = stored(
-        docs.select(rid, text).join(wanted, rid).select(F.explode(cut).alias("l")).select("l.*"), "linetexts"
+        docs.select(rid, text).join(wanted, rid).select(F.explode(cut).alias("l")).select("l.*")
+        .dropDuplicates(["h"]), "linetexts",
     )
     both = pairs.join(texts.select(F.col("h").alias("a"), F.col("text").alias("ta")), "a").join(
         texts.select(F.col("h").alias("b"), F.col("text").alias("tb")), "b"
@@ -243,14 +244,15 @@ def _verified(pairs: DataFrame, lines: DataFrame, docs: DataFrame, rid: str, tex
 
 
 def repeated_lines(df: DataFrame, order: list[str], text: str, cfg: LineConfig) -> tuple[DataFrame, DataFrame, str]:
-    """The rows of df stored with a number of their own, and which of their lines repeat.
+    """The rows of df with a hash of order columns and text, and which of their lines repeat.
 
-    The second frame has that number (`rid`) and `removed`, the sorted numbers of the lines
+    The second frame has that hash (`rid`) and `removed`, the sorted numbers of the lines
     that go; rows without any do not occur. Of a component the line stays whose row is first
-    by the `order` columns (nulls first), within it the uppermost.
+    by the `order` columns (nulls first), within it the uppermost. The hash names a row
+    however often and in whatever parts the rows are read.
     """
     (rid,) = fresh(df, "rid")
-    docs = stored(df.withColumn(rid, F.monotonically_increasing_id()), "docs")
+    docs = df.withColumn(rid, F.xxhash64(*order, text))
     raw = fresh(docs, "raw")[0]
     lines = stored(_line_table(docs.withColumn(raw, utf8(F.col(text))), rid, raw, cfg), "lines")
     n = lines.count()
@@ -258,9 +260,9 @@ def repeated_lines(df: DataFrame, order: list[str], text: str, cfg: LineConfig)
     pairs = stored(candidate_links(lines, buckets, cfg), "pairs")
     found = components(_verified(pairs, lines, docs, rid, text, cfg), "a", "b")
     keys = [F.col(name).alias(f"k{i}") for i, name in enumerate(order)]
-    ranked = docs.select(F.col(rid).alias("rid"), *keys)
+    ranked = docs.select(F.col(rid).alias("rid"), *keys).distinct()
     named = (
-        lines.select("rid", "line", "h").join(found.withColumnRenamed("node", "h"), "h", "left")
+        lines.select("rid", "line", "h").distinct().join(found.withColumnRenamed("node", "h"), "h", "left")
         .withColumn("group", F.coalesce("component", "h"))
     )
     # Only groups with several lines need the order of their rows.
@@ -280,8 +282,8 @@ def find_repeated_lines(
 ) -> DataFrame:
     """Per row: the key, `n_lines` (0 for a null or empty text) and `removed`, the lines that go.
 
-    Lines are numbered from 0. Rows that are equal in all columns are rows of their own, the
-    lines of all but one of them go.
+    Lines are numbered from 0. Rows that are equal in key and text count as one row, and each
+    of them gets that row's result.
     """
     docs, removed, rid = repeated_lines(df.select(key, text), [key], text, cfg)
     n = F.when(F.coalesce(F.length(text), F.lit(0)) > 0, F.size(F.split(text, "\n"))).otherwise(0)

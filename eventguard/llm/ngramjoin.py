@@ -302,28 +302,59 @@ def linked(sets: list[np.ndarray], cfg: JoinConfig) -> list[tuple[int, int]]:
     return links
 
 
+def _grouped(df: DataFrame, keep: list[str], text: str, cfg: JoinConfig) -> tuple[DataFrame, list[str], DataFrame]:
+    """Rows of df with `_root`, a number that the texts of a component share; the kept columns' names there."""
+    inner = [f"k{i}" for i in range(len(keep))]  # whatever they are called outside
+    source = df.select(*[F.col(c).alias(k) for c, k in zip(keep, inner)], F.col(text).alias("text"))
+    docs, links, reps = _links(source, inner, "text", cfg)
+    found = components(links, "a", "b").select(F.col("node").alias("_rep"), F.col("component").alias("_root"))
+    # Copies are named by the one that stands for them; blank texts stand for themselves.
+    roots = stored(
+        docs.select("_rid", "_size", "_sum").join(reps, "_sum")
+        .withColumn("_rep", F.when(F.col("_size") > 0, F.col("_rep")).otherwise(F.col("_rid")))
+        .join(found, "_rep", "left").select("_rid", F.coalesce("_root", "_rep").alias("_root")), "roots",
+    )
+    return docs, inner, roots
+
+
 def similar_groups(
-    df: DataFrame, key: str = "doc_id", text: str = "text", keep: list[str] | None = None,
+    df: DataFrame, key: str = "doc_id", text: str = "text",
     names: tuple[str, str] = ("n_shingles", "component_id"), cfg: JoinConfig = JoinConfig(),
 ) -> DataFrame:
-    """The `keep` columns (the key, if not given) of each row, its set's size and its component.
+    """The key of each row, its set's size and its component.
 
     A component is named by the smallest key in it, found through links of any length. Null
-    and blank texts have size 0 and are linked to nothing, not even to each other.
+    and blank texts have size 0 and are linked to nothing, not even to each other. Rows that
+    are repeated are copies of each other.
     """
-    keep = keep or [key]
-    docs, links, sizes = _links(df, keep, text, cfg)
-    found = components(links, "a", "b").select(F.col("node").alias("_rep"), F.col("component").alias("_root"))
-    named = docs.join(sizes, "_sum", "left").withColumn(
-        "_rep", F.when(F.col("_size") > 0, F.col("_rep")).otherwise(F.col("_rid"))
-    ).join(found, "_rep", "left").withColumn("_root", F.coalesce("_root", "_rep"))
-    named = stored(named.select(*keep, "_size", "_root", "_rid"), "named")
-    several = named.groupBy("_root").agg(F.min(key).alias("_first"), F.count("*").alias("_n")).filter("_n > 1")
+    docs, (inner,), roots = _grouped(df, [key], text, cfg)
+    named = stored(docs.select(inner, "_rid", "_size").join(roots, "_rid"), "named")
+    several = named.groupBy("_root").agg(F.min(inner).alias("_first"), F.count("*").alias("_n")).filter("_n > 1")
     return named.join(several.select("_root", "_first"), "_root", "left").select(
-        *keep, F.col("_size").alias(names[0]), F.coalesce("_first", F.col(key)).alias(names[1])
+        F.col(inner).alias(key), F.col("_size").alias(names[0]),
+        F.coalesce("_first", inner).alias(names[1]),
     )
 
 
+def drop_similar(
+    df: DataFrame, key: str = "doc_id", text: str = "text", cfg: JoinConfig = JoinConfig()
+) -> DataFrame:
+    """The rows of df of which no similar one has a smaller key, with all their columns.
+
+    Of each component one row stays, among equal keys any one. Null and blank texts stay.
+    """
+    others = [c for c in df.columns if c != text]
+    (null,) = fresh(df, "no_text")
+    docs, inner, roots = _grouped(df.withColumn(null, F.col(text).isNull()), [*others, null], text, cfg)
+    place = F.struct(inner[others.index(key)], "_rid")
+    ranked = docs.select("_rid", inner[others.index(key)]).join(roots, "_rid")
+    stays = ranked.groupBy("_root").agg(F.min(place).alias("_first")).select(F.col("_first._rid").alias("_rid"))
+    rows = docs.join(stays, "_rid", "left_semi")
+    back = {c: F.col(k).alias(c) for c, k in zip(others, inner)}
+    back[text] = F.when(~F.col(inner[-1]), F.col("_text").cast("string")).alias(text)
+    return rows.select(*[back[c] for c in df.columns])
+
+
 def _links(df: DataFrame, keep: list[str], text: str, cfg: JoinConfig) -> tuple[DataFrame, DataFrame, DataFrame]:
     buckets = 64
     table = stored(_documents(df, keep, text, buckets, cfg), "sets")
@@ -364,4 +395,4 @@ def _links(df: DataFrame, keep: list[str], text: str, cfg: JoinConfig) -> tuple[
         return pd.DataFrame([(rids[i], rids[j]) for i, j in pairs], columns=["a", "b"])
 
     links = members.groupBy("task").applyInPandas(verify, "a long, b long")
-    return docs.select(*keep, "_rid", "_size", "_sum"), links, sizes
+    return docs, links, sizes
