@@ -4,7 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from eventguard.llm.codec import encode_texts
 from eventguard.llm.common import table, work_dir
+from eventguard.llm.decontaminate import drop_leaks
+from eventguard.llm.linededup import drop_repeated_lines
+from eventguard.llm.ngramjoin import drop_similar
 from eventguard.llm.quality import keep_good
 
 
@@ -13,11 +17,36 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return keep_good(docs)
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the first of each group of like lines; a document with no line left goes."""
+    return drop_repeated_lines(docs, length="n_chars")
+
+
+def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of similar ones: five words, similarity 0.8."""
+    return drop_similar(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a benchmark passage, also with other numbers or names."""
+    return drop_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of every remaining document."""
+    return encode_texts(docs, ["doc_id", "lang", "source", "n_chars"])
+
+
 STAGES = [
     ("quality rules", quality_rules),
+    ("line dedup", line_dedup),
+    ("n-gram Jaccard join", ngram_join),
+    ("benchmark decontamination", decontamination),
+    ("SentencePiece encoding", encoding),
 ]
 
-# No stage but the last could be written in SQL: the verdicts come from iterated estimates.
+# SQL expresses neither the estimates of the first stage nor those that build on it; tests
+# hold run() against a brute-force version instead.
 ORACLE_SQL = None
 
 
