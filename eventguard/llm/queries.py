@@ -10,6 +10,7 @@ from eventguard.llm.common import held_out, table
 from eventguard.llm import lattice
 from eventguard.llm.codec import decode_ids, encode_texts
 from eventguard.llm.decontaminate import find_leaks
+from eventguard.llm.fmindex import SubstringConfig, remove_repeats
 from eventguard.llm.html import extract_text
 from eventguard.llm.langid import LangConfig, learn, predict_language
 from eventguard.llm.linededup import find_repeated_lines
@@ -54,6 +55,11 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_language(docs, model, ["doc_id", "held_out"], cfg=cfg)
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cfg = SubstringConfig(window=35)
+    return remove_repeats(table(spark, sf_dir, "documents"), ["doc_id"], cfg=cfg).drop("kept_text")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"))
 
@@ -75,6 +81,7 @@ def queries() -> dict[str, Query]:
         "op4_decontamination": op4_decontamination,
         "op5_line_dedup": op5_line_dedup,
         "op6_language_id": op6_language_id,
+        "op7_substring_dedup": op7_substring_dedup,
         "op8_quality_rules": op8_quality_rules,
         "op9_lm_scoring": op9_lm_scoring,
     }
