@@ -81,6 +81,8 @@ def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
         rank = np.empty_like(fresh)
         rank[order] = fresh
         width *= 2
+        if fresh[-1] == len(fresh) - 1:
+            break
     return order
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventguard.llm.common import held_out, table
 from eventguard.llm import lattice
+from eventguard.llm.bwtmerge import remove_repeated_bytes
 from eventguard.llm.codec import decode_ids, encode_texts
 from eventguard.llm.decontaminate import find_leaks
 from eventguard.llm.fmindex import SubstringConfig, remove_repeats
@@ -73,6 +74,10 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("train_tokens", F.lit(model.tokens).cast("long"))
 
 
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_bytes(table(spark, sf_dir, "documents"), ["doc_id"]).drop("kept")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
@@ -84,6 +89,7 @@ def queries() -> dict[str, Query]:
         "op7_substring_dedup": op7_substring_dedup,
         "op8_quality_rules": op8_quality_rules,
         "op9_lm_scoring": op9_lm_scoring,
+        "op10_suffix_array_dedup": op10_suffix_array_dedup,
     }
 
 
