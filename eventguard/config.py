@@ -38,11 +38,6 @@ class PipelineConfig:
     # the order of the batches.
     arrival: tuple[str, ...] = ("partition", "offset")
 
-    # A key with at least this many rows in a frame has its rows spread over all tasks.
-    # None switches the search for such keys off.
-    hot_rows: int | None = 1_000_000
-    # Items tracked by the frequent-key sketch, hence the most keys treated as hot.
-    sketch_items: int = 10_000
     # Longest run of arrivals ranked inside one task.
     rank_run: int = 1_000_000
 
@@ -50,7 +45,10 @@ class PipelineConfig:
     ledger_slack_seconds: int = 600
     # Live folders of accepted keys before they are merged into one.
     ledger_compact_after: int = 64
-    # Keep the decoded micro-batch while it is read by the key search and the rules.
+    # Seconds an event may be ahead of its processing time; None: any. Windows of Spark's own
+    # watermark need it, since an event far ahead would close windows that are still filling.
+    max_future_skew: int | None = None
+    # Keep the decoded micro-batch while it is read by the key minima and the rules.
     cache_input: bool = True
     verbose: bool = False
 
@@ -69,6 +67,8 @@ class PipelineConfig:
             "as_of": "AS_OF_COLUMN",
         }
         found = {field: os.environ[env] for field, env in names.items() if env in os.environ}
+        if "VERBOSE" in os.environ:
+            found["verbose"] = os.environ["VERBOSE"].lower() in ("1", "true", "yes")
         return cls(**{**found, **overrides})
 
 
@@ -92,6 +92,13 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def require_utc(spark: SparkSession) -> None:
+    """Times are shown in the session's zone, so that zone has to be UTC."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z"):
+        raise ValueError(f"the session's time zone must be UTC, not {zone}")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by spark.checkpoint.dir; a local run may do without it."""
     root = spark.conf.get("spark.checkpoint.dir", None)

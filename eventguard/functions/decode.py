@@ -19,5 +19,8 @@ def decode(df: DataFrame, value: str = "value", schema: StructType = TRANSACTION
 
 
 def event_time(text: Column, cfg: PipelineConfig) -> Column:
-    """Time named by the text, NULL if it does not fit the pattern. Needs a UTC session."""
-    return F.try_to_timestamp(text, F.lit(cfg.timestamp_pattern))
+    """Time in UTC named by the text, NULL if it does not fit the pattern.
+
+    The zone is put behind the text, so the session's own zone plays no part.
+    """
+    return F.try_to_timestamp(F.concat(text, F.lit(" UTC")), F.lit(f"{cfg.timestamp_pattern} VV"))

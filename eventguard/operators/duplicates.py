@@ -1,22 +1,18 @@
 """Repeated records: same (user_id, timestamp) within a batch or across batches.
 
-A key can hold any share of the rows, so no step gathers all rows of one key in one
-task. Keys found hot by a sketch are spread over many tasks and judged by a small table
-built with map-side aggregation; all others share one shuffle for both kinds of repeat.
+A key can hold any share of the rows, so no step gathers all rows of one key in one task:
+first records of keys come from minima with map-side combine, and verdicts go back to the
+records by their arrival, which is unique and so spreads evenly. One plan serves all sizes.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from eventguard.config import PipelineConfig, stored
+from eventguard.config import PipelineConfig
 from eventguard.operators.rules import missing
 
 KEY = ["user_id", "timestamp"]
-# Opens the part of a spread key that is no timestamp; accepted texts never hold it.
-_MARK = "\u0000"
 
 
 def keyed() -> Column:
@@ -29,93 +25,8 @@ def arrival(cfg: PipelineConfig) -> Column:
     return F.col(names[0]) if len(names) == 1 else F.struct(*names)
 
 
-@dataclass(frozen=True)
-class HotKeys:
-    keys: DataFrame
-    groups: DataFrame | None
-
-
-def frequent(df: DataFrame, cfg: PipelineConfig, **hashes: Column) -> dict[str, list[int]]:
-    """Values of the named hashes that occur in at least `hot_rows` rows.
-
-    One pass with a frequent-items sketch per task and no shuffle of rows. At most
-    `sketch_items` values come back for each name. The answer only steers how the
-    work is spread: a value that is not found is still handled exactly.
-    """
-    parts = df.groupBy((F.spark_partition_id() % 256).alias("_part")).agg(*[
-        F.call_function("approx_top_k_accumulate", value, F.lit(cfg.sketch_items)).alias(name)
-        for name, value in hashes.items()
-    ])
-    # Grouped by a constant: an empty frame has no sketches to combine and gives no row.
-    merged = parts.groupBy(F.lit("all")).agg(*[
-        F.call_function("approx_top_k_combine", name).alias(name) for name in hashes
-    ])
-    found = merged.select(*[
-        F.call_function("approx_top_k_estimate", name, F.lit(cfg.sketch_items)).alias(name)
-        for name in hashes
-    ]).first()
-    return {
-        name: [top["item"] for top in found[name] if top["count"] >= cfg.hot_rows] if found else []
-        for name in hashes
-    }
-
-
-def _hash(cols: list[str]) -> Column:
-    """Hash of the columns; records without key get one each, so they never look hot."""
-    return F.when(keyed(), F.xxhash64(*cols)).otherwise(F.xxhash64("_arrival"))
-
-
-def _hash_table(df: DataFrame, hashes: list[int]) -> DataFrame:
-    rows = df.sparkSession.createDataFrame([(h,) for h in hashes], "_hash long")
-    return F.broadcast(rows)  # at most sketch_items rows
-
-
-def find_hot(
-    df: DataFrame, cfg: PipelineConfig, ledger: DataFrame | None, rows: int | None
-) -> HotKeys | None:
-    """Verdicts for the hot keys of a frame with `clean` and `_arrival`, or None.
-
-    `keys`: the arrival of the one record of the key that may be accepted (`_winner`).
-    `groups`: for batches in which the key is hot as well, the arrival of its first record
-    (`_first`). A frame that is one batch has it in `keys`.
-    """
-    if cfg.hot_rows is None or (rows is not None and rows < cfg.hot_rows):
-        return None
-    group = KEY + cfg.batch_cols
-    names = {"key": _hash(KEY), "group": _hash(group)} if cfg.batch_cols else {"key": _hash(KEY)}
-    hashes = frequent(df, cfg, **names)
-    if not hashes["key"]:
-        return None
-    heads = (
-        df.withColumn("_hash", _hash(KEY))
-        .join(_hash_table(df, hashes["key"]), "_hash", "left_semi")
-        .groupBy(*group)
-        .agg(
-            F.min("_arrival").alias("_first"),
-            F.min(F.when(F.col("clean"), F.col("_arrival"))).alias("_first_clean"),
-        )
-    )
-    opening = F.when(F.col("_first") == F.col("_first_clean"), F.col("_first"))
-    if cfg.batch_cols:
-        heads = stored(heads, "heads")  # used twice
-        keys = heads.groupBy(*KEY).agg(F.min(opening).alias("_winner"))
-        groups = (
-            heads.withColumn("_hash", F.xxhash64(*group))
-            .join(_hash_table(df, hashes["group"]), "_hash", "left_semi")
-            .select(*group, "_first")
-        )
-    else:
-        keys, groups = heads.select(*KEY, "_first", opening.alias("_winner")), None
-    if ledger is not None:
-        seen = ledger.select(*KEY).distinct().withColumn("_seen", F.lit(True))
-        keys = keys.join(seen, KEY, "left").withColumn(
-            "_winner", F.when(F.col("_seen").isNull(), F.col("_winner"))
-        ).drop("_seen")
-    return HotKeys(keys.withColumn("_hot", F.lit(True)), groups)
-
-
 def mark_duplicates(
-    df: DataFrame, cfg: PipelineConfig, ledger: DataFrame | None = None, rows: int | None = None
+    df: DataFrame, cfg: PipelineConfig, ledger: DataFrame | None = None
 ) -> DataFrame:
     """Adds `repeat_in_batch` and `accepted_before` to a frame with `clean`.
 
@@ -125,46 +36,26 @@ def mark_duplicates(
     """
     columns = df.columns
     df = df.withColumn("_arrival", arrival(cfg))
-    hot = find_hot(df, cfg, ledger, rows)
-    slot = F.xxhash64("_arrival")
-    spread = F.when(~keyed(), F.concat(F.lit(_MARK), slot.cast("string")))
-    if hot is not None:
-        # Both tables hold at most sketch_items keys.
-        df = df.join(F.broadcast(hot.keys), KEY, "left")
-        if hot.groups is not None:
-            df = df.join(F.broadcast(hot.groups), KEY + cfg.batch_cols, "left")
-            # A batch in which the key is not hot stays together, so its window is exact.
-            slot = F.when(F.col("_first").isNull(), F.xxhash64(*cfg.batch_cols)).otherwise(slot)
-        spread = spread.when(
-            F.col("_hot"), F.concat("timestamp", F.lit(_MARK), slot.cast("string"))
-        )
-    df = df.withColumn("_key", spread.otherwise(F.col("timestamp")))
-
-    # Both windows and the ledger join are served by one shuffle on (user_id, _key).
-    df = df.repartition("user_id", "_key")
-    in_batch = Window.partitionBy("user_id", "_key", *cfg.batch_cols).orderBy("_arrival")
-    repeat = F.row_number().over(in_batch) > 1
-    if hot is not None:
-        # Rows that share an arrival share a slot, where the rank keeps just one of them.
-        repeat = repeat | F.coalesce(F.col("_arrival") != F.col("_first"), F.lit(False))
-    df = df.withColumn("repeat_in_batch", keyed() & repeat)
-    candidate = F.col("clean") & ~F.col("repeat_in_batch")
-
-    winner = F.col("_arrival")
-    if cfg.batch_cols:
-        # Several batches in the frame: the key goes to its first candidate.
-        df = df.withColumn("_candidate", F.when(candidate, F.col("_arrival")))
-        winner = F.min("_candidate").over(Window.partitionBy("user_id", "_key"))
-    if hot is not None:
-        winner = F.when(F.col("_hot"), F.col("_winner")).otherwise(winner)
-    df = df.withColumn("_accepted", F.coalesce(F.col("_arrival") == winner, F.lit(False)))
-
+    place = ["_arrival", *KEY]
+    heads = df.filter(keyed()).groupBy(*KEY, *cfg.batch_cols).agg(
+        F.min("_arrival").alias("_first"),
+        F.min(F.when(F.col("clean"), F.col("_arrival"))).alias("_first_clean"),
+    )
+    firsts = heads.select(F.col("_first").alias("_arrival"), *KEY, F.lit(True).alias("_opens"))
+    opened = heads.filter(F.col("_first") == F.col("_first_clean"))
+    winners = opened.groupBy(*KEY).agg(F.min("_first").alias("_arrival"))
     if ledger is not None:
-        seen = ledger.select("user_id", F.col("timestamp").alias("_key")).distinct()
-        df = df.join(seen.withColumn("_in_ledger", F.lit(True)), ["user_id", "_key"], "left")
-        df = df.withColumn("_accepted", F.col("_accepted") & F.col("_in_ledger").isNull())
+        winners = winners.join(ledger.select(*KEY).distinct(), KEY, "left_anti")
+    winners = winners.select(*place, F.lit(True).alias("_wins"))
+
+    # Of records that share an arrival and a key, one counts; the joins serve the window.
+    nth = F.row_number().over(Window.partitionBy(*place).orderBy(*place))
+    df = df.join(firsts, place, "left").join(winners, place, "left").withColumn("_nth", nth)
+    opens = F.coalesce(F.col("_opens") & (F.col("_nth") == 1), F.lit(False))
+    df = df.withColumn("repeat_in_batch", keyed() & ~opens)
+    candidate = F.col("clean") & ~F.col("repeat_in_batch")
     return df.select(
-        *columns, "repeat_in_batch", (candidate & ~F.col("_accepted")).alias("accepted_before")
+        *columns, "repeat_in_batch", (candidate & F.col("_wins").isNull()).alias("accepted_before")
     )
 
 
@@ -195,7 +86,14 @@ def rank_in_batch(df: DataFrame, cfg: PipelineConfig) -> DataFrame:
 
 
 def drop_repeats(df: DataFrame, cfg: PipelineConfig) -> DataFrame:
-    """Keeps one record per key. A stream forgets keys once the watermark passed them."""
+    """Keeps one record per key. A stream forgets keys once the watermark passed them.
+
+    Records of a stream that lack user or timestamp have no key to repeat and all pass; in
+    a table those with the same user and timestamp, NULL included, are one.
+    """
     if df.isStreaming:
-        return df.withWatermark("event_time", cfg.watermark).dropDuplicatesWithinWatermark(KEY)
+        timed = df.withWatermark("event_time", cfg.watermark)
+        return timed.filter(keyed()).dropDuplicatesWithinWatermark(KEY).unionByName(
+            timed.filter(~keyed())
+        )
     return df.dropDuplicates(KEY)

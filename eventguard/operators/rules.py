@@ -21,6 +21,8 @@ AMOUNT_RANGE = "Range validation failed: amount must be between 1 and 10,000,000
 SOURCE_UNKNOWN = "Source validation failed: source must be mobile, web, or pos"
 REPEAT_IN_BATCH = "Duplicate transaction: same user_id and timestamp within batch"
 LATE = "Watermark violation: event timestamp is > 3 minutes late"
+# Own reason, only in use where max_future_skew is set.
+AHEAD = "Watermark violation: event timestamp is ahead of the processing time"
 REPEAT_ACROSS = "Duplicate transaction: duplicate user_id and timestamp (cross-batch)"
 
 
@@ -44,8 +46,15 @@ def lag_seconds() -> Column:
 
 
 def default_rules(cfg: PipelineConfig) -> list[Rule]:
-    """All rules; their order is their precedence."""
+    """All rules; their order is their precedence.
+
+    Reason texts name the default limits and are fixed values, so they do not follow a
+    configuration with other limits.
+    """
     amount = F.col("amount")
+    ahead = [] if cfg.max_future_skew is None else [
+        Rule(AHEAD, "lateness", lag_seconds() < -cfg.max_future_skew)
+    ]
     return [
         Rule(USER_MISSING, "mandatory", missing("user_id")),
         Rule(AMOUNT_MISSING, "mandatory", amount.isNull()),
@@ -57,6 +66,7 @@ def default_rules(cfg: PipelineConfig) -> list[Rule]:
         Rule(SOURCE_UNKNOWN, "source", ~F.col("source").isin(*cfg.sources)),
         Rule(REPEAT_IN_BATCH, "repeat", F.col("repeat_in_batch"), per_record=False),
         Rule(LATE, "lateness", lag_seconds() > cfg.lateness_seconds),
+        *ahead,
         Rule(REPEAT_ACROSS, "repeat", F.col("accepted_before"), per_record=False),
     ]
 

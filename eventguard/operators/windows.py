@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from eventguard.config import PipelineConfig
+from eventguard.config import PipelineConfig, require_utc
 
 _TEXT = "yyyy-MM-dd HH:mm:ss"
 
@@ -20,6 +20,7 @@ def _bounds() -> list[Column]:
 
 def tumbling_parts(valid: DataFrame, cfg: PipelineConfig, by: Sequence[str] = ()) -> DataFrame:
     """Count and amount per window (and per column of `by`); parts can be merged later."""
+    require_utc(valid.sparkSession)
     return (
         valid.filter(F.col("event_time").isNotNull())
         .groupBy(*by, F.window("event_time", cfg.window).alias("window"))
@@ -30,6 +31,7 @@ def tumbling_parts(valid: DataFrame, cfg: PipelineConfig, by: Sequence[str] = ()
 
 def result_parts(df: DataFrame, cfg: PipelineConfig) -> DataFrame:
     """One pass over classified records for all per-window, per-batch and total results."""
+    require_utc(df.sparkSession)
     valid, as_of = F.col("is_valid"), F.col("as_of").cast("long")
     # The rejected records of a batch share one window before all times.
     time = F.when(valid, F.col("event_time")).otherwise(F.timestamp_seconds(F.lit(0)))
@@ -69,6 +71,21 @@ def merge_parts(parts: DataFrame) -> DataFrame:
     return with_average(merged)
 
 
+def closed_windows(parts: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    """True results of the windows that no later record can change.
+
+    A record that arrives after the newest processing time so far and is not late lies
+    behind that time less the lateness limit; windows that end up to there are closed. Exact
+    whatever events are ahead of time, and a replay leaves the parts as they were, as long
+    as the processing time does not step back.
+    """
+    require_utc(parts.sparkSession)
+    newest = parts.agg(F.max("newest_as_of").alias("_newest"))  # one row
+    end = F.to_timestamp("window_end", _TEXT).cast("long")
+    merged = merge_parts(parts)
+    return merged.join(newest, end <= F.col("_newest") - cfg.lateness_seconds).select(*merged.columns)
+
+
 def running_sums(
     df: DataFrame, order: str, sums: dict[str, str], block: int = 65_536
 ) -> DataFrame:

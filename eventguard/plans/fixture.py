@@ -15,6 +15,7 @@ from eventguard.config import PipelineConfig, use_utc
 START = 1_765_702_800  # 2025-12-14 09:00:00 UTC
 BATCH_ROWS = 250
 COPY_DISTANCE = 50
+HOT_TIME = "2030-01-01T00:00:00Z"
 FIELDS = ["user_id", "amount", "timestamp", "source"]
 # The columns used of the `events` table; declared, so that no job reads a schema.
 EVENTS = "event_id long, user_id long, event_type string, value double"
@@ -81,3 +82,21 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         *FIELDS,
         "as_of",
     )
+
+
+def skewed(txn: DataFrame) -> DataFrame:
+    """The transactions with every third one under one key, ahead of time and so never late.
+
+    Of the others some lack a source or a number, have a blank one or a user of blanks.
+    """
+    n = F.col("event_id")
+    hot = F.pmod(n, F.lit(3)) == 0
+    return txn.withColumns({
+        "user_id": F.when(hot, F.lit("U7")).when(F.pmod(n, F.lit(103)) == 9, F.lit("  "))
+        .otherwise(F.col("user_id")),
+        "timestamp": F.when(hot, F.lit(HOT_TIME)).otherwise(F.col("timestamp")),
+        "amount": F.when(F.pmod(n, F.lit(101)) == 7, F.lit(float("nan"))).otherwise(F.col("amount")),
+        "source": F.when(F.pmod(n, F.lit(97)) == 5, F.lit(None)).when(
+            F.pmod(n, F.lit(89)) == 4, F.lit(" ")
+        ).otherwise(F.col("source")),
+    })

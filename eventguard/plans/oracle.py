@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from eventguard.operators import rules
+from eventguard.plans.fixture import HOT_TIME
 
 _FORMAT = "'%Y-%m-%dT%H:%M:%SZ'"
 
@@ -53,7 +54,7 @@ _SOURCE = f"""
 _LATE = f"""
     WHEN floor(epoch(ingest_ts)) - floor(epoch(event_time)) > 180 THEN '{rules.LATE}'"""
 
-CLS = f"""{TXN},
+_JUDGED = f"""
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY batch_id, user_id, ts_text ORDER BY event_id) AS rn
   FROM timed),
@@ -69,6 +70,21 @@ cls AS (
       THEN '{rules.REPEAT_ACROSS}' ELSE err1 END AS error_reason
     FROM judged))"""
 
+CLS = f"{TXN}, {_JUDGED}"
+
+# A third of the records under one key, and faults that `txn` does not have.
+_SKEWED = f"""
+timed AS (
+  SELECT *, try_strptime(ts_text, {_FORMAT}) AS event_time FROM (
+    SELECT event_id, batch_id, ingest_ts,
+           CASE WHEN mod(event_id, 3) = 0 THEN 'U7' WHEN mod(event_id, 103) = 9 THEN '  '
+                ELSE user_id END AS user_id,
+           CASE WHEN mod(event_id, 3) = 0 THEN '{HOT_TIME}' ELSE ts_text END AS ts_text,
+           CASE WHEN mod(event_id, 101) = 7 THEN 'nan'::double ELSE amount END AS amount,
+           CASE WHEN mod(event_id, 97) = 5 THEN NULL WHEN mod(event_id, 89) = 4 THEN ' '
+                ELSE source END AS source
+    FROM txn))"""
+
 _RECORD = "event_id, user_id, amount, ts_text, source, event_time, error_reason"
 _WINDOW = """strftime(date_trunc('minute', event_time), '%Y-%m-%d %H:%M:%S') AS window_start,
   strftime(date_trunc('minute', event_time) + interval '1' minute, '%Y-%m-%d %H:%M:%S') AS window_end,
@@ -113,6 +129,24 @@ def _recent(valid: bool) -> str:
     )
 
 
+def _feed(valid: bool) -> str:
+    # Amounts of the fixture are whole numbers.
+    shown = "'Rp ' || replace(format('{:,}', cast(amount AS bigint)), ',', '.')"
+    if valid:
+        fields = f"coalesce(nullif(user_id, ''), 'UNKNOWN') AS user_id, {shown} AS amount, " \
+            "coalesce(nullif(ts_text, ''), 'N/A') AS ts_text, coalesce(nullif(source, ''), 'N/A') AS source"
+    else:
+        fields = f"coalesce(nullif(user_id, ''), 'NULL') AS user_id, " \
+            f"CASE WHEN amount IS NULL THEN 'NULL' ELSE {shown} END AS amount, " \
+            "coalesce(nullif(ts_text, ''), 'NULL') AS ts_text, " \
+            "coalesce(nullif(source, ''), 'UNKNOWN') AS source, " \
+            "coalesce(nullif(error_reason, ''), 'Validation Failed') AS error_reason"
+    return _cls(
+        f"SELECT event_id, {fields} FROM cls WHERE {'is_valid' if valid else 'NOT is_valid'} "
+        "ORDER BY event_id DESC LIMIT 50"
+    )
+
+
 _ERROR_REASON = _cls("SELECT event_id, is_valid, error_reason FROM cls")
 _WINDOW_1M = _cls(f"SELECT {_WINDOW} FROM cls WHERE is_valid GROUP BY date_trunc('minute', event_time)")
 _RUNNING = _cls(
@@ -171,6 +205,19 @@ def oracle_sql() -> dict[str, str]:
         "recent_valid_50": _recent(True),
         "recent_dlq_50": _recent(False),
         "dedup_drop": _txn("SELECT DISTINCT user_id, ts_text FROM txn"),
+        "error_reason_skew": f"WITH {TXN.rsplit('timed AS', 1)[0]} {_SKEWED}, {_JUDGED} "
+        "SELECT event_id, is_valid, error_reason FROM cls",
+        "topic_readback": _cls(
+            "SELECT CASE WHEN is_valid THEN 'transactions_valid' ELSE 'transactions_dlq' END AS topic, "
+            f"CASE WHEN is_valid THEN 'valid' ELSE 'dlq' END AS side, is_valid, {_RECORD} FROM cls"
+        ),
+        "feed_valid_50": _feed(True),
+        "feed_dlq_50": _feed(False),
+        "stream_window_append": _cls(
+            f"SELECT {_WINDOW} FROM cls WHERE is_valid GROUP BY date_trunc('minute', event_time) "
+            "HAVING date_trunc('minute', event_time) + interval '1' minute "
+            "<= (SELECT max(ingest_ts) FROM cls) - interval '180' second"
+        ),
         "stream_route": _ERROR_REASON,
         "stream_window": _WINDOW_1M,
         "stream_running_totals": _RUNNING,

@@ -8,19 +8,22 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from eventguard.config import stored, work_dir
 from eventguard.functions.decode import decode, event_time
+from eventguard.functions.display import feed_item
 from eventguard.operators.classify import classify
 from eventguard.operators.duplicates import drop_repeats, rank_in_batch
 from eventguard.operators.metrics import (
     batch_metrics, counts_and_rate, latest, merge_batch_metrics, reason_counts, running_totals,
-    topic_counters,
+    side, topic_counters,
+)
+from eventguard.operators.route import (
+    dlq_only, messages, tag_topics, union_topics, valid_only,
 )
-from eventguard.operators.route import dlq_only, messages, tag_topics, valid_only
 from eventguard.operators.rules import REPEAT_ACROSS, first_reason, rules_of
-from eventguard.operators.windows import merge_parts, tumbling
-from eventguard.plans.fixture import BATCH_ROWS, CONFIG, FIELDS, events, transactions
+from eventguard.operators.windows import closed_windows, merge_parts, tumbling
+from eventguard.plans.fixture import BATCH_ROWS, CONFIG, FIELDS, events, skewed, transactions
 from eventguard.schema import PAYLOAD
 from eventguard.sources.files import file_stream
-from eventguard.streaming.native import window_stream
+from eventguard.sources.kafka import read_back
 from eventguard.streaming.pipeline import Pipeline, start
 from eventguard.streaming.tables import StreamTables
 
@@ -51,8 +54,7 @@ def _timed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The count comes from the file footers.
-    return classify(transactions(spark, sf_dir), CONFIG, rows=events(spark, sf_dir).count())
+    return classify(transactions(spark, sf_dir), CONFIG)
 
 
 def decode_json(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,6 +88,13 @@ def error_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classified(spark, sf_dir).select("event_id", "is_valid", "error_reason")
 
 
+def error_reason_skew(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts where a third of all records has one key, with faults of further kinds."""
+    return classify(skewed(transactions(spark, sf_dir)), CONFIG).select(
+        "event_id", "is_valid", "error_reason"
+    )
+
+
 def _route_query(pick: Callable[[DataFrame], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return pick(classified(spark, sf_dir)).select(
@@ -106,6 +115,32 @@ def topic_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tag_topics(classified(spark, sf_dir), CONFIG).select("topic", "event_id")
 
 
+def _stored_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both outputs as they lie in their topics, bytes and all, read back and decoded."""
+    sent = messages(classified(spark, sf_dir), CONFIG, keep=("event_id",))
+    as_bytes = {
+        topic: df.withColumn("value", F.col("value").cast("binary")) for topic, df in sent.items()
+    }
+    both = union_topics(as_bytes[CONFIG.valid_topic], as_bytes[CONFIG.dlq_topic], CONFIG)
+    return read_back(both, keep=("event_id",))
+
+
+def topic_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored_messages(spark, sf_dir).select(
+        "topic", side(CONFIG).alias("side"), "event_id", "user_id", "amount", _ts_text(),
+        "source", _wall_clock(), "is_valid", "error_reason",
+    )
+
+
+def _feed_query(valid: bool) -> Query:
+    """The newest 50 records of one output as the feed shows them."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        pick = valid_only if valid else dlq_only
+        rows = latest(pick(classified(spark, sf_dir)), CONFIG)
+        return rows.select("event_id", *feed_item(valid)).withColumnRenamed("timestamp", "ts_text")
+    return run
+
+
 def window_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tumbling(valid_only(classified(spark, sf_dir)), CONFIG)
 
@@ -141,11 +176,16 @@ def run_stream(spark: SparkSession, sf_dir: str) -> StreamTables:
     base = work_dir(spark, "stream")
     pipeline = Pipeline(CONFIG, base)
     envelope = _envelope(spark, sf_dir)
-    last = events(spark, sf_dir).agg(F.max("event_id")).first()[0]
+    last = events(spark, sf_dir).agg(F.max("event_id")).first()[0] or 0
     batches = last // BATCH_ROWS + 1
-    edges = [batches * wave // STREAM_WAVES * BATCH_ROWS for wave in range(STREAM_WAVES + 1)]
-    for low, high in zip(edges, edges[1:]):
-        arrived = envelope.filter((F.col("event_id") >= low) & (F.col("event_id") < high))
+    edges = [batches * wave // STREAM_WAVES * BATCH_ROWS for wave in range(1, STREAM_WAVES)]
+    # The first wave is open below and the last one above; an id that is NULL comes first.
+    for low, high in zip([None, *edges], [*edges, None]):
+        n = F.col("event_id")
+        wave = F.lit(True) if low is None else n >= low
+        if high is not None:
+            wave &= (n < high) if low is not None else (n.isNull() | (n < high))
+        arrived = envelope.filter(wave)
         arrived.write.mode("append").parquet(f"{base}/input")
         source = file_stream(spark, f"{base}/input", envelope.schema)
         start(source, pipeline, {"availableNow": True}).awaitTermination()
@@ -165,15 +205,8 @@ def stream_running_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_window_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Windows that Spark's own watermark has closed."""
-    tables = run_stream(spark, sf_dir)
-    records = file_stream(spark, tables.path("records"), tables.record_schema)
-    closed = window_stream(records, CONFIG)
-    writer = closed.writeStream.outputMode("append").format("parquet")
-    writer.option("checkpointLocation", tables.path("closed_checkpoint")).trigger(
-        availableNow=True
-    ).start(tables.path("closed")).awaitTermination()
-    return spark.read.schema(closed.schema).parquet(tables.path("closed"))
+    """Windows that no later record can change any more."""
+    return closed_windows(run_stream(spark, sf_dir).parts(), CONFIG)
 
 
 def queries() -> dict[str, Query]:
@@ -188,15 +221,17 @@ def queries() -> dict[str, Query]:
         "dup_in_batch": dup_in_batch,
         "dup_cross_batch": dup_cross_batch,
         "error_reason": error_reason,
+        "error_reason_skew": error_reason_skew,
         "reason_counts": lambda spark, sf: reason_counts(classified(spark, sf)),
         "route_valid": _route_query(valid_only),
         "route_dlq": _route_query(dlq_only),
         "encode_valid": _encode_query(CONFIG.valid_topic),
         "encode_dlq": _encode_query(CONFIG.dlq_topic),
         "topic_union": topic_union,
-        "topic_counters": lambda spark, sf: topic_counters(
-            tag_topics(classified(spark, sf), CONFIG)
-        ),
+        "topic_counters": lambda spark, sf: topic_counters(_stored_messages(spark, sf)),
+        "topic_readback": topic_readback,
+        "feed_valid_50": _feed_query(True),
+        "feed_dlq_50": _feed_query(False),
         "window_1m": window_1m,
         "window_per_batch": window_per_batch,
         "batch_metrics": lambda spark, sf: batch_metrics(classified(spark, sf)),

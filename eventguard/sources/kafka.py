@@ -39,9 +39,9 @@ def result_stream(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     return read_back(spark.readStream.format("kafka").options(**options).load())
 
 
-def read_back(messages: DataFrame) -> DataFrame:
-    """Messages (topic, value) with the value decoded."""
-    return decode(messages.select("topic", "value"), schema=PAYLOAD)
+def read_back(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Messages (topic, value) with the value decoded, next to the columns of `keep`."""
+    return decode(messages.select(*keep, "topic", "value"), schema=PAYLOAD)
 
 
 def publish(messages: DataFrame, cfg: PipelineConfig, topic: str) -> None:

@@ -59,7 +59,7 @@ class Pipeline:
             rows, oldest = self._peek(prepared, clock)
             if rows:
                 ledger = tables.ledger(state, epoch, oldest, cfg)
-                tables.write_records(classify(prepared, cfg, ledger, rows), epoch)
+                tables.write_records(classify(prepared, cfg, ledger), epoch)
         finally:
             if cfg.cache_input:
                 prepared.unpersist()

@@ -1,14 +1,13 @@
 """Named queries against their SQL run by DuckDB on the same tables."""
 
-from datetime import datetime
-
 import duckdb
 import pytest
 
 import __spark_entry__ as contract
 from eventguard.operators import rules
+from eventguard.plans import oracle, queries as plans
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = plans.queries(), oracle.oracle_sql()
 # Rows per reason of the test stream at the smallest scale.
 EXPECTED = {
     None: 700, rules.USER_MISSING: 20, rules.AMOUNT_MISSING: 20, rules.TIMESTAMP_MISSING: 10,
@@ -30,8 +29,8 @@ def rows(columns, found):
 
 
 def test_register():
-    assert set(QUERIES) - set(SQL) == {"stream_window_append"}
-    assert not set(SQL) - set(QUERIES)
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -47,10 +46,8 @@ def test_entry(spark):
     assert {r["error_reason"]: r["count"] for r in counts} == EXPECTED
 
 
-def test_closed_windows_are_true_windows(spark, small):
-    closed = {tuple(r) for r in QUERIES["stream_window_append"](spark, small).collect()}
-    windows = {tuple(r) for r in QUERIES["window_1m"](spark, small).collect()}
-    assert closed and closed <= windows
-    newest = max(datetime.fromisoformat(w[1]) for w in windows)
-    open_for = {newest - datetime.fromisoformat(w[1]) for w in windows - closed}
-    assert all(gap.total_seconds() <= 240 for gap in open_for)
+def test_skewed_fixture_has_every_reason(spark, small):
+    found = QUERIES["error_reason_skew"](spark, small).select("error_reason").distinct().collect()
+    assert {r["error_reason"] for r in found} == {
+        *EXPECTED, rules.SOURCE_MISSING, rules.AMOUNT_NAN,
+    }
