@@ -41,10 +41,6 @@ class PipelineConfig:
     # Longest run of arrivals ranked inside one task.
     rank_run: int = 1_000_000
 
-    # Extra time accepted keys are kept for when the processing time steps back.
-    ledger_slack_seconds: int = 600
-    # Live folders of accepted keys before they are merged into one.
-    ledger_compact_after: int = 64
     # Seconds an event may be ahead of its processing time; None: any. Windows of Spark's own
     # watermark need it, since an event far ahead would close windows that are still filling.
     max_future_skew: int | None = None

@@ -37,15 +37,9 @@ PARTS = T.StructType([
     T.StructField("newest_event", T.LongType()),
 ])
 
-# What a micro-batch hands to the next one: totals so far and the folders whose
-# accepted keys can still be repeated. Times are whole epoch seconds.
+# What a micro-batch hands to the next one: totals so far.
 STATE = T.StructType([
     T.StructField("cum_valid", T.LongType()),
     T.StructField("cum_dlq", T.LongType()),
     T.StructField("running_total", T.DoubleType()),
-    T.StructField("expired_before", T.LongType()),
-    T.StructField("live", T.ArrayType(T.StructType([
-        T.StructField("path", T.StringType()),
-        T.StructField("newest", T.LongType()),
-    ]))),
 ])

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 from datetime import datetime, timezone
 
@@ -11,12 +10,13 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from eventguard.config import PipelineConfig
-from eventguard.functions.decode import decode
+from eventguard.functions.decode import decode, event_time
 from eventguard.operators.classify import classify
 from eventguard.operators.route import messages
+from eventguard.operators.rules import lag_seconds
 from eventguard.operators.windows import merge_parts, result_parts
 from eventguard.schema import PAYLOAD
-from eventguard.streaming.tables import State, StreamTables
+from eventguard.streaming.tables import State, StreamTables, event_day
 
 Publisher = Callable[[DataFrame, str], None]
 
@@ -56,9 +56,9 @@ class Pipeline:
         if cfg.cache_input:
             prepared.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            rows, oldest = self._peek(prepared, clock)
+            rows, days = self._peek(prepared)
             if rows:
-                ledger = tables.ledger(state, epoch, oldest, cfg)
+                ledger = tables.ledger(epoch, days) if state.cum_valid else None
                 tables.write_records(classify(prepared, cfg, ledger), epoch)
         finally:
             if cfg.cache_input:
@@ -67,13 +67,12 @@ class Pipeline:
             state = self._summarise(tables, state, epoch)
         tables.save_state(state, epoch)  # an empty micro-batch only hands the state on
 
-    def _peek(self, prepared: DataFrame, clock: datetime) -> tuple[int, int]:
-        """Number of records and their earliest processing time in whole seconds."""
-        if self.cfg.as_of is None:
-            return prepared.count(), math.floor(clock.timestamp())
-        # A record without processing time is never late, so it may repeat any key.
-        seconds = F.coalesce(F.col("as_of").cast("long"), F.lit(-(10**11)))
-        return tuple(prepared.agg(F.count("*"), F.min(seconds)).first())
+    def _peek(self, prepared: DataFrame) -> tuple[int, list[int]]:
+        """Number of records, and the days of events that are not late (calendar days, so few)."""
+        timed = prepared.withColumn("event_time", event_time(F.col("timestamp"), self.cfg))
+        in_time = ~F.coalesce(lag_seconds() > self.cfg.lateness_seconds, F.lit(False))
+        days = F.collect_set(F.when(in_time, event_day()))
+        return tuple(timed.agg(F.count("*"), days).first())
 
     def _summarise(self, tables: StreamTables, state: State, epoch: int) -> State:
         """Stores the result parts, publishes the messages and returns the next state."""
@@ -83,18 +82,11 @@ class Pipeline:
             F.sum("valid_count").alias("valid"),
             F.sum("dlq_count").alias("dlq"),
             F.coalesce(F.sum("window_total_amount"), F.lit(0.0)).alias("amount"),
-            F.max("newest_as_of").alias("newest_as_of"),
-            F.max("newest_event").alias("newest_event"),
         ).first()
-        live, expired = tables.next_live(
-            state, epoch, summary["newest_event"], summary["newest_as_of"], cfg
-        )
         after = State(
             cum_valid=state.cum_valid + summary["valid"],
             cum_dlq=state.cum_dlq + summary["dlq"],
             running_total=state.running_total + summary["amount"],
-            expired_before=expired,
-            live=live,
         )
         if self.publish is not None:
             counts = {cfg.valid_topic: summary["valid"], cfg.dlq_topic: summary["dlq"]}

@@ -3,32 +3,46 @@
 A micro-batch overwrites only its own folders and writes its state last, so a retried or
 replayed micro-batch leaves the same tables. Folders below the base:
 
-    records/epoch=N/is_valid=B   classified records
-    parts/epoch=N                parts of windows, batch metrics and totals
-    ledger/epoch=N               merged accepted keys, now and then
-    state/epoch=N                totals and live key folders handed to the next one
+    records/epoch=N/is_valid=B/day=D   classified records
+    parts/epoch=N                      parts of windows, batch metrics and totals
+    state/epoch=N                      totals handed to the next one
+
+The accepted keys are the valid records. They lie by the day of their event, so a
+micro-batch reads the days it has events of, and those kept apart because their event was
+far ahead of time.
 """
 
 from __future__ import annotations
 
 import json
-from dataclasses import asdict, dataclass, field, replace
+from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from eventguard.config import PipelineConfig
 from eventguard.schema import LEDGER, PARTS, PAYLOAD, STATE
 
+DAY = 86_400
+# The day of accepted events that are more than a day ahead of their processing time.
+AHEAD = 2_000_000_000
+# Longest list of days looked up one by one; beyond it, all days between first and last.
+DAYS_LISTED = 1_000
+
+
+def event_day() -> Column:
+    return F.floor(F.col("event_time").cast("long") / DAY).cast("int")
+
+
+def stored_day() -> Column:
+    """Where a record lies; rejected ones are not looked up and have no day."""
+    ahead = F.col("event_time").cast("long") > F.col("as_of").cast("long") + DAY
+    return F.when(F.col("is_valid"), F.when(ahead, F.lit(AHEAD)).otherwise(event_day()))
+
 
 @dataclass(frozen=True)
 class State:
     cum_valid: int = 0
     cum_dlq: int = 0
     running_total: float = 0.0
-    # Accepted keys older than this may be missing from the live folders.
-    expired_before: int | None = None
-    # (folder, newest event time in it)
-    live: list[tuple[str, int]] = field(default_factory=list)
 
 
 class StreamTables:
@@ -40,6 +54,7 @@ class StreamTables:
         self.record_schema = T.StructType([
             *carried.fields, *payload,
             T.StructField("epoch", T.LongType()), T.StructField("is_valid", T.BooleanType()),
+            T.StructField("day", T.IntegerType()),
         ])
 
     def path(self, table: str, epoch: int | None = None) -> str:
@@ -49,7 +64,7 @@ class StreamTables:
         df.write.mode("overwrite").parquet(self.path(table, epoch), partitionBy=by)
 
     def write_records(self, df: DataFrame, epoch: int) -> None:
-        self._write(df, "records", epoch, ["is_valid"])
+        self._write(df.withColumn("day", stored_day()), "records", epoch, ["is_valid", "day"])
 
     def write_parts(self, df: DataFrame, epoch: int) -> None:
         self._write(df, "parts", epoch)
@@ -66,58 +81,21 @@ class StreamTables:
         if epoch < 0:
             return State()
         row = self.spark.read.schema(STATE).parquet(self.path("state", epoch)).first()
-        values = row.asDict()
-        return State(**{**values, "live": [(e["path"], e["newest"]) for e in values["live"]]})
+        return State(**row.asDict())
 
     def save_state(self, state: State, epoch: int) -> None:
-        live = [{"path": path, "newest": newest} for path, newest in state.live]
-        text = F.lit(json.dumps({**asdict(state), "live": live}))
+        text = F.lit(json.dumps(asdict(state)))
         row = self.spark.range(0, 1, 1, 1).select(F.from_json(text, STATE).alias("state"))
         self._write(row.select("state.*"), "state", epoch)
 
-    def _live(self, state: State) -> DataFrame:
-        folders = [f"{self.base}/{folder}" for folder, _ in state.live]
-        return self.spark.read.schema(LEDGER).parquet(*folders)
+    def ledger(self, epoch: int, days: list[int]) -> DataFrame | None:
+        """Keys accepted before `epoch` whose event is of one of the days or was far ahead.
 
-    def ledger(
-        self, state: State, epoch: int, oldest: int, cfg: PipelineConfig
-    ) -> DataFrame | None:
-        """Keys accepted before `epoch` that a record of it may repeat.
-
-        A record that gets as far as this test is on time, so with `oldest` as the earliest
-        processing time of the micro-batch no older key can match.
+        A replay overwrites its epoch's records with all their days, and with them its keys.
         """
-        since = oldest - cfg.lateness_seconds
-        if state.expired_before is not None and since < state.expired_before:
-            # Time stepped back further than the slack: look at the records of all epochs.
-            keys = self.records().filter(F.col("is_valid") & (F.col("epoch") < epoch))
-        elif state.live:
-            keys = self._live(state)
-        else:
+        if epoch == 0:
             return None
-        in_time = F.col("event_time") >= F.timestamp_seconds(F.lit(since))
-        return keys.filter(in_time).select(*LEDGER.fieldNames())
-
-    def next_live(
-        self, state: State, epoch: int, newest_event: int | None, newest_as_of: int | None,
-        cfg: PipelineConfig,
-    ) -> tuple[list[tuple[str, int]], int | None]:
-        """Key folders kept after `epoch` and the time before which keys were given up.
-
-        A folder can go once its newest event is late by more than the slack. Events far
-        ahead of time would keep many folders; these are merged into one that holds only
-        the keys still needed.
-        """
-        live, expired = list(state.live), state.expired_before
-        if newest_event is not None:
-            live.append((f"records/epoch={epoch}/is_valid=true", newest_event))
-        if newest_as_of is None:  # no record had a processing time
-            return live, expired
-        horizon = newest_as_of - cfg.lateness_seconds - cfg.ledger_slack_seconds
-        expired = horizon if expired is None else max(expired, horizon)
-        live = [entry for entry in live if entry[1] >= expired]
-        if len(live) > cfg.ledger_compact_after:
-            needed = F.col("event_time") >= F.timestamp_seconds(F.lit(expired))
-            self._write(self._live(replace(state, live=live)).filter(needed), "ledger", epoch)
-            live = [(f"ledger/epoch={epoch}", max(newest for _, newest in live))]
-        return live, expired
+        day = F.col("day")
+        same = day.isin(days) if len(days) <= DAYS_LISTED else day.between(min(days), max(days))
+        keys = self.records().filter(F.col("is_valid") & (F.col("epoch") < epoch))
+        return keys.filter(same | (day == AHEAD)).select(*LEDGER.fieldNames())

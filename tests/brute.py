@@ -51,7 +51,7 @@ def verdicts(records):
             reason = rules.SOURCE_UNKNOWN
         elif repeat:
             reason = rules.REPEAT_IN_BATCH
-        elif as_of - event > 180:
+        elif as_of is not None and as_of - event > 180:
             reason = rules.LATE
         elif (user, stamp) in accepted:
             reason = rules.REPEAT_ACROSS

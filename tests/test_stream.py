@@ -91,49 +91,73 @@ def test_empty_batch_hands_state_on(spark):
     assert [r["batch_id"] for r in merge_batch_metrics(tables.parts()).orderBy("batch_id").collect()] == [0, 2]
 
 
-def test_keys_expire_and_far_future_keys_are_merged(spark):
-    """Each micro-batch has one key far ahead of time; old folders go, its keys stay."""
-    cfg = replace(CFG, ledger_slack_seconds=0, ledger_compact_after=2)
-    ahead = stamp(NOW + 10**6)
+def day_rows(days, extra=()):
+    """Each micro-batch, a day apart, has a key of its own and repeats one of its own day."""
     rows = []
-    for batch in range(6):
-        as_of = NOW + 1000 * batch
-        rows += [
-            record(10 * batch, batch, f"F{batch}", ahead, as_of),
-            record(10 * batch + 1, batch, "F0", ahead, as_of),
-            record(10 * batch + 2, batch, "N", stamp(as_of), as_of),
-        ]
-    tables = feed(spark, Pipeline(cfg, work_dir(spark, "t")), rows)
+    for day in range(days):
+        as_of = NOW + day * 86_400
+        rows += [record(10 * day, day, f"D{day}", stamp(as_of), as_of),
+                 record(10 * day + 1, day, f"D{day}", stamp(as_of), as_of)]
+    return sorted([*rows, *extra])
+
+
+ODD_TIMES = [
+    record(5, 0, "X", stamp(NOW), NOW + 10**8),  # processing time far ahead: late
+    record(6, 0, "F", stamp(NOW + 10**7), NOW),  # event far ahead
+    record(15, 1, "P", stamp(NOW + 86_400), NOW - 10**8),  # processing time far back
+    record(16, 1, "N", stamp(NOW - 10**7), None),  # none at all: never late
+    record(25, 2, "F", stamp(NOW + 10**7), NOW + 2 * 86_400),
+    record(26, 2, "N", stamp(NOW - 10**7), None),
+    record(27, 2, "P", stamp(NOW + 86_400), None),
+]
+
+
+def test_ledger_reads_the_days_of_the_batch(spark):
+    """Odd times in the first micro-batches do not make the later ones read more and more."""
+    rows = day_rows(6, ODD_TIMES)
+    pipeline = Pipeline(CFG, work_dir(spark, "t"))
+    tables = feed(spark, pipeline, rows)
     assert reasons(tables) == verdicts(rows)
-    state = tables.load_state(5)
-    assert len(state.live) <= 2
-    assert any(path.startswith("ledger/") for path, _ in state.live)
-    assert state.expired_before is not None
+    read = []
+    for epoch in range(1, 6):
+        day = (NOW + epoch * 86_400) // 86_400
+        keys = tables.ledger(epoch, [day])
+        assert "PartitionFilters: [isnotnull(is_valid" in keys._jdf.queryExecution().toString()
+        read.append(keys.select(F.input_file_name()).distinct().count())
+    assert read[-1] == read[2] <= 3
+
+
+def test_replay_replaces_its_keys(spark):
+    """A replay that accepts events of fewer days leaves no key of its first run."""
+    pipeline = Pipeline(CFG, work_dir(spark, "t"))
+    first = [record(0, 0, "A", stamp(NOW), NOW), record(1, 0, "B", stamp(NOW + 86_400), NOW)]
+    feed(spark, pipeline, first)
+    again = [*first[:1], record(2, 1, "B", stamp(NOW + 86_400), NOW + 86_400)]
+    tables = feed(spark, pipeline, again)
+    assert reasons(tables) == verdicts(again)
 
 
 def test_clock_that_steps_back(spark):
-    """A key whose folder was given up is still known when the time steps back."""
-    cfg = replace(CFG, ledger_slack_seconds=0)
+    """A key of an earlier day is still known when the time steps back."""
     rows = [
         record(0, 0, "A", stamp(NOW), NOW),
-        record(1, 1, "B", stamp(NOW + 5000), NOW + 5000),
+        record(1, 1, "B", stamp(NOW + 500_000), NOW + 500_000),
         record(2, 2, "A", stamp(NOW), NOW + 100),
+        record(3, 2, "B", stamp(NOW + 500_000), NOW + 100),
     ]
-    tables = feed(spark, Pipeline(cfg, work_dir(spark, "t")), rows)
-    assert tables.load_state(1).live == [("records/epoch=1/is_valid=true", NOW + 5000)]
+    tables = feed(spark, Pipeline(CFG, work_dir(spark, "t")), rows)
     assert reasons(tables) == verdicts(rows)
 
 
 def test_record_without_processing_time(spark):
     """Such a record is never late, so it can repeat a key of any age."""
-    cfg = replace(CFG, ledger_slack_seconds=0)
     rows = [
         record(0, 0, "A", stamp(NOW), NOW),
         record(1, 1, "B", stamp(NOW + 5000), NOW + 5000),
         record(2, 2, "A", stamp(NOW), None),
         record(3, 2, "C", stamp(NOW), None),
     ]
-    found = reasons(feed(spark, Pipeline(cfg, work_dir(spark, "t")), rows))
+    found = reasons(feed(spark, Pipeline(CFG, work_dir(spark, "t")), rows))
     assert [found[n] for n in range(4)] == [None, None, REPEAT_ACROSS, None]
 
 
