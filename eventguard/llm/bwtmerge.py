@@ -6,7 +6,8 @@ rows of all parts start in one bucket, and each round deals the rows of a bucket
 symbol in front of them, each part's rows staying in their order. After d rounds a bucket
 holds the suffixes with equal first d symbols, so the round in which a row is left alone in
 its bucket is its longest common prefix with any other row. Rows left alone stay alone and
-take no part in later rounds; no suffix of one part is compared with one of another.
+take no part in later rounds, nor do rows too near the start of their stretch for a string
+of the length sought; no suffix of one part is compared with one of another.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ class ByteConfig:
 
 @dataclass(frozen=True)
 class Transform:
-    """Rows of sorted suffixes: the symbol in front (0: a stretch begins), the row of the
+    """Rows of sorted suffixes: the byte in front (any, where a stretch begins), the row of the
     suffix that begins with it, and where in the stretches the row's own suffix begins."""
 
     front: np.ndarray
@@ -60,30 +61,33 @@ def transform(stretches: list[bytes], numbers: list[int]) -> Transform:
     row = np.empty_like(order)
     row[order] = np.arange(len(order))
     owner = np.repeat(np.arange(n), sizes + 1)
-    front = np.maximum(flat[order - 1] - n + 1, 0).astype(np.uint16)
-    front[order == 0] = 0
+    front = np.maximum(flat[order - 1] - n, 0).astype(np.uint8)
     return Transform(
         front, row[order - 1], np.array(numbers, np.int64)[owner[order]], order - (ends - sizes)[owner[order]]
     )
 
 
 def common_prefixes(parts: list[Transform], most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Stretch, place and longest common prefix with another suffix, up to `most`, of every suffix."""
+    """Stretch, place and longest common prefix with another suffix, up to `most`, of suffixes.
+
+    In each round a row moves to the suffix one symbol longer, so only rows that start with
+    `most` symbols of their stretch in front of them get far enough; the others stay at 0.
+    """
     offsets = np.cumsum([0, *[len(p.front) for p in parts]])
     front = np.concatenate([p.front for p in parts])
-    previous = np.concatenate([p.previous + at for p, at in zip(parts, offsets)])
+    previous = np.concatenate([p.previous + at for p, at in zip(parts, offsets)]).astype(np.int32)
+    stretch, place = np.concatenate([p.stretch for p in parts]), np.concatenate([p.place for p in parts])
     common = np.zeros(len(front), np.int32)
     # The interleave: rows in the order of what is known of them, and where buckets begin.
-    rows, begins = np.arange(len(front)), np.zeros(len(front), bool)
+    rows = np.flatnonzero(place >= most).astype(np.int32)
+    begins = np.zeros(len(rows), bool)
     begins[:1] = True
     for depth in range(1, most + 1):
         symbol = front[rows]
-        # A stretch ends before it begins again: suffixes of ends are never alike.
-        inside = np.flatnonzero(symbol > 0)
-        bucket = np.cumsum(begins)[inside]
-        deal = np.argsort(symbol[inside], kind="stable")
-        symbol, bucket = symbol[inside][deal], bucket[deal]
-        rows = previous[rows[inside][deal]]
+        bucket = np.cumsum(begins, dtype=np.int32)
+        deal = np.argsort(symbol, kind="stable")
+        symbol, bucket = symbol[deal], bucket[deal]
+        rows = previous[rows[deal]]
         begins = np.ones(len(rows), bool)
         begins[1:] = (symbol[1:] != symbol[:-1]) | (bucket[1:] != bucket[:-1])
         alone = begins.copy()
@@ -92,7 +96,7 @@ def common_prefixes(parts: list[Transform], most: int) -> tuple[np.ndarray, np.n
         common[rows] = depth
         if not len(rows):
             break
-    return np.concatenate([p.stretch for p in parts]), np.concatenate([p.place for p in parts]), common
+    return stretch, place, common
 
 
 def repeated_strings(contents: list[bytes], counts: np.ndarray, cfg: ByteConfig) -> list[list[tuple[int, int]]]:
