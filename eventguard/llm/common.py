@@ -74,3 +74,9 @@ def in_chunks(
     if start < len(lengths):
         part = texts.slice(start)
         yield part, _bytes(part.column(name))
+
+
+def buckets_for(df: DataFrame, text: str, size: int = 64 << 20, least: int = 64) -> int:
+    """Power of two that gives each bucket of a counting exchange about `size` bytes of text."""
+    total = df.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
+    return max(least, 1 << (total // size).bit_length())

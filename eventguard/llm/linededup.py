@@ -164,17 +164,13 @@ def candidate_links(lines: DataFrame, buckets: int, cfg: LineConfig) -> DataFram
             band, who, a, b = _leaders(band, np.repeat(h, cfg.bands))
             place = (band >> np.uint64(16)) % np.uint64(buckets)
             order = np.argsort(place, kind="stable")
-            ends = np.searchsorted(place[order], np.arange(buckets + 1))
-            blobs = [
-                np.stack([band[o], who[o]]).tobytes()
-                for o in (order[ends[k]:ends[k + 1]] for k in range(buckets))
-            ]
+            filled, first = np.unique(place[order], return_index=True)
+            blobs = [np.stack([band[o], who[o]]).tobytes() for o in np.split(order, first[1:])]
             a, b = links(a, b)
-            none = [None] * len(a)
+            none, blank = [None] * len(a), [None] * len(blobs)
             return pa.RecordBatch.from_arrays([
-                pa.array([*range(buckets), *none], pa.int32()), pa.array([*blobs, *none], pa.binary()),
-                pa.array([*[None] * buckets, *a.tolist()], pa.int64()),
-                pa.array([*[None] * buckets, *b.tolist()], pa.int64()),
+                pa.array([*filled.tolist(), *none], pa.int32()), pa.array([*blobs, *none], pa.binary()),
+                pa.array([*blank, *a.tolist()], pa.int64()), pa.array([*blank, *b.tolist()], pa.int64()),
             ], names=["bucket", "blob", "a", "b"])
 
         ids, bands, held = [], [], 0

@@ -26,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from eventguard.llm.common import fresh, in_chunks, stored, utf8
+from eventguard.llm.common import buckets_for, fresh, in_chunks, stored, utf8
 from eventguard.llm.components import components
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -115,12 +115,16 @@ def _unpack(blob: bytes, n: int) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint32).reshape(-1), dtype=np.uint32)
 
 
-def _chunk_numbers(grams: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct bucket numbers of a chunk, where each bucket starts, and each token's place."""
+def _chunk_numbers(grams: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct bucket numbers of a chunk, each behind its bucket, and each token's place."""
     bucket, number = _classes(grams, buckets)
-    keys, back = np.unique((bucket.astype(np.uint64) << np.uint64(32)) | number, return_inverse=True)
-    starts = np.searchsorted(keys, np.arange(buckets + 1, dtype=np.uint64) << np.uint64(32))
-    return keys, starts, back
+    return np.unique((bucket.astype(np.uint64) << np.uint64(32)) | number, return_inverse=True)
+
+
+def _filled(keys: np.ndarray) -> list[tuple[int, int, int]]:
+    """The buckets that have numbers in a chunk, and where these lie."""
+    bucket, first = np.unique(keys >> np.uint64(32), return_index=True)
+    return list(zip(bucket.astype(np.int64).tolist(), first.tolist(), [*first[1:].tolist(), len(keys)]))
 
 
 def _distinct_sets(grams: np.ndarray, sizes: np.ndarray) -> tuple[list[bytes], np.ndarray]:
@@ -146,9 +150,9 @@ def _documents(df: DataFrame, keep: list[str], text: str, buckets: int, cfg: Joi
             for chunk, texts in in_chunks(part, raw, cfg.chunk):
                 grams, sizes = shingler(texts)
                 sums, counted = _distinct_sets(grams, sizes)
-                keys, starts, back = _chunk_numbers(counted, buckets)
+                keys, back = _chunk_numbers(counted, buckets)
                 times = np.minimum(np.bincount(back, minlength=len(keys)), 255).astype(np.uint8)
-                own = [(k, starts[k], starts[k + 1]) for k in range(buckets) if starts[k] < starts[k + 1]]
+                own = _filled(keys)
                 n, m = len(texts), len(own)
                 number = base + count
                 count += n
@@ -249,10 +253,10 @@ def _indexed(cfg: JoinConfig, buckets: int):
         docs = docs.sort_values("_rid")
         grams, sizes = Shingler(cfg)([bytes(t) for t in docs["_text"]])
         _, counted = _distinct_sets(grams, sizes)
-        keys, starts, _ = _chunk_numbers(counted, buckets)
-        times = np.ones(len(keys), np.uint8)
+        keys, _ = _chunk_numbers(counted, buckets)
+        times, places = np.ones(len(keys), np.uint8), {k: (a, b) for k, a, b in _filled(keys)}
         for bucket, blob in zip(found["_bucket"], found["_found"]):
-            a, b = starts[bucket], starts[bucket + 1]
+            a, b = places[bucket]
             times[a:b] = np.frombuffer(
                 pa.decompress(blob, decompressed_size=int(b - a), codec="zstd", asbytes=True), np.uint8
             )
@@ -356,7 +360,7 @@ def drop_similar(
 
 
 def _links(df: DataFrame, keep: list[str], text: str, cfg: JoinConfig) -> tuple[DataFrame, DataFrame, DataFrame]:
-    buckets = 64
+    buckets = buckets_for(df, text)
     table = stored(_documents(df, keep, text, buckets, cfg), "sets")
     counts = table.filter("_bucket IS NOT NULL").select("_chunk", "_bucket", "_numbers", "_times", "_count")
     found = counts.groupBy("_bucket").applyInPandas(_occurrences, "_chunk long, _bucket int, _found binary")

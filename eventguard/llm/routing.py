@@ -21,12 +21,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from eventguard.llm.common import in_chunks, stored, utf8
-from eventguard.llm.ngramjoin import _chunk_numbers, _pack, _unpack, mix
+from eventguard.llm.common import buckets_for, in_chunks, stored, utf8
+from eventguard.llm.ngramjoin import _chunk_numbers, _filled, _pack, _unpack, mix
 
 _A = np.uint64(0x9E3779B97F4A7C15)
 _BYTES = mix(np.arange(1, 257, dtype=np.uint64) * _A)
-BUCKETS = 64
 
 
 @dataclass(frozen=True)
@@ -114,7 +113,7 @@ _NAMES = [f.split()[0] for f in _SCHEMA.split(", ")]
 _KINDS = (pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.int64())
 
 
-def _chunked(df: DataFrame, keep: list[str], text: str, cfg: RouteConfig) -> DataFrame:
+def _chunked(df: DataFrame, keep: list[str], text: str, buckets: int, cfg: RouteConfig) -> DataFrame:
     """Texts in chunks with a number each, and each chunk's counts of anchors."""
     rows = df.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], utf8(F.col(text)).alias("_raw"))
     inner = [f"k{i}" for i in range(len(keep))]
@@ -126,9 +125,8 @@ def _chunked(df: DataFrame, keep: list[str], text: str, cfg: RouteConfig) -> Dat
         for part in parts:
             for chunk, texts in in_chunks(part, "_raw", cfg.chunk):
                 _, hashes, _, _ = anchors(Symbols(texts, cfg.words), cfg)
-                keys, starts, back = _chunk_numbers(hashes, BUCKETS)
-                times = np.bincount(back, minlength=len(keys)).astype(np.uint32)
-                own = [(k, starts[k], starts[k + 1]) for k in range(BUCKETS) if starts[k] < starts[k + 1]]
+                keys, back = _chunk_numbers(hashes, buckets)
+                times, own = np.bincount(back, minlength=len(keys)).astype(np.uint32), _filled(keys)
                 n, m, number = len(texts), len(own), base + count
                 count += n
                 low = (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32)
@@ -168,7 +166,7 @@ def _occurrences(rows: pd.DataFrame) -> pd.DataFrame:
     })
 
 
-def _stretches(cfg: RouteConfig):
+def _stretches(buckets: int, cfg: RouteConfig):
     """Stretches of a chunk whose anchor occurs again, with where they are in which texts."""
 
     def cut(docs: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
@@ -177,10 +175,10 @@ def _stretches(cfg: RouteConfig):
         at, hashes, first, last = anchors(symbols, cfg)
         out: dict[tuple[int, bytes], list[tuple[int, int]]] = {}
         if len(at):
-            keys, starts, back = _chunk_numbers(hashes, BUCKETS)
-            times = np.ones(len(keys), np.uint32)
+            keys, back = _chunk_numbers(hashes, buckets)
+            times, lie = np.ones(len(keys), np.uint32), {k: (a, b) for k, a, b in _filled(keys)}
             for bucket, blob in zip(found["_bucket"], found["_found"]):
-                a, b = starts[bucket], starts[bucket + 1]
+                a, b = lie[bucket]
                 times[a:b] = np.frombuffer(
                     pa.decompress(blob, decompressed_size=4 * int(b - a), codec="zstd", asbytes=True), np.uint32
                 )
@@ -214,14 +212,15 @@ def repeated_intervals(df: DataFrame, keep: list[str], text: str, cfg: RouteConf
     each the intervals (start, end) of symbols that windows which occur again cover. `_spans`
     holds the intervals of a text as int64 pairs in a binary, null where there are none.
     """
-    table = _chunked(df, keep, text, cfg)
+    buckets = buckets_for(df, text)
+    table = _chunked(df, keep, text, buckets, cfg)
     docs = table.filter("_bucket IS NULL")
     found = table.filter("_bucket IS NOT NULL").select("_chunk", "_bucket", "_numbers", "_times", "_count").groupBy(
         "_bucket"
     ).applyInPandas(_occurrences, "_chunk long, _bucket int, _found binary")
     stretches = stored(
         docs.select("_chunk", "_rid", "_text").groupBy("_chunk").cogroup(found.groupBy("_chunk")).applyInPandas(
-            _stretches(cfg), "key long, size int, content binary, places binary"
+            _stretches(buckets, cfg), "key long, size int, content binary, places binary"
         ), "stretches",
     )
     size = stretches.agg(F.sum("size")).first()[0] or 0
