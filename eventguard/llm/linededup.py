@@ -7,11 +7,15 @@ the first line in document order is kept.
 
 Equal lines count as one line from the start. Within a task, lines that share a band are
 linked to one of them, and only that one meets those of other tasks, so a band that very
-many lines share is neither gathered nor paired out.
+many lines share is neither gathered nor paired out. Where such a link does not hold and
+leaves its lines in different components, the other lines of their bands are compared with
+each other too, a large band block by block. What shares a band is thus either compared or
+in one component already.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,6 +41,8 @@ class LineConfig:
     least_chars: int = 30
     # Bands in one bucket of the exchange, about.
     bucket: int = 400_000
+    # Lines of a band compared in a task at a time.
+    block: int = 1500
 
     @property
     def size(self) -> int:
@@ -211,7 +217,8 @@ def jaccard(a: str, b: str, width: int) -> float:
     return len(x & y) / len(x | y) if x or y else 1.0
 
 
-def _verified(pairs: DataFrame, lines: DataFrame, docs: DataFrame, rid: str, text: str, cfg: LineConfig) -> DataFrame:
+def _texts(pairs: DataFrame, lines: DataFrame, docs: DataFrame, rid: str, text: str) -> DataFrame:
+    """h, text: the lines that occur in pairs."""
     need = pairs.select(F.col("a").alias("h")).unionByName(pairs.select(F.col("b").alias("h"))).distinct()
     firsts = lines.join(need, "h").groupBy("h").agg(F.min(F.struct("rid", "line")).alias("at"))
     wanted = firsts.groupBy(F.col("at.rid").alias(rid)).agg(
@@ -220,10 +227,14 @@ def _verified(pairs: DataFrame, lines: DataFrame, docs: DataFrame, rid: str, tex
     cut = let(F.split(F.col(text), "\n"), lambda ls: F.transform(
         F.col("wanted"), lambda w: F.struct(w["h"].alias("h"), F.get(ls, w["line"]).alias("text"))
     ))
-    texts = stored(
+    return stored(
         docs.select(rid, text).join(wanted, rid).select(F.explode(cut).alias("l")).select("l.*")
         .dropDuplicates(["h"]), "linetexts",
     )
+
+
+def _checked(pairs: DataFrame, texts: DataFrame, cfg: LineConfig) -> DataFrame:
+    """The pairs, and whether they are similar."""
     both = pairs.join(texts.select(F.col("h").alias("a"), F.col("text").alias("ta")), "a").join(
         texts.select(F.col("h").alias("b"), F.col("text").alias("tb")), "b"
     )
@@ -234,9 +245,106 @@ def _verified(pairs: DataFrame, lines: DataFrame, docs: DataFrame, rid: str, tex
                 jaccard(x.as_py(), y.as_py(), cfg.shingle) >= cfg.similarity
                 for x, y in zip(part.column("ta"), part.column("tb"))
             ]
-            yield part.select(["a", "b"]).filter(pa.array(like, pa.bool_()))
+            yield part.select(["a", "b"]).append_column("like", pa.array(like, pa.bool_()))
+
+    return both.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long, like boolean")
+
+
+def links_between(texts: list[str], groups: list[int], cfg: LineConfig) -> list[tuple[int, int]]:
+    """Links of similar texts that connect whatever groups have such texts."""
+    sets = [np.unique(shingle_hashes(
+        np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64), cfg.shingle
+    )) for t in texts]
+    sizes = np.array([len(s) for s in sets], np.int64)
+    tokens, back = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(back, kind="stable")
+    members, starts = owner[order], np.searchsorted(back[order], np.arange(len(tokens) + 1))
+    ends = np.cumsum(sizes)
+    parent = {g: g for g in groups}
+
+    def root(g: int) -> int:
+        while parent[g] != g:
+            parent[g] = parent[parent[g]]
+            g = parent[g]
+        return g
+
+    # Of two texts of different groups, one at least is outside the largest.
+    largest = Counter(groups).most_common(1)[0][0]
+    links = []
+    for i, group in enumerate(groups):
+        if group == largest or not sizes[i]:
+            continue
+        own = back[ends[i] - sizes[i]:ends[i]].tolist()
+        common = np.bincount(np.concatenate([members[starts[t]:starts[t + 1]] for t in own]), minlength=len(sets))
+        near = np.flatnonzero(common / (sizes[i] + sizes - common) >= cfg.similarity)
+        for j in near.tolist():
+            a, b = root(group), root(groups[j])
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                links.append((i, j))
+    return links
+
+
+def _others_linked(
+    parted: DataFrame, pairs: DataFrame, groups: DataFrame, lines: DataFrame, texts: DataFrame, cfg: LineConfig
+) -> DataFrame:
+    """Links between the groups of `parted` (a, b) by whatever lines of theirs share a band."""
+    clusters = components(parted, "a", "b").select(F.col("node").alias("group"))
+    ends = pairs.select(F.col("a").alias("h")).unionByName(pairs.select(F.col("b").alias("h"))).distinct()
+    members = ends.join(groups, "h", "left").select("h", F.coalesce("group", "h").alias("group")).join(
+        clusters, "group", "left_semi"
+    )
+
+    def each(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            raw = b"".join(part.column("bands").to_pylist())
+            take = pa.array(np.repeat(np.arange(part.num_rows), cfg.bands))
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.frombuffer(raw, np.int64)), part.column("h").take(take), part.column("group").take(take),
+            ], names=["band", "h", "group"])
+
+    banded = lines.filter(F.col("bands").isNotNull()).select("h", "bands").join(members, "h").dropDuplicates(["h"])
+    entries = stored(
+        banded.select("h", "group", "bands").mapInArrow(each, "band long, h long, group long"), "bands"
+    )
+    # Only bands in which several groups meet; the larger ones are compared block by block.
+    several = entries.groupBy("band").agg(
+        F.count("*").alias("n"), F.min("group").alias("low"), F.max("group").alias("high")
+    ).filter("low < high")
+    blocks = F.ceil(F.col("n") / F.lit(cfg.block)).cast("int")
+    mine = F.pmod(F.xxhash64("h"), blocks.cast("long")).cast("int")
+    tasks = F.transform(F.sequence(F.lit(0), blocks - 1), lambda j: F.concat_ws(
+        "-", F.col("band").cast("string"), F.least(mine, j).cast("string"), F.greatest(mine, j).cast("string")
+    ))
+    placed = entries.join(several, "band").select("h", "group", F.explode(tasks).alias("task")).join(texts, "h")
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        hs = rows["h"].tolist()
+        found = links_between(rows["text"].tolist(), rows["group"].tolist(), cfg)
+        return pd.DataFrame([(hs[i], hs[j]) for i, j in found], columns=["a", "b"]).astype("int64")
+
+    return placed.groupBy("task").applyInPandas(compare, "a long, b long")
 
-    return both.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long")
+
+def similar_components(
+    pairs: DataFrame, lines: DataFrame, docs: DataFrame, rid: str, text: str, cfg: LineConfig
+) -> DataFrame:
+    """node, component: of the lines that are similar, through others or directly."""
+    texts = _texts(pairs, lines, docs, rid, text)
+    checked = stored(_checked(pairs, texts, cfg), "checked")
+    found = components(checked.filter("like"), "a", "b")
+    groups = found.select(F.col("node").alias("h"), F.col("component").alias("group"))
+    of = lambda end: groups.select(F.col("h").alias(end), F.col("group").alias(f"g{end}"))
+    parted = stored(
+        checked.filter("NOT like").join(of("a"), "a", "left").join(of("b"), "b", "left")
+        .select(F.coalesce("ga", "a").alias("a"), F.coalesce("gb", "b").alias("b")).filter("a != b"), "parted",
+    )
+    if parted.isEmpty():
+        return found
+    more = _others_linked(parted, pairs, groups, lines, texts, cfg)
+    # With the links found before as stars.
+    return components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more), "a", "b")
 
 
 def repeated_lines(df: DataFrame, order: list[str], text: str, cfg: LineConfig) -> tuple[DataFrame, DataFrame, str]:
@@ -254,7 +362,7 @@ def repeated_lines(df: DataFrame, order: list[str], text: str, cfg: LineConfig)
     n = lines.count()
     buckets = max(16, n * cfg.bands // cfg.bucket)
     pairs = stored(candidate_links(lines, buckets, cfg), "pairs")
-    found = components(_verified(pairs, lines, docs, rid, text, cfg), "a", "b")
+    found = similar_components(pairs, lines, docs, rid, text, cfg)
     keys = [F.col(name).alias(f"k{i}") for i, name in enumerate(order)]
     ranked = docs.select(F.col(rid).alias("rid"), *keys).distinct()
     named = (

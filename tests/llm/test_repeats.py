@@ -79,6 +79,33 @@ def test_equal_rows_count_as_one(spark):
     assert sorted((r["doc_id"] is None, r["removed"]) for r in rows) == [(False, [0]), (True, []), (True, [])]
 
 
+def templated_lines(seed=13, families=160):
+    """Lines of one template, mostly at similarity 0.6 to 0.7, of which some have a near copy."""
+    rng = random.Random(seed)
+    letters = "abcdefghijklmnopqrstuvwxyz "
+    base = "".join(rng.choices(letters, k=240))
+
+    def edited(line, places):
+        for at in rng.sample(range(len(line)), places):
+            line = line[:at] + rng.choice("0123456789") + line[at + 1:]
+        return line
+
+    lines = [edited(base, 3) for _ in range(families)]
+    lines += [edited(line, 2) for line in lines[:families // 4]]
+    rng.shuffle(lines)
+    return lines
+
+
+@pytest.mark.parametrize("block", [1500, 7])
+def test_near_copies_among_lines_of_one_template(spark, block):
+    """Lines that share a band are compared even if neither is similar to the line that leads it."""
+    texts = dict(enumerate(templated_lines()))
+    cfg = LineConfig(block=block)
+    expected = brute.repeated_lines(texts, cfg.shingle, cfg.similarity, cfg.least_chars)
+    found = find_repeated_lines(brute.documents(spark, list(texts.values())), cfg=cfg).collect()
+    assert {r["doc_id"]: r["removed"] for r in found} == expected
+
+
 # sets of n-grams
 
 @pytest.mark.parametrize("ngram, pct", [(3, 90), (5, 80)])
