@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from eventguard.llm.codec import encode_texts
 from eventguard.llm.common import table, work_dir
 from eventguard.llm.decontaminate import drop_leaks
-from eventguard.llm.linededup import drop_repeated_lines
+from eventguard.llm.linededup import LineConfig, drop_repeated_lines
 from eventguard.llm.ngramjoin import drop_similar
 from eventguard.llm.quality import keep_good
 
@@ -19,7 +19,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the first of each group of like lines; a document with no line left goes."""
-    return drop_repeated_lines(docs, length="n_chars")
+    return drop_repeated_lines(docs, length="n_chars", cfg=LineConfig(short_repeats=True))
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -30,6 +30,8 @@ from eventguard.llm.components import components
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
+_SPACE = " \t\n\v\f\r"
+
 
 @dataclass(frozen=True)
 class LineConfig:
@@ -37,8 +39,10 @@ class LineConfig:
     similarity: float = 0.8
     bands: int = 12
     rows: int = 4
-    # Shorter lines are never compared and always stay.
+    # Shorter lines are never compared by shingles.
     least_chars: int = 30
+    # Whether shorter lines that are not blank go when they repeat exactly; else they always stay.
+    short_repeats: bool = False
     # Bands in one bucket of the exchange, about.
     bucket: int = 400_000
     # Lines of a band compared in a task at a time.
@@ -107,7 +111,7 @@ def band_values(table: np.ndarray, cfg: LineConfig) -> np.ndarray:
 
 
 def _line_table(docs: DataFrame, rid: str, raw: str, cfg: LineConfig) -> DataFrame:
-    """rid, line, h: every line long enough; bands: with its first occurrence in a task's chunk."""
+    """rid, line, h: every line that may go; bands: of lines to be compared, with their first occurrence in a task's chunk."""
 
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -116,10 +120,11 @@ def _line_table(docs: DataFrame, rid: str, raw: str, cfg: LineConfig) -> DataFra
                 first: list[int] = []
                 for row, text in zip(chunk.column(rid).to_pylist(), texts):
                     for k, line in enumerate(text.decode().split("\n")):
-                        if len(line) < cfg.least_chars:
+                        short = len(line) < cfg.least_chars
+                        if short and not (cfg.short_repeats and line.strip(_SPACE)):
                             continue
                         h = xxhash.xxh3_64_intdigest(line.encode())
-                        if h not in seen:
+                        if not short and h not in seen:
                             seen.add(h)
                             first.append(len(rids))
                             lines.append(line)
@@ -129,9 +134,10 @@ def _line_table(docs: DataFrame, rid: str, raw: str, cfg: LineConfig) -> DataFra
                 if not rids:
                     continue
                 bands: list[bytes | None] = [None] * len(rids)
-                values = band_values(signatures(lines, cfg), cfg)
-                for at, own in zip(first, values):
-                    bands[at] = own.tobytes()
+                if lines:
+                    values = band_values(signatures(lines, cfg), cfg)
+                    for at, own in zip(first, values):
+                        bands[at] = own.tobytes()
                 yield pa.RecordBatch.from_arrays([
                     pa.array(rids, pa.int64()), pa.array(places, pa.int32()),
                     pa.array(np.array(found, np.uint64).view(np.int64)), pa.array(bands, pa.binary()),

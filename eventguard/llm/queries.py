@@ -14,7 +14,7 @@ from eventguard.llm.decontaminate import find_leaks
 from eventguard.llm.fmindex import SubstringConfig, remove_repeats
 from eventguard.llm.html import extract_text
 from eventguard.llm.langid import LangConfig, learn, predict_language
-from eventguard.llm.linededup import find_repeated_lines
+from eventguard.llm.linededup import LineConfig, find_repeated_lines
 from eventguard.llm.ngramjoin import JoinConfig, similar_groups
 from eventguard.llm.quality import score_quality
 
@@ -44,7 +44,7 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find_repeated_lines(table(spark, sf_dir, "documents"))
+    return find_repeated_lines(table(spark, sf_dir, "documents"), cfg=LineConfig(short_repeats=True))
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

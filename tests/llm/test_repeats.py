@@ -8,10 +8,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from eventguard.llm import bwtmerge, fmindex
 from eventguard.llm.components import components
 from eventguard.llm.linededup import LineConfig, drop_repeated_lines, find_repeated_lines
 from eventguard.llm.ngramjoin import JoinConfig, drop_similar, similar_groups
+from eventguard.llm.queries import op5_line_dedup
 from eventguard.llm.routing import RouteConfig
 from tests.llm import brute
 
@@ -106,6 +108,16 @@ def test_near_copies_among_lines_of_one_template(spark, block):
     assert {r["doc_id"]: r["removed"] for r in found} == expected
 
 
+def test_short_lines_repeat_exactly(spark, tmp_path):
+    texts = ["All rights reserved.\na\n\n \t\nb", "a\nAll rights reserved!\n\nAll rights reserved.", "a", "\n \t"]
+    brute.documents(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = op5_line_dedup(spark, str(tmp_path)).collect()
+    assert {r["doc_id"]: r["removed"] for r in rows} == {0: [], 1: [0, 3], 2: [0], 3: []}
+    stage = dict(corpus_pipeline.STAGES)["line dedup"]
+    kept = stage(spark, brute.documents(spark, texts), "").collect()
+    assert {r["doc_id"]: r["text"] for r in kept} == {0: texts[0], 1: "All rights reserved!\n", 3: texts[3]}
+
+
 # sets of n-grams
 
 @pytest.mark.parametrize("ngram, pct", [(3, 90), (5, 80)])
