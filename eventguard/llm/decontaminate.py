@@ -4,8 +4,9 @@ Texts and benchmark items are brought to templates: words in lower case without
 punctuation, with placeholders for numbers, for names (capitalised inside a sentence) and
 for units behind a number. Windows of a template are looked up by hash among the windows of
 the items. Where text and item line up, the slots are compared: one value of the item must
-stand for one value of the text throughout. An item is found in a text if enough of its
-windows are.
+stand for one value of the text throughout. Windows of the words themselves are looked up
+beside the templates, so copies are found whatever their capitals, and also where a window
+is mostly placeholders. An item is found in a text if enough of its windows are.
 
 Benchmark windows go to all tasks in blocks of `block_windows`, whatever the benchmark's
 size; each block is a pass over the texts. No text is shuffled.
@@ -75,6 +76,7 @@ class Templates:
         self.place: dict[str, int] = {}
         self.values: list[str] = []
         self.hashes: list[int] = []
+        self.literal: list[int] = []  # of the values, also where a placeholder stands
         self.kinds: list[int] = []
         self.flags: list[int] = []  # 1: may be a name, 2: may be a unit, 4: ends a sentence, 8: no word
 
@@ -95,7 +97,8 @@ class Templates:
             flags |= 4
         self.place[raw] = len(self.values)
         self.values.append(value)
-        self.hashes.append(_SLOT_HASH[NUM] if kind == NUM else _hash(value))
+        self.literal.append(_hash(value))
+        self.hashes.append(_SLOT_HASH[NUM] if kind == NUM else self.literal[-1])
         self.kinds.append(kind)
         self.flags.append(flags)
 
@@ -144,7 +147,12 @@ class _Item:
     values: list[str]
     kinds: np.ndarray
     width: int
-    usable: int
+    usable: int  # windows that are not mostly placeholders
+    total: int
+
+
+_Found = dict[int, dict[int, list[tuple[int, int]]]]
+_Windows = dict[int, tuple[np.ndarray, list[list[tuple[int, int]]], np.ndarray]]
 
 
 @dataclass
@@ -152,24 +160,29 @@ class Block:
     """Windows of some items: by width, the sorted hashes and what they belong to."""
 
     items: list[_Item] = field(default_factory=list)
-    windows: dict[int, tuple[np.ndarray, list[list[tuple[int, int]]], np.ndarray]] = field(default_factory=dict)
+    windows: _Windows = field(default_factory=dict)
+    literal: _Windows = field(default_factory=dict)
 
 
 def blocks_of(rows: Iterator[tuple[object, str | None]], cfg: LeakConfig) -> Iterator[Block]:
     """Items in blocks; read one after the other on the driver, one block is held at a time."""
     templates = Templates(cfg.words_held)
     items: list[_Item] = []
-    found: dict[int, dict[int, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
+    found: _Found = defaultdict(lambda: defaultdict(list))
+    literal: _Found = defaultdict(lambda: defaultdict(list))
     size = 0
 
-    def close() -> Block:
+    def by_width(found: _Found) -> _Windows:
         windows = {}
         for width, table in found.items():
             keys = np.array(sorted(table), np.uint64)
             seen = np.zeros(1 << 16, bool)
             seen[keys >> np.uint64(48)] = True
             windows[width] = (keys, [table[int(k)] for k in keys], seen)
-        return Block(items, windows)
+        return windows
+
+    def close() -> Block:
+        return Block(items, by_width(found), by_width(literal))
 
     for item, text in rows:
         ids, hashes, kinds, _ = templates([text or ""])
@@ -177,18 +190,20 @@ def blocks_of(rows: Iterator[tuple[object, str | None]], cfg: LeakConfig) -> Ite
             continue
         width = min(cfg.window, len(ids))
         slots = np.convolve(kinds != WORD, np.ones(width, int), "valid")
-        places = np.flatnonzero(2 * slots <= width)  # windows of placeholders say nothing
-        if not len(places):
-            continue
+        places = np.flatnonzero(2 * slots <= width)  # templates of placeholders say nothing
         keys = window_hashes(hashes, width)
         for at in places.tolist():
             found[width][int(keys[at])].append((len(items), at))
-        items.append(_Item(item, [templates.values[i] for i in ids], kinds, width, len(places)))
-        size += len(places)
+        keys = window_hashes(np.array([templates.literal[i] for i in ids], np.uint64), width)
+        for at, key in enumerate(keys.tolist()):
+            literal[width][key].append((len(items), at))
+        items.append(_Item(item, [templates.values[i] for i in ids], kinds, width, len(places), len(keys)))
+        size += len(places) + len(keys)
         if size >= cfg.block_windows:
             yield close()
             items, size = [], 0
             found.clear()
+            literal.clear()
     if items:
         yield close()
 
@@ -209,13 +224,13 @@ def _consistent(item: _Item, words: list[str], starts: list[int]) -> tuple[bool,
     return True, len(changed)
 
 
-def matches(
-    texts: list[str], templates: Templates, block: Block, cfg: LeakConfig
-) -> dict[int, list[tuple[int, float, int]]]:
-    """For each text with items in it: the item, the share of its windows, its changed slots."""
-    ids, hashes, _, owner = templates(texts)
-    hits: dict[tuple[int, int], dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
-    for width, (keys, lists, seen) in block.windows.items():
+_Hits = dict[tuple[int, int], dict[int, list[int]]]
+
+
+def _hits(hashes: np.ndarray, owner: np.ndarray, windows: _Windows) -> _Hits:
+    """For a text and an item, by the shift between them, where the item's windows begin that occur."""
+    hits: _Hits = defaultdict(lambda: defaultdict(list))
+    for width, (keys, lists, seen) in windows.items():
         found = window_hashes(hashes, width)
         if not len(found):
             continue
@@ -225,22 +240,34 @@ def matches(
         for place, key in zip(maybe[equal].tolist(), at[equal].tolist()):
             for item, start in lists[key]:
                 hits[int(owner[place]), item][place - start].append(start)
+    return hits
+
+
+def matches(
+    texts: list[str], templates: Templates, block: Block, cfg: LeakConfig
+) -> dict[int, list[tuple[int, float, int]]]:
+    """For each text with items in it: the item, the share of its windows, its changed slots."""
+    ids, hashes, _, owner = templates(texts)
+    alike = _hits(hashes, owner, block.windows)
+    equal = _hits(np.array(templates.literal, np.uint64)[ids], owner, block.literal)
     out: dict[int, list[tuple[int, float, int]]] = defaultdict(list)
-    for (text, k), diagonals in hits.items():
+    for text, k in alike.keys() | equal.keys():
         item = block.items[k]
-        if len({s for starts in diagonals.values() for s in starts}) < cfg.share * item.usable:
-            continue
         good: set[int] = set()
         slots = 0
-        for shift, starts in sorted(diagonals.items()):
-            low, high = min(starts), max(starts) + item.width
-            words = {at: templates.values[ids[shift + at]] for at in range(low, high)}
-            fits, changed = _consistent(item, words, starts)
-            if fits:
-                good.update(starts)
-                slots = max(slots, changed)
-        if good and len(good) >= cfg.share * item.usable:
-            out[text].append((k, len(good) / item.usable, slots))
+        diagonals = alike.get((text, k), {})
+        if len({s for starts in diagonals.values() for s in starts}) >= cfg.share * item.usable:
+            for shift, starts in sorted(diagonals.items()):
+                low, high = min(starts), max(starts) + item.width
+                words = {at: templates.values[ids[shift + at]] for at in range(low, high)}
+                fits, changed = _consistent(item, words, starts)
+                if fits:
+                    good.update(starts)
+                    slots = max(slots, changed)
+        same = {s for starts in equal.get((text, k), {}).values() for s in starts}
+        share = max(len(good) / item.usable if item.usable else 0.0, len(same) / item.total)
+        if share >= cfg.share:
+            out[text].append((k, share, slots))
     return out
 
 

@@ -241,3 +241,14 @@ def test_slots_must_be_consistent(spark):
             "we saw Eve meet Eve at the big old market in town before noon today"]
     found = find_leaks(brute.documents(spark, rows), bench, ["doc_id"], cfg=LeakConfig(share=0.9)).collect()
     assert [r["doc_id"] for r in found] == [0]
+
+
+def test_copies_of_items_full_of_slots(spark):
+    """Items of numbers or names are found as copies, and copies in other capitals."""
+    items = ["What is 12 + 45 * 3?", "Who Painted The Mona Lisa In The Louvre",
+             "the Haus by the Wald and the Berg by the See near the Dorf and the Wiese"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts = [f"so then {items[0]} is asked", f"we ask: {items[1]} today", items[1].lower(), items[2].lower(),
+             "What is 13 + 46 * 4?", "When did Anna Visit The Tower In The City"]
+    rows = find_leaks(brute.documents(spark, texts), bench, ["doc_id"]).collect()
+    assert {(r["doc_id"], r["item_id"], r["changed_slots"]) for r in rows} == {(0, 0, 0), (1, 1, 0), (2, 1, 0), (3, 2, 0)}
