@@ -6,7 +6,8 @@ for units behind a number. Windows of a template are looked up by hash among the
 the items. Where text and item line up, the slots are compared: one value of the item must
 stand for one value of the text throughout. Windows of the words themselves are looked up
 beside the templates, so copies are found whatever their capitals, and also where a window
-is mostly placeholders. An item is found in a text if enough of its windows are.
+is mostly placeholders. An item is found in a text if enough of its windows are, or a run of
+words that is long enough.
 
 Benchmark windows go to all tasks in blocks of `block_windows`, whatever the benchmark's
 size; each block is a pass over the texts. No text is shuffled.
@@ -54,6 +55,8 @@ class LeakConfig:
     least_words: int = 4
     # Share of an item's windows that must be found.
     share: float = 0.5
+    # Words on end of which an item is found whatever its share.
+    run: int = 13
     block_windows: int = 1_000_000
     words_held: int = 400_000
 
@@ -147,8 +150,7 @@ class _Item:
     values: list[str]
     kinds: np.ndarray
     width: int
-    usable: int  # windows that are not mostly placeholders
-    total: int
+    usable: np.ndarray  # whether a window is not mostly placeholders
 
 
 _Found = dict[int, dict[int, list[tuple[int, int]]]]
@@ -190,15 +192,15 @@ def blocks_of(rows: Iterator[tuple[object, str | None]], cfg: LeakConfig) -> Ite
             continue
         width = min(cfg.window, len(ids))
         slots = np.convolve(kinds != WORD, np.ones(width, int), "valid")
-        places = np.flatnonzero(2 * slots <= width)  # templates of placeholders say nothing
+        usable = 2 * slots <= width  # templates of placeholders say nothing
         keys = window_hashes(hashes, width)
-        for at in places.tolist():
+        for at in np.flatnonzero(usable).tolist():
             found[width][int(keys[at])].append((len(items), at))
         keys = window_hashes(np.array([templates.literal[i] for i in ids], np.uint64), width)
         for at, key in enumerate(keys.tolist()):
             literal[width][key].append((len(items), at))
-        items.append(_Item(item, [templates.values[i] for i in ids], kinds, width, len(places), len(keys)))
-        size += len(places) + len(keys)
+        items.append(_Item(item, [templates.values[i] for i in ids], kinds, width, usable))
+        size += int(usable.sum()) + len(keys)
         if size >= cfg.block_windows:
             yield close()
             items, size = [], 0
@@ -224,6 +226,17 @@ def _consistent(item: _Item, words: list[str], starts: list[int]) -> tuple[bool,
     return True, len(changed)
 
 
+def _longest_run(starts: set[int], width: int) -> int:
+    """Words on end that windows from these places cover."""
+    longest, first, end = 0, 0, -1
+    for at in sorted(starts):
+        if at > end:
+            first = at
+        end = at + width
+        longest = max(longest, end - first)
+    return longest
+
+
 _Hits = dict[tuple[int, int], dict[int, list[int]]]
 
 
@@ -253,21 +266,30 @@ def matches(
     out: dict[int, list[tuple[int, float, int]]] = defaultdict(list)
     for text, k in alike.keys() | equal.keys():
         item = block.items[k]
+        templated, literal = alike.get((text, k), {}), equal.get((text, k), {})
+        usable, total = int(item.usable.sum()), len(item.usable)
+        least = min(cfg.share * (usable or total), -(-cfg.run // item.width))
+        if len({s for own in (templated, literal) for starts in own.values() for s in starts}) < least:
+            continue
         good: set[int] = set()
-        slots = 0
-        diagonals = alike.get((text, k), {})
-        if len({s for starts in diagonals.values() for s in starts}) >= cfg.share * item.usable:
-            for shift, starts in sorted(diagonals.items()):
+        same: set[int] = set()
+        slots = longest = 0
+        for shift in sorted(templated.keys() | literal.keys()):
+            starts, own = templated.get(shift, []), set(literal.get(shift, []))
+            same |= own
+            if starts:
                 low, high = min(starts), max(starts) + item.width
                 words = {at: templates.values[ids[shift + at]] for at in range(low, high)}
                 fits, changed = _consistent(item, words, starts)
+                # Windows that read the same hold whatever the rest of the diagonal does.
                 if fits:
-                    good.update(starts)
+                    own.update(starts)
                     slots = max(slots, changed)
-        same = {s for starts in equal.get((text, k), {}).values() for s in starts}
-        share = max(len(good) / item.usable if item.usable else 0.0, len(same) / item.total)
-        if share >= cfg.share:
-            out[text].append((k, share, slots))
+            good |= own
+            longest = max(longest, _longest_run(own, item.width))
+        share = max(sum(item.usable[s] for s in good) / usable if usable else 0.0, len(same) / total)
+        if share >= cfg.share or longest >= cfg.run:
+            out[text].append((k, float(share), slots))
     return out
 
 
@@ -283,7 +305,8 @@ def find_leaks(
     """A row for each text and item found in it.
 
     The `keep` columns, item_id, `share` of the item's windows found and `changed_slots`, the
-    number of its numbers, names and units that read differently. Null and empty texts have
+    number of its numbers, names and units that read differently. The share is below
+    `cfg.share` where a run of `cfg.run` words was found. Null and empty texts have
     no items; null, empty and too short items are found nowhere. Equal items are all named.
     """
     (raw,) = fresh(df.select(*keep), "raw")

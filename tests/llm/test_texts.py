@@ -252,3 +252,17 @@ def test_copies_of_items_full_of_slots(spark):
              "What is 13 + 46 * 4?", "When did Anna Visit The Tower In The City"]
     rows = find_leaks(brute.documents(spark, texts), bench, ["doc_id"]).collect()
     assert {(r["doc_id"], r["item_id"], r["changed_slots"]) for r in rows} == {(0, 0, 0), (1, 1, 0), (2, 1, 0), (3, 2, 0)}
+
+
+def test_runs_of_long_items(spark):
+    """A part of an item is found from 13 words on, also beside a slot that does not fit."""
+    rng = random.Random(12)
+    words = brute.prose(rng, 60, 10**6)
+    named = ["we", "saw", "Ann", "meet", "Bob", *brute.prose(rng, 30, 10**6)]
+    bench = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(named))], "item_id long, text string")
+    texts = ["x y " + " ".join(words[20:50]) + " z", " ".join(words[5:18]), " ".join(words[5:17]),
+             " ".join(named).replace("Ann", "Eve").replace("Bob", "Eve")]
+    rows = {(r["doc_id"], r["item_id"]): r["share"] for r in find_leaks(brute.documents(spark, texts), bench, ["doc_id"]).collect()}
+    assert set(rows) == {(0, 1), (1, 1), (3, 2)}
+    assert rows[0, 1] == pytest.approx(23 / 53) and rows[1, 1] == pytest.approx(6 / 53)
+    assert {r["doc_id"] for r in drop_leaks(brute.documents(spark, texts), bench).collect()} == {2}
