@@ -2,9 +2,11 @@
 
 Markup is stripped to lines, one per block of the page, in page order. Lines of menus,
 notices, adverts, forms, comments and the like weigh nothing, and so do lines made of links
-and, on pages that mark an article or a main part, lines outside of it. Weights are summed
-over sliding windows of lines. Where the sum surges above a threshold a stretch of main
-text begins, where it dives to nothing the stretch ends, and the lines between are kept.
+outside of a marked article or main part. Weights are summed over sliding windows of lines.
+Where the sum surges above a threshold a stretch of main text begins, where it dives to
+nothing the stretch ends, and the lines between are kept. Lines of a marked part weigh a
+surge more, so all of them are kept; they and the lines around them are summed apart, so
+text beside the mark is kept where it surges by itself.
 """
 
 from __future__ import annotations
@@ -58,7 +60,7 @@ _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 @dataclass(frozen=True)
 class HtmlConfig:
-    # Lines summed in a window, and the characters that make a surge outside marked articles.
+    # Lines summed in a window, and the characters that make a surge.
     window: int = 3
     surge: int = 86
     # Share of link text from which a line counts as links.
@@ -187,27 +189,27 @@ def page_lines(html: str) -> list[_Line]:
 
 def kept_lines(lines: list[_Line], cfg: HtmlConfig) -> list[str]:
     """The lines between surges and dives."""
-    marked = any(line.main and not line.boiler for line in lines)
 
     def weight(line: _Line) -> int:
-        if line.boiler or (marked and not line.main):
+        if line.boiler or (not line.main and line.linked > cfg.links * len(line.text)):
             return 0
-        if not marked and line.linked > cfg.links * len(line.text):
-            return 0
-        return len(line.text)
-
-    weights = [weight(line) for line in lines]
-    sums = [sum(weights[i:i + cfg.window]) for i in range(len(weights))]
-    # A marked part is main text however short it is, and so is the best a short page has.
-    surge = 1 if marked else min(cfg.surge, max(sums, default=0))
-    kept, inside = [], False
-    for line, own, total in zip(lines, weights, sums):
-        if not inside and own and total >= surge > 0:
-            inside = marked or line.heading or own >= min(cfg.opening, surge)
-        if inside and own:
-            kept.append(line.text)
-        if not own and not total:
-            inside = False
+        return len(line.text) + cfg.surge * line.main
+
+    # Of the lines outside of marked parts and of those inside.
+    weights = [[weight(line) * (line.main == main) for line in lines] for main in (False, True)]
+    sums = [[sum(own[i:i + cfg.window]) for i in range(len(lines))] for own in weights]
+    # The best that a short page has is its main text.
+    surge = min(cfg.surge, max(map(max, sums))) if lines else 0
+    kept, inside = [], [False, False]
+    for i, line in enumerate(lines):
+        for main in (False, True):
+            own, total = weights[main][i], sums[main][i]
+            if not inside[main] and own and total >= surge:
+                inside[main] = main or line.heading or own >= min(cfg.opening, surge)
+            if inside[main] and own:
+                kept.append(line.text)
+            if not own and not total:
+                inside[main] = False
     return kept
 
 

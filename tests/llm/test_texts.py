@@ -200,6 +200,19 @@ def test_surge_and_dive_without_marked_article():
     assert main_text("just text") == "just text"
 
 
+def test_body_beside_marked_teasers():
+    """The window sums decide on pages with a mark, too: a dense body outside of it is kept, stray lines are not."""
+    long = "A sentence of some length that is the body of this page, with more words to follow."
+    page = (
+        f"<div>Mon 3</div><div><h2>Head</h2><p>{long}</p><p>Short.</p><p>{long}</p></div>"
+        "<div><article><h3>Teaser</h3>More here</article><article>Other</article></div><div>Stray line</div>"
+        "<p><a>Link that is long enough to weigh something if it were text and not all of it a link</a></p>"
+    )
+    assert main_text(page) == "\n\n".join(["Head", long, "Short.", long, "Teaser", "More here", "Other"])
+    page = f"<div><p>{long}</p><p>{long}</p><article>Aside</article><p>The end.</p></div>"
+    assert main_text(page) == "\n\n".join([long, long, "Aside", "The end."])
+
+
 def test_pages_table(spark):
     df = spark.createDataFrame(
         [(1, "u", PAGE), (2, None, None), (None, "u", ""), (1, "u", PAGE)], "page_id long, url string, html string"
