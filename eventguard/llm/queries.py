@@ -7,16 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventguard.llm.common import held_out, table
-from eventguard.llm import lattice
+from eventguard.llm import lattice, oracle
 from eventguard.llm.bwtmerge import remove_repeated_bytes
 from eventguard.llm.codec import decode_ids, encode_texts
 from eventguard.llm.decontaminate import find_leaks
 from eventguard.llm.fmindex import SubstringConfig, remove_repeats
 from eventguard.llm.html import extract_text
+from eventguard.llm.knn import nearest
 from eventguard.llm.langid import LangConfig, learn, predict_language
 from eventguard.llm.linededup import LineConfig, find_repeated_lines
 from eventguard.llm.ngramjoin import JoinConfig, similar_groups
 from eventguard.llm.quality import score_quality
+from eventguard.llm.ranked import search
+from eventguard.llm.resample import resample
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,6 +81,19 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_bytes(table(spark, sf_dir, "documents"), ["doc_id"]).drop("kept")
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_knn_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queries are the vectors whose id is divisible by 20."""
+    return nearest(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(20)) == 0)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
@@ -90,8 +106,15 @@ def queries() -> dict[str, Query]:
         "op8_quality_rules": op8_quality_rules,
         "op9_lm_scoring": op9_lm_scoring,
         "op10_suffix_array_dedup": op10_suffix_array_dedup,
+        "op11_importance_resampling": op11_importance_resampling,
+        "op12_ranked_search": op12_ranked_search,
+        "op13_knn_join": op13_knn_join,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op11_importance_resampling": oracle.RESAMPLING,
+        "op12_ranked_search": oracle.SEARCH,
+        "op13_knn_join": oracle.TOP_K,
+    }
