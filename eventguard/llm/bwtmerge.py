@@ -3,9 +3,9 @@
 The stretches of a shard are dealt to a few parts, and each part's suffixes are sorted into
 its transform. The transforms are then merged by refining how their rows interleave: the
 rows of all parts start in one bucket, and each round deals the rows of a bucket by the
-symbol in front of them, each part's rows staying in their order. After d rounds a bucket
-holds the suffixes with equal first d symbols, so the round in which a row is left alone in
-its bucket is its longest common prefix with any other row. Rows left alone stay alone and
+symbols in front of them, each part's rows staying in their order. A bucket of depth d holds
+the suffixes with equal first d symbols, so the round in which a row is left alone in its
+bucket gives its longest common prefix with any other row. Rows left alone stay alone and
 take no part in later rounds, nor do rows too near the start of their stretch for a string
 of the length sought; no suffix of one part is compared with one of another.
 """
@@ -47,21 +47,24 @@ class Transform:
     place: np.ndarray
 
 
-def transform(stretches: list[bytes], numbers: list[int]) -> Transform:
-    """The transform of some stretches, known outside by `numbers`."""
+def transform(stretches: list[bytes], numbers: list[int], length: int) -> Transform:
+    """The transform of some stretches, known outside by `numbers`; sorted by `length` bytes."""
     n = len(stretches)
     sizes = np.array([len(s) for s in stretches], np.int64)
     ends = np.cumsum(sizes + 1) - 1
-    flat = np.empty(int(sizes.sum()) + n, np.int64)
+    flat = np.zeros(int(sizes.sum()) + n, np.int64)  # an end is 0, below all bytes
     inside = np.ones(len(flat), bool)
     inside[ends] = False
-    flat[inside] = np.frombuffer(b"".join(stretches), np.uint8).astype(np.int64) + n
-    flat[ends] = np.arange(n)  # an end of its own for each stretch
-    order = suffix_order(flat, int(sizes.max(initial=0)) + 1)
-    row = np.empty_like(order)
-    row[order] = np.arange(len(order))
+    flat[inside] = np.frombuffer(b"".join(stretches), np.uint8).astype(np.int64) + 1
+    # The first seven symbols in one number; behind an end nothing counts.
+    packed = flat
+    for k in range(1, 7):
+        packed = (flat << (9 * k)) | np.where(flat > 0, np.append(packed[1:], 0), 0)
+    order = suffix_order(packed, length, 7)
+    row = np.empty(len(order), np.int32)
+    row[order] = np.arange(len(order), dtype=np.int32)
     owner = np.repeat(np.arange(n), sizes + 1)
-    front = np.maximum(flat[order - 1] - n, 0).astype(np.uint8)
+    front = np.maximum(flat[order - 1] - 1, 0).astype(np.uint8)
     return Transform(
         front, row[order - 1], np.array(numbers, np.int64)[owner[order]], order - (ends - sizes)[owner[order]]
     )
@@ -70,32 +73,35 @@ def transform(stretches: list[bytes], numbers: list[int]) -> Transform:
 def common_prefixes(parts: list[Transform], most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Stretch, place and longest common prefix with another suffix, up to `most`, of suffixes.
 
-    In each round a row moves to the suffix one symbol longer, so only rows that start with
-    `most` symbols of their stretch in front of them get far enough; the others stay at 0.
+    In each round a row moves to the suffix two symbols longer (one in the first round if
+    `most` is odd), so only rows that start with `most` symbols of their stretch in front of
+    them get far enough; the others stay at 0. Prefixes are known to the length of a round.
     """
     offsets = np.cumsum([0, *[len(p.front) for p in parts]])
-    front = np.concatenate([p.front for p in parts])
-    previous = np.concatenate([p.previous + at for p, at in zip(parts, offsets)]).astype(np.int32)
+    front = np.concatenate([p.front for p in parts]).astype(np.uint16)
+    previous = np.concatenate([p.previous + np.int32(at) for p, at in zip(parts, offsets)])
     stretch, place = np.concatenate([p.stretch for p in parts]), np.concatenate([p.place for p in parts])
+    steps = {1: (front, previous), 2: (front[previous] << np.uint16(8) | front, previous[previous])}
     common = np.zeros(len(front), np.int32)
     # The interleave: rows in the order of what is known of them, and where buckets begin.
     rows = np.flatnonzero(place >= most).astype(np.int32)
     begins = np.zeros(len(rows), bool)
     begins[:1] = True
-    for depth in range(1, most + 1):
-        symbol = front[rows]
+    depth = 0
+    while depth < most and len(rows):
+        step = 1 + (most - depth + 1) % 2
+        symbols, target = steps[step]
+        symbol = symbols[rows]
         bucket = np.cumsum(begins, dtype=np.int32)
         deal = np.argsort(symbol, kind="stable")
         symbol, bucket = symbol[deal], bucket[deal]
-        rows = previous[rows[deal]]
         begins = np.ones(len(rows), bool)
         begins[1:] = (symbol[1:] != symbol[:-1]) | (bucket[1:] != bucket[:-1])
         alone = begins.copy()
         alone[:-1] &= begins[1:]
-        rows, begins = rows[~alone], begins[~alone]
+        rows, begins = target[rows[deal[~alone]]], begins[~alone]
+        depth += step
         common[rows] = depth
-        if not len(rows):
-            break
     return stretch, place, common
 
 
@@ -103,7 +109,7 @@ def repeated_strings(contents: list[bytes], counts: np.ndarray, cfg: ByteConfig)
     """Intervals of each stretch that strings occurring again cover. A repeated stretch is covered whole."""
     # Like stretches follow each other, so dealing in turn parts them.
     parts = [
-        transform(contents[k::cfg.parts], list(range(k, len(contents), cfg.parts)))
+        transform(contents[k::cfg.parts], list(range(k, len(contents), cfg.parts)), cfg.length)
         for k in range(min(cfg.parts, len(contents)))
     ]
     found: list[list[tuple[int, int]]] = [[] for _ in contents]

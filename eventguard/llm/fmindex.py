@@ -67,22 +67,32 @@ class WaveletMatrix:
         return i
 
 
-def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
-    """Order of suffixes that differ within `depth` symbols, by doubling ranks."""
-    rank, width = symbols.astype(np.int64), 1
-    order = np.argsort(rank, kind="stable")
-    while width < depth:
-        second = np.zeros(len(rank), np.int64)
-        second[:len(rank) - width] = rank[width:] + 1
-        keys = rank * (len(rank) + int(symbols.max(initial=0)) + 2) + second
-        order = np.argsort(keys, kind="stable")
-        sorted_keys = keys[order]
-        fresh = np.concatenate([[0], np.cumsum(sorted_keys[1:] != sorted_keys[:-1])])
-        rank = np.empty_like(fresh)
-        rank[order] = fresh
-        width *= 2
-        if fresh[-1] == len(fresh) - 1:
+def suffix_order(keys: np.ndarray, depth: int, width: int = 1) -> np.ndarray:
+    """Order of suffixes by their first `depth` symbols, by doubling ranks.
+
+    `keys` order the suffixes by their first `width` symbols. A round sorts only suffixes that
+    are still equal to others; a rank is the first place of the suffixes that are equal so far.
+    """
+    n = len(keys)
+    order = np.argsort(keys)
+    places, keys = np.arange(n), keys[order]
+    rank = np.empty(n, np.int64)
+    while n:
+        head = np.ones(len(keys), bool)
+        head[1:] = keys[1:] != keys[:-1]
+        rank[order[places]] = places[head][np.cumsum(head) - 1]
+        equal = ~head
+        equal[:-1] |= ~head[1:]
+        places = places[equal]
+        if width >= depth or not len(places):
             break
+        here = order[places]
+        behind = here + width
+        second = np.where(behind < n, rank[np.minimum(behind, n - 1)] + 1, 0)
+        keys = rank[here] * (n + 1) + second
+        deal = np.argsort(keys)
+        order[places], keys = here[deal], keys[deal]
+        width *= 2
     return order
 
 
