@@ -14,6 +14,7 @@ from pyspark.sql import SparkSession, functions as F
 
 from eventguard.plans.queries import queries, run_stream
 from eventguard.streaming.pipeline import Pipeline
+from eventguard.streaming.tables import Arrivals
 
 HEADLINE = [
     "decode_json", "error_reason", "reason_counts", "dup_in_batch", "encode_valid",
@@ -62,9 +63,9 @@ def main() -> None:
     tables = run_stream(spark, sf_dir)
     rows = tables.records().count()
     times["stream_route"] = round(time.perf_counter() - begin, 3)
-    # The last micro-batch's days among the files of accepted keys.
-    last = tables.records(len(batches) - 1).filter("is_valid").agg(F.collect_set("day")).first()[0]
-    read = tables.ledger(len(batches) - 1, last)
+    # What the next micro-batch would read for the days of the newest events.
+    state = tables.last_state()
+    read = tables.ledger(state, Arrivals(1, (state.today,), None, None)) if state.today is not None else None
     print(json.dumps({
         "metric": "headline_queries_total",
         "value": round(sum(times.values()), 3),

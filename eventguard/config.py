@@ -44,10 +44,24 @@ class PipelineConfig:
     # Seconds an event may be ahead of its processing time; None: any. Windows of Spark's own
     # watermark need it, since an event far ahead would close windows that are still filling.
     max_future_skew: int | None = None
+    # Stored micro-batches that are merged into one piece, and such pieces again, `levels` times.
+    merge_epochs: int = 16
+    levels: int = 3
+    # Micro-batches for which folders that a merge replaced stay, for streams that read them.
+    keep_epochs: int = 16
+    # Days of events, before the newest, whose records stay when pieces are merged; None: all.
+    retain_days: int | None = None
+
     # Keep the decoded micro-batch while it is read by the key minima and the rules.
     cache_input: bool = True
     verbose: bool = False
 
+    @property
+    def window_seconds(self) -> int:
+        """Length of a window given as a number and a unit."""
+        number, unit = self.window.split()
+        return int(number) * {"second": 1, "minute": 60, "hour": 3600, "day": 86_400}[unit.rstrip("s")]
+
     @property
     def batch_cols(self) -> list[str]:
         return [self.batch_col] if self.batch_col else []
@@ -105,6 +119,17 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/eventguard"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder in whatever store it lies; one that is gone already is no fault."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new folder under the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"

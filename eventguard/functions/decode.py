@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from eventguard.config import PipelineConfig
 from eventguard.schema import TRANSACTION
 
+_MISFIT = "_misfit"
+
 
 def decode(df: DataFrame, value: str = "value", schema: StructType = TRANSACTION) -> DataFrame:
     """Replaces the text or bytes in `value` by the fields of `schema`; a field that does
@@ -18,6 +20,22 @@ def decode(df: DataFrame, value: str = "value", schema: StructType = TRANSACTION
     ).select(*others, "_data.*")
 
 
+def decode_raw(df: DataFrame, value: str = "value", schema: StructType = TRANSACTION) -> DataFrame:
+    """As `decode`, and keeps the text as `raw` and whether it misfits as `corrupt`.
+
+    A text misfits if it is NULL, blank or no JSON object, or if a field does not fit; the
+    fields that do are still decoded. Of a repeated field the last one counts.
+    """
+    others = [c for c in df.columns if c != value]
+    wide = StructType([*schema.fields, StructField(_MISFIT, StringType())])
+    text = F.col(value).cast("string")
+    parsed = F.from_json(text, wide, {"columnNameOfCorruptRecord": _MISFIT})
+    return df.select(*others, text.alias("raw"), parsed.alias("_data")).select(
+        *others, "raw", (F.col("_data").isNull() | F.col(f"_data.{_MISFIT}").isNotNull()).alias("corrupt"),
+        *[f"_data.{name}" for name in schema.fieldNames()],
+    )
+
+
 def event_time(text: Column, cfg: PipelineConfig) -> Column:
     """Time in UTC named by the text, NULL if it does not fit the pattern.
 

@@ -88,12 +88,13 @@ def rank_in_batch(df: DataFrame, cfg: PipelineConfig) -> DataFrame:
 def drop_repeats(df: DataFrame, cfg: PipelineConfig) -> DataFrame:
     """Keeps one record per key. A stream forgets keys once the watermark passed them.
 
-    Records of a stream that lack user or timestamp have no key to repeat and all pass; in
-    a table those with the same user and timestamp, NULL included, are one.
+    Records of a stream that lack user, timestamp or event time have no key to repeat and all
+    pass, however old; of the others those behind the watermark go. In a table records with
+    the same user and timestamp, NULL included, are one.
     """
     if df.isStreaming:
-        timed = df.withWatermark("event_time", cfg.watermark)
-        return timed.filter(keyed()).dropDuplicatesWithinWatermark(KEY).unionByName(
-            timed.filter(~keyed())
-        )
+        known = F.coalesce(keyed() & F.col("event_time").isNotNull(), F.lit(False))
+        # Only keyed records move the watermark.
+        timed = df.filter(known).withWatermark("event_time", cfg.watermark)
+        return timed.dropDuplicatesWithinWatermark(KEY).unionByName(df.filter(~known))
     return df.dropDuplicates(KEY)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from eventguard.config import PipelineConfig
 from eventguard.functions.display import pass_rate
 from eventguard.operators.windows import running_sums
+from eventguard.schema import METRICS
 
 
 def _clock_text(time: Column) -> Column:
@@ -41,10 +44,7 @@ def running_totals(metrics: DataFrame) -> DataFrame:
         "cum_valid_count": "batch_valid",
         "cum_dlq_count": "batch_dlq",
     })
-    return totals.select(
-        F.col("batch_ts").alias("timestamp"), "running_total", "batch_id",
-        "batch_valid", "batch_dlq", "cum_valid_count", "cum_dlq_count",
-    )
+    return totals.withColumnRenamed("batch_ts", "timestamp").select(*METRICS.fieldNames())
 
 
 def counts_and_rate(df: DataFrame) -> DataFrame:
@@ -66,12 +66,16 @@ def side(cfg: PipelineConfig) -> Column:
     )
 
 
-def topic_counters(tagged: DataFrame) -> DataFrame:
-    return tagged.groupBy("topic").agg(
+def topic_counters(tagged: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    return tagged.groupBy(*by, "topic").agg(
         F.count("*").alias("n"), F.coalesce(F.sum("amount"), F.lit(0.0)).alias("amount")
     )
 
 
+def newest_first(cfg: PipelineConfig) -> list[Column]:
+    return [F.desc(name) for name in ("as_of", *cfg.arrival)]
+
+
 def latest(df: DataFrame, cfg: PipelineConfig, n: int = 50) -> DataFrame:
     """The feed: last `n` records, newest first."""
-    return df.orderBy(*[F.desc(name) for name in ("as_of", *cfg.arrival)]).limit(n)
+    return df.orderBy(*newest_first(cfg)).limit(n)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from eventguard.config import PipelineConfig
-from eventguard.functions.encode import encode
+from eventguard.functions.encode import encode, payload
 
 # Message keys of records without user.
 NO_USER_VALID = "UNKNOWN"
@@ -34,6 +34,23 @@ def tag_topics(df: DataFrame, cfg: PipelineConfig) -> DataFrame:
     return df.withColumn("topic", topic)
 
 
+def topic_messages(df: DataFrame, cfg: PipelineConfig, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The messages of both outputs as they lie in their topics, tagged, in one pass."""
+    no_user = F.when(F.col("is_valid"), F.lit(NO_USER_VALID)).otherwise(F.lit(NO_USER_DLQ))
+    return tag_topics(df, cfg).select(
+        "topic", *keep, F.coalesce("user_id", no_user).alias("key"),
+        payload().cast("binary").alias("value"),
+    )
+
+
+def repairable(df: DataFrame) -> DataFrame:
+    """Rejected records with their text, for a second attempt once they are mended.
+
+    `raw` is NULL where the fields tell all: for repeats of a record that was accepted.
+    """
+    return dlq_only(df).filter(F.col("raw").isNotNull())
+
+
 def union_topics(valid: DataFrame, dlq: DataFrame, cfg: PipelineConfig) -> DataFrame:
     """Two outputs that are stored apart, as one frame tagged with the topic."""
     return valid.withColumn("topic", F.lit(cfg.valid_topic)).unionByName(

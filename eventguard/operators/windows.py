@@ -8,13 +8,18 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from eventguard.config import PipelineConfig, require_utc
 
-_TEXT = "yyyy-MM-dd HH:mm:ss"
+WINDOW_TEXT = "yyyy-MM-dd HH:mm:ss"
+
+
+def ends_at() -> Column:
+    """The end of a window in epoch seconds."""
+    return F.to_timestamp("window_end", WINDOW_TEXT).cast("long")
 
 
 def _bounds() -> list[Column]:
     return [
-        F.date_format("window.start", _TEXT).alias("window_start"),
-        F.date_format("window.end", _TEXT).alias("window_end"),
+        F.date_format("window.start", WINDOW_TEXT).alias("window_start"),
+        F.date_format("window.end", WINDOW_TEXT).alias("window_end"),
     ]
 
 
@@ -81,9 +86,8 @@ def closed_windows(parts: DataFrame, cfg: PipelineConfig) -> DataFrame:
     """
     require_utc(parts.sparkSession)
     newest = parts.agg(F.max("newest_as_of").alias("_newest"))  # one row
-    end = F.to_timestamp("window_end", _TEXT).cast("long")
     merged = merge_parts(parts)
-    return merged.join(newest, end <= F.col("_newest") - cfg.lateness_seconds).select(*merged.columns)
+    return merged.join(newest, ends_at() <= F.col("_newest") - cfg.lateness_seconds).select(*merged.columns)
 
 
 def running_sums(

@@ -11,10 +11,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from eventguard.config import PipelineConfig, use_utc
 
-# Fixed values of the test stream.
+# Values of the test stream; faults of its records.
+TOO_LOW, TOO_HIGH = -7.0, 123_456_789.0
+NO_TIME = "2031-02-30T25:61:07Z"
+NO_SOURCE = "kiosk"
 START = 1_765_702_800  # 2025-12-14 09:00:00 UTC
 BATCH_ROWS = 250
 COPY_DISTANCE = 50
+# Arrivals come in this many waves; each resumes the stream from its checkpoint.
+STREAM_WAVES = 4
+# Seconds an event may be ahead where windows follow Spark's watermark.
+SKEW = 60
 HOT_TIME = "2030-01-01T00:00:00Z"
 FIELDS = ["user_id", "amount", "timestamp", "source"]
 # The columns used of the `events` table; declared, so that no job reads a schema.
@@ -36,16 +43,16 @@ def _shaped(table: DataFrame) -> DataFrame:
         "b",
         F.when(~b.isin(78, 79), F.concat(F.lit("U"), (10000 + F.col("user_id")).cast("string")))
         .alias("user_id"),
-        F.when(b.isin(70, 71), F.lit(-50000.0))
-        .when(b.isin(72, 73), F.lit(50000000.0))
+        F.when(b.isin(70, 71), F.lit(TOO_LOW))
+        .when(b.isin(72, 73), F.lit(TOO_HIGH))
         .when(~b.isin(80, 81), (F.floor(F.col("value") * 20000) + 1).cast("double"))
         .alias("amount"),
-        F.when(b == 74, F.lit("2025-99-99T99:99:99Z"))
+        F.when(b == 74, F.lit(NO_TIME))
         .when(b == 75, F.lit(""))
         .when(b.between(82, 91), _as_text(arrived - delay))
         .otherwise(_as_text(arrived))
         .alias("timestamp"),
-        F.when(b.isin(76, 77), F.lit("smart_tv"))
+        F.when(b.isin(76, 77), F.lit(NO_SOURCE))
         .when(event_type.isin("click", "signup"), F.lit("web"))
         .when(event_type == "purchase", F.lit("pos"))
         .otherwise(F.lit("mobile"))
@@ -100,3 +107,38 @@ def skewed(txn: DataFrame) -> DataFrame:
             F.pmod(n, F.lit(89)) == 4, F.lit(" ")
         ).otherwise(F.col("source")),
     })
+
+
+# Faults of JSON lines, by event_id mod 40.
+CUT, NO_COLONS, NAN, QUOTED, NUMBER, NESTED, TWICE, BLANK, LIST, WORDS, NOTHING = 3, 7, 11, 13, 17, 19, 23, 29, 31, 37, 5
+
+
+def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The transactions as JSON lines as they come in (`value`), eleven in forty of them odd.
+
+    Some are cut off, have no colons, are blank, missing, words or a list; some have NaN or a
+    quoted number as amount, a number as user, an object as source, or the user twice.
+    """
+    m, user, amount = F.pmod("event_id", F.lit(40)), F.col("user_id"), F.col("amount").cast("long").cast("string")
+    quoted = lambda name, text: F.concat(F.lit(f'"{name}":"'), text, F.lit('"'))
+    line = F.concat(F.lit("{"), F.concat_ws(
+        ",",
+        F.when(m == NUMBER, F.concat(F.lit('"user_id":'), F.col("event_id").cast("string"))).otherwise(
+            quoted("user_id", user)
+        ),
+        F.when(m == NAN, F.lit('"amount":NaN')).when(m == QUOTED, quoted("amount", amount)).otherwise(
+            F.concat(F.lit('"amount":'), amount)
+        ),
+        quoted("timestamp", F.col("timestamp")),
+        F.when(m == NESTED, F.lit('"source":{"a":1}')).otherwise(quoted("source", F.col("source"))),
+        F.when(m == TWICE, F.lit('"user_id":"U5"')),
+    ), F.lit("}"))
+    value = (
+        F.when(m == CUT, F.expr("substring(line, 1, length(line) - 9)"))
+        .when(m == NO_COLONS, F.replace("line", F.lit(":"), F.lit("")))
+        .when(m == BLANK, F.lit("")).when(m == LIST, F.lit("[1,2]")).when(m == WORDS, F.lit("no record"))
+        .when(m != NOTHING, F.col("line"))
+    )
+    return transactions(spark, sf_dir).withColumn("line", line).select(
+        value.alias("value"), "event_id", "batch_id", "as_of"
+    )

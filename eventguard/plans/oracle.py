@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from eventguard.operators import rules
+from eventguard.plans import fixture
 from eventguard.plans.fixture import HOT_TIME
 
 _FORMAT = "'%Y-%m-%dT%H:%M:%SZ'"
@@ -19,14 +20,14 @@ base AS (
 shaped AS (
   SELECT event_id, b,
          CASE WHEN b IN (78, 79) THEN NULL ELSE u END AS user_id,
-         CASE WHEN b IN (70, 71) THEN cast(-50000 AS double)
-              WHEN b IN (72, 73) THEN cast(50000000 AS double)
+         CASE WHEN b IN (70, 71) THEN cast({fixture.TOO_LOW} AS double)
+              WHEN b IN (72, 73) THEN cast({fixture.TOO_HIGH} AS double)
               WHEN b IN (80, 81) THEN NULL ELSE amt END AS amount,
-         CASE WHEN b = 74 THEN '2025-99-99T99:99:99Z' WHEN b = 75 THEN ''
+         CASE WHEN b = 74 THEN '{fixture.NO_TIME}' WHEN b = 75 THEN ''
               WHEN b BETWEEN 82 AND 91
                 THEN strftime(arr - (4 + mod(event_id, 7)) * interval '1' minute, {_FORMAT})
               ELSE strftime(arr, {_FORMAT}) END AS ts_text,
-         CASE WHEN b IN (76, 77) THEN 'smart_tv' ELSE src END AS source, arr
+         CASE WHEN b IN (76, 77) THEN '{fixture.NO_SOURCE}' ELSE src END AS source, arr
   FROM base),
 txn AS (
   SELECT s.event_id, s.event_id // 250 AS batch_id,
@@ -39,6 +40,9 @@ txn AS (
   LEFT JOIN shaped o ON s.b BETWEEN 92 AND 99 AND o.event_id = s.event_id - 50),
 timed AS (SELECT *, try_strptime(ts_text, {_FORMAT}) AS event_time FROM txn)"""
 
+# All before `timed`, for queries that judge other records.
+_BEFORE_TIME = TXN.rsplit("timed AS", 1)[0]
+
 _MANDATORY = f"""
     WHEN user_id IS NULL OR trim(user_id) = '' THEN '{rules.USER_MISSING}'
     WHEN amount IS NULL THEN '{rules.AMOUNT_MISSING}'
@@ -85,6 +89,45 @@ timed AS (
                 ELSE source END AS source
     FROM txn))"""
 
+# JSON lines with their faults, and what another parser makes of them. Of a repeated field the
+# last one counts; an amount that is no number does not fit.
+_RAW = f"""
+odd AS (SELECT *, event_id % 40 AS m, cast(cast(amount AS bigint) AS varchar) AS amt FROM txn),
+whole AS (
+  SELECT *, '{{' || concat_ws(',',
+    CASE WHEN m = {fixture.NUMBER} THEN '"user_id":' || event_id ELSE '"user_id":"' || user_id || '"' END,
+    CASE WHEN m = {fixture.NAN} THEN '"amount":NaN' WHEN m = {fixture.QUOTED} THEN '"amount":"' || amt || '"'
+         ELSE '"amount":' || amt END,
+    '"timestamp":"' || ts_text || '"',
+    CASE WHEN m = {fixture.NESTED} THEN '"source":{{"a":1}}' ELSE '"source":"' || source || '"' END,
+    CASE WHEN m = {fixture.TWICE} THEN '"user_id":"U5"' END) || '}}' AS line
+  FROM odd),
+lines AS (
+  SELECT event_id, batch_id, ingest_ts, CASE m
+    WHEN {fixture.CUT} THEN left(line, length(line) - 9) WHEN {fixture.NO_COLONS} THEN replace(line, ':', '')
+    WHEN {fixture.BLANK} THEN '' WHEN {fixture.LIST} THEN '[1,2]' WHEN {fixture.WORDS} THEN 'no record'
+    WHEN {fixture.NOTHING} THEN NULL ELSE line END AS value
+  FROM whole),
+checked AS (
+  SELECT *, coalesce(CASE WHEN json_valid(value) THEN json_type(value) = 'OBJECT' END, false) AS is_object FROM lines),
+fields AS (
+  SELECT event_id, key, max_by(value ->> '$', id) AS text, max_by(type, id) AS kind
+  FROM (SELECT event_id, e.key, e.value, e.type, e.id
+        FROM checked, LATERAL json_each(CASE WHEN is_object THEN value ELSE '{{}}' END) e)
+  GROUP BY event_id, key),
+decoded AS (
+  SELECT event_id, max(text) FILTER (key = 'user_id') AS user_id, max(text) FILTER (key = 'timestamp') AS ts_text,
+         max(text) FILTER (key = 'source') AS source,
+         max(CASE WHEN key = 'amount' AND kind <> 'VARCHAR' THEN try_cast(text AS double) END) AS amount,
+         coalesce(bool_or(key = 'amount' AND kind = 'VARCHAR'), false) AS misfit
+  FROM fields GROUP BY event_id),
+timed AS (
+  SELECT c.event_id, batch_id, ingest_ts, value AS raw, NOT is_object OR coalesce(misfit, false) AS corrupt,
+         user_id, amount, ts_text, source, try_strptime(ts_text, {_FORMAT}) AS event_time
+  FROM checked c LEFT JOIN decoded USING (event_id))"""
+
+_PLAIN_AMOUNT = """CASE WHEN NOT coalesce(isnan(amount), false) THEN amount END AS amount,
+  coalesce(isnan(amount), false) AS amount_is_nan"""
 _RECORD = "event_id, user_id, amount, ts_text, source, event_time, error_reason"
 _WINDOW = """strftime(date_trunc('minute', event_time), '%Y-%m-%d %H:%M:%S') AS window_start,
   strftime(date_trunc('minute', event_time) + interval '1' minute, '%Y-%m-%d %H:%M:%S') AS window_end,
@@ -147,6 +190,37 @@ def _feed(valid: bool) -> str:
     )
 
 
+def _closed(until: str) -> str:
+    """Windows that end no later than a time."""
+    return _cls(
+        f"SELECT {_WINDOW} FROM cls WHERE is_valid GROUP BY date_trunc('minute', event_time) "
+        f"HAVING date_trunc('minute', event_time) + interval '1' minute <= {until}"
+    )
+
+
+_COUNTERS = _cls(
+    "SELECT CASE WHEN is_valid THEN 'transactions_valid' ELSE 'transactions_dlq' END AS topic, "
+    "count(*) AS n, coalesce(sum(amount), 0) AS amount FROM cls GROUP BY is_valid"
+)
+# A wave's keyed records count unless their event lies behind the watermark: the newest event of
+# earlier waves less three minutes. Records without key or event time are never dropped.
+_DEDUP = _txn(f"""
+, edges AS (
+  SELECT count(*) AS n, max(event_id) // {fixture.BATCH_ROWS} + 1 AS b FROM txn),
+waves AS (
+  SELECT user_id, ts_text, event_time,
+         coalesce({" + ".join(
+             f"cast(event_id >= b * {w} // {fixture.STREAM_WAVES} * {fixture.BATCH_ROWS} AS integer)"
+             for w in range(1, fixture.STREAM_WAVES)
+         )}, 0) AS wave,
+         event_time IS NOT NULL AND user_id IS NOT NULL AND trim(user_id) <> '' AS keyed
+  FROM timed, edges),
+marks AS (
+  SELECT w.wave, (SELECT max(event_time) FROM waves e WHERE e.keyed AND e.wave < w.wave) - interval '180' second AS mark
+  FROM (SELECT DISTINCT wave FROM waves) w)
+SELECT DISTINCT user_id, ts_text FROM waves JOIN marks USING (wave)
+WHERE keyed AND (mark IS NULL OR event_time > mark)
+UNION ALL SELECT user_id, ts_text FROM waves WHERE NOT keyed""")
 _ERROR_REASON = _cls("SELECT event_id, is_valid, error_reason FROM cls")
 _WINDOW_1M = _cls(f"SELECT {_WINDOW} FROM cls WHERE is_valid GROUP BY date_trunc('minute', event_time)")
 _RUNNING = _cls(
@@ -186,10 +260,7 @@ def oracle_sql() -> dict[str, str]:
             "SELECT 'transactions_valid' AS topic, event_id FROM cls WHERE is_valid "
             "UNION ALL SELECT 'transactions_dlq' AS topic, event_id FROM cls WHERE NOT is_valid"
         ),
-        "topic_counters": _cls(
-            "SELECT CASE WHEN is_valid THEN 'transactions_valid' ELSE 'transactions_dlq' END AS topic, "
-            "count(*) AS n, coalesce(sum(amount), 0) AS amount FROM cls GROUP BY is_valid"
-        ),
+        "topic_counters": _COUNTERS,
         "window_1m": _WINDOW_1M,
         "window_per_batch": _cls(
             f"SELECT batch_id, {_WINDOW} FROM cls WHERE is_valid "
@@ -205,7 +276,14 @@ def oracle_sql() -> dict[str, str]:
         "recent_valid_50": _recent(True),
         "recent_dlq_50": _recent(False),
         "dedup_drop": _txn("SELECT DISTINCT user_id, ts_text FROM txn"),
-        "error_reason_skew": f"WITH {TXN.rsplit('timed AS', 1)[0]} {_SKEWED}, {_JUDGED} "
+        "decode_raw": f"WITH {_BEFORE_TIME} {_RAW} "
+        f"SELECT event_id, raw, corrupt, user_id, {_PLAIN_AMOUNT}, ts_text, source FROM timed",
+        "dead_letters_raw": f"WITH {_BEFORE_TIME} {_RAW}, {_JUDGED} SELECT event_id, "
+        f"CASE WHEN CASE {_MANDATORY} {_TYPE} {_RANGE} {_SOURCE} {_LATE} END IS NOT NULL THEN raw END AS raw, "
+        f"corrupt, user_id, {_PLAIN_AMOUNT}, ts_text, source, error_reason FROM cls WHERE NOT is_valid",
+        "stream_dead_letters": f"WITH {_BEFORE_TIME} {_RAW}, {_JUDGED} SELECT event_id, raw, corrupt, error_reason "
+        f"FROM cls WHERE CASE {_MANDATORY} {_TYPE} {_RANGE} {_SOURCE} {_LATE} END IS NOT NULL AND raw IS NOT NULL",
+        "error_reason_skew": f"WITH {_BEFORE_TIME} {_SKEWED}, {_JUDGED} "
         "SELECT event_id, is_valid, error_reason FROM cls",
         "topic_readback": _cls(
             "SELECT CASE WHEN is_valid THEN 'transactions_valid' ELSE 'transactions_dlq' END AS topic, "
@@ -213,11 +291,18 @@ def oracle_sql() -> dict[str, str]:
         ),
         "feed_valid_50": _feed(True),
         "feed_dlq_50": _feed(False),
-        "stream_window_append": _cls(
-            f"SELECT {_WINDOW} FROM cls WHERE is_valid GROUP BY date_trunc('minute', event_time) "
-            "HAVING date_trunc('minute', event_time) + interval '1' minute "
-            "<= (SELECT max(ingest_ts) FROM cls) - interval '180' second"
+        "stream_window_append": _closed("(SELECT max(ingest_ts) FROM cls) - interval '180' second"),
+        "stream_window_final": _closed("(SELECT max(ingest_ts) FROM cls) - interval '180' second"),
+        "stream_window_native": _closed(
+            f"(SELECT max(event_time) FROM cls WHERE is_valid) - interval '{180 + fixture.SKEW}' second"
+        ),
+        "stream_readback": _COUNTERS,
+        "stream_feed_50": _cls(
+            "SELECT topic, event_id, user_id, amount, ts_text, source, error_reason FROM ("
+            "SELECT *, CASE WHEN is_valid THEN 'transactions_valid' ELSE 'transactions_dlq' END AS topic, "
+            "row_number() OVER (PARTITION BY is_valid ORDER BY event_id DESC) AS place FROM cls) WHERE place <= 50"
         ),
+        "stream_dedup": _DEDUP,
         "stream_route": _ERROR_REASON,
         "stream_window": _WINDOW_1M,
         "stream_running_totals": _RUNNING,

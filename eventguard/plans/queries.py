@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from eventguard.config import stored, work_dir
-from eventguard.functions.decode import decode, event_time
+from eventguard.config import PipelineConfig, stored, work_dir
+from eventguard.functions.decode import decode, decode_raw, event_time
 from eventguard.functions.display import feed_item
 from eventguard.operators.classify import classify
 from eventguard.operators.duplicates import drop_repeats, rank_in_batch
@@ -16,23 +17,23 @@ from eventguard.operators.metrics import (
     side, topic_counters,
 )
 from eventguard.operators.route import (
-    dlq_only, messages, tag_topics, union_topics, valid_only,
+    dlq_only, messages, repairable, tag_topics, topic_messages, valid_only,
 )
 from eventguard.operators.rules import REPEAT_ACROSS, first_reason, rules_of
 from eventguard.operators.windows import closed_windows, merge_parts, tumbling
-from eventguard.plans.fixture import BATCH_ROWS, CONFIG, FIELDS, events, skewed, transactions
+from eventguard.plans.fixture import (
+    BATCH_ROWS, CONFIG, FIELDS, SKEW, STREAM_WAVES, events, raw_lines, skewed, transactions,
+)
 from eventguard.schema import PAYLOAD
 from eventguard.sources.files import file_stream
 from eventguard.sources.kafka import read_back
+from eventguard.streaming.native import window_stream
 from eventguard.streaming.pipeline import Pipeline, start
+from eventguard.streaming.readback import ReadBack
 from eventguard.streaming.tables import StreamTables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Arrivals come in this many waves; each resumes the stream from its checkpoint.
-STREAM_WAVES = 4
-
-
 def _wall_clock() -> Column:
     """Event time without zone, as other engines show it."""
     return F.col("event_time").cast("timestamp_ntz").alias("event_time")
@@ -117,12 +118,8 @@ def topic_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stored_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both outputs as they lie in their topics, bytes and all, read back and decoded."""
-    sent = messages(classified(spark, sf_dir), CONFIG, keep=("event_id",))
-    as_bytes = {
-        topic: df.withColumn("value", F.col("value").cast("binary")) for topic, df in sent.items()
-    }
-    both = union_topics(as_bytes[CONFIG.valid_topic], as_bytes[CONFIG.dlq_topic], CONFIG)
-    return read_back(both, keep=("event_id",))
+    sent = topic_messages(classified(spark, sf_dir), CONFIG, keep=("event_id",))
+    return read_back(sent, keep=("event_id",))
 
 
 def topic_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,15 +164,14 @@ def dedup_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_repeats(keys, CONFIG).select("user_id", _ts_text())
 
 
-def run_stream(spark: SparkSession, sf_dir: str) -> StreamTables:
-    """Streams the whole fixture as JSON records through the pipeline and returns its tables.
+Follower = Callable[[Pipeline, DataFrame], None]
 
-    The stream stops and resumes from its checkpoint for each wave of arriving files. A
-    wave holds whole batches, so a micro-batch grows with the data and not in number.
+
+def _waves(spark: SparkSession, sf_dir: str, base: str, records: DataFrame) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """The records as a stream over files, after each wave of arriving files; and the wave.
+
+    A wave holds whole batches, so a micro-batch grows with the data and not in number.
     """
-    base = work_dir(spark, "stream")
-    pipeline = Pipeline(CONFIG, base)
-    envelope = _envelope(spark, sf_dir)
     last = events(spark, sf_dir).agg(F.max("event_id")).first()[0] or 0
     batches = last // BATCH_ROWS + 1
     edges = [batches * wave // STREAM_WAVES * BATCH_ROWS for wave in range(1, STREAM_WAVES)]
@@ -185,10 +181,30 @@ def run_stream(spark: SparkSession, sf_dir: str) -> StreamTables:
         wave = F.lit(True) if low is None else n >= low
         if high is not None:
             wave &= (n < high) if low is not None else (n.isNull() | (n < high))
-        arrived = envelope.filter(wave)
+        arrived = records.filter(wave)
         arrived.write.mode("append").parquet(f"{base}/input")
-        source = file_stream(spark, f"{base}/input", envelope.schema)
+        yield file_stream(spark, f"{base}/input", records.schema), arrived
+
+
+def run_stream(
+    spark: SparkSession, sf_dir: str, cfg: PipelineConfig = CONFIG, records: DataFrame | None = None,
+    topics: bool = False, follow: Follower | None = None,
+) -> StreamTables:
+    """Streams the whole fixture as JSON records through the pipeline and returns its tables.
+
+    The stream stops and resumes from its checkpoint for each wave. `follow` is called after
+    each wave; then the last micro-batch runs once more, as after a crash, and it is called again.
+    """
+    base = work_dir(spark, "stream")
+    pipeline = Pipeline(cfg, base, topics=topics)
+    envelope = _envelope(spark, sf_dir) if records is None else records
+    for epoch, (source, arrived) in enumerate(_waves(spark, sf_dir, base, envelope)):
         start(source, pipeline, {"availableNow": True}).awaitTermination()
+        if follow:
+            follow(pipeline, envelope)
+    if follow:
+        pipeline.process_batch(arrived, epoch)
+        follow(pipeline, envelope)
     return pipeline.tables(envelope)
 
 
@@ -209,6 +225,92 @@ def stream_window_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return closed_windows(run_stream(spark, sf_dir).parts(), CONFIG)
 
 
+def stream_window_final(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same windows from the table to which each is added once, when it closes."""
+    return run_stream(spark, sf_dir).closed()
+
+
+def _followed(stream: Callable[[Pipeline, DataFrame], DataFrame], name: str) -> Follower:
+    """Runs a stream over what the pipeline wrote into a table of its own, from its checkpoint."""
+    def follow(pipeline: Pipeline, envelope: DataFrame) -> None:
+        out = stream(pipeline, envelope).writeStream.format("parquet").option(
+            "checkpointLocation", f"{pipeline.base}/{name}-checkpoint"
+        ).trigger(availableNow=True)
+        out.start(f"{pipeline.base}/{name}").awaitTermination()
+    return follow
+
+
+def stream_window_native(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows behind Spark's own watermark, kept by its state store in append mode."""
+    cfg = replace(CONFIG, max_future_skew=SKEW)
+    follow = _followed(lambda pipeline, df: window_stream(pipeline.tables(df).stream(), cfg), "windows")
+    tables = run_stream(spark, sf_dir, cfg, follow=follow)
+    return spark.read.parquet(f"{tables.base}/windows")
+
+
+def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first record of each key of a stream, by Spark's state within the watermark."""
+    base = work_dir(spark, "dedup")
+    for source, _ in _waves(spark, sf_dir, base, _envelope(spark, sf_dir)):
+        records = decode(source)
+        timed = records.withColumn("event_time", event_time(F.col("timestamp"), CONFIG))
+        out = drop_repeats(timed, CONFIG).select("user_id", _ts_text())
+        out.writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint").trigger(
+            availableNow=True
+        ).start(f"{base}/kept").awaitTermination()
+    return spark.read.parquet(f"{base}/kept")
+
+
+def _read_back(spark: SparkSession, sf_dir: str) -> ReadBack:
+    """The stream that follows the topic tables, stopped and resumed, also after a replay."""
+    found = []
+
+    def follow(pipeline: Pipeline, envelope: DataFrame) -> None:
+        back = ReadBack(CONFIG, pipeline.topic_tables(envelope), f"{pipeline.base}/readback")
+        back.start({"availableNow": True}).awaitTermination()
+        found.append(back)
+
+    run_stream(spark, sf_dir, topics=True, follow=follow)
+    return found[-1]
+
+
+def stream_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read_back(spark, sf_dir).counters()
+
+
+def stream_feed_50(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest 50 records of both outputs, from at most 50 per micro-batch and topic."""
+    back = _read_back(spark, sf_dir)
+    feeds = back.feed(CONFIG.valid_topic).unionByName(back.feed(CONFIG.dlq_topic))
+    return feeds.select("topic", "event_id", "user_id", "amount", _ts_text(), "source", "error_reason")
+
+
+def _plain_amount() -> list[Column]:
+    """The amount, NULL where it is NaN, and whether it is."""
+    nan = F.coalesce(F.isnan("amount"), F.lit(False))
+    return [F.when(~nan, F.col("amount")).alias("amount"), nan.alias("amount_is_nan")]
+
+
+def decode_raw_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON lines of all sorts: the fields that fit, the text, and whether it misfits."""
+    return decode_raw(raw_lines(spark, sf_dir)).select(
+        "event_id", "raw", "corrupt", "user_id", *_plain_amount(), _ts_text(), "source"
+    )
+
+
+def dead_letters_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected records of such lines, with the text where the fields do not tell all."""
+    return dlq_only(classify(decode_raw(raw_lines(spark, sf_dir)), CONFIG)).select(
+        "event_id", "raw", "corrupt", "user_id", *_plain_amount(), _ts_text(), "source", "error_reason"
+    )
+
+
+def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a stream of such lines keeps of rejected records for a second attempt."""
+    tables = run_stream(spark, sf_dir, records=raw_lines(spark, sf_dir))
+    return repairable(tables.records()).select("event_id", "raw", "corrupt", "error_reason")
+
+
 def queries() -> dict[str, Query]:
     return {
         "decode_json": decode_json,
@@ -244,4 +346,12 @@ def queries() -> dict[str, Query]:
         "stream_window": stream_window,
         "stream_running_totals": stream_running_totals,
         "stream_window_append": stream_window_append,
+        "stream_window_final": stream_window_final,
+        "stream_window_native": stream_window_native,
+        "stream_dedup": stream_dedup,
+        "stream_readback": stream_readback,
+        "stream_feed_50": stream_feed_50,
+        "decode_raw": decode_raw_query,
+        "dead_letters_raw": dead_letters_raw,
+        "stream_dead_letters": stream_dead_letters,
     }

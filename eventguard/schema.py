@@ -37,9 +37,48 @@ PARTS = T.StructType([
     T.StructField("newest_event", T.LongType()),
 ])
 
-# What a micro-batch hands to the next one: totals so far.
+# Windows that no later record can change.
+WINDOWS = T.StructType([
+    T.StructField("window_start", T.StringType()),
+    T.StructField("window_end", T.StringType()),
+    T.StructField("valid_count", T.LongType()),
+    T.StructField("window_total_amount", T.DoubleType()),
+    T.StructField("window_avg_amount", T.DoubleType()),
+])
+
+# The metrics of a micro-batch and their order.
+METRICS = T.StructType([
+    T.StructField("timestamp", T.StringType()),
+    T.StructField("running_total", T.DoubleType()),
+    T.StructField("batch_id", T.LongType()),
+    T.StructField("batch_valid", T.LongType()),
+    T.StructField("batch_dlq", T.LongType()),
+    T.StructField("cum_valid_count", T.LongType()),
+    T.StructField("cum_dlq_count", T.LongType()),
+])
+
+# Results of one or of several merged micro-batches that lie in folders of their own.
+PIECE = T.StructType([
+    T.StructField("first", T.LongType()),
+    T.StructField("last", T.LongType()),
+    T.StructField("level", T.IntegerType()),
+    T.StructField("days", T.ArrayType(T.IntegerType())),
+    T.StructField("newest_event", T.LongType()),
+    T.StructField("closed", T.BooleanType()),
+])
+
+# What a micro-batch hands to the next one: totals, marks, and the manifest of its pieces.
 STATE = T.StructType([
     T.StructField("cum_valid", T.LongType()),
     T.StructField("cum_dlq", T.LongType()),
     T.StructField("running_total", T.DoubleType()),
+    T.StructField("newest_as_of", T.LongType()),
+    T.StructField("closed_until", T.LongType()),
+    T.StructField("today", T.IntegerType()),
+    T.StructField("pieces", T.ArrayType(PIECE)),
+    T.StructField("ahead", T.LongType()),
+    T.StructField("oldest", T.LongType()),
+    T.StructField("trash", T.ArrayType(T.StructType([
+        T.StructField("since", T.LongType()), T.StructField("path", T.StringType()),
+    ]))),
 ])

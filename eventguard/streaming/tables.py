@@ -1,41 +1,69 @@
-"""Tables written by the stream, one folder per micro-batch.
+"""Tables written by the stream: a folder per micro-batch, merged by and by.
 
 A micro-batch overwrites only its own folders and writes its state last, so a retried or
 replayed micro-batch leaves the same tables. Folders below the base:
 
-    records/epoch=N/is_valid=B/day=D   classified records
-    parts/epoch=N                      parts of windows, batch metrics and totals
-    state/epoch=N                      totals handed to the next one
+    records/piece=N-N/is_valid=B/day=D   classified records of micro-batch N
+    parts/piece=N-N                      parts of windows, batch metrics and totals
+    closed/piece=N-N                     windows that became final in micro-batch N
+    merged/<table>/piece=F-L             the same of micro-batches F to L
+    merged/ahead/version=N               accepted records far ahead of time, of merged pieces
+    state/epoch=N                        totals, marks and the manifest after micro-batch N
+
+The manifest in the state names the pieces that make up the tables. Writing the state thus
+switches from old pieces to merged ones at once. What a merge replaced is deleted some
+micro-batches later, when it is certain that the merging one is not replayed.
 
 The accepted keys are the valid records. They lie by the day of their event, so a
-micro-batch reads the days it has events of, and those kept apart because their event was
-far ahead of time.
+micro-batch reads the folders of the days it has events of, and what was kept apart because
+its event was far ahead of time. A merge files those of them whose day has come.
 """
 
 from __future__ import annotations
 
 import json
-from dataclasses import asdict, dataclass
+from collections.abc import Iterable
+from dataclasses import asdict, dataclass, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
-from eventguard.schema import LEDGER, PARTS, PAYLOAD, STATE
+from eventguard.config import PipelineConfig, exists, remove
+from eventguard.schema import LEDGER, PARTS, PAYLOAD, STATE, WINDOWS
 
 DAY = 86_400
 # The day of accepted events that are more than a day ahead of their processing time.
 AHEAD = 2_000_000_000
-# Longest list of days looked up one by one; beyond it, all days between first and last.
-DAYS_LISTED = 1_000
 
 
 def event_day() -> Column:
     return F.floor(F.col("event_time").cast("long") / DAY).cast("int")
 
 
+def far_ahead() -> Column:
+    return F.col("event_time").cast("long") > F.col("as_of").cast("long") + DAY
+
+
 def stored_day() -> Column:
     """Where a record lies; rejected ones are not looked up and have no day."""
-    ahead = F.col("event_time").cast("long") > F.col("as_of").cast("long") + DAY
-    return F.when(F.col("is_valid"), F.when(ahead, F.lit(AHEAD)).otherwise(event_day()))
+    return F.when(F.col("is_valid"), F.when(far_ahead(), F.lit(AHEAD)).otherwise(event_day()))
+
+
+@dataclass(frozen=True)
+class Piece:
+    """One stored micro-batch (level 0) or several merged ones, from `first` to `last`."""
+
+    first: int
+    last: int
+    level: int = 0
+    # Days that hold accepted records, and the newest accepted event in epoch seconds.
+    days: tuple[int, ...] = ()
+    newest_event: int | None = None
+    # Whether windows became final in it.
+    closed: bool = False
+
+    @property
+    def name(self) -> str:
+        return f"piece={self.first}-{self.last}"
 
 
 @dataclass(frozen=True)
@@ -43,59 +71,247 @@ class State:
     cum_valid: int = 0
     cum_dlq: int = 0
     running_total: float = 0.0
+    # The newest processing time, and the time up to which windows are final.
+    newest_as_of: int | None = None
+    closed_until: int | None = None
+    # The newest day with accepted events that were not far ahead.
+    today: int | None = None
+    pieces: tuple[Piece, ...] = ()
+    # The version of the records kept apart; -1 before the first.
+    ahead: int = -1
+    # The oldest micro-batch whose state is kept.
+    oldest: int = 0
+    # Folders that merges replaced, each with the micro-batch that did.
+    trash: tuple[tuple[int, str], ...] = ()
+
+
+@dataclass(frozen=True)
+class Arrivals:
+    """What a micro-batch holds: rows, days of its events in time, and the span of days of
+    events whose processing time is missing or far off."""
+
+    rows: int
+    days: tuple[int, ...]
+    low: int | None
+    high: int | None
 
 
 class StreamTables:
     def __init__(self, spark: SparkSession, base: str, carried: T.StructType):
-        """`carried`: columns of the records besides the payload (arrival, batch, time)."""
+        """`carried`: columns of the records besides the payload (arrival, batch, time, raw text)."""
         self.spark = spark
         self.base = base
         payload = [f for f in PAYLOAD.fields if f.name != "is_valid"]
         self.record_schema = T.StructType([
-            *carried.fields, *payload,
-            T.StructField("epoch", T.LongType()), T.StructField("is_valid", T.BooleanType()),
+            *carried.fields, *payload, T.StructField("epoch", T.LongType()),
+            T.StructField("piece", T.StringType()), T.StructField("is_valid", T.BooleanType()),
             T.StructField("day", T.IntegerType()),
         ])
 
-    def path(self, table: str, epoch: int | None = None) -> str:
-        return f"{self.base}/{table}" + ("" if epoch is None else f"/epoch={epoch}")
+    def path(self, table: str, piece: Piece) -> str:
+        return f"{self.base}/{'merged/' if piece.level else ''}{table}/{piece.name}"
+
+    def _state_path(self, epoch: int) -> str:
+        return f"{self.base}/state/epoch={epoch}"
+
+    def _ahead_path(self, version: int) -> str:
+        return f"{self.base}/merged/ahead/version={version}"
+
+    def _read(self, schema: T.StructType, base: str, paths: list[str]) -> DataFrame | None:
+        if not paths:
+            return None
+        return self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
+
+    def _union(self, schema: T.StructType, *frames: DataFrame | None) -> DataFrame:
+        there = [f.select(*schema.fieldNames()) for f in frames if f is not None]
+        if not there:
+            return self.spark.createDataFrame([], schema)
+        out = there[0]
+        for frame in there[1:]:
+            out = out.unionByName(frame)
+        return out
+
+    # Writing one micro-batch
 
-    def _write(self, df: DataFrame, table: str, epoch: int, by: list[str] | None = None) -> None:
-        df.write.mode("overwrite").parquet(self.path(table, epoch), partitionBy=by)
+    def write_records(self, df: DataFrame, epoch: int) -> dict:
+        """Stores classified records; what is counted on the way comes back, without a job of its own."""
+        valid, seen = F.col("is_valid"), Observation()
+        filed = df.withColumn("epoch", F.lit(epoch).cast("long")).withColumn("day", stored_day())
+        counted = filed.observe(
+            seen, F.count_if(valid).alias("valid"), F.count_if(~valid).alias("dlq"),
+            F.coalesce(F.sum(F.when(valid, F.col("amount"))), F.lit(0.0)).alias("amount"),
+            F.max(F.col("as_of").cast("long")).alias("newest_as_of"),
+            F.max(F.when(valid, F.col("event_time").cast("long"))).alias("newest_event"),
+            F.collect_set(F.when(valid, F.col("day"))).alias("days"),
+        )
+        path = self.path("records", Piece(epoch, epoch))
+        counted.write.mode("overwrite").parquet(path, partitionBy=["is_valid", "day"])
+        return seen.get
 
-    def write_records(self, df: DataFrame, epoch: int) -> None:
-        self._write(df.withColumn("day", stored_day()), "records", epoch, ["is_valid", "day"])
+    def write(self, table: str, df: DataFrame, piece: Piece) -> None:
+        df.write.mode("overwrite").parquet(self.path(table, piece))
 
-    def write_parts(self, df: DataFrame, epoch: int) -> None:
-        self._write(df, "parts", epoch)
+    # Reading
+
+    def _paths(self, table: str, pieces: Iterable[Piece], merged: bool) -> list[str]:
+        return [self.path(table, p) for p in pieces if bool(p.level) == merged]
+
+    def _records(self, pieces: Iterable[Piece], ahead: int) -> DataFrame:
+        """Records of the pieces, and of the version `ahead` of those kept apart."""
+        pieces, schema = list(pieces), self.record_schema
+        apart = self._read(schema, self._ahead_path(ahead), [self._ahead_path(ahead)]) if ahead >= 0 else None
+        if apart is not None:
+            apart = apart.withColumns({"is_valid": F.lit(True), "day": F.lit(AHEAD)})
+        return self._union(
+            T.StructType([f for f in schema.fields if f.name != "piece"]),
+            self._read(schema, f"{self.base}/records", self._paths("records", pieces, False)),
+            self._read(schema, f"{self.base}/merged/records", self._paths("records", pieces, True)), apart,
+        )
+
+    def _small(self, table: str, schema: T.StructType, pieces: Iterable[Piece]) -> DataFrame:
+        pieces = list(pieces)
+        return self._union(
+            schema,
+            self._read(schema, f"{self.base}/{table}", self._paths(table, pieces, False)),
+            self._read(schema, f"{self.base}/merged/{table}", self._paths(table, pieces, True)),
+        )
 
     def records(self, epoch: int | None = None) -> DataFrame:
-        reader = self.spark.read.schema(self.record_schema)
-        return reader.option("basePath", self.path("records")).parquet(self.path("records", epoch))
+        """Classified records of a micro-batch that is not merged yet, or of all."""
+        if epoch is not None:
+            return self._records([Piece(epoch, epoch)], -1)
+        state = self.last_state()
+        return self._records(state.pieces, state.ahead)
+
+    def stream(self) -> DataFrame:
+        """Classified records as they are stored. A replayed micro-batch comes in again.
+
+        Folders that a merge replaced stay for `keep_epochs` micro-batches; a reader must not
+        fall further behind.
+        """
+        # A file that a replay replaced before it was read is missing; its successor follows.
+        reader = self.spark.readStream.schema(self.record_schema).option("ignoreMissingFiles", "true")
+        return reader.parquet(f"{self.base}/records")
+
+    def parts(self, pieces: Iterable[Piece] | None = None) -> DataFrame:
+        return self._small("parts", PARTS, self.last_state().pieces if pieces is None else pieces)
+
+    def closed(self, state: State | None = None) -> DataFrame:
+        """Windows that are final, each once."""
+        state = state or self.last_state()
+        return self._small("closed", WINDOWS, [p for p in state.pieces if p.closed])
+
+    def ledger(self, state: State, arrivals: Arrivals) -> DataFrame | None:
+        """Keys accepted before, of the days of the arrivals, and those kept apart.
 
-    def parts(self, epoch: int | None = None) -> DataFrame:
-        return self.spark.read.schema(PARTS).parquet(self.path("parts", epoch))
+        Only folders of those days are listed and read. A replay starts from the state before
+        its first run and so does not see that run's keys.
+        """
+        odd = range(arrivals.low, arrivals.high + 1) if arrivals.low is not None else ()
+        paths: dict[bool, list[str]] = {False: [], True: []}
+        for piece in state.pieces:
+            paths[piece.level > 0] += [
+                f"{self.path('records', piece)}/is_valid=true/day={day}" for day in piece.days
+                if day == AHEAD or day in arrivals.days or day in odd
+            ]
+        apart = [self._ahead_path(state.ahead)] if state.ahead >= 0 else []
+        frames = (
+            self._read(self.record_schema, f"{self.base}/records", paths[False]),
+            self._read(self.record_schema, f"{self.base}/merged/records", paths[True]),
+            self._read(self.record_schema, f"{self.base}/merged/ahead", apart),
+        )
+        return None if all(f is None for f in frames) else self._union(LEDGER, *frames)
+
+    # State and manifest
 
     def load_state(self, epoch: int) -> State:
         """State after micro-batch `epoch`; the start state before the first one."""
         if epoch < 0:
             return State()
-        row = self.spark.read.schema(STATE).parquet(self.path("state", epoch)).first()
-        return State(**row.asDict())
+        return self._state(self.spark.read.schema(STATE).parquet(self._state_path(epoch)).first())
+
+    def last_state(self) -> State:
+        """The state that was written last; there are few, as a merge deletes old ones."""
+        path = f"{self.base}/state"
+        if not exists(self.spark, path):
+            return State()
+        schema = T.StructType([*STATE.fields, T.StructField("epoch", T.LongType())])
+        last = self.spark.read.schema(schema).parquet(path).orderBy(F.desc("epoch")).drop("epoch").first()
+        return State() if last is None else self._state(last)
+
+    @staticmethod
+    def _state(row: T.Row) -> State:
+        found = row.asDict(recursive=True)
+        pieces = tuple(Piece(**{**p, "days": tuple(p["days"])}) for p in found["pieces"])
+        trash = tuple((t["since"], t["path"]) for t in found["trash"])
+        return State(**{**found, "pieces": pieces, "trash": trash})
 
     def save_state(self, state: State, epoch: int) -> None:
-        text = F.lit(json.dumps(asdict(state)))
+        fields = asdict(state) | {"trash": [{"since": since, "path": path} for since, path in state.trash]}
+        text = F.lit(json.dumps(fields))
         row = self.spark.range(0, 1, 1, 1).select(F.from_json(text, STATE).alias("state"))
-        self._write(row.select("state.*"), "state", epoch)
+        row.select("state.*").write.mode("overwrite").parquet(self._state_path(epoch))
 
-    def ledger(self, epoch: int, days: list[int]) -> DataFrame | None:
-        """Keys accepted before `epoch` whose event is of one of the days or was far ahead.
+    # Merging
 
-        A replay overwrites its epoch's records with all their days, and with them its keys.
+    def empty_trash(self, state: State, epoch: int, cfg: PipelineConfig) -> State:
+        """Deletes what merges replaced at least `keep_epochs` micro-batches ago."""
+        due = [(since, path) for since, path in state.trash if since + cfg.keep_epochs <= epoch]
+        for _, path in due:
+            remove(self.spark, path)
+        return replace(state, trash=tuple(t for t in state.trash if t not in due))
+
+    def merged(self, state: State, epoch: int, cfg: PipelineConfig) -> State:
+        """The state with earlier pieces of a level merged where there are `merge_epochs` of them.
+
+        The piece of `epoch` itself is left alone, as a replay overwrites it. Merges read and
+        write every record once a level, so a record is rewritten `levels` times at most.
         """
-        if epoch == 0:
-            return None
-        day = F.col("day")
-        same = day.isin(days) if len(days) <= DAYS_LISTED else day.between(min(days), max(days))
-        keys = self.records().filter(F.col("is_valid") & (F.col("epoch") < epoch))
-        return keys.filter(same | (day == AHEAD)).select(*LEDGER.fieldNames())
+        for level in range(cfg.levels):
+            group = [p for p in state.pieces if p.level == level and p.last < epoch]
+            if len(group) < cfg.merge_epochs:
+                break
+            state, old = self._merge(state, group, epoch, cfg)
+            state = replace(state, trash=(*state.trash, *((epoch, path) for path in old)))
+        return state
+
+    def _merge(
+        self, state: State, group: list[Piece], epoch: int, cfg: PipelineConfig
+    ) -> tuple[State, list[str]]:
+        """One piece for a group, and the folders that it replaces."""
+        one, closed = Piece(group[0].first, group[-1].last, group[0].level + 1), [p for p in group if p.closed]
+        old = [self.path(t, p) for p in group for t in ("records", "parts")]
+        old += [self.path("closed", p) for p in closed]
+        # Records kept apart go through the merges of the lowest level, which are the frequent ones.
+        lowest = not group[0].level
+        apart = lowest and (state.ahead >= 0 or any(AHEAD in p.days for p in group))
+        rows = self._records(group, state.ahead if apart else -1)
+        day, today = F.when(F.col("is_valid"), event_day()), state.today
+        due = F.coalesce(F.col("day") != AHEAD, F.lit(True))
+        if today is not None:
+            due |= event_day() <= today
+        kept = rows.filter(due).withColumn("day", day)
+        if cfg.retain_days is not None and today is not None:
+            age = F.coalesce("day", F.floor(F.col("as_of").cast("long") / DAY))
+            kept = kept.filter(F.coalesce(age >= today - cfg.retain_days, F.lit(True)))
+        seen = Observation()
+        kept.hint("rebalance", "is_valid", "day").observe(
+            seen, F.collect_set(F.when(F.col("is_valid"), F.col("day"))).alias("days")
+        ).write.mode("overwrite").parquet(self.path("records", one), partitionBy=["is_valid", "day"])
+        self.write("parts", self.parts(group).hint("rebalance"), one)
+        if closed:
+            self.write("closed", self._small("closed", WINDOWS, closed).hint("rebalance"), one)
+        one = replace(
+            one, days=tuple(sorted(seen.get["days"])), closed=bool(closed),
+            newest_event=max((p.newest_event for p in group if p.newest_event is not None), default=None),
+        )
+        if apart:
+            early = rows.filter(~due).drop("is_valid", "day")
+            early.hint("rebalance").write.mode("overwrite").parquet(self._ahead_path(epoch))
+            old += [self._ahead_path(state.ahead)] if state.ahead >= 0 else []
+            state = replace(state, ahead=epoch)
+        if lowest:  # a replay of this micro-batch still needs the state before it
+            old += [self._state_path(e) for e in range(state.oldest, epoch - 1)]
+            state = replace(state, oldest=max(epoch - 1, 0))
+        pieces = [p for p in state.pieces if p not in group] + [one]
+        return replace(state, pieces=tuple(sorted(pieces, key=lambda p: p.first))), old

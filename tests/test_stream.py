@@ -1,5 +1,6 @@
 """The stream against brute force: restarts, replays, late clocks, long-lived keys."""
 
+import os
 from dataclasses import replace
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from eventguard import PipelineConfig, work_dir
 from eventguard.operators.metrics import merge_batch_metrics, running_totals
+from eventguard.operators.route import repairable
 from eventguard.operators.rules import REPEAT_ACROSS
 from eventguard.operators.windows import closed_windows, merge_parts
 from eventguard.plans.fixture import FIELDS
@@ -14,6 +16,8 @@ from eventguard.schema import PAYLOAD
 from eventguard.sources.files import file_stream
 from eventguard.streaming.native import window_stream
 from eventguard.streaming.pipeline import Pipeline, start
+from eventguard.streaming.readback import ReadBack
+from eventguard.streaming.tables import Arrivals, StreamTables
 from tests.brute import verdicts
 from tests.test_duplicates import NOW, SCHEMA, skewed, stamp
 
@@ -112,6 +116,10 @@ ODD_TIMES = [
 ]
 
 
+def days_of(*days):
+    return Arrivals(1, days, None, None)
+
+
 def test_ledger_reads_the_days_of_the_batch(spark):
     """Odd times in the first micro-batches do not make the later ones read more and more."""
     rows = day_rows(6, ODD_TIMES)
@@ -121,12 +129,132 @@ def test_ledger_reads_the_days_of_the_batch(spark):
     read = []
     for epoch in range(1, 6):
         day = (NOW + epoch * 86_400) // 86_400
-        keys = tables.ledger(epoch, [day])
-        assert "PartitionFilters: [isnotnull(is_valid" in keys._jdf.queryExecution().toString()
+        keys = tables.ledger(tables.load_state(epoch - 1), days_of(day))
         read.append(keys.select(F.input_file_name()).distinct().count())
     assert read[-1] == read[2] <= 3
 
 
+def stored_files(tables):
+    """Files below the folders that a micro-batch may list."""
+    root = tables.base.removeprefix("file:")
+    return sum(
+        len([f for f in names if f.startswith("part-")])
+        for top in ("records", "parts", "closed", "merged", "state") for _, _, names in os.walk(f"{root}/{top}")
+    )
+
+
+MERGING = replace(CFG, merge_epochs=3, levels=2, keep_epochs=1)
+
+
+def test_merged_pieces(spark):
+    """Many micro-batches, some empty: few pieces, the same verdicts, a replay changes nothing."""
+    rows, n, hour = [], 0, 3600
+    for epoch in [e for e in range(26) if e not in (4, 5, 13)]:
+        as_of = NOW + epoch * hour
+        for user, event in (
+            (f"U{epoch}", as_of), (f"U{epoch - 1}", as_of - hour), ("A", NOW + 30 * hour), (f"F{epoch // 9}", NOW + 10**7),
+        ):
+            rows.append(record(n, epoch, user, stamp(event), as_of if event != as_of - hour else None))
+            n += 1
+    pipeline = Pipeline(MERGING, work_dir(spark, "t"))
+    files, by_epoch = [], {}
+    for row in rows:
+        by_epoch.setdefault(row[1], []).append(row)
+    for epoch in range(26):
+        pipeline.process_batch(envelope(spark, by_epoch.get(epoch, [])), epoch)
+        files.append(stored_files(pipeline.tables(envelope(spark, []))))
+    tables = pipeline.tables(envelope(spark, []))
+    assert reasons(tables) == verdicts(rows)
+    state = tables.load_state(25)
+    assert [p.level for p in state.pieces].count(0) <= 4 and len(state.pieces) <= 8
+    assert max(files[12:]) < 2 * max(files[:9])
+    # The event that was ahead lies by its day, as that has come; the far one still lies apart.
+    apart = spark.read.parquet(f"{tables.base}/merged/ahead")
+    assert {r["user_id"] for r in apart.collect()} == {"F0", "F1", "F2"}
+    before, closed = snapshot(tables), sorted(map(repr, tables.closed().collect()))
+    pipeline.process_batch(envelope(spark, by_epoch[25]), 25)
+    assert snapshot(tables) == before and sorted(map(repr, tables.closed().collect())) == closed
+    assert len(set(closed)) == len(closed) == closed_windows(tables.parts(), CFG).count()
+    assert tables.load_state(25) == state
+
+
+def test_merge_drops_what_is_too_old(spark):
+    """With a limit in days, merges leave out older records; counts and windows stay."""
+    cfg = replace(MERGING, retain_days=3)
+    rows = day_rows(10)
+    pipeline = Pipeline(cfg, work_dir(spark, "t"))
+    tables = feed(spark, pipeline, rows)
+    kept = {r["n"] // 10 for r in tables.records().select("n").collect()}
+    assert kept == {6, 7, 8, 9} | {e for p in tables.last_state().pieces if not p.level for e in (p.first,)}
+    assert merge_parts(tables.parts()).agg(F.sum("valid_count")).first()[0] == 10
+    assert tables.last_state().cum_valid == 10
+
+
+def test_crash_before_the_state_is_written(spark, monkeypatch):
+    """A micro-batch that merged and then failed runs again and leaves the same tables."""
+    rows = day_rows(4)
+    whole = feed(spark, Pipeline(MERGING, work_dir(spark, "t")), rows)
+    pipeline = Pipeline(MERGING, work_dir(spark, "t"))
+    tables = feed(spark, pipeline, rows[:6])
+    last = envelope(spark, rows[6:])
+
+    def fail(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(StreamTables, "save_state", fail)
+        with pytest.raises(OSError):
+            pipeline.process_batch(last, 3)
+    assert reasons(tables) == verdicts(rows[:6])
+    pipeline.process_batch(last, 3)
+    assert snapshot(tables) == snapshot(whole) and tables.load_state(3).pieces == whole.load_state(3).pieces
+
+
+def test_text_of_rejected_records(spark):
+    """The text of a record that a rule of its own rejects stays, whatever it is."""
+    texts = [None, "", "no", '{"user_id":"A","amount":"5"}', '{"user_id":"A"}']
+    good = envelope(spark, [record(9, 0, "A", stamp(NOW), NOW), record(10, 0, "A", stamp(NOW), NOW)])
+    odd = spark.createDataFrame([(t, i, 0, NOW) for i, t in enumerate(texts)], "value string, n long, batch_id long, s long")
+    odd = odd.select("value", "n", "batch_id", F.timestamp_seconds("s").alias("as_of"))
+    pipeline = Pipeline(CFG, work_dir(spark, "t"))
+    pipeline.process_batch(good.select(*odd.columns).unionByName(odd), 0)
+    records = pipeline.tables(good).records()
+    found = {r["n"]: (r["raw"], r["corrupt"], r["is_valid"]) for r in records.collect()}
+    assert found == {
+        **{i: (t, i < 4, False) for i, t in enumerate(texts)}, 9: (None, False, True), 10: (None, False, False),
+    }
+    assert {r["n"] for r in repairable(records).collect()} == {1, 2, 3, 4}
+
+
+def test_topic_tables_follow_a_replay(spark):
+    """A replay replaces the messages of its micro-batch; counters and feeds follow it."""
+    base = work_dir(spark, "t")
+    pipeline = Pipeline(CFG, base, topics=True)
+    rows = [record(i, i // 30, f"U{i}", stamp(NOW + i), NOW + i, amount=2.0) for i in range(90)]
+    tables = pipeline.topic_tables(envelope(spark, []))
+    back = ReadBack(CFG, tables, f"{base}/back", newest=20)
+
+    def follow():
+        back.start({"availableNow": True}, files_per_trigger=1).awaitTermination()
+        return {r["topic"]: (r["n"], r["amount"]) for r in back.counters().collect()}
+
+    feed(spark, pipeline, rows[:60])
+    assert follow() == {"transactions_valid": (60, 120.0)}
+    feed(spark, pipeline, rows)
+    changed = [replace_amount(r, 3.0 if r[0] < 85 else None) for r in rows[60:]]
+    pipeline.process_batch(envelope(spark, changed), 2)
+    assert follow() == {"transactions_valid": (85, 195.0), "transactions_dlq": (5, 0.0)}
+    assert follow() == {"transactions_valid": (85, 195.0), "transactions_dlq": (5, 0.0)}
+    newest = back.feed("transactions_valid").collect()
+    assert [r["n"] for r in newest] == list(range(84, 64, -1)) and newest[0]["amount"] == 3.0
+    per_part = back.parts("newest").groupBy("epoch", "topic").count().collect()
+    assert max(r["count"] for r in per_part) == 20
+
+
+def replace_amount(row, amount):
+    return (*row[:3], amount, *row[4:])
+
+
 def test_replay_replaces_its_keys(spark):
     """A replay that accepts events of fewer days leaves no key of its first run."""
     pipeline = Pipeline(CFG, work_dir(spark, "t"))
