@@ -2,16 +2,17 @@
 
 Markup is stripped to lines, one per block of the page, in page order. Lines of menus,
 notices, adverts, forms, comments and the like weigh nothing, and so do lines made of links
-outside of a marked article or main part. Weights are summed over sliding windows of lines.
-Where the sum surges above a threshold a stretch of main text begins, where it dives to
-nothing the stretch ends, and the lines between are kept. Lines of a marked part weigh a
-surge more, so all of them are kept; they and the lines around them are summed apart, so
-text beside the mark is kept where it surges by itself.
+outside of a marked article or main part. Weights, the lengths of the lines, are summed over
+sliding windows of lines. Where the sum surges above a threshold a stretch of main text
+begins, where it dives to nothing the stretch ends, and the lines between are kept. Lines of
+a marked part weigh a number of times their length; they and the lines around them are summed
+apart, so either is kept where it surges by itself.
 """
 
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html import unescape
@@ -29,6 +30,7 @@ BLOCK = frozenset(
     " fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html"
     " legend li main menu nav ol option p pre section summary table tbody tfoot thead tr ul".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ASIDE = frozenset("nav footer aside form button label dialog menu head fieldset object".split())
 CLOSES_P = BLOCK - {"option"}
 SAME = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td th", "th": "td th",
@@ -48,10 +50,12 @@ ROLES = frozenset(
     " toolbar form".split()
 )
 
+# Groups do not give back what they took, so a token costs no more than its length: an element
+# ends at its ">" outside of quotes or, if its quotes do not close, at the next one.
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    rf"|<(?P<raw>{RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*[^>]*>|\Z)"
-    r"|<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
+    rf"|<(?P<raw>{RAW})\b(?:(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+(?=>)|[^<>]*+)>.*?(?:</(?P=raw)\b[^<>]*+>?|\Z)"
+    r"|<(?P<end>/?)(?P<name>[A-Za-z][^\s/<>]*+)(?P<attrs>(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+(?=>)|[^<>]*+)>",
     re.S | re.I,
 )
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.S)
@@ -65,6 +69,8 @@ class HtmlConfig:
     surge: int = 86
     # Share of link text from which a line counts as links.
     links: float = 0.6
+    # How many times its length a line of a marked part weighs.
+    marked: int = 6
     # Shortest line that may open a stretch, unless it is a heading.
     opening: int = 25
 
@@ -111,32 +117,55 @@ def _is_main(name: str, attrs: str) -> bool:
     )
 
 
+class _Open:
+    """The open elements, with their places by name, so that none has to be searched."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, bool, bool]] = []  # element, in boilerplate, in the main part
+        self.places: dict[str, list[int]] = defaultdict(list)
+        self.blocks: list[int] = []
+        self.headings = self.links = 0
+
+    def top(self, *names: str) -> int:
+        """The innermost place of any of these elements, or -1."""
+        return max((self.places[n][-1] for n in names if self.places[n]), default=-1)
+
+    def push(self, name: str, boiler: bool, main: bool) -> None:
+        self.places[name].append(len(self.stack))
+        if name in BLOCK:
+            self.blocks.append(len(self.stack))
+        self.headings += name in HEADINGS
+        self.links += name == "a"
+        self.stack.append((name, boiler, main))
+
+    def close_to(self, place: int) -> bool:
+        """Closes elements down to a place; whether a block was among them."""
+        block = bool(self.blocks) and self.blocks[-1] >= place
+        while len(self.stack) > place:
+            name, _, _ = self.stack.pop()
+            self.places[name].pop()
+            if name in BLOCK:
+                self.blocks.pop()
+            self.headings -= name in HEADINGS
+            self.links -= name == "a"
+        return block
+
+
 def page_lines(html: str) -> list[_Line]:
     """The page's blocks of text, white space normalised, character references decoded."""
-    stack: list[tuple[str, bool, bool]] = []  # element, in boilerplate, in the main part
-    lines: list[_Line] = []
+    opened, lines, at = _Open(), [], 0
     current: _Line | None = None
-    at, in_link = 0, 0
-
-    def close_to(place: int) -> None:
-        nonlocal current, in_link
-        for name, _, _ in stack[place:]:
-            if name in BLOCK:
-                current = None
-            in_link -= name == "a"
-        del stack[place:]
 
     def add(raw: str) -> None:
         nonlocal current
         if current is None:
             if not raw.strip():
                 return
-            boiler, main = stack[-1][1:] if stack else (False, False)
-            heading = any(re.fullmatch("h[1-6]", name) for name, _, _ in stack)
-            current = _Line([], boiler, main, heading)
+            boiler, main = opened.stack[-1][1:] if opened.stack else (False, False)
+            current = _Line([], boiler, main, opened.headings > 0)
             lines.append(current)
         current.parts.append(raw)
-        if in_link:
+        if opened.links:
             current.linked += len(raw.strip())
 
     for token in _TOKEN.finditer(html):
@@ -147,38 +176,28 @@ def page_lines(html: str) -> list[_Line]:
         if not name:
             continue
         if token["end"]:
-            place = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
-            if place is not None:
-                close_to(place)
-            elif name in BLOCK:
+            place = opened.top(name)
+            if (opened.close_to(place) if place >= 0 else name in BLOCK):
                 current = None
             continue
         if name in CLOSES_P:
             # A new block ends an open paragraph, and an item ends the one before it.
-            same = SAME.get(name, "").split()
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == "p" or stack[k][0] in same:
-                    close_to(k)
-                    break
-                if stack[k][0] in BLOCK:
-                    break
+            place = opened.top("p", *SAME.get(name, "").split())
+            if place >= 0 and place >= (opened.blocks[-1] if opened.blocks else -1):
+                opened.close_to(place)
             current = None
         elif name in SAME:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in SAME[name].split():
-                    close_to(k)
-                    break
-                if stack[k][0] in ("tr", "table"):
-                    break
+            place = opened.top(*SAME[name].split())
+            if place > opened.top("tr", "table") and opened.close_to(place):
+                current = None
         if name in ("br", "td", "th", "img", "wbr") and current is not None:
             current.parts.append(" " if name != "wbr" else "")
         if name in VOID or token["attrs"].endswith("/"):
             continue
-        boiler, main = stack[-1][1:] if stack else (False, False)
-        boiler = boiler or _is_aside(name, token["attrs"], main)
-        stack.append((name, boiler, main or (not boiler and _is_main(name, token["attrs"]))))
-        in_link += name == "a"
-        if boiler != (stack[-2][1] if len(stack) > 1 else False):
+        outer, main = opened.stack[-1][1:] if opened.stack else (False, False)
+        boiler = outer or _is_aside(name, token["attrs"], main)
+        opened.push(name, boiler, main or (not boiler and _is_main(name, token["attrs"])))
+        if boiler != outer:
             current = None
     if at < len(html):
         add(html[at:])
@@ -193,7 +212,7 @@ def kept_lines(lines: list[_Line], cfg: HtmlConfig) -> list[str]:
     def weight(line: _Line) -> int:
         if line.boiler or (not line.main and line.linked > cfg.links * len(line.text)):
             return 0
-        return len(line.text) + cfg.surge * line.main
+        return len(line.text) * (cfg.marked if line.main else 1)
 
     # Of the lines outside of marked parts and of those inside.
     weights = [[weight(line) * (line.main == main) for line in lines] for main in (False, True)]
@@ -205,7 +224,7 @@ def kept_lines(lines: list[_Line], cfg: HtmlConfig) -> list[str]:
         for main in (False, True):
             own, total = weights[main][i], sums[main][i]
             if not inside[main] and own and total >= surge:
-                inside[main] = main or line.heading or own >= min(cfg.opening, surge)
+                inside[main] = line.heading or own >= min(cfg.opening, surge)
             if inside[main] and own:
                 kept.append(line.text)
             if not own and not total:

@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -209,8 +210,37 @@ def test_body_beside_marked_teasers():
         "<p><a>Link that is long enough to weigh something if it were text and not all of it a link</a></p>"
     )
     assert main_text(page) == "\n\n".join(["Head", long, "Short.", long, "Teaser", "More here", "Other"])
-    page = f"<div><p>{long}</p><p>{long}</p><article>Aside</article><p>The end.</p></div>"
-    assert main_text(page) == "\n\n".join([long, long, "Aside", "The end."])
+    page = f"<div><p>{long}</p><p>{long}</p><article>An aside of its own</article><p>The end.</p></div>"
+    assert main_text(page) == "\n\n".join([long, long, "An aside of its own", "The end."])
+
+
+def test_surge_and_dive_in_marked_parts():
+    """A marked part is kept where its weight surges, from there to where it dives."""
+    long = "A sentence of some length that is the body of this page, with more words to follow."
+    stray = f"<article><p>Hi</p></article><div><p>{long}</p><p>{long}</p></div>"
+    assert main_text(stray) == "\n\n".join([long, long])
+    menu = "<ul class=menu><li>One</li><li>Two</li><li>Three</li><li>Four</li></ul>"
+    page = f"<main><p>Ad</p>{menu}<p>{long}</p><p>So.</p>{menu}<p>Up</p></main>"
+    assert main_text(page) == "\n\n".join([long, "So."])
+    # The same page without its mark.
+    assert main_text(page.replace("main>", "div>")) == "\n\n".join([long, "So."])
+
+
+@pytest.mark.parametrize("page", [
+    "<a \"" * 100_000, "<div>x" * 20_000, "<b>" * 20_000 + "<p>x" * 20_000, "<i>" * 20_000 + "</b>x" * 20_000,
+    "<script>" + "</script " * 50_000, "<" * 500_000, "<a " + "b='c " * 100_000, "<h1><b>x<p>" * 20_000,
+    "&" * 500_000, "<a '\"" * 100_000, "<table><tr><td>x" * 10_000, "word " * 200_000,
+], ids=range(12))
+def test_long_broken_pages(page):
+    begin = time.process_time()
+    main_text(page)
+    assert time.process_time() - begin < 5
+
+
+def test_pages_with_clashing_columns(spark):
+    df = spark.createDataFrame([(1, 2, 3, 4, PAGE)], "page_id long, raw long, _raw long, other long, html string")
+    row = extract_text(df, ["page_id", "raw", "_raw", "other"]).first()
+    assert tuple(row)[:4] == (1, 2, 3, 4) and row["text"] == main_text(PAGE)
 
 
 def test_pages_table(spark):
