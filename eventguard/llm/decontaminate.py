@@ -2,15 +2,14 @@
 
 Texts and benchmark items are brought to templates: words in lower case without outer
 punctuation, with placeholders for numbers, for names (capitalised inside a sentence) and
-for units behind a number. Windows of a template are looked up by hash among the windows of
-the items. Where text and item line up, the slots are compared: one value of the item must
-stand for one value of the text throughout. Windows of the words themselves are looked up
-beside the templates, so copies are found whatever their capitals, and also where a window
-is mostly placeholders. An item is found in a text if enough of its windows are, or a run of
-words that is long enough.
-
-Benchmark windows go to all tasks in blocks of `block_windows`, whatever the benchmark's
-size; each block is a pass over the texts. No text is shuffled.
+for units behind a number. Windows of templates, and of the words themselves beside them,
+are named by hashes in tasks on both sides and joined by hash. Where text and item line up,
+the slots are compared: one value of the item must stand for one value of the text
+throughout. An item is found in a text if enough of its windows are, a run of words that is
+long enough, or all of an item that has few words besides its slots.
+
+Before the join a filter of fixed size, made of the items' window hashes, leaves out nearly
+all windows of texts that no item has; only texts with such windows go on, equal ones once.
 """
 
 from __future__ import annotations
@@ -18,28 +17,45 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, functions as F
 
-from eventguard.llm.common import fresh, in_chunks, utf8
+from eventguard.llm.common import fresh, in_chunks, stored, utf8
 
-# Marks around words, units of measure, numbers in words, sentence ends.
+# Marks around words, units of measure, numbers in words, sentence ends; in
+# English, German, French and Spanish.
 _PUNCTUATION = " .,;:!?\"'()[]{}<>«»“”‘’„…*_`~|#&%$€£^=+/\\-–—¡¿·"
 _UNITS = frozenset(
     "mm cm m km in ft inch inches foot feet yard yards mile miles meter meters metre metres kilometer"
     " kilometers g kg mg gram grams kilogram kilograms ton tons tonne tonnes oz lb lbs pound pounds"
     " ml l liter liters litre litres gallon gallons s sec second seconds min minute minutes h hour"
     " hours day days week weeks month months year years cent cents dollar dollars euro euros percent"
-    " degree degrees mph kmh km/h m/s w kw v a j kj mb gb tb kb".split()
+    " degree degrees mph kmh km/h m/s w kw v a j kj mb gb tb kb"
+    " sekunde sekunden minuten stunde stunden tag tage tagen woche wochen monat monate monaten jahr jahre"
+    " jahren meile meilen gramm kilogramm kilo kilos tonnen prozent grad zoll pfund"
+    " seconde secondes heure heures jour jours semaine semaines mois an ans année années mètre mètres"
+    " kilomètre kilomètres gramme grammes kilogramme kilogrammes degré degrés pour-cent livre livres"
+    " segundo segundos minuto minutos hora horas día días semana semanas mes meses año años metro metros"
+    " kilómetro kilómetros gramo gramos kilogramo kilogramos litro litros tonelada toneladas grado grados"
+    " milla millas libra libras".split()
 )
 _NUMBERS = frozenset(
     "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen"
     " sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety"
-    " hundred thousand million billion dozen".split()
+    " hundred thousand million billion dozen"
+    " null zwei drei vier fünf sechs sieben acht neun zehn elf zwölf dreizehn vierzehn fünfzehn sechzehn"
+    " siebzehn achtzehn neunzehn zwanzig dreißig vierzig fünfzig sechzig siebzig achtzig neunzig hundert"
+    " tausend dutzend"
+    " deux trois quatre cinq sept huit neuf dix onze douze treize quatorze quinze seize vingt trente"
+    " quarante cinquante soixante cent mille douzaine"
+    " dos tres cuatro cinco seis siete ocho nueve diez once doce trece catorce quince dieciséis veinte"
+    " treinta cuarenta cincuenta sesenta setenta ochenta noventa cien ciento mil docena".split()
 )
 _ENDS = (".", "!", "?", ":", "\0")
 _NUMBER = re.compile(r"\d[\d.,:/]*(?:[a-z%°]{0,4})")
@@ -57,8 +73,13 @@ class LeakConfig:
     share: float = 0.5
     # Words on end of which an item is found whatever its share.
     run: int = 13
-    block_windows: int = 1_000_000
+    # Words besides slots that an item needs to be found by its template where that is mostly slots.
+    plain: int = 2
     words_held: int = 400_000
+    # Bits of the filter: least and most. Beyond the most, more windows go to the join in vain.
+    filter_bits: tuple[int, int] = (1 << 24, 1 << 29)
+    # Windows of texts in one task of the comparison, about.
+    packed: int = 20_000
 
 
 def _hash(text: str) -> int:
@@ -144,86 +165,180 @@ def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-@dataclass
-class _Item:
-    item: object
-    values: list[str]
-    kinds: np.ndarray
-    width: int
-    usable: np.ndarray  # whether a window is not mostly placeholders
-
-
-_Found = dict[int, dict[int, list[tuple[int, int]]]]
-_Windows = dict[int, tuple[np.ndarray, list[list[tuple[int, int]]], np.ndarray]]
-
-
-@dataclass
-class Block:
-    """Windows of some items: by width, the sorted hashes and what they belong to."""
-
-    items: list[_Item] = field(default_factory=list)
-    windows: _Windows = field(default_factory=dict)
-    literal: _Windows = field(default_factory=dict)
-
-
-def blocks_of(rows: Iterator[tuple[object, str | None]], cfg: LeakConfig) -> Iterator[Block]:
-    """Items in blocks; read one after the other on the driver, one block is held at a time."""
-    templates = Templates(cfg.words_held)
-    items: list[_Item] = []
-    found: _Found = defaultdict(lambda: defaultdict(list))
-    literal: _Found = defaultdict(lambda: defaultdict(list))
-    size = 0
-
-    def by_width(found: _Found) -> _Windows:
-        windows = {}
-        for width, table in found.items():
-            keys = np.array(sorted(table), np.uint64)
-            seen = np.zeros(1 << 16, bool)
-            seen[keys >> np.uint64(48)] = True
-            windows[width] = (keys, [table[int(k)] for k in keys], seen)
-        return windows
-
-    def close() -> Block:
-        return Block(items, by_width(found), by_width(literal))
-
-    for item, text in rows:
-        ids, hashes, kinds, _ = templates([text or ""])
-        if len(ids) < cfg.least_words:
-            continue
-        width = min(cfg.window, len(ids))
-        slots = np.convolve(kinds != WORD, np.ones(width, int), "valid")
-        usable = 2 * slots <= width  # templates of placeholders say nothing
-        keys = window_hashes(hashes, width)
-        for at in np.flatnonzero(usable).tolist():
-            found[width][int(keys[at])].append((len(items), at))
-        keys = window_hashes(np.array([templates.literal[i] for i in ids], np.uint64), width)
-        for at, key in enumerate(keys.tolist()):
-            literal[width][key].append((len(items), at))
-        items.append(_Item(item, [templates.values[i] for i in ids], kinds, width, usable))
-        size += int(usable.sum()) + len(keys)
-        if size >= cfg.block_windows:
-            yield close()
-            items, size = [], 0
-            found.clear()
-            literal.clear()
-    if items:
-        yield close()
-
-
-def _consistent(item: _Item, words: list[str], starts: list[int]) -> tuple[bool, int]:
-    """Whether slots map one to one where windows from these places match, and changed slots."""
-    there: dict[tuple[int, str], str] = {}
-    back: dict[tuple[int, str], str] = {}
-    changed: set[tuple[int, str]] = set()
-    for at in sorted({s + k for s in starts for k in range(item.width)}):
-        kind = int(item.kinds[at])
-        if kind != WORD:
-            mine, other = item.values[at], words[at]
-            if there.setdefault((kind, mine), other) != other or back.setdefault((kind, other), mine) != mine:
+def _kinds_of_windows(
+    templates: Templates, ids: np.ndarray, hashes: np.ndarray, width: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the windows of template words, and of the words themselves; no two kinds or widths share any."""
+    literal = np.array(templates.literal, np.uint64)[ids]
+    salts = [np.uint64((2 * width + k) * int(_MIX) % (1 << 64)) for k in (0, 1)]
+    return window_hashes(hashes, width) ^ salts[0], window_hashes(literal, width) ^ salts[1]
+
+
+_NAME = "i1 long, i2 long"
+_ITEM_WINDOWS = f"{_NAME}, h long, literal boolean, start int, width int, usable boolean, n_usable int, n int, plain int, slots array<string>"
+
+
+def item_windows(benchmark: DataFrame, text: str, cfg: LeakConfig) -> DataFrame:
+    """A row for every window of every different item, with what of the item its text is held against.
+
+    A window is usable unless it is mostly placeholders; `plain` counts an item's other words.
+    """
+    texts = benchmark.select(F.col(text).alias("text")).dropna().distinct().select(*_named("text"), utf8(F.col("text")).alias("_raw"))
+
+    def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        templates = Templates(cfg.words_held)
+        for part in parts:
+            for chunk, raws in in_chunks(part, "_raw"):
+                for i1, i2, raw in zip(chunk.column("i1").to_pylist(), chunk.column("i2").to_pylist(), raws):
+                    ids, hashes, kinds, _ = templates([raw.decode()])
+                    if len(ids) < cfg.least_words:
+                        continue
+                    width = min(cfg.window, len(ids))
+                    slot = kinds != WORD
+                    usable = 2 * np.convolve(slot, np.ones(width, int), "valid") <= width
+                    n, plain, n_usable = len(usable), int((~slot).sum()), int(usable.sum())
+                    rows = []
+                    for literal, keys in zip((False, True), _kinds_of_windows(templates, ids, hashes, width)):
+                        for at, key in enumerate(keys.view(np.int64).tolist()):
+                            slots = [] if literal else _slots(templates, ids, kinds, at, width)
+                            rows.append((i1, i2, key, literal, at, width, bool(usable[at]), n_usable, n, plain, slots))
+                    yield _batch(rows, _ITEM_KINDS)
+
+    return stored(texts.mapInArrow(cut, _ITEM_WINDOWS), "itemwindows")
+
+
+_ITEM_KINDS = {
+    "i1": pa.int64(), "i2": pa.int64(), "h": pa.int64(), "literal": pa.bool_(), "start": pa.int32(), "width": pa.int32(),
+    "usable": pa.bool_(), "n_usable": pa.int32(), "n": pa.int32(), "plain": pa.int32(), "slots": pa.list_(pa.string()),
+}
+
+
+def _batch(rows: list[tuple], kinds: dict[str, pa.DataType]) -> pa.RecordBatch:
+    columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds.values())]
+    return pa.RecordBatch.from_arrays(columns, names=list(kinds))
+
+
+def _named(text: str, a: str = "i1", b: str = "i2") -> list[Column]:
+    """Two hashes that name a text."""
+    return [F.xxhash64(text).alias(a), F.xxhash64(F.lit("again"), F.col(text)).alias(b)]
+
+
+def _slots(templates: Templates, ids: np.ndarray, kinds: np.ndarray, at: int, width: int) -> list[str]:
+    """The values behind a window's placeholders, each with its kind in front."""
+    own = kinds[at:at + width]
+    return [f"{own[k]}{templates.values[ids[at + k]]}" for k in np.flatnonzero(own != WORD).tolist()]
+
+
+def _probes(hashes: np.ndarray, bits: int) -> list[np.ndarray]:
+    mask = np.uint64(bits - 1)
+    return [hashes & mask, (hashes >> np.uint64(17)) & mask, (hashes >> np.uint64(34)) & mask]
+
+
+class Filter:
+    """Which window hashes may be among those of the items."""
+
+    def __init__(self, words: np.ndarray, bits: int):
+        self.words, self.bits = words, bits
+
+    def maybe(self, hashes: np.ndarray) -> np.ndarray:
+        """Places of the hashes that may be known."""
+        left = np.arange(len(hashes))
+        mixed = (hashes ^ (hashes >> np.uint64(31))) * _MIX
+        for probe in _probes(mixed, self.bits):
+            at = probe[left]
+            left = left[(self.words[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+        return left
+
+
+def window_filter(windows: DataFrame, n: int, cfg: LeakConfig) -> Filter:
+    """The filter of all window hashes, of a size between the given bounds; made in parts by tasks."""
+    least, most = cfg.filter_bits
+    bits = min(most, max(least, 1 << (32 * n).bit_length()))
+    size = 1 << 13  # bytes of a part
+
+    def fill(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = np.zeros(bits // 8, np.uint8)
+        for part in parts:
+            hashes = part.column("h").to_numpy().view(np.uint64)
+            for probe in _probes((hashes ^ (hashes >> np.uint64(31))) * _MIX, bits):
+                np.bitwise_or.at(words, probe >> np.uint64(3), np.uint8(1) << (probe & np.uint64(7)).astype(np.uint8))
+        blocks = words.reshape(-1, size)
+        filled = np.flatnonzero(blocks.any(axis=1))
+        for some in np.array_split(filled, len(filled) // 1000 + 1):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(some, pa.int32()), pa.array([blocks[k].tobytes() for k in some], pa.binary())], names=["part", "bits"]
+            )
+
+    def join(rows: pd.DataFrame) -> pd.DataFrame:
+        both = np.bitwise_or.reduce([np.frombuffer(b, np.uint8) for b in rows["bits"]])
+        return pd.DataFrame({"part": [rows["part"].iloc[0]], "bits": [both.tobytes()]})
+
+    words = np.zeros((bits // 8 // size, size), np.uint8)
+    made = windows.select("h").mapInArrow(fill, "part int, bits binary").groupBy("part").applyInPandas(join, "part int, bits binary")
+    for row in made.toLocalIterator():
+        words[row["part"]] = np.frombuffer(row["bits"], np.uint8)
+    return Filter(words.reshape(-1), bits)
+
+
+class _Texts:
+    """The windows of texts that pass the filter."""
+
+    def __init__(self, sent: Broadcast, widths: list[int], cfg: LeakConfig):
+        self.sent, self.widths, self.templates = sent, widths, Templates(cfg.words_held)
+
+    def windows(self, raws: list[bytes]) -> tuple[np.ndarray, list[tuple]]:
+        """The text of each such window, and its hash, kind, place and slots."""
+        ids, hashes, kinds, owner = self.templates([raw.decode() for raw in raws])
+        first = np.searchsorted(owner, np.arange(len(raws)))
+        owners, found = [np.zeros(0, np.int64)], []
+        for width in self.widths:
+            if len(ids) < width:
+                continue
+            inside = owner[:len(owner) - width + 1] == owner[width - 1:]
+            for literal, keys in zip((False, True), _kinds_of_windows(self.templates, ids, hashes, width)):
+                at = self.sent.value.maybe(keys)
+                at = at[inside[at]]
+                owners.append(owner[at])
+                for place, key in zip(at.tolist(), keys[at].view(np.int64).tolist()):
+                    slots = [] if literal else _slots(self.templates, ids, kinds, place, width)
+                    found.append((key, literal, place - int(first[owner[place]]), slots))
+        return np.concatenate(owners), found
+
+
+_WINDOW = pa.struct([("h", pa.int64()), ("literal", pa.bool_()), ("place", pa.int32()), ("slots", pa.list_(pa.string()))])
+
+
+def _candidates(texts: DataFrame, sent: Broadcast, widths: list[int], cfg: LeakConfig) -> DataFrame:
+    """t1, t2, windows: the different texts with windows that may be an item's, and those windows."""
+    rows = texts.select(*_named("text", "t1", "t2"), utf8(F.col("text")).alias("_raw"))
+
+    def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mine = _Texts(sent, widths, cfg)
+        for part in parts:
+            for chunk, raws in in_chunks(part, "_raw"):
+                owner, found = mine.windows(raws)
+                lists: dict[int, list] = defaultdict(list)
+                for k, window in zip(owner.tolist(), found):
+                    lists[k].append(dict(zip(("h", "literal", "place", "slots"), window)))
+                take = pa.array(list(lists), pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [chunk.column("t1").take(take), chunk.column("t2").take(take), pa.array(list(lists.values()), pa.list_(_WINDOW))],
+                    names=["t1", "t2", "windows"],
+                )
+
+    kind = "array<struct<h: long, literal: boolean, place: int, slots: array<string>>>"
+    return rows.mapInArrow(cut, f"t1 long, t2 long, windows {kind}").dropDuplicates(["t1", "t2"])
+
+
+def _consistent(windows: list[tuple[list[str], list[str]]]) -> tuple[bool, int]:
+    """Whether values map one to one over (item's slots, text's slots) of windows, and how many changed."""
+    there: dict[str, str] = {}
+    back: dict[str, str] = {}
+    for mine, other in windows:
+        for a, b in zip(mine, other):
+            if there.setdefault(a, b) != b or back.setdefault(b, a) != a:
                 return False, 0
-            if mine != other:
-                changed.add((kind, mine))
-    return True, len(changed)
+    return True, sum(a != b for a, b in there.items())
 
 
 def _longest_run(starts: set[int], width: int) -> int:
@@ -237,65 +352,69 @@ def _longest_run(starts: set[int], width: int) -> int:
     return longest
 
 
-_Hits = dict[tuple[int, int], dict[int, list[int]]]
-
-
-def _hits(hashes: np.ndarray, owner: np.ndarray, windows: _Windows) -> _Hits:
-    """For a text and an item, by the shift between them, where the item's windows begin that occur."""
-    hits: _Hits = defaultdict(lambda: defaultdict(list))
-    for width, (keys, lists, seen) in windows.items():
-        found = window_hashes(hashes, width)
-        if not len(found):
-            continue
-        maybe = np.flatnonzero(seen[found >> np.uint64(48)] & (owner[:len(found)] == owner[width - 1:]))
-        at = np.minimum(np.searchsorted(keys, found[maybe]), len(keys) - 1)
-        equal = keys[at] == found[maybe]
-        for place, key in zip(maybe[equal].tolist(), at[equal].tolist()):
-            for item, start in lists[key]:
-                hits[int(owner[place]), item][place - start].append(start)
-    return hits
-
-
-def matches(
-    texts: list[str], templates: Templates, block: Block, cfg: LeakConfig
-) -> dict[int, list[tuple[int, float, int]]]:
-    """For each text with items in it: the item, the share of its windows, its changed slots."""
-    ids, hashes, _, owner = templates(texts)
-    alike = _hits(hashes, owner, block.windows)
-    equal = _hits(np.array(templates.literal, np.uint64)[ids], owner, block.literal)
-    out: dict[int, list[tuple[int, float, int]]] = defaultdict(list)
-    for text, k in alike.keys() | equal.keys():
-        item = block.items[k]
-        templated, literal = alike.get((text, k), {}), equal.get((text, k), {})
-        usable, total = int(item.usable.sum()), len(item.usable)
-        least = min(cfg.share * (usable or total), -(-cfg.run // item.width))
-        if len({s for own in (templated, literal) for starts in own.values() for s in starts}) < least:
-            continue
-        good: set[int] = set()
-        same: set[int] = set()
-        slots = longest = 0
-        for shift in sorted(templated.keys() | literal.keys()):
-            starts, own = templated.get(shift, []), set(literal.get(shift, []))
-            same |= own
-            if starts:
-                low, high = min(starts), max(starts) + item.width
-                words = {at: templates.values[ids[shift + at]] for at in range(low, high)}
-                fits, changed = _consistent(item, words, starts)
-                # Windows that read the same hold whatever the rest of the diagonal does.
-                if fits:
-                    own.update(starts)
-                    slots = max(slots, changed)
-            good |= own
-            longest = max(longest, _longest_run(own, item.width))
-        share = max(sum(item.usable[s] for s in good) / usable if usable else 0.0, len(same) / total)
-        if share >= cfg.share or longest >= cfg.run:
-            out[text].append((k, float(share), slots))
-    return out
-
+def judged(
+    windows: list[tuple], width: int, n_usable: int, n: int, plain: int, cfg: LeakConfig
+) -> tuple[float, int] | None:
+    """Share of an item's windows in a text and changed slots, or None if the item is not in it.
 
-def _blocks(benchmark: DataFrame, item: str, text: str, cfg: LeakConfig) -> Iterator[Block]:
-    rows = benchmark.select(item, text).filter(F.col(text).isNotNull()).toLocalIterator()
-    return blocks_of(((row[0], row[1]) for row in rows), cfg)
+    `windows`: (shift, start, literal, usable, item's slots, text's slots) of those that meet.
+    Windows of one shift line up; those that read the same hold whatever the others do.
+    """
+    shifts: dict[int, list[tuple]] = defaultdict(list)
+    for shift, *window in windows:
+        shifts[shift].append(window)
+    good: set[int] = set()
+    same: set[int] = set()
+    slots = longest = 0
+    whole = False
+    for own in shifts.values():
+        equal = {start for start, literal, _, _, _ in own if literal}
+        alike = [w for w in own if not w[1]]
+        starts = {w[0] for w in alike}
+        # Windows that are mostly slots count only where the whole item lines up.
+        all_there = len(starts) == n and plain >= cfg.plain
+        if not all_there:
+            alike = [w for w in alike if w[2]]
+        fits, changed = _consistent([(w[3], w[4]) for w in alike])
+        held = set(equal)
+        if fits and alike:
+            held |= {w[0] for w in alike}
+            slots = max(slots, changed)
+            whole |= all_there
+        same |= equal
+        good |= {start for start, _, usable, _, _ in own if usable and start in held}
+        longest = max(longest, _longest_run(held, width))
+    share = 1.0 if whole else max(len(good) / n_usable if n_usable else 0.0, len(same) / n)
+    return (share, slots) if share >= cfg.share or longest >= cfg.run else None
+
+
+def _found(texts: DataFrame, windows: DataFrame, cfg: LeakConfig) -> DataFrame:
+    """t1, t2, i1, i2, share, changed_slots: the items in each different text."""
+    context = texts.sparkSession.sparkContext
+    widths = sorted(r["width"] for r in windows.select("width").distinct().collect())  # at most `window` of them
+    n = windows.count()
+    sent = context.broadcast(window_filter(windows, n, cfg))
+    candidates = stored(_candidates(texts, sent, widths, cfg), "candidates")
+    each = candidates.select("t1", "t2", F.explode("windows").alias("w")).select("t1", "t2", "w.*")
+    met = each.withColumnRenamed("slots", "other").join(windows, ["h", "literal"])
+    total = candidates.agg(F.sum(F.size("windows"))).first()[0] or 0
+    packs = max(1, total // cfg.packed)
+    packed = met.withColumn("pack", F.pmod(F.xxhash64("t1", "i1"), F.lit(packs)))
+    names = ["t1", "t2", "i1", "i2"]
+
+    def judge(rows: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for name, own in rows.groupby(names, sort=False):
+            one = own.iloc[0]
+            verdict = judged(
+                list(zip(own["place"] - own["start"], own["start"], own["literal"], own["usable"], own["slots"], own["other"])),
+                int(one["width"]), int(one["n_usable"]), int(one["n"]), int(one["plain"]), cfg,
+            )
+            if verdict:
+                out.append((*name, *verdict))
+        return pd.DataFrame(out, columns=[*names, "share", "changed_slots"])
+
+    return packed.groupBy("pack").applyInPandas(judge, f"t1 long, t2 long, {_NAME}, share double, changed_slots int")
 
 
 def find_leaks(
@@ -307,35 +426,24 @@ def find_leaks(
     The `keep` columns, item_id, `share` of the item's windows found and `changed_slots`, the
     number of its numbers, names and units that read differently. The share is below
     `cfg.share` where a run of `cfg.run` words was found. Null and empty texts have
-    no items; null, empty and too short items are found nowhere. Equal items are all named.
+    no items; null, empty and too short items (`least_words`) are found nowhere, and items of
+    fewer than `plain` words besides their slots only as copies or by windows that are not
+    mostly slots. Equal items are all named, and repeated rows of df each get their rows.
+    Kept columns must not be called item_id, share or changed_slots.
     """
-    (raw,) = fresh(df.select(*keep), "raw")
-    rows = df.select(*keep, utf8(F.col(text)).alias(raw))
-    fields = [f"`{n}` {df.schema[n].dataType.simpleString()}" for n in keep]
-    kind = benchmark.schema[item].dataType.simpleString()
-    schema = ", ".join([*fields, f"item_id {kind}", "share double", "changed_slots int"])
-    found = df.sparkSession.createDataFrame([], schema)
-    for block in _blocks(benchmark, item, item_text, cfg):
-        sent = df.sparkSession.sparkContext.broadcast(block)
-
-        def search(parts: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            templates = Templates(cfg.words_held)
-            for part in parts:
-                for chunk, texts in in_chunks(part, raw):
-                    hits = matches([t.decode() for t in texts], templates, sent.value, cfg)
-                    flat = [(i, *hit) for i, some in sorted(hits.items()) for hit in sorted(some)]
-                    take = pa.array([f[0] for f in flat], pa.int64())
-                    columns = [chunk.column(n).take(take) for n in keep]
-                    columns.append(pa.array([sent.value.items[f[1]].item for f in flat]))
-                    columns.append(pa.array([f[2] for f in flat], pa.float64()))
-                    columns.append(pa.array([f[3] for f in flat], pa.int32()))
-                    if flat:
-                        yield pa.RecordBatch.from_arrays(
-                            columns, names=[*keep, "item_id", "share", "changed_slots"]
-                        )
-
-        found = found.unionByName(rows.mapInArrow(search, schema))
-    return found
+    clash = {"item_id", "share", "changed_slots"}.intersection(c.lower() for c in keep)
+    if clash:
+        raise ValueError(f"rename the columns {sorted(clash)}")
+    windows = item_windows(benchmark, item_text, cfg)
+    texts = df.select(F.col(text).alias("text"))
+    found = stored(_found(texts, windows, cfg), "leaks")
+    items = benchmark.select(F.col(item).alias("item_id"), *_named(item_text))
+    t1, t2 = fresh(df.select(*keep), "t1", "t2")
+    named = found.join(items, ["i1", "i2"]).select(
+        F.col("t1").alias(t1), F.col("t2").alias(t2), "item_id", "share", "changed_slots"
+    )
+    rows = df.select(*keep, *_named(text, t1, t2))
+    return rows.join(named, [t1, t2]).select(*keep, "item_id", "share", "changed_slots")
 
 
 def drop_leaks(
@@ -343,20 +451,18 @@ def drop_leaks(
     item: str = "item_id", item_text: str = "text", cfg: LeakConfig = LeakConfig(),
 ) -> DataFrame:
     """The rows of df whose text holds no item of the benchmark, with all their columns."""
-    columns = df.columns
-    place = columns.index(text)
-    for block in _blocks(benchmark, item, item_text, cfg):
-        sent = df.sparkSession.sparkContext.broadcast(block)
-
-        def clean(parts: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            templates = Templates(cfg.words_held)
-            for part in parts:
-                # Under the column's place: other columns may have the same name.
-                named = part.rename_columns([f"c{k}" for k in range(part.num_columns)])
-                for chunk, texts in in_chunks(named, f"c{place}"):
-                    hits = matches([t.decode() for t in texts], templates, sent.value, cfg)
-                    keep = pa.array([i not in hits for i in range(len(texts))])
-                    yield chunk.filter(keep).rename_columns(columns)
-
-        df = df.mapInArrow(clean, df.schema)
-    return df
+    windows = item_windows(benchmark, item_text, cfg)
+    found = stored(_found(df.select(F.col(text).alias("text")), windows, cfg).select("t1", "t2").distinct(), "leaks")
+    t1, t2, maybe = fresh(df, "t1", "t2", "maybe")
+    sent = df.sparkSession.sparkContext.broadcast(window_filter(found.select(F.col("t1").alias("h")), found.count(), cfg))
+
+    @F.pandas_udf("boolean")
+    def passes(names: pd.Series) -> pd.Series:
+        out = np.zeros(len(names), bool)
+        out[sent.value.maybe(names.to_numpy().view(np.uint64))] = True
+        return pd.Series(out)
+
+    # Texts that the filter clears stay where they are; only the others move for the join.
+    rows = df.select("*", *_named(text, t1, t2)).withColumn(maybe, passes(t1))
+    rest = rows.filter(maybe).join(found.withColumnsRenamed({"t1": t1, "t2": t2}), [t1, t2], "left_anti")
+    return rows.filter(~F.col(maybe)).select(*df.columns).unionByName(rest.select(*df.columns))

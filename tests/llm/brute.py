@@ -148,3 +148,75 @@ def context_trees(texts, order):
             for k in range(order + 1):
                 trees[data[i - k:i]][data[i]] += 1
     return trees
+
+
+def template(text, marks, numbers, units):
+    """(word, kind) of a text, kind one of w, number, name, unit; by the rules of the operator's description."""
+    out, opens, after_number = [], True, False
+    for line in (text or "").split("\n"):
+        for raw in line.split():
+            bare = raw.strip(marks)
+            ends = raw[-1] in ".!?:"
+            if bare:
+                low = bare.lower()
+                if low in numbers or re.fullmatch(r"\d[\d.,:/]*[a-z%°]{0,4}", low):
+                    kind = "number"
+                elif len(bare) > 1 and bare[0].isupper() and bare[1:] == bare[1:].lower() and not opens:
+                    kind = "name"
+                elif low in units and after_number:
+                    kind = "unit"
+                else:
+                    kind = "w"
+                out.append((low, kind))
+                after_number = kind == "number"
+                opens = ends
+            else:
+                opens = ends
+        opens = True
+    return out
+
+
+def leaks(texts, items, lists, window=8, share=0.5, run=13, least=4, plain=2):
+    """{(text, item): (share, changed slots)}; texts, items: {key: text}. Every place is tried."""
+    shapes = {k: template(t, *lists) for k, t in texts.items()}
+    found = {}
+    for i, item in items.items():
+        own = template(item, *lists)
+        if len(own) < least:
+            continue
+        width = min(window, len(own))
+        starts = range(len(own) - width + 1)
+        slots = [sum(kind != "w" for _, kind in own[s:s + width]) for s in starts]
+        usable = [s for s in starts if 2 * slots[s] <= width]
+        words = sum(kind == "w" for _, kind in own)
+        for d, shape in shapes.items():
+            good, same, best, changed, whole = set(), set(), 0, 0, False
+            for shift in range(-len(own), len(shape)):
+                def fits(s, alike):
+                    a, b = own[s:s + width], shape[max(s + shift, 0):s + shift + width]
+                    return s + shift >= 0 and len(b) == width and all(alike(x, y) for x, y in zip(a, b))
+                equal = {s for s in starts if fits(s, lambda x, y: x[0] == y[0])}
+                alike = {s for s in starts if fits(s, lambda x, y: x[1] == y[1] and (x[1] != "w" or x[0] == y[0]))}
+                entire = len(alike) == len(starts) and words >= plain
+                if not entire:
+                    alike &= set(usable)
+                pairs = {
+                    (own[k], shape[k + shift]) for s in alike for k in range(s, s + width) if own[k][1] != "w"
+                }
+                if len({a for a, _ in pairs}) == len(pairs) == len({b for _, b in pairs}) and alike:
+                    changed = max(changed, sum(a[0] != b[0] for a, b in pairs))
+                    whole |= entire
+                    held = equal | alike
+                else:
+                    held = equal
+                good |= held & set(usable)
+                same |= equal
+                covered = {k for s in held for k in range(s, s + width)}
+                length = 0
+                for k in range(len(own) + 1):
+                    length = length + 1 if k in covered else 0
+                    best = max(best, length)
+            part = 1.0 if whole else max(len(good) / len(usable) if usable else 0.0, len(same) / len(starts))
+            if part >= share or best >= run:
+                found[d, i] = (part, changed)
+    return found

@@ -3,8 +3,8 @@
 import random
 
 import corpus_pipeline
+from eventguard.llm import decontaminate
 from eventguard.llm.codec import decode_ids
-from eventguard.llm.decontaminate import LeakConfig, Templates, blocks_of, matches
 from tests.llm import brute
 
 
@@ -49,10 +49,9 @@ def test_stages(spark, tmp_path):
     assert lined == {i: t for i, t in expected.items() if t.strip()}
     groups = brute.similar(lined, 5, 80)
     assert single == {i: t for i, t in lined.items() if groups[i][1] == i}
-    cfg = LeakConfig()
-    (block,) = blocks_of(iter(items), cfg)
-    leaks = matches(list(single.values()), Templates(1000), block, cfg)
-    assert clean == {i: t for n, (i, t) in enumerate(single.items()) if n not in leaks}
+    lists = (decontaminate._PUNCTUATION, decontaminate._NUMBERS, decontaminate._UNITS)
+    leaks = {d for d, _ in brute.leaks(single, dict(items), lists)}
+    assert clean == {i: t for i, t in single.items() if i not in leaks}
     found = set(single) - set(clean)
     assert found == {i for i, t in enumerate(texts) if t and any(x in t for _, x in items)}
     back = {r["doc_id"]: r["text"] for r in decode_ids(docs, ["doc_id"]).collect()}

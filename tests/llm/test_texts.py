@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from eventguard.llm import lattice
+from eventguard.llm import decontaminate, lattice
 from eventguard.llm.codec import Encoder, decode_ids, encode_texts
 from eventguard.llm.common import held_out
 from eventguard.llm.decontaminate import LeakConfig, drop_leaks, find_leaks
@@ -269,7 +269,7 @@ def test_leaks(spark):
     found = {(r["doc_id"], r["item_id"]): r["changed_slots"] for r in find_leaks(df, bench, ["doc_id", "raw"]).collect()}
     assert set(found) == {(k, i) for k in (20, 21, 25) for i in (1, 5)}
     assert found[20, 1] == 0 and found[21, 1] == 5
-    for cfg in (LeakConfig(), LeakConfig(block_windows=1)):  # one block, or one for each item
+    for cfg in (LeakConfig(), LeakConfig(filter_bits=(1 << 16, 1 << 16), packed=1)):
         clean = drop_leaks(df, bench, cfg=cfg)
         assert clean.columns == df.columns
         assert {r["doc_id"] for r in clean.collect()} == set(range(len(texts))) - {20, 21, 25}
@@ -277,6 +277,62 @@ def test_leaks(spark):
     assert find_leaks(df, bench.limit(0), ["doc_id"]).count() == 0 and drop_leaks(df, bench.limit(0)).count() == len(texts)
 
 
+LISTS = (decontaminate._PUNCTUATION, decontaminate._NUMBERS, decontaminate._UNITS)
+
+
+def questions(seed):
+    """Items with slots, and texts that hold them whole, in part, with other values, or mixed up."""
+    rng = random.Random(seed)
+    names, units = ["Ann", "Bob", "Eve", "Dan"], ["km", "kg", "euros"]
+
+    def word():
+        kind = min(int(rng.expovariate(1.2)), 3)
+        plain = rng.choice(["red", "the", "was", "old", "to", "far", "sees", "and"])
+        return [plain, str(rng.randint(1, 9)), rng.choice(names), f"{rng.randint(1, 99)} {rng.choice(units)}"][kind]
+
+    items = {k: " ".join(word() for _ in range(rng.choice([3, 5, 9, 16, 30]))) for k in range(25)}
+
+    def changed(text):
+        swap = dict(zip(names, rng.sample(names, 4)))
+        out = [swap.get(w, str(int(w) + 1) if w.isdigit() and rng.random() < 0.9 else w) for w in text.split()]
+        if rng.random() < 0.4:
+            out[rng.randrange(len(out))] = rng.choice(["Ann", "7", "new"])
+        return " ".join(out)
+
+    texts = []
+    for text in items.values():
+        part = text.split()[rng.randrange(3):]
+        texts += [changed(text), f"so {text.upper()} it.", "Then " + " ".join(part) + ".\n" + changed(text)]
+    rng.shuffle(texts)
+    return items, dict(enumerate([*texts, *texts[:5], None, "", "word"]))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_leaks_against_brute_force(spark, seed):
+    items, texts = questions(seed)
+    expected = brute.leaks(texts, items, LISTS)
+    assert len(expected) > 40
+    bench = spark.createDataFrame([*items.items(), (77, None), (78, "")], "item_id long, text string")
+    rows = find_leaks(brute.documents(spark, list(texts.values())), bench, ["doc_id"]).collect()
+    found = {(r["doc_id"], r["item_id"]): (pytest.approx(r["share"]), r["changed_slots"]) for r in rows}
+    assert len(rows) == len(found) and expected == found
+    clean = drop_leaks(brute.documents(spark, list(texts.values())), bench).collect()
+    assert sorted(r["doc_id"] for r in clean) == sorted(set(texts) - {d for d, _ in expected})
+
+
+def test_leaks_with_odd_columns_and_long_texts(spark):
+    """Clashing names, repeated rows, and a text of a million words in which an item lies."""
+    bench = spark.createDataFrame([(1, ITEM), (1, ITEM)], "item_id long, text string")
+    long = "so it goes " * 330_000 + ITEM
+    df = brute.documents(spark, [long, long, "plain"]).withColumns({n: F.lit(1) for n in ("t1", "t2", "i1", "h", "maybe", "windows")})
+    rows = find_leaks(df, bench, ["doc_id", "t1", "t2", "i1", "h"]).collect()
+    assert sorted(r["doc_id"] for r in rows) == [0, 0, 1, 1] and {r["t1"] for r in rows} == {1}
+    clean = drop_leaks(df, bench)
+    assert clean.columns == df.columns and [r["doc_id"] for r in clean.collect()] == [2]
+    with pytest.raises(ValueError):
+        find_leaks(df.withColumn("share", F.lit(1)), bench, ["doc_id", "share"])
+
+
 def test_slots_must_be_consistent(spark):
     """Names that are two in the item and one in the text are no renaming."""
     bench = spark.createDataFrame([(1, "we saw Ann meet Bob at the big old market in town before noon today")], "item_id long, text string")
@@ -294,7 +350,9 @@ def test_copies_of_items_full_of_slots(spark):
     texts = [f"so then {items[0]} is asked", f"we ask: {items[1]} today", items[1].lower(), items[2].lower(),
              "What is 13 + 46 * 4?", "When did Anna Visit The Tower In The City"]
     rows = find_leaks(brute.documents(spark, texts), bench, ["doc_id"]).collect()
-    assert {(r["doc_id"], r["item_id"], r["changed_slots"]) for r in rows} == {(0, 0, 0), (1, 1, 0), (2, 1, 0), (3, 2, 0)}
+    assert {(r["doc_id"], r["item_id"], r["changed_slots"]) for r in rows} == {
+        (0, 0, 0), (1, 1, 0), (2, 1, 0), (3, 2, 0), (4, 0, 3),  # other numbers in all of the first item
+    }
 
 
 def test_runs_of_long_items(spark):
