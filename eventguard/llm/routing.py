@@ -166,8 +166,28 @@ def _occurrences(rows: pd.DataFrame) -> pd.DataFrame:
     })
 
 
+def arithmetic_runs(places: np.ndarray) -> np.ndarray:
+    """Rows (text, first, stride, number) for rows (text, place), which are sorted; as few as strides allow.
+
+    A text that repeats itself has its stretches at equal distances, so it takes few rows.
+    """
+    if len(places) < 8:
+        return np.column_stack([places, np.zeros(len(places), np.int64), np.ones(len(places), np.int64)])
+    text, at = places[:, 0], places[:, 1]
+    step = np.append(np.where(text[1:] == text[:-1], np.diff(at), 0), 0)  # to the next place; 0: none
+    # A run goes on where the step behind a place is the one before it.
+    out, i = [], 0
+    changes = np.append(np.flatnonzero(step[1:] != step[:-1]) + 1, len(step))
+    while i < len(at):
+        end = int(changes[np.searchsorted(changes, i, side="right")])  # steps i to end - 1 are alike
+        last = end if step[i] else i
+        out.append((text[i], at[i], step[i], last - i + 1))
+        i = last + 1
+    return np.array(out, np.int64).reshape(-1, 4)
+
+
 def _stretches(buckets: int, cfg: RouteConfig):
-    """Stretches of a chunk whose anchor occurs again, with where they are in which texts."""
+    """Different stretches of a chunk whose anchor occurs again, with how often and where they are."""
 
     def cut(docs: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         docs = docs.sort_values("_rid")
@@ -195,22 +215,60 @@ def _stretches(buckets: int, cfg: RouteConfig):
                         key = xxhash.xxh3_64_intdigest(content)
                         out.setdefault((key, content), []).append((rid, s - start))
         return pd.DataFrame([
-            (key - (1 << 63), len(content), content, np.array(where, np.int64).tobytes())
+            (key - (1 << 63), *_content_name(content), len(content), len(where), content,
+             arithmetic_runs(np.array(where, np.int64)).tobytes())
             for (key, content), where in out.items()
-        ], columns=["key", "size", "content", "places"])
+        ], columns=["key", "c1", "c2", "size", "n", "content", "places"])
 
     return cut
 
 
+def _content_name(content: bytes) -> tuple[int, int]:
+    both = xxhash.xxh3_128_intdigest(content)
+    return (both >> 64) - (1 << 63), (both & (1 << 64) - 1) - (1 << 63)
+
+
 Finder = Callable[[list[bytes], np.ndarray], list[list[tuple[int, int]]]]
 
 
+def _spread(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The intervals of each text from the places of stretches and the intervals in them, joined where they meet."""
+    for part in parts:
+        rows = []
+        for blob, spans in zip(part.column("places").to_pylist(), part.column("spans").to_pylist()):
+            runs = np.frombuffer(blob, np.int64).reshape(-1, 4)
+            for a, b in np.frombuffer(spans, np.int64).reshape(-1, 2).tolist():
+                rid, first, stride, n = runs.T
+                near = stride <= b - a  # the run's intervals meet
+                ends = first + a + np.where(near, (n - 1) * stride, 0) + (b - a)
+                rows.append(np.column_stack([rid, first + a, ends])[near])
+                for one in runs[~near]:
+                    starts = one[1] + a + np.arange(one[3]) * one[2]
+                    rows.append(np.column_stack([np.full(len(starts), one[0]), starts, starts + (b - a)]))
+        every = np.concatenate([np.zeros((0, 3), np.int64), *rows])
+        every = every[np.lexsort((every[:, 1], every[:, 0]))]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in joined(every).T], names=["_rid", "a", "b"])
+
+
+def joined(rows: np.ndarray) -> np.ndarray:
+    """Rows (text, start, end), sorted by text and start, with those that touch or overlap as one."""
+    if not len(rows):
+        return rows
+    # The furthest end so far within each text.
+    far = np.maximum.accumulate(rows[:, 2] + (np.cumsum(np.diff(rows[:, 0], prepend=rows[0, 0]) != 0) << 40))
+    head = np.ones(len(rows), bool)
+    head[1:] = (rows[1:, 0] != rows[:-1, 0]) | (rows[1:, 1] > far[:-1] & ((1 << 40) - 1))
+    last = np.append(np.flatnonzero(head)[1:], len(rows)) - 1
+    return np.column_stack([rows[head, 0], rows[head, 1], far[last] & ((1 << 40) - 1)])
+
+
 def repeated_intervals(df: DataFrame, keep: list[str], text: str, cfg: RouteConfig, finder: Finder) -> DataFrame:
     """The `keep` columns (as k0, k1, ...), `_text` and `_spans` of every row.
 
     `finder` gets the different stretches of a shard and how often each occurs, and gives for
-    each the intervals (start, end) of symbols that windows which occur again cover. `_spans`
-    holds the intervals of a text as int64 pairs in a binary, null where there are none.
+    each the intervals (start, end) of symbols that windows which occur again cover. A shard
+    gets a stretch once, however many texts hold it; what was found goes back to its places.
+    `_spans` holds the intervals of a text, null where there are none.
     """
     buckets = buckets_for(df, text)
     table = _chunked(df, keep, text, buckets, cfg)
@@ -220,28 +278,28 @@ def repeated_intervals(df: DataFrame, keep: list[str], text: str, cfg: RouteConf
     ).applyInPandas(_occurrences, "_chunk long, _bucket int, _found binary")
     stretches = stored(
         docs.select("_chunk", "_rid", "_text").groupBy("_chunk").cogroup(found.groupBy("_chunk")).applyInPandas(
-            _stretches(buckets, cfg), "key long, size int, content binary, places binary"
+            _stretches(buckets, cfg),
+            "key long, c1 long, c2 long, size int, n long, content binary, places binary",
         ), "stretches",
     )
     size = stretches.agg(F.sum("size")).first()[0] or 0
     shards = max(1, size // (cfg.shard * (6 if cfg.words else 1)))
 
     def search(rows: pd.DataFrame) -> pd.DataFrame:
-        places: dict[bytes, list[np.ndarray]] = {}
-        for content, where in zip(rows["content"], rows["places"]):
-            places.setdefault(bytes(content), []).append(np.frombuffer(where, np.int64).reshape(-1, 2))
-        contents = sorted(places)
-        where = [np.concatenate(places[c]) for c in contents]
-        spans = finder(contents, np.array([len(w) for w in where], np.int64))
-        parts = [
-            np.column_stack([w[:, 0], w[:, 1] + a, w[:, 1] + b]) for w, own in zip(where, spans) for a, b in own
-        ]
-        every = np.concatenate(parts) if parts else np.zeros((0, 3), np.int64)
-        return pd.DataFrame(every, columns=["_rid", "a", "b"])
-
-    spans = stretches.withColumn("shard", F.pmod("key", F.lit(int(shards)))).select(
-        "shard", "content", "places"
-    ).groupBy("shard").applyInPandas(search, "_rid long, a long, b long")
+        rows = rows.sort_values("content")
+        contents = [bytes(c) for c in rows["content"]]
+        spans = finder(contents, rows["n"].to_numpy())
+        return pd.DataFrame([
+            (c1, c2, np.array(own, np.int64).tobytes()) for c1, c2, own in zip(rows["c1"], rows["c2"], spans) if own
+        ], columns=["c1", "c2", "spans"])
+
+    different = stretches.groupBy("key", "c1", "c2", "content").agg(F.sum("n").alias("n"))
+    answers = different.withColumn("shard", F.pmod("key", F.lit(int(shards)))).select(
+        "shard", "c1", "c2", "content", "n"
+    ).groupBy("shard").applyInPandas(search, "c1 long, c2 long, spans binary")
+    spans = stretches.select("c1", "c2", "places").join(answers, ["c1", "c2"]).select("places", "spans").mapInArrow(
+        _spread, "_rid long, a long, b long"
+    )
     # A text's intervals, at most one for each of its anchors or windows.
     spans = spans.groupBy("_rid").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("_spans"))
     inner = [f"k{i}" for i in range(len(keep))]

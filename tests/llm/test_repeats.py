@@ -14,7 +14,7 @@ from eventguard.llm.components import components
 from eventguard.llm.linededup import LineConfig, drop_repeated_lines, find_repeated_lines
 from eventguard.llm.ngramjoin import JoinConfig, drop_similar, similar_groups
 from eventguard.llm.queries import op5_line_dedup
-from eventguard.llm.routing import RouteConfig
+from eventguard.llm.routing import RouteConfig, arithmetic_runs, joined
 from tests.llm import brute
 
 
@@ -236,6 +236,40 @@ def test_bytes_against_brute_force(spark, hot, monkeypatch):
         assert r["kept_sha256"] == hashlib.sha256(kept).hexdigest()
 
 
+def test_arithmetic_runs():
+    rng = random.Random(3)
+    for _ in range(200):
+        places = sorted({(rng.randrange(2), rng.choice([rng.randrange(40), 3 * rng.randrange(12)])) for _ in range(rng.randrange(40))})
+        runs = arithmetic_runs(np.array(places, np.int64).reshape(-1, 2))
+        assert [(t, a + k * step) for t, a, step, n in runs.tolist() for k in range(n)] == places
+    assert len(arithmetic_runs(np.column_stack([np.zeros(1000, np.int64), np.arange(1000) * 3]))) == 1
+
+
+def test_joined_intervals():
+    rng = random.Random(4)
+    for _ in range(200):
+        rows = sorted((rng.randrange(3), a := rng.randrange(60), a + rng.randrange(1, 9)) for _ in range(rng.randrange(20)))
+        found = joined(np.array(rows, np.int64).reshape(-1, 3)).tolist()
+        expected = {(t, x) for t, a, b in rows for x in range(a, b)}
+        assert {(t, x) for t, a, b in found for x in range(a, b)} == expected
+        assert all(t != u or b < c for (t, _, b), (u, c, _) in zip(found, found[1:]))
+
+
+def test_periodic_and_shared_long_texts(spark):
+    """Texts of a megabyte that repeat themselves, and a passage in very many texts."""
+    passage = " ".join(brute.prose(random.Random(5), 60, 5000))
+    texts = ["a" * 1_000_000, "ab cd " * 150_000, *[f"{passage} x{k}" for k in range(3000)]]
+    df = brute.documents(spark, texts).withColumns({n: F.lit(1) for n in ("k0", "_text", "n_words", "kept", "places")})
+    keep = ["doc_id", "k0", "_text", "places"]
+    words = {r["doc_id"]: r for r in fmindex.remove_repeats(df, keep, cfg=fmindex.SubstringConfig(window=35)).collect()}
+    assert [words[k]["n_removed"] for k in (0, 1)] == [0, 300_000]
+    assert {words[k]["n_removed"] for k in range(2, 3002)} == {60} and {words[k]["places"] for k in words} == {1}
+    found = {r["doc_id"]: r for r in bwtmerge.remove_repeated_bytes(df, keep).collect()}
+    assert [found[k]["n_removed"] for k in (0, 1)] == [1_000_000, 900_000]
+    for k in range(2, 3002):  # the blank and the x behind the passage are in all of them, the digits not all
+        assert len(passage.encode()) + 2 <= found[k]["n_removed"] <= found[k]["n_bytes"]
+
+
 def test_windows_of_empty_and_keyless_tables(spark):
     df = brute.documents(spark, ["a b", None], [None, None])
     for remove in (fmindex.remove_repeats, bwtmerge.remove_repeated_bytes):
