@@ -91,13 +91,13 @@ class Encoder:
                 scores.append(best)
                 starts.append(start)
                 lasts.append(last)
-            out: list[int] = []
+            way: list[tuple[int, ...]] = []
             end = len(text)
             while end > 0:
-                out[:0] = lasts[end]
+                way.append(lasts[end])
                 end = starts[end]
             before = word
-            yield word, out
+            yield word, [i for ids in reversed(way) for i in ids]
 
 
 class BlockEncoder:
