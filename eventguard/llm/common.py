@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -80,3 +82,42 @@ def buckets_for(df: DataFrame, text: str, size: int = 64 << 20, least: int = 64)
     """Power of two that gives each bucket of a counting exchange about `size` bytes of text."""
     total = df.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
     return max(least, 1 << (total // size).bit_length())
+
+
+def packed_texts(docs: DataFrame) -> DataFrame:
+    """_chunk, rids, sizes, texts: the texts (_text, _rid) of a chunk compressed together, to be moved cheaply.
+
+    Rows of a chunk lie behind each other; where a batch ends inside a chunk, it takes two rows.
+    """
+
+    def pack(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            chunks = part.column("_chunk").to_numpy()
+            heads = np.flatnonzero(np.diff(chunks, prepend=-1) != 0).tolist()
+            rows = []
+            for a, b in zip(heads, [*heads[1:], len(chunks)]):
+                texts = _bytes(part.column("_text").slice(a, b - a))
+                sizes = np.array([len(t) for t in texts], np.int64)
+                body = pa.compress(b"".join(texts), codec="zstd", asbytes=True)
+                rows.append((int(chunks[a]), part.column("_rid").slice(a, b - a).to_numpy().tobytes(), sizes.tobytes(), body))
+            kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)],
+                names=["_chunk", "rids", "sizes", "texts"],
+            )
+
+    return docs.select("_chunk", "_rid", "_text").mapInArrow(pack, "_chunk long, rids binary, sizes binary, texts binary")
+
+
+def unpacked_texts(rows: pd.DataFrame) -> tuple[np.ndarray, list[bytes]]:
+    """The numbers and texts of a chunk from its packed rows, by number."""
+    rids, texts = [np.zeros(0, np.int64)], []
+    for rid, size, body in zip(rows["rids"], rows["sizes"], rows["texts"]):
+        sizes = np.frombuffer(size, np.int64)
+        flat = pa.decompress(body, decompressed_size=int(sizes.sum()), codec="zstd", asbytes=True)
+        ends = np.cumsum(sizes).tolist()
+        texts += [flat[e - n:e] for e, n in zip(ends, sizes.tolist())]
+        rids.append(np.frombuffer(rid, np.int64))
+    every = np.concatenate(rids)
+    order = np.argsort(every)
+    return every[order], [texts[i] for i in order.tolist()]

@@ -26,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from eventguard.llm.common import buckets_for, fresh, in_chunks, stored, utf8
+from eventguard.llm.common import buckets_for, fresh, in_chunks, packed_texts, stored, unpacked_texts, utf8
 from eventguard.llm.components import components
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -250,8 +250,8 @@ def _runs(sorted_values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _indexed(cfg: JoinConfig, buckets: int):
     def index(docs: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        docs = docs.sort_values("_rid")
-        grams, sizes = Shingler(cfg)([bytes(t) for t in docs["_text"]])
+        rids, texts = unpacked_texts(docs)
+        grams, sizes = Shingler(cfg)(texts)
         _, counted = _distinct_sets(grams, sizes)
         keys, _ = _chunk_numbers(counted, buckets)
         times, places = np.ones(len(keys), np.uint8), {k: (a, b) for k, a, b in _filled(keys)}
@@ -264,7 +264,7 @@ def _indexed(cfg: JoinConfig, buckets: int):
         at = np.searchsorted(keys, (bucket.astype(np.uint64) << np.uint64(32)) | number)
         times = times[at]
         out, end = [], 0
-        for rid, size in zip(docs["_rid"], sizes):
+        for rid, size in zip(rids.tolist(), sizes):
             own = slice(end, end + size)
             end += size
             if size:
@@ -276,8 +276,14 @@ def _indexed(cfg: JoinConfig, buckets: int):
     return index
 
 
-def linked(sets: list[np.ndarray], cfg: JoinConfig) -> list[tuple[int, int]]:
-    """Links that connect whatever sets are similar enough, through others or directly."""
+def compared(
+    sets: list[np.ndarray], times: np.ndarray, part: np.ndarray, across: bool, cfg: JoinConfig
+) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Links that connect whatever sets are similar, through others or directly; and how many links each has.
+
+    `times`: texts that each set stands for. In a comparison `across` two parts only links
+    between them count, as those within a part are counted where it is compared with itself.
+    """
     sizes = np.array([len(s) for s in sets], np.int64)
     tokens, back = np.unique(np.concatenate(sets), return_inverse=True)
     owner = np.repeat(np.arange(len(sets)), sizes)
@@ -291,41 +297,50 @@ def linked(sets: list[np.ndarray], cfg: JoinConfig) -> list[tuple[int, int]]:
             i = parent[i]
         return i
 
-    links, end = [], 0
+    links, degree, end = [], np.zeros(len(sets), np.int64), 0
     for i, size in enumerate(sizes.tolist()):
         own = back[end:end + size]
         end += size
         lists = [members[starts[t]:starts[t + 1]] for t in own.tolist()]
-        common = np.bincount(np.concatenate(lists), minlength=len(sets))
-        near = np.flatnonzero(100 * common[:i] >= cfg.similarity_pct * (size + sizes[:i] - common[:i]))
+        common = np.bincount(np.concatenate(lists), minlength=len(sets))[:i]
+        near = np.flatnonzero(100 * common >= cfg.similarity_pct * (size + sizes[:i] - common))
+        counted = near[part[near] != part[i]] if across else near
+        degree[i] += times[counted].sum()
+        degree[counted] += times[i]
         for j in near.tolist():
             a, b = root(i), root(j)
             if a != b:
                 parent[max(a, b)] = min(a, b)
                 links.append((i, j))
-    return links
+    return links, degree
 
 
 def _grouped(df: DataFrame, keep: list[str], text: str, cfg: JoinConfig) -> tuple[DataFrame, list[str], DataFrame]:
-    """Rows of df with `_root`, a number that the texts of a component share; the kept columns' names there."""
+    """Rows of df; the kept columns' names there; `_root`, a number that the texts of a component
+    share, and `_links`, the number of similar other texts, of every row."""
     inner = [f"k{i}" for i in range(len(keep))]  # whatever they are called outside
     source = df.select(*[F.col(c).alias(k) for c, k in zip(keep, inner)], F.col(text).alias("text"))
-    docs, links, reps = _links(source, inner, "text", cfg)
-    found = components(links, "a", "b").select(F.col("node").alias("_rep"), F.col("component").alias("_root"))
+    docs, found, reps = _links(source, inner, "text", cfg)
+    links, degrees = found.filter("b IS NOT NULL"), found.filter("b IS NULL")
+    roots = components(links, "a", "b").select(F.col("node").alias("_rep"), F.col("component").alias("_root"))
+    linked = degrees.groupBy(F.col("a").alias("_rep")).agg(F.sum("n").alias("_linked"))
     # Copies are named by the one that stands for them; blank texts stand for themselves.
-    roots = stored(
+    named = stored(
         docs.select("_rid", "_size", "_sum").join(reps, "_sum")
         .withColumn("_rep", F.when(F.col("_size") > 0, F.col("_rep")).otherwise(F.col("_rid")))
-        .join(found, "_rep", "left").select("_rid", F.coalesce("_root", "_rep").alias("_root")), "roots",
+        .join(roots, "_rep", "left").join(linked, "_rep", "left").select(
+            "_rid", F.coalesce("_root", "_rep").alias("_root"),
+            F.when(F.col("_size") > 0, F.coalesce("_linked", F.lit(0)) + F.col("_times") - 1).otherwise(0).alias("_links"),
+        ), "roots",
     )
-    return docs, inner, roots
+    return docs, inner, named
 
 
 def similar_groups(
     df: DataFrame, key: str = "doc_id", text: str = "text",
-    names: tuple[str, str] = ("n_shingles", "component_id"), cfg: JoinConfig = JoinConfig(),
+    names: tuple[str, str, str] = ("n_shingles", "component_id", "n_links"), cfg: JoinConfig = JoinConfig(),
 ) -> DataFrame:
-    """The key of each row, its set's size and its component.
+    """The key of each row, its set's size, its component, and the number of rows it is linked to.
 
     A component is named by the smallest key in it, found through links of any length. Null
     and blank texts have size 0 and are linked to nothing, not even to each other. Rows that
@@ -336,7 +351,7 @@ def similar_groups(
     several = named.groupBy("_root").agg(F.min(inner).alias("_first"), F.count("*").alias("_n")).filter("_n > 1")
     return named.join(several.select("_root", "_first"), "_root", "left").select(
         F.col(inner).alias(key), F.col("_size").alias(names[0]),
-        F.coalesce("_first", inner).alias(names[1]),
+        F.coalesce("_first", inner).alias(names[1]), F.col("_links").alias(names[2]),
     )
 
 
@@ -360,43 +375,120 @@ def drop_similar(
 
 
 def _links(df: DataFrame, keep: list[str], text: str, cfg: JoinConfig) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows; links (a, b) and numbers of links (a, null, n) of different sets; what stands for equal sets."""
     buckets = buckets_for(df, text)
     table = stored(_documents(df, keep, text, buckets, cfg), "sets")
     counts = table.filter("_bucket IS NOT NULL").select("_chunk", "_bucket", "_numbers", "_times", "_count")
     found = counts.groupBy("_bucket").applyInPandas(_occurrences, "_chunk long, _bucket int, _found binary")
     docs = table.filter("_bucket IS NULL")
     indexed = stored(
-        docs.select("_chunk", "_rid", "_text").groupBy("_chunk").cogroup(found.groupBy("_chunk")).applyInPandas(
+        packed_texts(docs).groupBy("_chunk").cogroup(found.groupBy("_chunk")).applyInPandas(
             _indexed(cfg, buckets), "rid long, size long, grams binary, keys array<long>"
         ), "index",
     )
     # One text stands for all with the same set.
-    sizes = stored(docs.groupBy("_sum").agg(F.min("_rid").alias("_rep")), "reps")
-    index = indexed.join(sizes.select(F.col("_rep").alias("rid")), "rid", "left_semi")
+    reps = stored(docs.groupBy("_sum").agg(F.min("_rid").alias("_rep"), F.count("*").alias("_times")), "reps")
+    index = indexed.join(reps.select(F.col("_rep").alias("rid")), "rid", "left_semi")
     entries = stored(index.select("rid", F.explode("keys").alias("key")), "entries")
-    leaders = entries.groupBy("key").agg(F.min("rid").alias("first"), F.max("rid").alias("last")).filter("first < last")
-    meets = entries.join(leaders, "key").filter("rid > first").select("rid", "first").distinct()
-    clusters = stored(components(meets, "rid", "first"), "clusters")
+    # Only texts that share a key with another one go on.
+    keyed = entries.groupBy("key").agg(F.min("rid").alias("first"), F.count("*").alias("n")).filter("n > 1")
+    led = stored(entries.join(keyed, "key"), "led")
+    sets = stored(indexed.select("rid", "grams").join(led.select("rid").distinct(), "rid", "left_semi"), "met")
+    clusters = _clusters(led, sets, cfg)
     sized = clusters.groupBy("component").agg(F.count("*").alias("n"))
-    total = clusters.count()
-    blocks = F.ceil(F.col("n") / F.lit(cfg.block)).cast("int")
+    members = _placed(clusters.join(sized, "component"), "component", "n", clusters.count(), cfg).join(
+        reps.select(F.col("_rep").alias("rid"), "_times"), "rid"
+    ).join(sets, "rid")
+
+    def verify(rows: pd.DataFrame) -> pd.DataFrame:
+        out, blocks = [], rows["task"].iloc[0].split("-")[1:]
+        across = len(set(blocks)) == 2
+        # Small clusters share a task.
+        for _, own in rows.groupby("component", sort=False):
+            own = own.sort_values("rid")
+            rids = own["rid"].tolist()
+            pairs, degree = compared(
+                [np.frombuffer(g, np.uint64) for g in own["grams"]], own["_times"].to_numpy(), own["part"].to_numpy(), across, cfg
+            )
+            out += [(rids[i], rids[j], None) for i, j in pairs]
+            out += [(rids[i], None, int(degree[i])) for i in np.flatnonzero(degree).tolist()]
+        return pd.DataFrame(out, columns=["a", "b", "n"]).astype("Int64")
+
+    links = members.select("task", "component", "part", "rid", "_times", "grams").groupBy("task").applyInPandas(
+        verify, "a long, b long, n long"
+    )
+    return docs, stored(links, "setlinks"), reps
+
+
+def _placed(rows: DataFrame, group: str, n: str, total: int, cfg: JoinConfig) -> DataFrame:
+    """The rows (rid) of groups of `n` with the tasks that compare them: task, group, part, rid.
+
+    Small groups share a task; a large one is compared block by block.
+    """
+    blocks = F.ceil(F.col(n) / F.lit(cfg.block)).cast("int")
     packs = max(1, total // cfg.block)
-    # Small clusters share a task; a large one is compared block by block.
-    mine = F.pmod(F.xxhash64("node"), blocks.cast("long")).cast("int")
+    mine = F.pmod(F.xxhash64("rid"), blocks.cast("long")).cast("int")
     others = F.transform(F.sequence(F.lit(0), blocks - 1), lambda j: F.concat_ws(
-        "-", F.col("component").cast("string"), F.least(mine, j).cast("string"), F.greatest(mine, j).cast("string")
+        "-", F.col(group).cast("string"), F.least(mine, j).cast("string"), F.greatest(mine, j).cast("string")
     ))
-    pack = F.array(F.pmod(F.xxhash64("component"), F.lit(packs)).cast("string"))
-    placed = clusters.join(sized, "component").select(
-        F.col("node").alias("rid"), F.explode(F.when(blocks > 1, others).otherwise(pack)).alias("task")
+    pack = F.array(F.pmod(F.xxhash64(group), F.lit(packs)).cast("string"))
+    return rows.select(
+        F.explode(F.when(blocks > 1, others).otherwise(pack)).alias("task"), group, mine.alias("part"), "rid"
     )
-    members = placed.join(indexed.select("rid", "grams"), "rid").select("task", "rid", "grams")
 
-    def verify(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("rid")
-        rids = rows["rid"].tolist()
-        pairs = linked([np.frombuffer(g, np.uint64) for g in rows["grams"]], cfg)
-        return pd.DataFrame([(rids[i], rids[j]) for i, j in pairs], columns=["a", "b"])
 
-    links = members.groupBy("task").applyInPandas(verify, "a long, b long")
-    return docs, links, sizes
+def _clusters(led: DataFrame, sets: DataFrame, cfg: JoinConfig) -> DataFrame:
+    """rid, component: texts with others that they are, or may be, similar to.
+
+    `led`: key, rid, the first text of the key, and how many it has. A key's texts are held
+    against the first one. What that is similar to forms groups. Only where a key's texts then
+    lie in several groups, these are put together, so texts that merely share keys make
+    clusters no larger than such keys do; a pair that is alone under its keys makes none.
+    """
+    pairs = led.filter("rid > first").select("rid", "first").distinct()
+    sized = pairs.groupBy("first").agg(F.count("*").alias("n"))
+    # A leader's texts in parts of a block each; its own set goes to all of them.
+    placed = pairs.join(sized, "first").withColumn(
+        "part", F.pmod(F.xxhash64("rid"), F.ceil(F.col("n") / F.lit(cfg.block)).cast("long"))
+    )
+    packs = max(1, pairs.count() // cfg.block)
+    task = F.when(F.col("n") > cfg.block, F.concat_ws("-", "first", "part")).otherwise(
+        F.pmod(F.xxhash64("first"), F.lit(packs)).cast("string")
+    ).alias("task")
+    both = placed.select(task, "first", "rid").unionByName(
+        placed.select(task, "first").distinct().withColumn("rid", F.col("first"))
+    )
+
+    def check(rows: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for first, own in rows.groupby("first", sort=False):
+            lead = np.frombuffer(own.loc[own["rid"] == first, "grams"].iloc[0], np.uint64)
+            for rid, grams in zip(own["rid"].tolist(), own["grams"]):
+                if rid != first:
+                    text = np.frombuffer(grams, np.uint64)
+                    at = np.minimum(np.searchsorted(lead, text), len(lead) - 1)
+                    common = int((lead[at] == text).sum())
+                    like = 100 * common >= cfg.similarity_pct * (len(lead) + len(text) - common)
+                    out.append((rid, first, like))
+        return pd.DataFrame(out, columns=["rid", "first", "alike"])
+
+    checked = stored(both.join(sets, "rid").select("task", "first", "rid", "grams").groupBy("task").applyInPandas(
+        check, "rid long, first long, alike boolean"
+    ), "checked")
+    groups = components(checked.filter("alike"), "rid", "first").select(F.col("node").alias("rid"), F.col("component").alias("group"))
+    # Keys of two texts have been compared; of others those count whose texts lie in several groups.
+    grouped = led.filter("n > 2").select("key", "rid").join(groups, "rid", "left").select(
+        "key", F.coalesce("group", "rid").alias("group")
+    ).distinct()
+    apart = grouped.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low < high")
+    meets = grouped.join(apart.select("key", "low"), "key").filter("group > low").select("group", "low").distinct()
+    joined = components(stored(meets, "meets"), "group", "low").select(
+        F.col("node").alias("group"), F.col("component").alias("component")
+    )
+    # Texts of a group of one that meet nobody any more have no links.
+    every = led.select("rid").distinct().join(groups, "rid", "left").withColumn("group", F.coalesce("group", "rid"))
+    return stored(
+        every.join(joined, "group", "left").join(groups.select(F.col("rid").alias("in_group")), F.col("rid") == F.col("in_group"), "left")
+        .filter("component IS NOT NULL OR in_group IS NOT NULL")
+        .select("rid", F.coalesce("component", "group").alias("component")), "clusters",
+    )

@@ -21,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from eventguard.llm.common import buckets_for, in_chunks, stored, utf8
+from eventguard.llm.common import buckets_for, in_chunks, packed_texts, stored, unpacked_texts, utf8
 from eventguard.llm.ngramjoin import _chunk_numbers, _filled, _pack, _unpack, mix
 
 _A = np.uint64(0x9E3779B97F4A7C15)
@@ -190,8 +190,8 @@ def _stretches(buckets: int, cfg: RouteConfig):
     """Different stretches of a chunk whose anchor occurs again, with how often and where they are."""
 
     def cut(docs: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        docs = docs.sort_values("_rid")
-        symbols = Symbols([bytes(t) for t in docs["_text"]], cfg.words)
+        rids, texts = unpacked_texts(docs)
+        symbols = Symbols(texts, cfg.words)
         at, hashes, first, last = anchors(symbols, cfg)
         out: dict[tuple[int, bytes], list[tuple[int, int]]] = {}
         if len(at):
@@ -203,7 +203,7 @@ def _stretches(buckets: int, cfg: RouteConfig):
                     pa.decompress(blob, decompressed_size=4 * int(b - a), codec="zstd", asbytes=True), np.uint32
                 )
             times = times[back]
-            rids, text = docs["_rid"].to_numpy(), np.searchsorted(symbols.starts, at, side="right") - 1
+            text = np.searchsorted(symbols.starts, at, side="right") - 1
             for i in np.flatnonzero(times > 1).tolist():
                 start, rid = int(symbols.starts[text[i]]), int(rids[text[i]])
                 if times[i] < cfg.hot:
@@ -277,7 +277,7 @@ def repeated_intervals(df: DataFrame, keep: list[str], text: str, cfg: RouteConf
         "_bucket"
     ).applyInPandas(_occurrences, "_chunk long, _bucket int, _found binary")
     stretches = stored(
-        docs.select("_chunk", "_rid", "_text").groupBy("_chunk").cogroup(found.groupBy("_chunk")).applyInPandas(
+        packed_texts(docs).groupBy("_chunk").cogroup(found.groupBy("_chunk")).applyInPandas(
             _stretches(buckets, cfg),
             "key long, c1 long, c2 long, size int, n long, content binary, places binary",
         ), "stretches",

@@ -75,6 +75,15 @@ def similar(texts, n, pct):
     return {k: (len(sets[k]), found[k]) for k in keys}
 
 
+def link_counts(texts, n, pct):
+    """doc -> number of other documents it is linked to."""
+    sets = {k: shingles(t, n) for k, t in texts.items()}
+    return {
+        a: sum(1 for b in sets if b != a and x and sets[b] and 100 * len(x & sets[b]) >= pct * len(x | sets[b]))
+        for a, x in sets.items()
+    }
+
+
 def repeated(sequences, length):
     """Which places of each sequence a window covers that starts more than once."""
     count = Counter(tuple(s[i:i + length]) for s in sequences for i in range(len(s) - length + 1))

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from eventguard.llm import bwtmerge, fmindex
+from eventguard.llm import bwtmerge, fmindex, ngramjoin
 from eventguard.llm.components import components
 from eventguard.llm.linededup import LineConfig, drop_repeated_lines, find_repeated_lines
 from eventguard.llm.ngramjoin import JoinConfig, drop_similar, similar_groups
@@ -129,6 +129,21 @@ def test_similar_texts_against_brute_force(spark, ngram, pct, more):
     expected = brute.similar(dict(enumerate(texts)), ngram, pct)
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == expected
     assert len(found) == len(texts)
+    assert {r["doc_id"]: r["n_links"] for r in found} == brute.link_counts(dict(enumerate(texts)), ngram, pct)
+
+
+def test_candidates_that_are_not_similar_make_no_clusters(spark):
+    """A chain of texts that share keys, no two of them similar: its pairs are checked, the chain is no cluster."""
+    sets = {i: np.arange(50 * i, 50 * i + 100, dtype=np.uint64) for i in range(40)}
+    sets[100] = np.append(sets[0][:-1], np.uint64(10**6))
+    keys = {i: [i, i + 1] for i in range(39)} | {1000: [0, 100], 2000: [5, 6, 7]}
+    led = spark.createDataFrame(
+        [(k, rid, rids[0], len(rids)) for k, rids in keys.items() for rid in rids], "key long, rid long, first long, n long"
+    )
+    grams = spark.createDataFrame([(k, bytearray(v.tobytes())) for k, v in sets.items()], "rid long, grams binary")
+    for block in (1500, 2):
+        found = ngramjoin._clusters(led, grams, JoinConfig(block=block)).collect()
+        assert {r["rid"]: r["component"] for r in found} == {0: 0, 100: 0, 5: 5, 6: 5, 7: 5}
 
 
 def test_one_of_similar_texts_stays(spark):
