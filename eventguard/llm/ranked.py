@@ -39,6 +39,8 @@ class SearchConfig:
     # Postings and documents of a shard.
     postings: int = 1_000_000
     documents: int = 100_000
+    # Most tasks that search; beyond that, a task gets several shards and keeps the best of all.
+    tasks: int = 20_000
     # Most intervals split at a time.
     batch: int = 512
 
@@ -245,7 +247,7 @@ class Best:
 
 def _best_documents(index: DataFrame, items: Items, cfg: SearchConfig) -> DataFrame:
     """item, id, score: the best documents of all shards of a task, for each item."""
-    docs, words = (v or 0 for v in index.agg(F.sum("n_docs"), F.sum("n_terms")).first())
+    docs, words, shards = (v or 0 for v in index.agg(F.sum("n_docs"), F.sum("n_terms"), F.count("*")).first())
     held = document_counts(index, len(items.vocabulary))
     weight = np.array([floor(1000 * log((2 * docs + 2) / (2 * n + 1))) for n in held.tolist()], np.int64)
     queries = [
@@ -266,7 +268,9 @@ def _best_documents(index: DataFrame, items: Items, cfg: SearchConfig) -> DataFr
             pa.array(np.concatenate([b.ids for b in best])), pa.array(np.concatenate([b.scores for b in best])),
         ], names=["item", "id", "score"])
 
-    found = index.select("ids", "lengths", "term", "doc", "tf").mapInArrow(search, "item long, id long, score long")
+    # Few shards a task, as each is searched for all items; small files would come many to a task.
+    dealt = index.select("ids", "lengths", "term", "doc", "tf").repartition(max(1, min(shards, cfg.tasks)))
+    found = dealt.mapInArrow(search, "item long, id long, score long")
     # In two steps, so that no task gets a row of each task for an item.
     parted = found.withColumn("part", F.pmod(F.spark_partition_id(), F.lit(256)))
     return _highest(_highest(parted, ["item", "part"], cfg).drop("rank"), ["item"], cfg)
@@ -293,8 +297,7 @@ def search(
     for block in _blocks(items, item_key, item_text, cfg):
         index = build_index(docs, key, text, block.vocabulary, cfg)
         found = _best_documents(index, block, cfg)
-        named = pa.table({"item": np.arange(len(block.ids)), "item_id": pa.array(block.ids, pa.int64())})
-        ids = spark.createDataFrame(named.to_pandas().astype({"item_id": "Int64"}), "item long, item_id long")
+        ids = spark.createDataFrame(list(enumerate(block.ids)), "item long, item_id long")
         results.append(stored(found.join(ids, "item").select(
             "item_id", "rank", F.nullif("id", F.lit(_LAST)).alias("doc_id"), "score"
         ), "found"))
