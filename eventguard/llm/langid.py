@@ -7,8 +7,9 @@ to a uniform code. Escapes have the weight of the context's number of different
 (method C, without exclusions). Counts are frozen, so a text's code length in a language is
 an exact sum over its bytes; the language with the shortest code is predicted.
 
-The trees are the only thing sent to all tasks. Their size is bounded by the sample:
-`sample_docs` texts a language (about, as texts are drawn by a hash) at any input size.
+The trees are the only thing sent to all tasks. Their size is bounded by the sample at any
+input size: about `sample_docs` different texts a language, as texts are drawn by a hash and
+a text counts once however often it occurs, of up to `longest` bytes each.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ class LangConfig:
     order: int = 4
     # Bound of the learning sample: texts per language.
     sample_docs: int = 1500
+    # Longest text, in bytes, that takes part in learning; all texts are predicted.
+    longest: int = 100_000
     # Positions coded at a time in a task.
     block: int = 1 << 21
 
@@ -108,14 +111,18 @@ def code_bits(keys: np.ndarray, levels: list[dict[str, np.ndarray]]) -> np.ndarr
 def learn(df: DataFrame, text: str, lang: str, cfg: LangConfig) -> dict[str, list[dict[str, np.ndarray]]]:
     """A tree per language from rows with a text and a language.
 
-    Texts are drawn by a hash of their content, the same ones on every run.
+    Different texts of up to `longest` bytes are drawn by a hash of their content, the same
+    ones on every run.
     """
     known = df.select(F.col(lang).alias("lang"), F.col(text).alias("text")).dropna()
     share = (F.lit(float(cfg.sample_docs)) / F.col("n")).alias("share")
     # A small table with known size, so that Spark joins it without moving texts.
     sizes = stored(known.groupBy("lang").agg(F.count("*").alias("n")).select("lang", share), "sizes")
     drawn = (F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)) < F.col("share")
-    sample = known.join(sizes, "lang").filter(drawn).select("lang", utf8(F.col("text")).alias("text"))
+    short = F.octet_length("text") <= cfg.longest
+    sample = known.filter(short).join(sizes, "lang").filter(drawn).select(
+        "lang", utf8(F.col("text")).alias("text")
+    ).distinct()
 
     def tree(rows: pd.DataFrame) -> pd.DataFrame:
         texts = [bytes(t) for t in rows["text"]]
