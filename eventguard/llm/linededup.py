@@ -25,7 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from eventguard.llm.common import fresh, in_chunks, let, stored, utf8
+from eventguard.llm.common import distinct, fresh, in_chunks, let, stored, utf8
 from eventguard.llm.components import components
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -45,8 +45,11 @@ class LineConfig:
     short_repeats: bool = False
     # Bands in one bucket of the exchange, about.
     bucket: int = 400_000
-    # Lines of a band compared in a task at a time.
+    # Lines of a band compared in a task at a time; bands of few lines are compared pair by pair.
     block: int = 1500
+    few: int = 60
+    # Entries of smaller bands that a task gets, about.
+    packed: int = 4_000
 
     @property
     def size(self) -> int:
@@ -54,24 +57,24 @@ class LineConfig:
 
 
 def shingle_hashes(points: np.ndarray, width: int) -> np.ndarray:
-    """Hash of the `width` characters from each place on."""
-    n = max(len(points) - width + 1, 0)
-    out = np.zeros(n, np.uint64)
-    for k in range(width):
-        out *= _A
-        out += points[k:k + n]
-    out ^= out >> np.uint64(32)
+    """Hash of the `width` characters from each place on, by doubling."""
+    if len(points) < width:
+        return np.zeros(0, np.uint64)
+    out, have, power = points, 1, int(_A)
+    while have < width:
+        # The two halves may overlap; with all characters covered the hash is still of the shingle.
+        step = min(have, width - have)
+        out = out[:len(out) - step] * np.uint64(power) + out[step:]
+        power = (power * power + 2 * have) % (1 << 64) | 1
+        have += step
+    out = out ^ (out >> np.uint64(32))
     out *= _B
     out ^= out >> np.uint64(29)
     return out
 
 
-def signatures(lines: list[str], cfg: LineConfig) -> np.ndarray:
-    """Minimum of the shingle hashes that fall in each of `size` bins, per line.
-
-    A bin without a shingle takes the value of a bin drawn by a hash of its number, the
-    same draws for every line, so equal bins stay as likely as the sets are like.
-    """
+def _minima(lines: list[str], cfg: LineConfig, table: np.ndarray) -> None:
+    """Puts the minimum of the shingle hashes in each bin of each line into a table of rows."""
     sizes = np.array([len(line) for line in lines], np.int64)
     points = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     hashes = shingle_hashes(points, cfg.shingle)
@@ -79,23 +82,37 @@ def signatures(lines: list[str], cfg: LineConfig) -> np.ndarray:
     inside = owner[:len(hashes)] == owner[cfg.shingle - 1:]
     hashes, owner = hashes[inside], owner[:len(inside)][inside]
     bins = ((hashes >> np.uint64(32)) * np.uint64(cfg.size)) >> np.uint64(32)
+    np.minimum.at(table.reshape(-1), owner * cfg.size + bins.astype(np.int64), hashes)
+
+
+def signatures(lines: list[str], cfg: LineConfig) -> np.ndarray:
+    """Minimum of the shingle hashes that fall in each of `size` bins, per line.
+
+    A bin without a shingle takes the value of a bin drawn by a hash of its number, the
+    same draws for every line, so equal bins stay as likely as the sets are like.
+    """
     empty = np.uint64(0xFFFFFFFFFFFFFFFF)
-    table = np.full(len(lines) * cfg.size, empty)
-    np.minimum.at(table, owner * cfg.size + bins.astype(np.int64), hashes)
-    table = table.reshape(len(lines), cfg.size)
-    missing = table == empty
-    own = table.copy()
-    draw = 0
-    while missing.any():
+    table = np.full((len(lines), cfg.size), empty)
+    # Some lines at a time, so that what is computed on the way stays in the processor's cache.
+    start, held = 0, 0
+    for k, line in enumerate(lines):
+        held += len(line)
+        if held > 30_000 or k == len(lines) - 1:
+            _minima(lines[start:k + 1], cfg, table[start:k + 1])
+            start, held = k + 1, 0
+    own, draw = table.copy(), 0
+    rows = np.flatnonzero((table == empty).any(axis=1))
+    places = np.arange(1, cfg.size + 1, dtype=np.uint64) * _B
+    while len(rows):
         draw += 1
-        for place in np.flatnonzero(missing.any(axis=0)):
-            mixed = (int(place + 1) * int(_B) + draw * int(_C)) % (1 << 64)
-            other = (mixed >> 20) % cfg.size
-            if draw > 40 * cfg.size:  # every bin will have been drawn long before
-                other = (place + draw) % cfg.size
-            rows = np.flatnonzero(missing[:, place] & (own[:, other] != empty))
-            table[rows, place] = own[rows, other]
-            missing[rows, place] = False
+        turn = np.uint64(draw * int(_C) % (1 << 64))
+        other = ((places + turn) >> np.uint64(20)) % np.uint64(cfg.size)
+        if draw > 40 * cfg.size:  # every bin will have been drawn long before
+            other = (np.arange(cfg.size) + draw) % cfg.size
+        held, drawn = table[rows], own[rows][:, other.astype(np.int64)]
+        np.copyto(held, drawn, where=held == empty)
+        table[rows] = held
+        rows = rows[(held == empty).any(axis=1)]
     return table
 
 
@@ -110,15 +127,17 @@ def band_values(table: np.ndarray, cfg: LineConfig) -> np.ndarray:
     return out ^ (out >> np.uint64(29))
 
 
-def _line_table(docs: DataFrame, rid: str, raw: str, cfg: LineConfig) -> DataFrame:
-    """rid, line, h: every line that may go; bands: of lines to be compared, with their first occurrence in a task's chunk."""
+def _line_table(docs: DataFrame, rid: str, raw: str, order: list[str], cfg: LineConfig) -> DataFrame:
+    """rid, line, h and the order columns (k0, ...): every line that may go; bands: of lines to
+    be compared, with their first occurrence in a task's chunk."""
+    keys = [f"k{i}" for i in range(len(order))]
 
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            for chunk, texts in in_chunks(part, raw):
-                rids, places, found, lines, seen = [], [], [], [], set()
+            for chunk, texts in in_chunks(part, "_raw"):
+                rows, places, found, lines, seen = [], [], [], [], set()
                 first: list[int] = []
-                for row, text in zip(chunk.column(rid).to_pylist(), texts):
+                for row, text in enumerate(texts):
                     for k, line in enumerate(text.decode().split("\n")):
                         short = len(line) < cfg.least_chars
                         if short and not (cfg.short_repeats and line.strip(_SPACE)):
@@ -126,24 +145,29 @@ def _line_table(docs: DataFrame, rid: str, raw: str, cfg: LineConfig) -> DataFra
                         h = xxhash.xxh3_64_intdigest(line.encode())
                         if not short and h not in seen:
                             seen.add(h)
-                            first.append(len(rids))
+                            first.append(len(rows))
                             lines.append(line)
-                        rids.append(row)
+                        rows.append(row)
                         places.append(k)
                         found.append(h)
-                if not rids:
+                if not rows:
                     continue
-                bands: list[bytes | None] = [None] * len(rids)
+                bands: list[bytes | None] = [None] * len(rows)
                 if lines:
                     values = band_values(signatures(lines, cfg), cfg)
                     for at, own in zip(first, values):
                         bands[at] = own.tobytes()
+                take = pa.array(rows, pa.int64())
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(rids, pa.int64()), pa.array(places, pa.int32()),
+                    *[chunk.column(c).take(take) for c in [*keys, "rid"]], pa.array(places, pa.int32()),
                     pa.array(np.array(found, np.uint64).view(np.int64)), pa.array(bands, pa.binary()),
-                ], names=["rid", "line", "h", "bands"])
+                ], names=[*keys, "rid", "line", "h", "bands"])
 
-    return docs.select(rid, raw).mapInArrow(cut, "rid long, line int, h long, bands binary")
+    kinds = [f"{k} {docs.schema[c].dataType.simpleString()}" for k, c in zip(keys, order)]
+    source = docs.select(
+        *[F.col(c).alias(k) for k, c in zip(keys, order)], F.col(rid).alias("rid"), F.col(raw).alias("_raw")
+    )
+    return source.mapInArrow(cut, ", ".join([*kinds, "rid long, line int, h long, bands binary"]))
 
 
 def _leaders(band: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -217,18 +241,44 @@ def candidate_links(lines: DataFrame, buckets: int, cfg: LineConfig) -> DataFram
     return local.unionByName(met).distinct()
 
 
-def jaccard(a: str, b: str, width: int) -> float:
-    x = {a[i:i + width] for i in range(len(a) - width + 1)}
-    y = {b[i:i + width] for i in range(len(b) - width + 1)}
-    return len(x & y) / len(x | y) if x or y else 1.0
+def _shingle_sets(lines: list[str], cfg: LineConfig) -> np.ndarray:
+    """The different shingles of each line as sorted numbers, the line's number above 44 bits of hash."""
+    sizes = np.array([len(line) for line in lines], np.int64)
+    points = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    hashes = shingle_hashes(points, cfg.shingle)
+    owner = np.repeat(np.arange(len(lines), dtype=np.uint64), sizes)
+    inside = owner[:len(hashes)] == owner[cfg.shingle - 1:]
+    return distinct(owner[:len(hashes)][inside] << np.uint64(44) | hashes[inside] >> np.uint64(20))
+
+
+def similar(xs: list[str], ys: list[str], cfg: LineConfig) -> np.ndarray:
+    """Whether the lines of each pair have a Jaccard similarity of `similarity` or more."""
+    found, start, held = [np.zeros(0, bool)], 0, 0
+    for k in range(len(xs)):
+        held += len(xs[k]) + len(ys[k])
+        if held > 300_000 or k == len(xs) - 1 or k - start > 100_000:
+            n = k + 1 - start
+            x, y = _shingle_sets(xs[start:k + 1], cfg), _shingle_sets(ys[start:k + 1], cfg)
+            both = np.sort(np.concatenate([x, y]))
+            both = both[1:][both[1:] == both[:-1]]
+            shared, nx, ny = (np.bincount((v >> np.uint64(44)).astype(np.int64), minlength=n) for v in (both, x, y))
+            found.append(shared >= cfg.similarity * (nx + ny - shared))
+            start, held = k + 1, 0
+    return np.concatenate(found)
+
+
+def _places(lines: DataFrame) -> DataFrame:
+    """h, first, n: where a line occurs first by the order of rows, and how often, per different line."""
+    order = [c for c in lines.columns if c.startswith("k")]
+    first = F.min(F.struct(*order, "rid", "line")).alias("first")
+    return stored(lines.groupBy("h").agg(first, F.count("*").alias("n")), "places")
 
 
-def _texts(pairs: DataFrame, lines: DataFrame, docs: DataFrame, rid: str, text: str) -> DataFrame:
+def _texts(pairs: DataFrame, places: DataFrame, docs: DataFrame, rid: str, text: str) -> DataFrame:
     """h, text: the lines that occur in pairs."""
     need = pairs.select(F.col("a").alias("h")).unionByName(pairs.select(F.col("b").alias("h"))).distinct()
-    firsts = lines.join(need, "h").groupBy("h").agg(F.min(F.struct("rid", "line")).alias("at"))
-    wanted = firsts.groupBy(F.col("at.rid").alias(rid)).agg(
-        F.collect_list(F.struct(F.col("at.line").alias("line"), "h")).alias("wanted")  # lines of one text
+    wanted = places.join(need, "h").groupBy(F.col("first.rid").alias(rid)).agg(
+        F.collect_list(F.struct(F.col("first.line").alias("line"), "h")).alias("wanted")  # lines of one text
     )
     cut = let(F.split(F.col(text), "\n"), lambda ls: F.transform(
         F.col("wanted"), lambda w: F.struct(w["h"].alias("h"), F.get(ls, w["line"]).alias("text"))
@@ -247,18 +297,15 @@ def _checked(pairs: DataFrame, texts: DataFrame, cfg: LineConfig) -> DataFrame:
 
     def check(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            like = [
-                jaccard(x.as_py(), y.as_py(), cfg.shingle) >= cfg.similarity
-                for x, y in zip(part.column("ta"), part.column("tb"))
-            ]
-            yield part.select(["a", "b"]).append_column("like", pa.array(like, pa.bool_()))
+            like = similar(part.column("ta").to_pylist(), part.column("tb").to_pylist(), cfg)
+            yield part.select(["a", "b"]).append_column("like", pa.array(like))
 
     return both.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long, like boolean")
 
 
 def links_between(texts: list[str], groups: list[int], cfg: LineConfig) -> list[tuple[int, int]]:
     """Links of similar texts that connect whatever groups have such texts."""
-    sets = [np.unique(shingle_hashes(
+    sets = [distinct(shingle_hashes(
         np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64), cfg.shingle
     )) for t in texts]
     sizes = np.array([len(s) for s in sets], np.int64)
@@ -292,52 +339,83 @@ def links_between(texts: list[str], groups: list[int], cfg: LineConfig) -> list[
     return links
 
 
-def _others_linked(
-    parted: DataFrame, pairs: DataFrame, groups: DataFrame, lines: DataFrame, texts: DataFrame, cfg: LineConfig
-) -> DataFrame:
-    """Links between the groups of `parted` (a, b) by whatever lines of theirs share a band."""
-    clusters = components(parted, "a", "b").select(F.col("node").alias("group"))
-    ends = pairs.select(F.col("a").alias("h")).unionByName(pairs.select(F.col("b").alias("h"))).distinct()
-    members = ends.join(groups, "h", "left").select("h", F.coalesce("group", "h").alias("group")).join(
-        clusters, "group", "left_semi"
+def _pairs_of_band(bands: np.ndarray, at: int, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of lines of different groups for which this band, the one at place `at`, is the first they share."""
+    first = (bands[:, None, :] == bands[None, :, :]).argmax(axis=2)
+    return np.nonzero(np.triu((first == at) & (groups[:, None] != groups[None, :]), 1))
+
+
+def _others_linked(parted: DataFrame, groups: DataFrame, texts: DataFrame, cfg: LineConfig) -> DataFrame | None:
+    """Links between the groups of `parted` (a, b) by whatever lines of theirs share a band.
+
+    A band of two lines is left out: its one pair has been compared already.
+    """
+    open_groups = parted.select(F.col("a").alias("group")).unionByName(
+        parted.select(F.col("b").alias("group"))
+    ).distinct()
+    members = stored(
+        texts.join(groups, "h", "left").withColumn("group", F.coalesce("group", "h"))
+        .join(open_groups, "group", "left_semi"), "openlines",
     )
 
     def each(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            raw = b"".join(part.column("bands").to_pylist())
-            take = pa.array(np.repeat(np.arange(part.num_rows), cfg.bands))
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.frombuffer(raw, np.int64)), part.column("h").take(take), part.column("group").take(take),
-            ], names=["band", "h", "group"])
-
-    banded = lines.filter(F.col("bands").isNotNull()).select("h", "bands").join(members, "h").dropDuplicates(["h"])
-    entries = stored(
-        banded.select("h", "group", "bands").mapInArrow(each, "band long, h long, group long"), "bands"
-    )
+            if part.num_rows:
+                values = band_values(signatures(part.column("text").to_pylist(), cfg), cfg)
+                take = pa.array(np.repeat(np.arange(part.num_rows), cfg.bands))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(values.reshape(-1).view(np.int64)), pa.array(np.tile(np.arange(cfg.bands), part.num_rows), pa.int32()),
+                    part.column("h").take(take), part.column("group").take(take),
+                ], names=["band", "at", "h", "group"])
+
+    entries = stored(members.mapInArrow(each, "band long, at int, h long, group long"), "bands")
     # Only bands in which several groups meet; the larger ones are compared block by block.
-    several = entries.groupBy("band").agg(
+    several = stored(entries.groupBy("band").agg(
         F.count("*").alias("n"), F.min("group").alias("low"), F.max("group").alias("high")
-    ).filter("low < high")
+    ).filter("low < high AND n > 2").select("band", "n"), "openbands")
+    total = several.agg(F.sum("n")).first()[0]
+    if not total:
+        return None
     blocks = F.ceil(F.col("n") / F.lit(cfg.block)).cast("int")
     mine = F.pmod(F.xxhash64("h"), blocks.cast("long")).cast("int")
-    tasks = F.transform(F.sequence(F.lit(0), blocks - 1), lambda j: F.concat_ws(
+    parts = F.transform(F.sequence(F.lit(0), blocks - 1), lambda j: F.concat_ws(
         "-", F.col("band").cast("string"), F.least(mine, j).cast("string"), F.greatest(mine, j).cast("string")
     ))
-    placed = entries.join(several, "band").select("h", "group", F.explode(tasks).alias("task")).join(texts, "h")
+    packs = max(1, total // cfg.packed)
+    tasks = F.when(blocks > 1, parts).otherwise(
+        F.array(F.pmod(F.xxhash64("band"), F.lit(packs)).cast("string"))
+    )
+    placed = entries.join(several, "band").select("band", "at", "h", F.explode(tasks).alias("task")).join(members, "h")
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        hs = rows["h"].tolist()
-        found = links_between(rows["text"].tolist(), rows["group"].tolist(), cfg)
-        return pd.DataFrame([(hs[i], hs[j]) for i, j in found], columns=["a", "b"]).astype("int64")
-
-    return placed.groupBy("task").applyInPandas(compare, "a long, b long")
+        rows = rows.sort_values("band", kind="stable")
+        hs, which = np.unique(rows["h"].to_numpy(), return_index=True)
+        own = band_values(signatures(rows["text"].iloc[which].tolist(), cfg), cfg)
+        line, band, at = np.searchsorted(hs, rows["h"].to_numpy()), rows["band"].to_numpy(), rows["at"].to_numpy()
+        groups, texts = rows["group"].to_numpy(), rows["text"].tolist()
+        heads = np.flatnonzero(np.diff(band, prepend=band[0] - 1) != 0)
+        left, right, found = [], [], []
+        for a, b in zip(heads.tolist(), [*heads[1:].tolist(), len(band)]):
+            if b - a <= cfg.few:
+                i, j = _pairs_of_band(own[line[a:b]], int(at[a]), groups[a:b])
+                left += (i + a).tolist()
+                right += (j + a).tolist()
+            else:
+                found += [(groups[a + i], groups[a + j]) for i, j in links_between(texts[a:b], groups[a:b].tolist(), cfg)]
+        like = similar([texts[i] for i in left], [texts[j] for j in right], cfg)
+        found += [(groups[i], groups[j]) for i, j, yes in zip(left, right, like) if yes]
+        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+
+    return placed.select("task", "band", "at", "h", "group", "text").groupBy("task").applyInPandas(
+        compare, "a long, b long"
+    )
 
 
 def similar_components(
-    pairs: DataFrame, lines: DataFrame, docs: DataFrame, rid: str, text: str, cfg: LineConfig
+    pairs: DataFrame, places: DataFrame, docs: DataFrame, rid: str, text: str, cfg: LineConfig
 ) -> DataFrame:
     """node, component: of the lines that are similar, through others or directly."""
-    texts = _texts(pairs, lines, docs, rid, text)
+    texts = _texts(pairs, places, docs, rid, text)
     checked = stored(_checked(pairs, texts, cfg), "checked")
     found = components(checked.filter("like"), "a", "b")
     groups = found.select(F.col("node").alias("h"), F.col("component").alias("group"))
@@ -346,11 +424,15 @@ def similar_components(
         checked.filter("NOT like").join(of("a"), "a", "left").join(of("b"), "b", "left")
         .select(F.coalesce("ga", "a").alias("a"), F.coalesce("gb", "b").alias("b")).filter("a != b"), "parted",
     )
-    if parted.isEmpty():
+    more = _others_linked(parted, groups, texts, cfg)
+    if more is None:
         return found
-    more = _others_linked(parted, pairs, groups, lines, texts, cfg)
-    # With the links found before as stars.
-    return components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more), "a", "b")
+    # Links between groups join components; a line without any link before is a group by itself.
+    joined = components(stored(more, "grouplinks"), "a", "b")
+    moved = joined.select(F.col("node").alias("component"), F.col("component").alias("to"))
+    return found.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component")).unionByName(
+        joined.join(found.select("node"), "node", "left_anti")
+    )
 
 
 def repeated_lines(df: DataFrame, order: list[str], text: str, cfg: LineConfig) -> tuple[DataFrame, DataFrame, str]:
@@ -364,26 +446,23 @@ def repeated_lines(df: DataFrame, order: list[str], text: str, cfg: LineConfig)
     (rid,) = fresh(df, "rid")
     docs = df.withColumn(rid, F.xxhash64(*order, text))
     raw = fresh(docs, "raw")[0]
-    lines = stored(_line_table(docs.withColumn(raw, utf8(F.col(text))), rid, raw, cfg), "lines")
+    lines = stored(_line_table(docs.withColumn(raw, utf8(F.col(text))), rid, raw, order, cfg), "lines")
     n = lines.count()
     buckets = max(16, n * cfg.bands // cfg.bucket)
     pairs = stored(candidate_links(lines, buckets, cfg), "pairs")
-    found = similar_components(pairs, lines, docs, rid, text, cfg)
-    keys = [F.col(name).alias(f"k{i}") for i, name in enumerate(order)]
-    ranked = docs.select(F.col(rid).alias("rid"), *keys).distinct()
-    named = (
-        lines.select("rid", "line", "h").distinct().join(found.withColumnRenamed("node", "h"), "h", "left")
-        .withColumn("group", F.coalesce("component", "h"))
+    places = _places(lines.drop("bands"))
+    found = similar_components(pairs, places, docs, rid, text, cfg)
+    named = places.join(found.withColumnRenamed("node", "h"), "h", "left").withColumn(
+        "group", F.coalesce("component", "h")
     )
-    # Only groups with several lines need the order of their rows.
-    several = named.groupBy("group").agg(F.count("*").alias("n")).filter("n > 1").select("group")
-    members = stored(named.join(several, "group").join(ranked, "rid"), "members")
-    place = F.struct(*[f"k{i}" for i in range(len(order))], "rid", "line")
-    firsts = members.groupBy("group").agg(F.min(place).alias("first"))
-    gone = members.join(firsts, "group").filter(
-        (F.col("rid") != F.col("first.rid")) | (F.col("line") != F.col("first.line"))
+    firsts = named.groupBy("group").agg(F.sum("n").alias("n"), F.min("first").alias("first")).filter("n > 1")
+    stays = stored(named.select("h", "group").join(firsts, "group").select(
+        "h", F.col("first.rid").alias("first_rid"), F.col("first.line").alias("first_line")
+    ), "stays")
+    gone = lines.select("rid", "line", "h").join(stays, "h").filter(
+        (F.col("rid") != F.col("first_rid")) | (F.col("line") != F.col("first_line"))
     )
-    removed = gone.groupBy("rid").agg(F.array_sort(F.collect_list("line")).alias("removed"))  # of one text
+    removed = gone.groupBy("rid").agg(F.array_sort(F.collect_set("line")).alias("removed"))  # of one text
     return docs, removed, rid
 
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from eventguard.llm.common import buckets_for, fresh, in_chunks, packed_texts, stored, unpacked_texts, utf8
+from eventguard.llm.common import buckets_for, distinct, fresh, in_chunks, packed_texts, stored, unpacked_texts, utf8
 from eventguard.llm.components import components
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -240,7 +240,7 @@ def index_keys(grams: np.ndarray, times: np.ndarray, cfg: JoinConfig) -> np.ndar
         for a, b in zip(*_runs(kind)):
             i, j = np.triu_indices(b - a, 1)
             keys.append(mix((rest[a:b][i] * _A + rest[a:b][j]) ^ tag ^ np.uint64(1)))
-    return np.unique(np.concatenate(keys))
+    return distinct(np.concatenate(keys))
 
 
 def _runs(sorted_values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
