@@ -44,6 +44,8 @@ class PipelineConfig:
     # Seconds an event may be ahead of its processing time; None: any. Windows of Spark's own
     # watermark need it, since an event far ahead would close windows that are still filling.
     max_future_skew: int | None = None
+    # Buckets of the stored keys: as many tasks join a micro-batch with them. Belongs to a base folder.
+    ledger_buckets: int = 16
     # Stored micro-batches that are merged into one piece, and such pieces again, `levels` times.
     merge_epochs: int = 16
     levels: int = 3

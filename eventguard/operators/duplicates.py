@@ -45,7 +45,8 @@ def mark_duplicates(
     opened = heads.filter(F.col("_first") == F.col("_first_clean"))
     winners = opened.groupBy(*KEY).agg(F.min("_first").alias("_arrival"))
     if ledger is not None:
-        winners = winners.join(ledger.select(*KEY).distinct(), KEY, "left_anti")
+        # Dealt as the ledger's buckets are, so that only the winners move.
+        winners = winners.repartition(cfg.ledger_buckets, *KEY).join(ledger.select(*KEY), KEY, "left_anti")
     winners = winners.select(*place, F.lit(True).alias("_wins"))
 
     # Of records that share an arrival and a key, one counts; the joins serve the window.

@@ -76,8 +76,8 @@ class Pipeline:
         try:
             arrivals = self._peek(prepared)
             if arrivals.rows:
-                ledger = tables.ledger(state, arrivals)
-                seen = tables.write_records(classify(prepared, cfg, ledger), epoch)
+                with tables.ledger(state, arrivals, cfg.ledger_buckets) as ledger:
+                    seen = tables.write_records(classify(prepared, cfg, ledger), epoch)
         finally:
             if cfg.cache_input:
                 prepared.unpersist()
@@ -108,6 +108,7 @@ class Pipeline:
         """Stores the result parts and the windows that became final; returns the next state."""
         piece = Piece(epoch, epoch, days=tuple(sorted(seen["days"])), newest_event=seen["newest_event"])
         tables.write("parts", result_parts(tables.records(epoch), self.cfg), piece)
+        tables.write_keys(piece, self.cfg.ledger_buckets)
         known = lambda *times: max((t for t in times if t is not None), default=None)
         state = replace(
             before,

@@ -5,29 +5,35 @@ replayed micro-batch leaves the same tables. Folders below the base:
 
     records/piece=N-N/is_valid=B/day=D   classified records of micro-batch N
     parts/piece=N-N                      parts of windows, batch metrics and totals
+    keys/piece=N-N/day=D                 keys of its accepted records, in buckets by key
     closed/piece=N-N                     windows that became final in micro-batch N
     merged/<table>/piece=F-L             the same of micro-batches F to L
     merged/ahead/version=N               accepted records far ahead of time, of merged pieces
+    merged/aheadkeys/version=N           their keys
     state/epoch=N                        totals, marks and the manifest after micro-batch N
 
 The manifest in the state names the pieces that make up the tables. Writing the state thus
 switches from old pieces to merged ones at once. What a merge replaced is deleted some
 micro-batches later, when it is certain that the merging one is not replayed.
 
-The accepted keys are the valid records. They lie by the day of their event, so a
+The accepted keys are those of the valid records. They lie by the day of their event, so a
 micro-batch reads the folders of the days it has events of, and what was kept apart because
-its event was far ahead of time. A merge files those of them whose day has come.
+its event was far ahead of time. A merge files those of them whose day has come. Keys lie in
+buckets, so Spark joins a micro-batch with them without moving them.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable
+import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import asdict, dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from eventguard.config import PipelineConfig, exists, remove
+from eventguard.operators.duplicates import KEY
 from eventguard.schema import LEDGER, PARTS, PAYLOAD, STATE, WINDOWS
 
 DAY = 86_400
@@ -35,6 +41,10 @@ DAY = 86_400
 AHEAD = 2_000_000_000
 
 
+def _table_name() -> str:
+    return f"eventguard_{uuid.uuid4().hex}"
+
+
 def event_day() -> Column:
     return F.floor(F.col("event_time").cast("long") / DAY).cast("int")
 
@@ -114,8 +124,8 @@ class StreamTables:
     def _state_path(self, epoch: int) -> str:
         return f"{self.base}/state/epoch={epoch}"
 
-    def _ahead_path(self, version: int) -> str:
-        return f"{self.base}/merged/ahead/version={version}"
+    def _ahead_path(self, version: int, table: str = "ahead") -> str:
+        return f"{self.base}/merged/{table}/version={version}"
 
     def _read(self, schema: T.StructType, base: str, paths: list[str]) -> DataFrame | None:
         if not paths:
@@ -151,6 +161,19 @@ class StreamTables:
     def write(self, table: str, df: DataFrame, piece: Piece) -> None:
         df.write.mode("overwrite").parquet(self.path(table, piece))
 
+    def write_keys(self, piece: Piece, buckets: int) -> None:
+        """Keys of the accepted records of a stored piece, one file for each bucket and day."""
+        if piece.days:
+            valid = self._records([piece], -1).filter("is_valid")
+            self._write_buckets(valid, self.path("keys", piece), buckets)
+
+    def _write_buckets(self, records: DataFrame, path: str, buckets: int) -> None:
+        remove(self.spark, path)  # of a first run of this micro-batch
+        name = _table_name()
+        keys = records.select(*LEDGER.fieldNames(), "day").repartition(buckets, *KEY)
+        keys.write.option("path", path).partitionBy("day").bucketBy(buckets, *KEY).saveAsTable(name)
+        self.spark.sql(f"DROP TABLE {name}")  # the files stay
+
     # Reading
 
     def _paths(self, table: str, pieces: Iterable[Piece], merged: bool) -> list[str]:
@@ -201,26 +224,38 @@ class StreamTables:
         state = state or self.last_state()
         return self._small("closed", WINDOWS, [p for p in state.pieces if p.closed])
 
-    def ledger(self, state: State, arrivals: Arrivals) -> DataFrame | None:
+    @contextmanager
+    def ledger(self, state: State, arrivals: Arrivals, buckets: int) -> Iterator[DataFrame | None]:
         """Keys accepted before, of the days of the arrivals, and those kept apart.
 
-        Only folders of those days are listed and read. A replay starts from the state before
-        its first run and so does not see that run's keys.
+        Only folders of those days are listed and read, as a table of buckets that lasts as
+        long as the context. A replay starts from the state before its first run and so does
+        not see that run's keys.
         """
         odd = range(arrivals.low, arrivals.high + 1) if arrivals.low is not None else ()
-        paths: dict[bool, list[str]] = {False: [], True: []}
-        for piece in state.pieces:
-            paths[piece.level > 0] += [
-                f"{self.path('records', piece)}/is_valid=true/day={day}" for day in piece.days
-                if day == AHEAD or day in arrivals.days or day in odd
-            ]
-        apart = [self._ahead_path(state.ahead)] if state.ahead >= 0 else []
-        frames = (
-            self._read(self.record_schema, f"{self.base}/records", paths[False]),
-            self._read(self.record_schema, f"{self.base}/merged/records", paths[True]),
-            self._read(self.record_schema, f"{self.base}/merged/ahead", apart),
+        found = [
+            (piece.name, day, f"{self.path('keys', piece)}/day={day}")
+            for piece in state.pieces for day in piece.days
+            if day == AHEAD or day in arrivals.days or day in odd
+        ]
+        if state.ahead >= 0:
+            found.append(("ahead", AHEAD, f"{self._ahead_path(state.ahead, 'aheadkeys')}/day={AHEAD}"))
+        if not found:
+            yield None
+            return
+        name, columns = _table_name(), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in LEDGER)
+        self.spark.sql(
+            f"CREATE TABLE {name} ({columns}, piece string, day int) USING parquet PARTITIONED BY (piece, day) "
+            f"CLUSTERED BY ({', '.join(f'`{k}`' for k in KEY)}) INTO {buckets} BUCKETS LOCATION '{self.base}/keys'"
         )
-        return None if all(f is None for f in frames) else self._union(LEDGER, *frames)
+        try:
+            for at in range(0, len(found), 500):
+                self.spark.sql(f"ALTER TABLE {name} ADD " + " ".join(
+                    f"PARTITION (piece='{piece}', day={day}) LOCATION '{path}'" for piece, day, path in found[at:at + 500]
+                ))
+            yield self.spark.table(name).select(*LEDGER.fieldNames())
+        finally:
+            self.spark.sql(f"DROP TABLE {name}")
 
     # State and manifest
 
@@ -280,7 +315,7 @@ class StreamTables:
     ) -> tuple[State, list[str]]:
         """One piece for a group, and the folders that it replaces."""
         one, closed = Piece(group[0].first, group[-1].last, group[0].level + 1), [p for p in group if p.closed]
-        old = [self.path(t, p) for p in group for t in ("records", "parts")]
+        old = [self.path(t, p) for p in group for t in ("records", "parts", "keys")]
         old += [self.path("closed", p) for p in closed]
         # Records kept apart go through the merges of the lowest level, which are the frequent ones.
         lowest = not group[0].level
@@ -305,11 +340,17 @@ class StreamTables:
             one, days=tuple(sorted(seen.get["days"])), closed=bool(closed),
             newest_event=max((p.newest_event for p in group if p.newest_event is not None), default=None),
         )
+        self.write_keys(one, cfg.ledger_buckets)
         if apart:
             early = rows.filter(~due).drop("is_valid", "day")
             early.hint("rebalance").write.mode("overwrite").parquet(self._ahead_path(epoch))
-            old += [self._ahead_path(state.ahead)] if state.ahead >= 0 else []
-            state = replace(state, ahead=epoch)
+            early = self.spark.read.schema(early.schema).parquet(self._ahead_path(epoch))
+            some = not early.isEmpty()
+            if some:
+                self._write_buckets(early.withColumn("day", F.lit(AHEAD)), self._ahead_path(epoch, "aheadkeys"), cfg.ledger_buckets)
+            if state.ahead >= 0:
+                old += [self._ahead_path(state.ahead), self._ahead_path(state.ahead, "aheadkeys")]
+            state = replace(state, ahead=epoch if some else -1)
         if lowest:  # a replay of this micro-batch still needs the state before it
             old += [self._state_path(e) for e in range(state.oldest, epoch - 1)]
             state = replace(state, oldest=max(epoch - 1, 0))

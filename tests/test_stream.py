@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventguard import PipelineConfig, work_dir
+from eventguard.operators.classify import classify
 from eventguard.operators.metrics import merge_batch_metrics, running_totals
 from eventguard.operators.route import repairable
 from eventguard.operators.rules import REPEAT_ACROSS
@@ -129,17 +130,43 @@ def test_ledger_reads_the_days_of_the_batch(spark):
     read = []
     for epoch in range(1, 6):
         day = (NOW + epoch * 86_400) // 86_400
-        keys = tables.ledger(tables.load_state(epoch - 1), days_of(day))
-        read.append(keys.select(F.input_file_name()).distinct().count())
+        with tables.ledger(tables.load_state(epoch - 1), days_of(day), CFG.ledger_buckets) as keys:
+            read.append(keys.select(F.input_file_name()).distinct().count())
     assert read[-1] == read[2] <= 3
 
 
+def test_ledger_stays_where_it_lies(spark):
+    """The micro-batch is dealt as the stored keys are; no exchange lies above their scan."""
+    rows = skewed(300, 3, seed=4)
+    pipeline = Pipeline(CFG, work_dir(spark, "t"))
+    tables = feed(spark, pipeline, rows[:200])
+    state = tables.last_state()
+    records = spark.createDataFrame(rows[200:], SCHEMA).withColumn("as_of", F.timestamp_seconds("as_of"))
+    with tables.ledger(state, days_of(*state.pieces[0].days), CFG.ledger_buckets) as keys:
+        out = classify(records, CFG, keys)
+        lines = out._jdf.queryExecution().executedPlan().toString().splitlines()
+        found = {r["n"]: r["error_reason"] for r in out.collect()}
+    expected = verdicts(rows)
+    assert found == {r[0]: expected[r[0]] for r in rows[200:]}
+    # From the scan of the keys up to the join with the micro-batch.
+    at = next(i for i, line in enumerate(lines) if "SelectedBucketsCount" in line)
+    above, depth = [], len(lines[at])
+    for line in reversed(lines[:at + 1]):
+        inset = len(line) - len(line.lstrip(" :+-"))
+        if inset < depth:
+            above, depth = [*above, line], inset
+        if "Join" in above[-1]:
+            break
+    assert len(above) > 1 and not any("Exchange" in line for line in above)
+    assert spark.catalog.listTables() == []
+
+
 def stored_files(tables):
     """Files below the folders that a micro-batch may list."""
     root = tables.base.removeprefix("file:")
     return sum(
         len([f for f in names if f.startswith("part-")])
-        for top in ("records", "parts", "closed", "merged", "state") for _, _, names in os.walk(f"{root}/{top}")
+        for top in ("records", "parts", "keys", "closed", "merged", "state") for _, _, names in os.walk(f"{root}/{top}")
     )
 
 
