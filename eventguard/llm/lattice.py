@@ -40,8 +40,8 @@ class LatticeConfig:
     # Different words a task counts before it passes them on.
     words_held: int = 400_000
     rounds: int = 3
-    # Weight of the vocabulary's own scores against estimated piece counts.
-    prior: float = 0.001
+    # Share of the vocabulary's own scores in the pieces' weights, against their estimated counts as 1.
+    prior: float = 0.05
 
 
 @dataclass(frozen=True)
