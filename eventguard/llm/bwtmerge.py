@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from eventguard.llm.common import beside
 from eventguard.llm.fmindex import suffix_order
 from eventguard.llm.routing import RouteConfig, merged, repeated_intervals
 
@@ -136,7 +137,9 @@ def remove_repeated_bytes(
 
     A byte goes if a string of `length` bytes that covers it starts more than once, counting
     the same text. A null text counts as empty. Rows that are equal are repeats of each other.
+    A kept column that is called like a result gives way to it.
     """
+    keep = beside(keep, "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256")
     found = repeated_intervals(df, keep, text, cfg.route, lambda c, n: repeated_strings(c, n, cfg))
     fields = [f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep]
 

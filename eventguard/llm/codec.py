@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from eventguard.llm.common import fresh, in_chunks, utf8
+from eventguard.llm.common import beside, fresh, in_chunks, utf8
 from eventguard.llm.pieces import PIECE_MODEL, Vocabulary, load_vocabulary, zipf_log
 
 _MARK = "▁"
@@ -169,8 +169,10 @@ def encode_texts(
 ) -> DataFrame:
     """The `keep` columns of each row with the piece ids of its text and their number.
 
-    An empty text has no pieces. A null text has null ids and 0 pieces.
+    An empty text has no pieces. A null text has null ids and 0 pieces. A kept column that is
+    called like a result gives way to it.
     """
+    keep = beside(keep, *names)
     vocabulary = load_vocabulary(cfg.model)
     sent = df.sparkSession.sparkContext.broadcast(Encoder(vocabulary))
     raw, null = fresh(df.select(*keep), "raw", "no_text")
@@ -199,7 +201,9 @@ def decode_ids(
     """The `keep` columns of each row with the text that its piece ids spell; null for null.
 
     Bytes that are no UTF-8, which ids of other origin may spell, become replacement characters.
+    A kept column that is called like the result gives way to it.
     """
+    keep = beside(keep, name)
     sent = df.sparkSession.sparkContext.broadcast(Decoder(load_vocabulary(cfg.model)))
     (pieces,) = fresh(df.select(*keep), "pieces")
     rows = df.select(*keep, F.col(ids).cast("array<int>").alias(pieces))

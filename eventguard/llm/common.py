@@ -39,6 +39,11 @@ def fresh(df: DataFrame, *wanted: str) -> list[str]:
     return found
 
 
+def beside(keep: list[str], *results: str) -> list[str]:
+    """The kept columns without those that are called like a result, whatever the case of letters."""
+    return [name for name in keep if name.lower() not in {r.lower() for r in results}]
+
+
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """`use` of a value that is computed once per row, however often `use` names it."""
     return F.transform(F.array(value), use)[0]

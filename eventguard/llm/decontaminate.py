@@ -26,7 +26,7 @@ import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
-from eventguard.llm.common import fresh, in_chunks, stored, utf8
+from eventguard.llm.common import beside, fresh, in_chunks, stored, utf8
 
 # Marks around words, units of measure, numbers in words, sentence ends; in
 # English, German, French and Spanish.
@@ -429,11 +429,9 @@ def find_leaks(
     no items; null, empty and too short items (`least_words`) are found nowhere, and items of
     fewer than `plain` words besides their slots only as copies or by windows that are not
     mostly slots. Equal items are all named, and repeated rows of df each get their rows.
-    Kept columns must not be called item_id, share or changed_slots.
+    A kept column that is called like a result gives way to it.
     """
-    clash = {"item_id", "share", "changed_slots"}.intersection(c.lower() for c in keep)
-    if clash:
-        raise ValueError(f"rename the columns {sorted(clash)}")
+    keep = beside(keep, "item_id", "share", "changed_slots")
     windows = item_windows(benchmark, item_text, cfg)
     texts = df.select(F.col(text).alias("text"))
     found = stored(_found(texts, windows, cfg), "leaks")

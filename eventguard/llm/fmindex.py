@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from eventguard.llm.common import beside
 from eventguard.llm.routing import RouteConfig, merged, repeated_intervals
 
 
@@ -206,8 +207,9 @@ def remove_repeats(
 
     A word goes if a window of `window` words that covers it occurs more than once, counting
     the same text; kept words are joined by one blank. A null text has no words. Rows that
-    are equal are repeats of each other.
+    are equal are repeats of each other. A kept column that is called like a result gives way to it.
     """
+    keep = beside(keep, "n_words", "n_removed", "kept_text", "kept_sha256")
     found = repeated_intervals(df, keep, text, cfg.route, lambda c, n: repeated_windows(c, n, cfg))
     fields = [f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep]
 

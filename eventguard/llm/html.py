@@ -20,7 +20,7 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from eventguard.llm.common import fresh
+from eventguard.llm.common import beside, fresh
 
 # Element names of the markup language and words that pages use in classes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -242,8 +242,10 @@ def extract_text(
 ) -> DataFrame:
     """The `keep` columns of each row with its page's main text and its length in characters.
 
-    A null or empty page has an empty text. Markup may be broken or cut off anywhere.
+    A null or empty page has an empty text. Markup may be broken or cut off anywhere. Rows
+    that are repeated are kept each; a kept column that is called like a result gives way to it.
     """
+    keep = beside(keep, *names)
     (raw,) = fresh(df.select(*keep), "raw")
     rows = df.select(*keep, F.col(html).alias(raw))
     fields = [f"`{n}` {df.schema[n].dataType.simpleString()}" for n in keep]

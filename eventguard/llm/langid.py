@@ -23,7 +23,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from eventguard.llm.common import fresh, in_chunks, stored, utf8
+from eventguard.llm.common import beside, fresh, in_chunks, stored, utf8
 
 UNKNOWN = "und"
 
@@ -164,8 +164,10 @@ def predict_language(
     """The `keep` columns of every row with the language of its text and a score from 0 to 1.
 
     A text that is null or has no letter is `und` with score 0, as is every text if nothing
-    was learned. Ties go to the language first in name order.
+    was learned. Ties go to the language first in name order. A kept column that is called
+    like a result gives way to it.
     """
+    keep = beside(keep, *names)
     letters, raw = fresh(df.select(*keep), "letters", "raw")
     has_letter: Column = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
     rows = df.select(*keep, has_letter.alias(letters), utf8(F.col(text)).alias(raw))

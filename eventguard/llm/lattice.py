@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from eventguard.llm.common import fresh, in_chunks, stored, utf8
+from eventguard.llm.common import beside, fresh, in_chunks, stored, utf8
 from eventguard.llm.pieces import (
     MARK, PIECE_MODEL, PieceTrie, expected_pieces, load_vocabulary, marginals, zipf_log,
 )
@@ -189,8 +189,10 @@ def score_texts(
     """The `keep` columns of each row with n_tokens, n_known, base_score and score (log10).
 
     `model` must come from a frame that holds these texts. A null text counts as empty and
-    is one token, the end. `keep` must not name the four result columns.
+    is one token, the end. Rows that are repeated are scored each; a kept column that is called
+    like a result gives way to it.
     """
+    keep = beside(keep, *RESULT)
     raw, rid, word, times = fresh(df.select(*keep), "raw", "rid", "word", "times")
     rows = df.select(*keep, utf8(F.col(text)).alias(raw))
     top = _frequent(model.lexicon, cfg.frequent)

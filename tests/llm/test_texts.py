@@ -11,11 +11,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventguard.llm import decontaminate, lattice
+from eventguard.llm.bwtmerge import remove_repeated_bytes
 from eventguard.llm.codec import Encoder, decode_ids, encode_texts
 from eventguard.llm.common import held_out
 from eventguard.llm.decontaminate import LeakConfig, drop_leaks, find_leaks
+from eventguard.llm.fmindex import remove_repeats
 from eventguard.llm.html import extract_text, main_text
 from eventguard.llm.langid import LangConfig, code_bits, grow_tree, learn, predict_language, _grams, _joined
+from eventguard.llm.linededup import find_repeated_lines
+from eventguard.llm.ngramjoin import similar_groups
 from eventguard.llm.pieces import MARK, PieceTrie, load_vocabulary, marginals, expected_pieces, zipf_log
 from tests.llm import brute
 
@@ -329,8 +333,46 @@ def test_leaks_with_odd_columns_and_long_texts(spark):
     assert sorted(r["doc_id"] for r in rows) == [0, 0, 1, 1] and {r["t1"] for r in rows} == {1}
     clean = drop_leaks(df, bench)
     assert clean.columns == df.columns and [r["doc_id"] for r in clean.collect()] == [2]
-    with pytest.raises(ValueError):
-        find_leaks(df.withColumn("share", F.lit(1)), bench, ["doc_id", "share"])
+    named = find_leaks(df.withColumn("share", F.lit(-1)), bench, ["doc_id", "share"])
+    assert named.columns == ["doc_id", "item_id", "share", "changed_slots"] and {r["share"] for r in named.collect()} == {1.0}
+
+
+def test_results_go_before_kept_columns(spark):
+    """A kept column with the name of a result gives way, in any case of letters."""
+    df = brute.documents(spark, ["some text of words", "some text of words", None]).withColumns({
+        n: F.lit(-1) for n in ("n_words", "SCORE", "n_pieces", "ids", "kept", "lang_pred", "n_bytes", "n_chars2", "learning")
+    }).withColumn("learning", F.lit(True))
+    keep = [c for c in df.columns if c not in ("text", "lang", "learning")]
+    model = lattice.learn(df, "text", "learning")
+    trees = learn(df, "text", "lang", LangConfig())
+    results = {
+        "score": lattice.score_texts(df, model, keep), "n_pieces": encode_texts(df, keep),
+        "lang_pred": predict_language(df, trees, keep), "n_words": remove_repeats(df, keep), "n_bytes": remove_repeated_bytes(df, keep),
+        "n_chars": extract_text(df, keep, html="text"),
+    }
+    for name, out in results.items():
+        assert len({c.lower() for c in out.columns}) == len(out.columns)
+        assert out.count() == 3 and -1 not in {r[name] for r in out.select(name).collect()}
+
+
+def test_long_texts(spark):
+    """Words of up to a million characters and a line of a million words."""
+    texts = ["x" * 1_000_000, "日本" * 300_000, "ab cd ef " * 300_000, "the end"]
+    df = brute.documents(spark, texts)
+    begin = time.monotonic()
+    back = decode_ids(encode_texts(df, ["doc_id"]), ["doc_id"]).collect()
+    assert {r["doc_id"]: r["text"] for r in back} == dict(enumerate(texts))
+    langs = predict_language(df, learn(df.filter("doc_id = 3"), "text", "lang", LangConfig()), ["doc_id"])
+    assert {r["lang_pred"] for r in langs.collect()} == {"en"}
+    cut = df.withColumn("text", F.when(F.col("doc_id") < 2, F.substring("text", 1, 10_000)).otherwise(F.col("text")))
+    cut = cut.withColumn("learning", F.lit(True))
+    scores = lattice.score_texts(cut, lattice.learn(cut, "text", "learning"), ["doc_id"]).collect()
+    assert all(math.isfinite(r["score"]) for r in scores)
+    assert {r["doc_id"]: r["n_tokens"] for r in scores} == {0: 2, 1: 2, 2: 900_001, 3: 3}
+    assert {r["doc_id"]: r["removed"] for r in find_repeated_lines(df).collect()} == {k: [] for k in range(4)}
+    groups = similar_groups(df.unionByName(df.withColumn("doc_id", F.col("doc_id") + 10))).collect()
+    assert all(r["component_id"] == r["doc_id"] % 10 and r["n_links"] == 1 for r in groups)
+    assert time.monotonic() - begin < 300
 
 
 def test_slots_must_be_consistent(spark):
