@@ -12,6 +12,7 @@ What a shard finds repeated comes back as intervals of the texts.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -166,24 +167,24 @@ def _occurrences(rows: pd.DataFrame) -> pd.DataFrame:
     })
 
 
-def arithmetic_runs(places: np.ndarray) -> np.ndarray:
-    """Rows (text, first, stride, number) for rows (text, place), which are sorted; as few as strides allow.
+def arithmetic_runs(places: list[tuple[int, int]]) -> bytes:
+    """Rows (text, first, stride, number) for sorted (text, place), as few as strides allow, as bytes.
 
     A text that repeats itself has its stretches at equal distances, so it takes few rows.
     """
     if len(places) < 8:
-        return np.column_stack([places, np.zeros(len(places), np.int64), np.ones(len(places), np.int64)])
-    text, at = places[:, 0], places[:, 1]
+        return struct.pack(f"={4 * len(places)}q", *(x for text, at in places for x in (text, at, 0, 1)))
+    text, at = np.array(places, np.int64).T
     step = np.append(np.where(text[1:] == text[:-1], np.diff(at), 0), 0)  # to the next place; 0: none
-    # A run goes on where the step behind a place is the one before it.
-    out, i = [], 0
-    changes = np.append(np.flatnonzero(step[1:] != step[:-1]) + 1, len(step))
+    changes = np.append(np.flatnonzero(step[1:] != step[:-1]) + 1, len(step)).tolist()
+    out, i, k = [], 0, 0
     while i < len(at):
-        end = int(changes[np.searchsorted(changes, i, side="right")])  # steps i to end - 1 are alike
-        last = end if step[i] else i
+        while changes[k] <= i:
+            k += 1
+        last = changes[k] if step[i] else i  # steps from here up to the change are alike
         out.append((text[i], at[i], step[i], last - i + 1))
         i = last + 1
-    return np.array(out, np.int64).reshape(-1, 4)
+    return np.array(out, np.int64).tobytes()
 
 
 def _stretches(buckets: int, cfg: RouteConfig):
@@ -214,40 +215,81 @@ def _stretches(buckets: int, cfg: RouteConfig):
                         content = symbols.content(s, s + cfg.window)
                         key = xxhash.xxh3_64_intdigest(content)
                         out.setdefault((key, content), []).append((rid, s - start))
+        chunk = int(docs["_chunk"].iloc[0])
         return pd.DataFrame([
-            (key - (1 << 63), *_content_name(content), len(content), len(where), content,
-             arithmetic_runs(np.array(where, np.int64)).tobytes())
-            for (key, content), where in out.items()
-        ], columns=["key", "c1", "c2", "size", "n", "content", "places"])
+            (chunk, key - (1 << 63), len(where), content, arithmetic_runs(where)) for (key, content), where in out.items()
+        ], columns=["_chunk", "key", "n", "content", "places"])
 
     return cut
 
 
-def _content_name(content: bytes) -> tuple[int, int]:
-    both = xxhash.xxh3_128_intdigest(content)
-    return (both >> 64) - (1 << 63), (both & (1 << 64) - 1) - (1 << 63)
-
-
 Finder = Callable[[list[bytes], np.ndarray], list[list[tuple[int, int]]]]
 
 
 def _spread(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The intervals of each text from the places of stretches and the intervals in them, joined where they meet."""
+
+    def flat(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+        blobs = column.to_pylist()
+        return np.frombuffer(b"".join(blobs), np.int64).reshape(-1, width), np.array([len(b) for b in blobs]) // (8 * width)
+
     for part in parts:
-        rows = []
-        for blob, spans in zip(part.column("places").to_pylist(), part.column("spans").to_pylist()):
-            runs = np.frombuffer(blob, np.int64).reshape(-1, 4)
-            for a, b in np.frombuffer(spans, np.int64).reshape(-1, 2).tolist():
-                rid, first, stride, n = runs.T
-                near = stride <= b - a  # the run's intervals meet
-                ends = first + a + np.where(near, (n - 1) * stride, 0) + (b - a)
-                rows.append(np.column_stack([rid, first + a, ends])[near])
-                for one in runs[~near]:
-                    starts = one[1] + a + np.arange(one[3]) * one[2]
-                    rows.append(np.column_stack([np.full(len(starts), one[0]), starts, starts + (b - a)]))
-        every = np.concatenate([np.zeros((0, 3), np.int64), *rows])
-        every = every[np.lexsort((every[:, 1], every[:, 0]))]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in joined(every).T], names=["_rid", "a", "b"])
+        runs, n_runs = flat(part.column("places"), 4)
+        spans, n_spans = flat(part.column("spans"), 2)
+        # Every run of a stretch with every interval in it.
+        stretch = np.repeat(np.arange(part.num_rows), n_runs)
+        times = n_spans[stretch]
+        run = np.repeat(np.arange(len(runs)), times)
+        nth = np.arange(len(run)) - np.repeat(np.cumsum(times) - times, times)
+        a, b = spans[(np.cumsum(n_spans) - n_spans)[stretch[run]] + nth].T
+        chunk = part.column("_chunk").to_numpy()[stretch[run]]
+        rid, first, stride, n = runs[run].T
+        near = stride <= b - a  # the run's intervals meet
+        rows = [np.column_stack([rid, first + a, first + b + (n - 1) * stride])[near]]
+        for i in np.flatnonzero(~near).tolist():
+            starts = first[i] + np.arange(n[i]) * stride[i]
+            rows.append(np.column_stack([np.full(len(starts), rid[i]), starts + a[i], starts + b[i]]))
+        every = np.concatenate(rows)
+        out = joined(every[np.lexsort((every[:, 1], every[:, 0]))])
+        texts, at = np.unique(rid, return_index=True)  # a text is of one chunk
+        of = chunk[at][np.searchsorted(texts, out[:, 0])] if len(out) else out[:, 0]
+        yield pa.RecordBatch.from_arrays([pa.array(of), *[pa.array(c) for c in out.T]], names=["_chunk", "_rid", "a", "b"])
+
+
+def _whole_chunks(docs: DataFrame, inner: list[str]) -> DataFrame:
+    """_chunk, rows: the rows of a chunk with what is kept of them, compressed together, to be moved cheaply."""
+
+    def pack(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        for part in parts:
+            chunks = part.column("_chunk").to_numpy()
+            heads = np.flatnonzero(np.diff(chunks, prepend=-1) != 0).tolist()
+            blobs = []
+            for a, b in zip(heads, [*heads[1:], len(chunks)]):
+                sink = pa.BufferOutputStream()
+                rows = part.slice(a, b - a).select([*inner, "_rid", "_text"])
+                with pa.ipc.new_stream(sink, rows.schema, options=options) as out:
+                    out.write_batch(rows)
+                blobs.append(sink.getvalue().to_pybytes())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(chunks[heads]), pa.array(blobs, pa.binary())], names=["_chunk", "rows"]
+            )
+
+    return docs.select("_chunk", *inner, "_rid", "_text").mapInArrow(pack, "_chunk long, rows binary")
+
+
+def _with_spans(packed: pa.Table, spans: pa.Table) -> pa.Table:
+    """The rows of a chunk, each with the intervals of its text."""
+    rows = pa.concat_tables([pa.ipc.open_stream(blob).read_all() for blob in packed.column("rows").to_pylist()])
+    own = np.column_stack([spans.column(c).to_numpy() for c in ("_rid", "a", "b")]).astype(np.int64)
+    own = joined(own[np.lexsort((own[:, 1], own[:, 0]))])
+    rids = rows.column("_rid").to_numpy()
+    low, high = (np.searchsorted(own[:, 0], rids, side=side) for side in ("left", "right"))
+    n = high - low
+    take = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    pairs = pa.StructArray.from_arrays([pa.array(own[take, 1]), pa.array(own[take, 2])], names=["a", "b"])
+    lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)), pa.int32()), pairs)
+    return rows.drop_columns(["_rid"]).append_column("_spans", lists)
 
 
 def joined(rows: np.ndarray) -> np.ndarray:
@@ -268,7 +310,7 @@ def repeated_intervals(df: DataFrame, keep: list[str], text: str, cfg: RouteConf
     `finder` gets the different stretches of a shard and how often each occurs, and gives for
     each the intervals (start, end) of symbols that windows which occur again cover. A shard
     gets a stretch once, however many texts hold it; what was found goes back to its places.
-    `_spans` holds the intervals of a text, null where there are none.
+    `_spans` holds the intervals of a text.
     """
     buckets = buckets_for(df, text)
     table = _chunked(df, keep, text, buckets, cfg)
@@ -279,10 +321,10 @@ def repeated_intervals(df: DataFrame, keep: list[str], text: str, cfg: RouteConf
     stretches = stored(
         packed_texts(docs).groupBy("_chunk").cogroup(found.groupBy("_chunk")).applyInPandas(
             _stretches(buckets, cfg),
-            "key long, c1 long, c2 long, size int, n long, content binary, places binary",
+            "_chunk long, key long, n long, content binary, places binary",
         ), "stretches",
     )
-    size = stretches.agg(F.sum("size")).first()[0] or 0
+    size = stretches.agg(F.sum(F.octet_length("content"))).first()[0] or 0
     shards = max(1, size // (cfg.shard * (6 if cfg.words else 1)))
 
     def search(rows: pd.DataFrame) -> pd.DataFrame:
@@ -290,20 +332,23 @@ def repeated_intervals(df: DataFrame, keep: list[str], text: str, cfg: RouteConf
         contents = [bytes(c) for c in rows["content"]]
         spans = finder(contents, rows["n"].to_numpy())
         return pd.DataFrame([
-            (c1, c2, np.array(own, np.int64).tobytes()) for c1, c2, own in zip(rows["c1"], rows["c2"], spans) if own
-        ], columns=["c1", "c2", "spans"])
-
-    different = stretches.groupBy("key", "c1", "c2", "content").agg(F.sum("n").alias("n"))
-    answers = different.withColumn("shard", F.pmod("key", F.lit(int(shards)))).select(
-        "shard", "c1", "c2", "content", "n"
-    ).groupBy("shard").applyInPandas(search, "c1 long, c2 long, spans binary")
-    spans = stretches.select("c1", "c2", "places").join(answers, ["c1", "c2"]).select("places", "spans").mapInArrow(
-        _spread, "_rid long, a long, b long"
+            (key, name, np.array(own, np.int64).tobytes()) for key, name, own in zip(rows["key"], rows["name"], spans) if own
+        ], columns=["key", "name", "spans"])
+
+    # A stretch is named by its anchor and a hash of its content.
+    name, shard = F.xxhash64("content").alias("name"), F.pmod("key", F.lit(int(shards))).alias("shard")
+    different = stretches.groupBy("key", "content").agg(F.sum("n").alias("n"))
+    answers = different.select(shard, "key", name, "content", "n").groupBy("shard").applyInPandas(
+        search, "key long, name long, spans binary"
     )
-    # A text's intervals, at most one for each of its anchors or windows.
-    spans = spans.groupBy("_rid").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("_spans"))
+    spans = stretches.select("_chunk", "key", name, "places").join(answers, ["key", "name"]).select(
+        "_chunk", "places", "spans"
+    ).mapInArrow(_spread, "_chunk long, _rid long, a long, b long")
     inner = [f"k{i}" for i in range(len(keep))]
-    return docs.select(*inner, "_rid", "_text").join(spans, "_rid", "left").select(*inner, "_text", "_spans")
+    fields = [f"{k} {df.schema[c].dataType.simpleString()}" for k, c in zip(inner, keep)]
+    return _whole_chunks(docs, inner).groupBy("_chunk").cogroup(spans.groupBy("_chunk")).applyInArrow(
+        _with_spans, ", ".join([*fields, "_text binary, _spans array<struct<a: long, b: long>>"])
+    )
 
 
 def merged(spans: list[dict] | None) -> list[tuple[int, int]]:

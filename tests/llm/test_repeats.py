@@ -255,9 +255,9 @@ def test_arithmetic_runs():
     rng = random.Random(3)
     for _ in range(200):
         places = sorted({(rng.randrange(2), rng.choice([rng.randrange(40), 3 * rng.randrange(12)])) for _ in range(rng.randrange(40))})
-        runs = arithmetic_runs(np.array(places, np.int64).reshape(-1, 2))
-        assert [(t, a + k * step) for t, a, step, n in runs.tolist() for k in range(n)] == places
-    assert len(arithmetic_runs(np.column_stack([np.zeros(1000, np.int64), np.arange(1000) * 3]))) == 1
+        runs = np.frombuffer(arithmetic_runs(places), np.int64).reshape(-1, 4).tolist()
+        assert [(t, a + k * step) for t, a, step, n in runs for k in range(n)] == places
+    assert len(arithmetic_runs([(0, 3 * k) for k in range(1000)])) == 4 * 8
 
 
 def test_joined_intervals():
