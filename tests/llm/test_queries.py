@@ -17,6 +17,9 @@ COLUMNS = {
     "op8_": {"doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"},
     "op9_": {"doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"},
     "op10_": {"doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"},
+    "op11_": {"doc_id", "n_features", "weight", "score", "rank"},
+    "op12_": {"item_id", "rank", "doc_id", "score"},
+    "op13_": {"query_id", "rank", "vec_id", "score"},
 }
 
 
@@ -31,4 +34,7 @@ def test_columns_and_rows(spark, small, name):
     assert COLUMNS[name.split("_")[0] + "_"] <= set(df.columns)
     rows, table = df.count(), "pages" if name.startswith("op2_") else "documents"
     total = spark.read.parquet(f"{small}/{table}.parquet").count()
-    assert 0 < rows < total if name.startswith("op4_") else rows == total
+    if name.startswith(("op12_", "op13_")):
+        assert rows and rows % 20 == 0  # 20 for each item or query
+    else:
+        assert 0 < rows < total if name.startswith("op4_") else rows == total
