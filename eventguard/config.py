@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -111,6 +113,22 @@ def require_utc(spark: SparkSession) -> None:
         raise ValueError(f"the session's time zone must be UTC, not {zone}")
 
 
+@contextmanager
+def state_width(spark: SparkSession) -> Iterator[None]:
+    """Streams started in this context keep their state in two partitions a core, if not fewer.
+
+    Each partition of a state writes files of its own at every trigger, however few its rows.
+    The number stays with a stream's checkpoint.
+    """
+    name = "spark.sql.shuffle.partitions"
+    width = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(width), 2 * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, width)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by spark.checkpoint.dir; a local run may do without it."""
     root = spark.conf.get("spark.checkpoint.dir", None)

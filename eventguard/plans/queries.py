@@ -7,7 +7,7 @@ from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from eventguard.config import PipelineConfig, stored, work_dir
+from eventguard.config import PipelineConfig, state_width, stored, work_dir
 from eventguard.functions.decode import decode, decode_raw, event_time
 from eventguard.functions.display import feed_item
 from eventguard.operators.classify import classify
@@ -236,7 +236,9 @@ def _followed(stream: Callable[[Pipeline, DataFrame], DataFrame], name: str) ->
         out = stream(pipeline, envelope).writeStream.format("parquet").option(
             "checkpointLocation", f"{pipeline.base}/{name}-checkpoint"
         ).trigger(availableNow=True)
-        out.start(f"{pipeline.base}/{name}").awaitTermination()
+        with state_width(envelope.sparkSession):
+            query = out.start(f"{pipeline.base}/{name}")
+        query.awaitTermination()
     return follow
 
 
@@ -255,9 +257,12 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         records = decode(source)
         timed = records.withColumn("event_time", event_time(F.col("timestamp"), CONFIG))
         out = drop_repeats(timed, CONFIG).select("user_id", _ts_text())
-        out.writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint").trigger(
+        kept = out.writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint").trigger(
             availableNow=True
-        ).start(f"{base}/kept").awaitTermination()
+        )
+        with state_width(spark):
+            query = kept.start(f"{base}/kept")
+        query.awaitTermination()
     return spark.read.parquet(f"{base}/kept")
 
 

@@ -1,5 +1,6 @@
 """The stream against brute force: restarts, replays, late clocks, long-lived keys."""
 
+import glob
 import os
 from dataclasses import replace
 
@@ -7,18 +8,21 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventguard import PipelineConfig, work_dir
+from eventguard.config import shared_dir
 from eventguard.operators.classify import classify
 from eventguard.operators.metrics import merge_batch_metrics, running_totals
 from eventguard.operators.route import repairable
 from eventguard.operators.rules import REPEAT_ACROSS
 from eventguard.operators.windows import closed_windows, merge_parts
+from eventguard.plans import queries as plans
 from eventguard.plans.fixture import FIELDS
-from eventguard.schema import PAYLOAD
+from eventguard.schema import PAYLOAD, STATE
+from eventguard.sources import topics
 from eventguard.sources.files import file_stream
 from eventguard.streaming.native import window_stream
 from eventguard.streaming.pipeline import Pipeline, start
 from eventguard.streaming.readback import ReadBack
-from eventguard.streaming.tables import Arrivals, StreamTables
+from eventguard.streaming.tables import AHEAD, Arrivals, Piece, StreamTables
 from tests.brute import verdicts
 from tests.test_duplicates import NOW, SCHEMA, skewed, stamp
 
@@ -278,6 +282,22 @@ def test_topic_tables_follow_a_replay(spark):
     assert max(r["count"] for r in per_part) == 20
 
 
+@pytest.mark.parametrize("name, state", [("stream_dedup", "dedup-*/checkpoint"), ("stream_window_native", "stream-*/windows-checkpoint")])
+def test_state_partitions_follow_the_cores(spark, small, name, state):
+    """A stream's state is not cut into as many parts as a wide shuffle; the setting stays."""
+    width, root = spark.conf.get("spark.sql.shuffle.partitions"), shared_dir(spark).removeprefix("file:")
+    before = set(glob.glob(f"{root}/{state}/state/*/*"))
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        plans.queries()[name](spark, small)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+    made = [p.split("/")[-2:] for p in set(glob.glob(f"{root}/{state}/state/*/*")) - before]
+    parts = [int(part) for operator, part in made if operator == "0" and part.isdigit()]
+    assert len(parts) == 2 * spark.sparkContext.defaultParallelism
+
+
 def replace_amount(row, amount):
     return (*row[:3], amount, *row[4:])
 
