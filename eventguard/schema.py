@@ -65,6 +65,7 @@ PIECE = T.StructType([
     T.StructField("days", T.ArrayType(T.IntegerType())),
     T.StructField("newest_event", T.LongType()),
     T.StructField("closed", T.BooleanType()),
+    T.StructField("shared", T.BooleanType()),
 ])
 
 # What a micro-batch hands to the next one: totals, marks, and the manifest of its pieces.

@@ -77,7 +77,7 @@ class Pipeline:
             arrivals = self._peek(prepared)
             if arrivals.rows:
                 with tables.ledger(state, arrivals, cfg.ledger_buckets) as ledger:
-                    seen = tables.write_records(classify(prepared, cfg, ledger), epoch)
+                    seen = tables.write_records(classify(prepared, cfg, ledger), epoch, arrivals)
         finally:
             if cfg.cache_input:
                 prepared.unpersist()

@@ -5,7 +5,7 @@ replayed micro-batch leaves the same tables. Folders below the base:
 
     records/piece=N-N/is_valid=B/day=D   classified records of micro-batch N
     parts/piece=N-N                      parts of windows, batch metrics and totals
-    keys/piece=N-N/day=D                 keys of its accepted records, in buckets by key
+    keys/piece=N-N/day=D                 keys of its accepted records up to day D, in buckets by key
     closed/piece=N-N                     windows that became final in micro-batch N
     merged/<table>/piece=F-L             the same of micro-batches F to L
     merged/ahead/version=N               accepted records far ahead of time, of merged pieces
@@ -19,7 +19,9 @@ micro-batches later, when it is certain that the merging one is not replayed.
 The accepted keys are those of the valid records. They lie by the day of their event, so a
 micro-batch reads the folders of the days it has events of, and what was kept apart because
 its event was far ahead of time. A merge files those of them whose day has come. Keys lie in
-buckets, so Spark joins a micro-batch with them without moving them.
+buckets, so Spark joins a micro-batch with them without moving them. The newest day of a piece
+has a folder of its own for its keys; those before it share one by twos, fours, eights and so
+on, so a piece of many days has few files and the days that still come in are read alone.
 """
 
 from __future__ import annotations
@@ -39,6 +41,8 @@ from eventguard.schema import LEDGER, PARTS, PAYLOAD, STATE, WINDOWS
 DAY = 86_400
 # The day of accepted events that are more than a day ahead of their processing time.
 AHEAD = 2_000_000_000
+# Records of a file, where a folder of a micro-batch has more of them.
+FILE_ROWS = 100_000
 
 
 def _table_name() -> str:
@@ -70,11 +74,25 @@ class Piece:
     newest_event: int | None = None
     # Whether windows became final in it.
     closed: bool = False
+    # Whether folders of its keys hold several days; False in tables of earlier versions.
+    shared: bool = True
 
     @property
     def name(self) -> str:
         return f"piece={self.first}-{self.last}"
 
+    @property
+    def key_folders(self) -> dict[int, int]:
+        """For each day the day that its folder of keys is named by, the newest one in it.
+
+        From the newest day back the folders hold 1, 2, 4, 8, ... days.
+        """
+        if not self.shared:
+            return {day: day for day in self.days}
+        found = sorted((d for d in self.days if d < AHEAD), reverse=True)
+        lead = [found[(1 << (at + 1).bit_length() - 1) - 1] for at in range(len(found))]
+        return dict(zip(found, lead)) | ({AHEAD: AHEAD} if AHEAD in self.days else {})
+
 
 @dataclass(frozen=True)
 class State:
@@ -143,11 +161,20 @@ class StreamTables:
 
     # Writing one micro-batch
 
-    def write_records(self, df: DataFrame, epoch: int) -> dict:
-        """Stores classified records; what is counted on the way comes back, without a job of its own."""
+    def write_records(self, df: DataFrame, epoch: int, arrivals: Arrivals) -> dict:
+        """Stores classified records; what is counted on the way comes back, without a job of its own.
+
+        Records of a folder meet before they are written, so that there are not as many files
+        as tasks for each day; those of a large folder are dealt over several.
+        """
         valid, seen = F.col("is_valid"), Observation()
         filed = df.withColumn("epoch", F.lit(epoch).cast("long")).withColumn("day", stored_day())
-        counted = filed.observe(
+        of_day, all_files = (
+            -(-arrivals.rows // (FILE_ROWS * folders)) or 1 for folders in (max(len(arrivals.days), 1), 1)
+        )
+        share = F.pmod(F.xxhash64(*df.columns), F.when(valid, F.lit(of_day)).otherwise(F.lit(all_files)))
+        dealt = filed.withColumn("_share", share).hint("rebalance", "is_valid", "day", "_share").drop("_share")
+        counted = dealt.observe(
             seen, F.count_if(valid).alias("valid"), F.count_if(~valid).alias("dlq"),
             F.coalesce(F.sum(F.when(valid, F.col("amount"))), F.lit(0.0)).alias("amount"),
             F.max(F.col("as_of").cast("long")).alias("newest_as_of"),
@@ -162,9 +189,15 @@ class StreamTables:
         df.write.mode("overwrite").parquet(self.path(table, piece))
 
     def write_keys(self, piece: Piece, buckets: int) -> None:
-        """Keys of the accepted records of a stored piece, one file for each bucket and day."""
+        """Keys of the accepted records of a stored piece, one file for each bucket and folder of days."""
         if piece.days:
-            valid = self._records([piece], -1).filter("is_valid")
+            oldest = {}
+            for day, lead in piece.key_folders.items():
+                oldest[lead] = min(day, oldest.get(lead, day))
+            folder = F.lit(None).cast("int")
+            for lead in sorted(oldest):  # the condition of the newest folder comes first
+                folder = F.when(F.col("day") >= oldest[lead], F.lit(lead)).otherwise(folder)
+            valid = self._records([piece], -1).filter("is_valid").withColumn("day", folder)
             self._write_buckets(valid, self.path("keys", piece), buckets)
 
     def _write_buckets(self, records: DataFrame, path: str, buckets: int) -> None:
@@ -229,14 +262,16 @@ class StreamTables:
         """Keys accepted before, of the days of the arrivals, and those kept apart.
 
         Only folders of those days are listed and read, as a table of buckets that lasts as
-        long as the context. A replay starts from the state before its first run and so does
-        not see that run's keys.
+        long as the context. Keys of other days in them are of other times and match nothing.
+        A replay starts from the state before its first run and so does not see that run's keys.
         """
         odd = range(arrivals.low, arrivals.high + 1) if arrivals.low is not None else ()
+        near = set(arrivals.days)
         found = [
-            (piece.name, day, f"{self.path('keys', piece)}/day={day}")
-            for piece in state.pieces for day in piece.days
-            if day == AHEAD or day in arrivals.days or day in odd
+            (piece.name, lead, f"{self.path('keys', piece)}/day={lead}")
+            for piece in state.pieces for lead in sorted({
+                lead for day, lead in piece.key_folders.items() if day == AHEAD or day in near or day in odd
+            })
         ]
         if state.ahead >= 0:
             found.append(("ahead", AHEAD, f"{self._ahead_path(state.ahead, 'aheadkeys')}/day={AHEAD}"))
@@ -277,7 +312,7 @@ class StreamTables:
     @staticmethod
     def _state(row: T.Row) -> State:
         found = row.asDict(recursive=True)
-        pieces = tuple(Piece(**{**p, "days": tuple(p["days"])}) for p in found["pieces"])
+        pieces = tuple(Piece(**{**p, "days": tuple(p["days"]), "shared": bool(p["shared"])}) for p in found["pieces"])
         trash = tuple((t["since"], t["path"]) for t in found["trash"])
         return State(**{**found, "pieces": pieces, "trash": trash})
 

@@ -165,6 +165,51 @@ def test_ledger_stays_where_it_lies(spark):
     assert spark.catalog.listTables() == []
 
 
+def part_files(folder):
+    return sum(len([f for f in names if f.startswith("part-")]) for _, _, names in os.walk(folder.removeprefix("file:")))
+
+
+def test_files_of_a_micro_batch_of_many_days(spark):
+    """Files of records come by days, not by days and tasks; folders of keys hold ever more days."""
+    days = 20
+    rows = [
+        record(n, 0, f"U{n % 10}", stamp(NOW + n // 10 * 86_400), NOW + n // 10 * 86_400, amount=5.0 if n % 10 else None)
+        for n in range(10 * days)
+    ]
+    later = [record(1000 + n, 1, *r[2:3], r[4], None) for n, r in enumerate(rows)]  # never late: of any day
+    pipeline = Pipeline(CFG, work_dir(spark, "t"))
+    with_width = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for name, value in (("spark.sql.shuffle.partitions", "8"), ("spark.sql.adaptive.coalescePartitions.enabled", "false")):
+            spark.conf.set(name, value)
+        tables = feed(spark, pipeline, rows)
+        piece = tables.last_state().pieces[0]
+        # A folder for each day, and one for the rejected records.
+        assert len(piece.days) == days and part_files(tables.path("records", piece)) == days + 1
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", with_width)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    first = (NOW // 86_400)
+    assert set(os.listdir(tables.path("keys", piece).removeprefix("file:"))) - {"_SUCCESS", "._SUCCESS.crc"} == {
+        f"day={first + back}" for back in (19, 18, 16, 12, 4)
+    }
+    tables = feed(spark, pipeline, [*rows, *later], first=1)
+    assert reasons(tables) == verdicts([*rows, *later])
+
+
+def test_keys_of_an_earlier_version(spark):
+    """Pieces stored before folders of keys held several days are read by the day."""
+    assert Piece(0, 0, days=(4, 5, 6, AHEAD), shared=False).key_folders == {d: d for d in (4, 5, 6, AHEAD)}
+    assert Piece(0, 0, days=(4, 5, 6, AHEAD)).key_folders == {6: 6, 5: 5, 4: 5, AHEAD: AHEAD}
+    tables = feed(spark, Pipeline(CFG, work_dir(spark, "t")), day_rows(1))
+    row = spark.read.parquet(f"{tables.base}/state/epoch=0").withColumn(
+        "pieces", F.transform("pieces", lambda p: p.dropFields("shared"))
+    )
+    row.write.parquet(f"{tables.base}/earlier")
+    state = tables._state(spark.read.schema(STATE).parquet(f"{tables.base}/earlier").first())
+    assert [p.shared for p in state.pieces] == [False]
+
+
 def stored_files(tables):
     """Files below the folders that a micro-batch may list."""
     root = tables.base.removeprefix("file:")
