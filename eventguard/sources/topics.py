@@ -31,8 +31,14 @@ class TopicTables:
             reader = reader.option("maxFilesPerTrigger", files_per_trigger)
         return reader.parquet(self.base)
 
-    def messages(self, epochs: list[int]) -> DataFrame:
-        """What some micro-batches sent, decoded."""
+    def stored(self, epochs: list[int]) -> DataFrame:
+        """What some micro-batches sent, as it lies there."""
         paths = [f"{self.base}/epoch={e}" for e in epochs]
-        stored = self.spark.read.schema(self.schema).option("basePath", self.base).parquet(*paths)
+        return self.spark.read.schema(self.schema).option("basePath", self.base).parquet(*paths)
+
+    def decoded(self, stored: DataFrame) -> DataFrame:
         return read_back(stored, keep=("epoch", *self.carried))
+
+    def messages(self, epochs: list[int]) -> DataFrame:
+        """What some micro-batches sent, decoded."""
+        return self.decoded(self.stored(epochs))

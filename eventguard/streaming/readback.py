@@ -27,13 +27,14 @@ class ReadBack:
         epochs = sorted(r["epoch"] for r in df.select("epoch").distinct().collect())
         if not epochs:
             return
-        messages = self.topics.messages(epochs)
-        self._replace("counters", topic_counters(messages, ["epoch"]), epochs)
+        stored = self.topics.stored(epochs)
+        self._replace("counters", topic_counters(self.topics.decoded(stored), ["epoch"]), epochs)
+        # The order lies beside the messages, so only the newest are decoded for it.
         place = F.row_number().over(
             Window.partitionBy("epoch", "topic").orderBy(*newest_first(self.cfg))
         )
-        newest = messages.withColumn("place", place).filter(F.col("place") <= self.newest)
-        self._replace("newest", newest.drop("place"), epochs)
+        newest = stored.withColumn("place", place).filter(F.col("place") <= self.newest)
+        self._replace("newest", self.topics.decoded(newest), epochs)
 
     def _replace(self, table: str, df: DataFrame, epochs: list[int]) -> None:
         """Parts of these micro-batches replace earlier ones; other parts stay."""

@@ -327,6 +327,19 @@ def test_topic_tables_follow_a_replay(spark):
     assert max(r["count"] for r in per_part) == 20
 
 
+def test_newest_are_chosen_before_they_are_decoded(spark, monkeypatch):
+    """Counters decode all messages, the feed only those that it keeps."""
+    base, decoded = work_dir(spark, "t"), []
+    pipeline = Pipeline(CFG, base, topics=True)
+    feed(spark, pipeline, [record(i, 0, f"U{i}", stamp(NOW + i), NOW + i) for i in range(60)])
+    plain = topics.read_back
+    monkeypatch.setattr(topics, "read_back", lambda df, keep=(): (decoded.append(df.count()), plain(df, keep))[1])
+    back = ReadBack(CFG, pipeline.topic_tables(envelope(spark, [])), f"{base}/back", newest=7)
+    back.start({"availableNow": True}).awaitTermination()
+    assert decoded == [60, 7]
+    assert [r["n"] for r in back.feed("transactions_valid").collect()] == list(range(59, 52, -1))
+
+
 @pytest.mark.parametrize("name, state", [("stream_dedup", "dedup-*/checkpoint"), ("stream_window_native", "stream-*/windows-checkpoint")])
 def test_state_partitions_follow_the_cores(spark, small, name, state):
     """A stream's state is not cut into as many parts as a wide shuffle; the setting stays."""
